@@ -16,6 +16,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from veritab.llm.bpe import PrefixAutomaton, load_ranks
 from veritab.llm.frames import in_batches, strings_of
@@ -71,7 +72,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -
             ids = [memoryview(enc.encode(t)).cast("I").tolist() for t in strings_of(batch.column(text))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], [*batch.schema.names, "ids"])
 
-    return in_batches(docs.select(*kept), work, docs.select(*kept).schema.add("ids", "array<int>"))
+    return in_batches(docs.select(*kept), work, docs.select(*kept).schema.add("ids", ArrayType(IntegerType())))
 
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str, ids: str = "ids") -> DataFrame:

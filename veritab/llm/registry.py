@@ -6,24 +6,60 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from veritab.llm import byte_bpe, token_count
+from veritab.llm import byte_bpe, line_rules, mixing, nbsvm, sharding, token_count, toxicity
 from veritab.llm.frames import table
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score, learnt from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return nbsvm.score_quality(spark, docs, nbsvm.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op3_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in shards 0 to 23 of near equal sizes, equal texts together."""
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents"), 24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by the word-piece vocabulary."""
     return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's figures and verdict by line-first cleaning."""
+    return line_rules.judge_documents(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score, learnt from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(spark, docs, *toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded by the byte-level vocabulary."""
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words in the mix, in the order of its first position in training."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    first = F.round(F.array_min("positions"), 6).alias("position")
+    return mixed.select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), first).orderBy(F.col("position").asc_nulls_last(), "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_classifier": op2_quality_classifier,
+    "op3_shard": op3_shard,
     "op4_token_count": op4_token_count,
+    "op5_quality_rules": op5_quality_rules,
+    "op7_toxicity": op7_toxicity,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_mix_sources": op10_mix_sources,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_quality_rules": line_rules.ORACLE, "op10_mix_sources": mixing.ORACLE}
