@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritab.llm import byte_bpe, line_rules, mixing, nbsvm, sharding, token_count, toxicity
+from veritab.llm import bagminhash, byte_bpe, line_rules, mixing, nbsvm, sharding, token_count, toxicity
 from veritab.llm.frames import table
 
 
@@ -34,6 +34,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judge_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's near-duplicate class by weighted Jaccard similarity of five-word windows."""
+    return bagminhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity score, learnt from the labels that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_shard": op3_shard,
     "op4_token_count": op4_token_count,
     "op5_quality_rules": op5_quality_rules,
+    "op6_near_dedup": op6_near_dedup,
     "op7_toxicity": op7_toxicity,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_mix_sources": op10_mix_sources,
