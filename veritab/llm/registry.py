@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritab.llm import bagminhash, byte_bpe, line_rules, mixing, nbsvm, sharding, token_count, toxicity
+from veritab.llm import bagminhash, byte_bpe, gated_lm, hnsw, line_rules, mixing, nbsvm, sharding, token_count, toxicity
 from veritab.llm.frames import table
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log probability by a unigram base and by the recurrent model."""
+    return gated_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality score, learnt from the labels that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -45,6 +50,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(spark, docs, *toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors found for every fiftieth one."""
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded by the byte-level vocabulary."""
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -58,12 +68,14 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_score": op1_lm_score,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_shard": op3_shard,
     "op4_token_count": op4_token_count,
     "op5_quality_rules": op5_quality_rules,
     "op6_near_dedup": op6_near_dedup,
     "op7_toxicity": op7_toxicity,
+    "op8_ann_search": op8_ann_search,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_mix_sources": op10_mix_sources,
 }
