@@ -21,7 +21,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritab.llm.frames import in_batches, texts_of, written
@@ -32,6 +32,9 @@ SIZE = BANDS * ROWS
 SIMILAR = 0.8
 #: Leaders that a bucket gets in one round after the first.
 LEADERS = 64
+#: One bit of every component's hash is kept.  Texts of similarity 0.8 differ in a bit with probability 0.1, so they
+#: differ in more than MOST_BITS of 160 with a probability below 1e-10; such pairs need no verification.
+MOST_BITS = 42
 #: Windows whose processes run side by side.
 BLOCK = 200_000
 _U = np.uint64
@@ -132,6 +135,13 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def bit_words(sig: np.ndarray) -> np.ndarray:
+    """A hashed bit of every component, packed into SIZE / 64 numbers for each signature."""
+    bits = (mixed(sig.view(_U) + np.arange(1, SIZE + 1, dtype=_U)) & _U(1)).astype(np.uint8)
+    packed = np.packbits(bits, axis=1)
+    return np.concatenate([packed, np.zeros((len(sig), -packed.shape[1] % 8), np.uint8)], axis=1).view(np.int64)
+
+
 def blocks(hashes: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
     """Neighbours of together no more than BLOCK windows, or a single longer text."""
     part, size = [], 0
@@ -151,23 +161,26 @@ def name_of(hashes: np.ndarray) -> int:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, n, bands) of (doc_id, text): the name of the text's multiset of windows, its size, and band keys."""
+    """(doc_id, node, n, bands, bits) of (doc_id, text): the name of the text's multiset of windows, its size, the keys
+    of its bands and the bits of its components."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes = [windows(t) for t in texts_of(batch.column("text"))]
-            keys = np.concatenate([band_keys(signatures(part)) for part in blocks(hashes)]) if hashes else np.zeros((0, BANDS), np.int64)
+            sig = np.concatenate([signatures(part) for part in blocks(hashes)]) if hashes else np.zeros((0, SIZE))
+            keys, bits = band_keys(sig), bit_words(sig)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array([name_of(h) for h in hashes], pa.int64()),
                     pa.array([len(h) for h in hashes], pa.int64()),
                     pa.ListArray.from_arrays(np.arange(0, len(hashes) * BANDS + 1, BANDS, dtype=np.int32), pa.array(keys.ravel())),
+                    pa.array(list(bits), pa.list_(pa.int64())),
                 ],
-                ["doc_id", "node", "n", "bands"],
+                ["doc_id", "node", "n", "bands", "bits"],
             )
 
-    return in_batches(docs, work, "doc_id long, node long, n long, bands array<long>")
+    return in_batches(docs, work, "doc_id long, node long, n long, bands array<long>, bits array<long>")
 
 
 def window_sets(docs: DataFrame) -> DataFrame:
@@ -182,6 +195,14 @@ def window_sets(docs: DataFrame) -> DataFrame:
     return in_batches(docs, work, "node long, windows array<long>")
 
 
+def may_be_similar(x: str, y: str) -> Column:
+    """Whether two rows with n and bits can be similar: the smaller is at least SIMILAR of the larger, and their bits
+    do not rule it out."""
+    sizes = F.least(F.col(f"{x}.n"), F.col(f"{y}.n")) >= SIMILAR * F.greatest(F.col(f"{x}.n"), F.col(f"{y}.n"))
+    apart = sum((F.bit_count(F.col(f"{x}.bits")[k].bitwiseXOR(F.col(f"{y}.bits")[k])) for k in range(1, -(-SIZE // 64))), F.bit_count(F.col(f"{x}.bits")[0].bitwiseXOR(F.col(f"{y}.bits")[0])))
+    return sizes & (apart <= MOST_BITS)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """Of distinct (a, b), those whose multisets overlap enough: sum of minima over sum of maxima."""
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("windows").alias("wa")), "a").join(sets.select(F.col("node").alias("b"), F.col("windows").alias("wb")), "b")
@@ -212,6 +233,23 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError("links are longer chains than the rounds allow")
 
 
+def bucketed(texts: DataFrame) -> DataFrame:
+    """(bucket, node, n, bits) of the texts that share a bucket with others.
+
+    A bucket is a band's key and a class of sizes.  Sizes at least SIMILAR of each other are in the same or in
+    neighbouring classes, and every text is in its own class and in the next.
+    """
+
+    def shared(entries: DataFrame) -> DataFrame:
+        return entries.join(entries.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1").select("bucket"), "bucket")
+
+    banded = written(shared(texts.filter("n > 0").select("node", F.explode("bands").alias("bucket"))), "bands")
+    size_class = F.floor(F.log("n") / float(-np.log(SIMILAR)) + 1e-9)
+    known = banded.join(texts.select("node", "n", "bits"), "node")
+    classed = known.select("node", "n", "bits", F.explode(F.array(F.xxhash64("bucket", size_class), F.xxhash64("bucket", size_class + 1))).alias("bucket"))
+    return written(shared(classed), "buckets")
+
+
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of docs: doc_id, text_id (the smallest id with the same windows), class_id (the smallest id
     of its near-duplicate class) and class_size (rows in the class).
@@ -222,14 +260,14 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """
     source = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-1)).alias("doc_id"), F.col(text).alias("text"))
     sketched = written(sketch(source), "sketch")
-    texts = written(sketched.groupBy("node").agg(F.min("doc_id").alias("text_id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands")), "texts")
-    entries = texts.filter("n > 0").select("node", F.explode("bands").alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1").select("bucket")
-    entries = written(entries.join(shared, "bucket"), "buckets")
+    firsts = [F.first(c).alias(c) for c in ("n", "bands", "bits")]
+    texts = written(sketched.groupBy("node").agg(F.min("doc_id").alias("text_id"), F.count("*").alias("copies"), *firsts), "texts")
+    entries = bucketed(texts)
     # which leader a bucket gets depends on the bucket, so that a large group has many
-    place = F.xxhash64("node", "bucket")
-    leaders = entries.groupBy("bucket").agg(F.min(F.struct(place.alias("place"), "node")).alias("leader")).select("bucket", F.col("leader.node").alias("leader"))
-    pairs = entries.join(leaders, "bucket").filter("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    first = F.min(F.struct(F.xxhash64("node", "bucket").alias("place"), "node", "n", "bits")).alias("leader")
+    leaders = entries.groupBy("bucket").agg(first).select("bucket", "leader.node", "leader.n", "leader.bits")
+    pairs = entries.alias("x").join(leaders.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") != F.col("y.node")) & may_be_similar("x", "y"))
+    pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     wanted = entries.select("node").distinct().join(texts.select("node", "text_id"), "node").select(F.col("text_id").alias("doc_id")).distinct()
     sets = window_sets(source.join(wanted, "doc_id").select("text")).groupBy("node").agg(F.first("windows").alias("windows"))
     sets = written(sets, "windows")
@@ -250,16 +288,16 @@ def linked_groups(entries: DataFrame, edges: DataFrame, sets: DataFrame) -> Data
     open_, led = entries, 1
     while True:
         groups = components(edges)
-        rooted = open_.select("bucket", "node").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rooted = open_.select("bucket", "node", "n", "bits").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
         unlike = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
         unlike = unlike.filter((F.col("low") < F.col("high")) & (F.col("members") > led + 1)).select("bucket")
         open_ = written(rooted.join(unlike, "bucket").withColumn("turn", F.row_number().over(order)), "open")
         if open_.isEmpty():
             return groups
         heads = open_.filter((F.col("turn") > led) & (F.col("turn") <= led + LEADERS))
-        heads = heads.select("bucket", F.col("node").alias("leader"), F.col("root").alias("leader_root"), F.col("turn").alias("leader_turn"))
-        pairs = open_.join(heads, "bucket").filter("turn > leader_turn and root <> leader_root")
-        pairs = pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+        meet = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.turn") > F.col("y.turn")) & (F.col("x.root") != F.col("y.root")) & may_be_similar("x", "y")
+        pairs = open_.alias("x").join(heads.alias("y"), meet)
+        pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
         edges = written(edges.unionByName(verified(pairs, sets)), "edges")
         led += LEADERS
 

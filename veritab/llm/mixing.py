@@ -116,15 +116,15 @@ def mix(
     return out.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "passes", "positions", *[F.col("kept")[c].alias(c) for c in keep])
 
 
-def training_order(docs: DataFrame, **options) -> DataFrame:
+def training_order(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
     """The documents as they are trained on: whole, once for each pass that takes them, range-sorted by position."""
-    columns = docs.columns
-    row = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(columns)])
-    named = {name: f"_{columns.index(options.pop(name, name))}" for name in ("key", "source", "text") if name != "key"}
-    key = f"_{columns.index(options.pop('key', 'doc_id'))}"
-    mixed = mix(row, key=key, whole=True, keep=row.columns, **named, **options)
+    # names of our own, so that no column of the documents clashes with what mix adds
+    own = {c: f"_{i}" for i, c in enumerate(docs.columns)}
+    renamed = docs.select(*[F.col(c).alias(name) for c, name in own.items()])
+    mixed = mix(renamed, key=own[key], source=own[source], text=own[text], whole=True, keep=renamed.columns, **options)
     passes = mixed.select("*", F.explode(F.filter("positions", lambda p: p.isNotNull())).alias("position"))
-    return passes.orderBy("position", F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))).select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(columns)])
+    ordered = passes.orderBy("position", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    return ordered.select(*[F.col(name).alias(c) for c, name in own.items()])
 
 
 #: The query op10 in DuckDB's SQL.

@@ -162,24 +162,39 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", parts: int
     return fit(rows, y[order].astype(int), sizes)
 
 
-def score_quality(spark: SparkSession, docs: DataFrame, model: Model, parts: int = 3, held_out: int = 1, keep: list[str] | None = None) -> DataFrame:
-    """doc_id, held_out, score, predicted of every row, and the columns named in keep.
+def worker_scores(shared, texts: list[bytes]) -> np.ndarray:
+    model = Model(*shared.value)
+    margins = np.array([model.margin(indicators(t)) for t in texts])
+    return model.score(margins) if len(margins) else np.zeros(0)
 
-    A null text is an empty one, which has no indicators and gets the score of the bias alone.
+
+def score_quality(spark: SparkSession, docs: DataFrame, model: Model, parts: int = 3, held_out: int = 1, threshold: float = 0.5) -> DataFrame:
+    """doc_id, held_out, score and predicted (score >= threshold) of every row.
+
+    A null text is an empty one, which has no indicators and gets the score of the bias alone.  Rows with null ids are
+    scored and never held out; repeated rows are scored each.
     """
     shared = spark.sparkContext.broadcast((model.weight, model.square, model.bias, model.calibration))
-    columns = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(keep or [])], F.col("text").alias("text"), F.col("doc_id").cast("long").alias("doc_id"), (remainder(F.col("doc_id"), parts) == held_out).alias("held_out"))
-    schema = columns.drop("text").schema.add("score", "double").add("predicted", "integer")
+    columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (remainder(F.col("doc_id"), parts) == held_out).alias("held_out"), "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(*shared.value)
         for batch in batches:
-            margins = np.array([model.margin(indicators(t)) for t in texts_of(batch.column("text"))])
-            score = model.score(margins) if len(margins) else np.zeros(0)
-            names = [n for n in batch.schema.names if n != "text"]
+            score = worker_scores(shared, texts_of(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) for n in names], pa.array(score, pa.float64()), pa.array((score >= 0.5).astype(np.int32))], [*names, "score", "predicted"]
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32))],
+                ["doc_id", "held_out", "score", "predicted"],
             )
 
-    scored = in_batches(columns, work, schema)
-    return scored.select("doc_id", "held_out", "score", "predicted", *[F.col(f"_{i}").alias(c) for i, c in enumerate(keep or [])])
+    return in_batches(columns, work, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows whose score reaches the threshold, with all their columns."""
+    shared = spark.sparkContext.broadcast((model.weight, model.square, model.bias, model.calibration))
+    place = docs.columns.index(text)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(worker_scores(shared, texts_of(batch.column(place))) >= threshold))
+
+    return in_batches(docs, work, docs.schema)

@@ -67,6 +67,13 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), first).orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline over the documents table."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_quality_classifier": op2_quality_classifier,
@@ -78,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ann_search": op8_ann_search,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_mix_sources": op10_mix_sources,
+    "pipeline": pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_quality_rules": line_rules.ORACLE, "op10_mix_sources": mixing.ORACLE}
