@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from veritab.functions import urls
-from veritab.functions.text import folded, host_tokens, name_tokens, squeezed, trimmed
+from veritab.functions.text import folded, host_tokens, name_tokens, squeezed
 
 # Fixed values.
 BLANKS = ("", "-", "‐", "―")
@@ -135,7 +135,8 @@ def _any(text: Column, words: Sequence[str]) -> Column:
 
 
 def url_score(url: Column, name: Column, region: Column, title: Column, excerpt: Column, romanised: dict[str, str] | None = None, directories: Sequence[str] = ()) -> Column:
-    """NUM-14: a struct of breakdown, score and decision for a candidate site of an entity.
+    """NUM-14: a struct of breakdown, score and decision for a candidate site of an entity; name, title and excerpt are
+    folded already (text.folded, in a projection before).
 
     Invalid, document, directory and social addresses are rejected at once.  Local-government hosts never pass on their
     own for an entity that is not publicly run.
@@ -145,9 +146,9 @@ def url_score(url: Column, name: Column, region: Column, title: Column, excerpt:
     valid = low.rlike("^https?://") & (host != "")
     tld = F.when(host.rlike(r"\.(ac|ed|lg)\.jp$"), 3.0).when(host.rlike(r"(\.or)?\.jp$"), 1.0).when(host.rlike(r"\.(com|net|org|info|biz)$"), -1.0).otherwise(0.0)
     named = F.exists(host_tokens(name, romanised or {}), lambda t: host.contains(t))
-    plain, heading = trimmed(name), trimmed(title)
+    plain, heading = F.trim(name), F.trim(title)
     in_title = F.when((plain != "") & heading.contains(plain), 2.0).when(F.exists(name_tokens(name), lambda t: heading.contains(t)), 1.0).otherwise(0.0)
-    about = folded(excerpt)
+    about = F.coalesce(excerpt, F.lit(""))
     penalty = F.least(F.lit(0.0), *[F.when(path.contains(mark), value).otherwise(0.0) for mark, value in LOW_VALUE_PATHS])
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
     stable = (tld >= 3) & (in_title >= 1) & (penalty == 0) & (F.size(segments) <= 1) & ~F.exists(segments, lambda s: s.contains("."))

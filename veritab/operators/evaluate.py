@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -17,24 +17,27 @@ def matched_units(gold: DataFrame, parsed: DataFrame) -> DataFrame:
 
     gold: doc_id, gold_pos, name, shift, years; parsed: doc_id, parsed_pos and the same.  In gold order, each unit takes
     the first free parsed one whose name holds or is held by its own, with equal shift and years if there is one, else
-    by name only.  The greedy order is sequential inside a document, so it runs per document.
+    by name only.  The greedy order is sequential inside a document, whose units travel together as arrays.
     """
-    g = gold.withColumn("key", squeezed(F.col("name")))
-    p = parsed.withColumn("key", squeezed(F.col("name")))
-
-    def work(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        used: set[int] = set()
-        out = []
-        rows = right.sort_values("parsed_pos").to_dict("records")
-        for unit in left.sort_values("gold_pos").to_dict("records"):
-            held = [r for r in rows if r["parsed_pos"] not in used and unit["key"] and r["key"] and (unit["key"] in r["key"] or r["key"] in unit["key"])]
-            best = next((r for r in held if r["shift"] == unit["shift"] and r["years"] == unit["years"]), held[0] if held else None)
-            if best is not None:
-                used.add(best["parsed_pos"])
-                out.append((key[0], unit["gold_pos"], best["parsed_pos"]))
-        return pd.DataFrame(out, columns=["doc_id", "gold_pos", "parsed_pos"])
-
-    return g.groupBy("doc_id").cogroup(p.groupBy("doc_id")).applyInPandas(work, "doc_id long, gold_pos long, parsed_pos long")
+    def listed(rows: DataFrame, place: str, name: str) -> DataFrame:
+        unit = F.struct(F.col(place).alias("pos"), squeezed(F.col("name")).alias("key"), F.col("shift"), F.col("years"))
+        return rows.select("doc_id", unit.alias("u")).groupBy("doc_id").agg(F.sort_array(F.collect_list("u")).alias(name))
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for doc, units, rows in zip(batch["doc_id"], batch["gold"], batch["parsed"], strict=True):
+                free = list(rows)
+                for unit in units:
+                    held = [r for r in free if unit["key"] and r["key"] and (unit["key"] in r["key"] or r["key"] in unit["key"])]
+                    best = next((r for r in held if r["shift"] == unit["shift"] and r["years"] == unit["years"]), held[0] if held else None)
+                    if best is not None:
+                        free = [r for r in free if r["pos"] != best["pos"]]
+                        out.append((doc, unit["pos"], best["pos"]))
+            yield pd.DataFrame(out, columns=["doc_id", "gold_pos", "parsed_pos"])
+
+    both = listed(gold, "gold_pos", "gold").join(listed(parsed, "parsed_pos", "parsed"), "doc_id")
+    return both.mapInPandas(work, "doc_id long, gold_pos long, parsed_pos long")
 
 
 def field_accuracy(gold: DataFrame, parsed: DataFrame, key: Sequence[str], fields: Sequence[str], tolerance: float = 0.01) -> DataFrame:

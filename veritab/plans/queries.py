@@ -113,12 +113,12 @@ def master_diff_seven_way(t: Load) -> DataFrame:
 
 
 def _sides(t: Load) -> tuple[DataFrame, DataFrame]:
-    part = t("part").select((F.col("p_size") % 5).alias("scope"), F.col("p_type").alias("unit"), F.col("p_brand").alias("category"), "p_partkey")
+    part = t("part").select((F.col("p_size") % 5).alias("scope"), F.concat_ws(" ", "p_type", F.when(F.col("p_partkey") % 3 != 0, F.col("p_partkey").cast("string").substr(-2, 2))).alias("unit"), F.col("p_brand").alias("category"), "p_partkey")
     return part.filter("p_partkey % 2 = 0"), part.filter("p_partkey % 2 = 1")
 
 
 ALIGN_SQL = """
-WITH p AS (SELECT p_size % 5 AS scope, p_type AS unit, p_brand AS category, p_partkey FROM part), e AS (SELECT * FROM p WHERE p_partkey % 2 = 0), a AS (SELECT * FROM p WHERE p_partkey % 2 = 1),
+WITH p AS (SELECT p_size % 5 AS scope, concat_ws(' ', p_type, CASE WHEN p_partkey % 3 <> 0 THEN right(p_partkey::VARCHAR, 2) END) AS unit, p_brand AS category, p_partkey FROM part), e AS (SELECT * FROM p WHERE p_partkey % 2 = 0), a AS (SELECT * FROM p WHERE p_partkey % 2 = 1),
 ec AS (SELECT scope, unit, list_sort(list(DISTINCT category)) AS c FROM e GROUP BY ALL), ac AS (SELECT scope, unit, list_sort(list(DISTINCT category)) AS c FROM a GROUP BY ALL),
 b AS (SELECT coalesce(ec.scope, ac.scope) AS scope, coalesce(ec.unit, ac.unit) AS unit, coalesce(ec.c, []) AS ecs, coalesce(ac.c, []) AS acs FROM ec FULL JOIN ac ON ec.scope = ac.scope AND ec.unit = ac.unit)
 """
@@ -215,7 +215,7 @@ def revision_latest_decision(t: Load) -> DataFrame:
     return revision.latest(t("events").select("user_id", "event_id", "event_type"), ["user_id"], ["event_id"])
 
 
-@query("decisions_overlaid", "SELECT r.review_id, coalesce(d.review_status, r.review_status) AS review_status FROM reviewed r LEFT JOIN (SELECT l_orderkey * 10 + l_linenumber AS review_id, 'accepted' AS review_status FROM lineitem WHERE l_partkey % 4 = 0) d ON r.review_id = d.review_id", "reviewed")
+@query("decisions_overlaid", "SELECT r.review_id, coalesce(d.review_status, r.review_status) AS review_status FROM reviewed r LEFT JOIN (SELECT DISTINCT l_orderkey * 10 + l_linenumber AS review_id, 'accepted' AS review_status FROM lineitem WHERE l_partkey % 4 = 0) d ON r.review_id = d.review_id", "reviewed")
 def decisions_overlaid(t: Load) -> DataFrame:
     d = t("lineitem").filter("l_partkey % 4 = 0").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("review_id"), F.lit("accepted").alias("review_status"), F.lit(1).alias("revision"))
     return revision.overlaid(t("reviewed").select("review_id", "review_status"), d, ["review_id"], ["revision"], ["review_status"])
@@ -293,9 +293,9 @@ def candidate_dedupe(t: Load) -> DataFrame:
     return revision.best_duplicate(e, ["user_id"], ["weight"], "position").select("user_id", "best", "position")
 
 
-@query("voided_events", "SELECT event_id, user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND user_id IS NOT NULL)")
+@query("voided_events", "SELECT event_id, user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND event_id % 60 = 0)")
 def voided_events(t: Load) -> DataFrame:
-    return revision.without_voided(t("events").select("event_id", "user_id"), t("events").filter("event_type = 'error'"), "user_id").select("event_id", "user_id")
+    return revision.without_voided(t("events").select("event_id", "user_id"), t("events").filter("event_type = 'error' AND event_id % 60 = 0"), "user_id").select("event_id", "user_id")
 
 
 # --- entity resolution -------------------------------------------------------------------------------------------
@@ -328,14 +328,14 @@ def unconflicted_matches(t: Load) -> DataFrame:
     return resolve.unconflicted(resolve.tiered(*_names(t), TIERS, least=0.7), ["exact", "normalised"])
 
 
-@query("unique_suffix_match", """WITH r AS (SELECT p_partkey AS right_id, p_name || CASE p_partkey % 3 WHEN 0 THEN '専門学校' WHEN 1 THEN '学校' ELSE '' END AS name FROM part WHERE p_partkey % 4 <> 0), l AS (SELECT p_partkey AS left_id, p_name AS name FROM part),
+@query("unique_suffix_match", """WITH r AS (SELECT p_partkey AS right_id, p_name || p_partkey || CASE p_partkey % 3 WHEN 0 THEN '専門学校' WHEN 1 THEN '学校' ELSE '' END AS name FROM part WHERE p_partkey % 4 <> 0), l AS (SELECT p_partkey AS left_id, p_name || p_partkey AS name FROM part),
 x AS (SELECT replace(name, ' ', '') AS k, count(DISTINCT right_id) AS n, min(right_id) AS right_id FROM r GROUP BY 1 HAVING count(DISTINCT right_id) = 1), h AS (SELECT left_id, x.right_id, 'exact' AS tier FROM l JOIN x ON replace(l.name, ' ', '') = x.k),
 y AS (SELECT regexp_replace(replace(name, ' ', ''), '(専門学校|学校)$', '') AS k, min(right_id) AS right_id FROM r GROUP BY 1 HAVING count(DISTINCT right_id) = 1)
 SELECT * FROM h UNION ALL SELECT left_id, y.right_id, 'suffix' AS tier FROM l JOIN y ON replace(l.name, ' ', '') = y.k WHERE left_id NOT IN (SELECT left_id FROM h)""")
 def unique_suffix_match(t: Load) -> DataFrame:
     ending = F.when(F.col("p_partkey") % 3 == 0, "専門学校").when(F.col("p_partkey") % 3 == 1, "学校").otherwise("")
-    right = t("part").filter("p_partkey % 4 <> 0").select(F.col("p_partkey").alias("right_id"), F.concat("p_name", ending).alias("name"))
-    return resolve.unique_match(t("part").select(F.col("p_partkey").alias("left_id"), F.col("p_name").alias("name")), right, [("exact", text.squeezed), ("suffix", text.institution_key)])
+    right = t("part").filter("p_partkey % 4 <> 0").select(F.col("p_partkey").alias("right_id"), F.concat("p_name", "p_partkey", ending).alias("name"))
+    return resolve.unique_match(t("part").select(F.col("p_partkey").alias("left_id"), F.concat("p_name", "p_partkey").alias("name")), right, [("exact", text.squeezed), ("suffix", text.institution_key)])
 
 
 @query("containment_match_blocked", """WITH l AS (SELECT s_suppkey AS left_id, s_nationkey % 5 AS block, replace(s_name, 'Supplier', '') AS name FROM supplier), r AS (SELECT s_suppkey AS right_id, s_nationkey % 5 AS block, s_name AS name FROM supplier)
@@ -363,9 +363,9 @@ def greedy_code_assign(t: Load) -> DataFrame:
     return resolve.greedy_codes(e, g, s.filter("s_suppkey % 7 = 0").select(F.col("s_suppkey").alias("code")))
 
 
-@query("code_set_difference", "SELECT c_custkey AS code FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("code_set_difference", "SELECT c_custkey + 100 AS code FROM customer EXCEPT SELECT o_custkey FROM orders")
 def code_set_difference(t: Load) -> DataFrame:
-    return resolve.set_difference(t("customer").select(F.col("c_custkey").alias("code")), t("orders").select(F.col("o_custkey").alias("code")), "code")
+    return resolve.set_difference(t("customer").select((F.col("c_custkey") + 100).alias("code")), t("orders").select(F.col("o_custkey").alias("code")), "code")
 
 
 @query("duplicate_codes", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) > 1")
@@ -407,13 +407,13 @@ df AS (SELECT entity_id, coalesce(bool_or(doc_class = 'target' AND status = 'ing
   list(DISTINCT status) FILTER (status IS NOT NULL) AS statuses, max(CASE WHEN doc_class = 'target' THEN CASE WHEN period = {PERIOD} THEN 3 WHEN period IS NOT NULL THEN 2 ELSE 0 END END) AS best, coalesce(bool_or(doc_class = 'target' AND period <> {PERIOD}), FALSE) AS any_conflict
   FROM document GROUP BY 1),
 xr AS (SELECT DISTINCT entity_id FROM fact WHERE period = {PERIOD} AND is_current AND capacity IS NOT NULL),
-flags AS (SELECT e.*, sf.entity_id IS NOT NULL AS has_url, coalesce(verified_url, FALSE) AS verified, df.entity_id IS NOT NULL AS has_document, coalesce(any_target, FALSE) AS at, coalesce(current_target, FALSE) AS ct, coalesce(current_document, FALSE) AS cd, xr.entity_id IS NOT NULL AS extracted, coalesce(stale, FALSE) AS st
+flags AS (SELECT e.*, sf.entity_id IS NOT NULL AS has_url, coalesce(verified_url, FALSE) AS verified, df.entity_id IS NOT NULL AS has_document, coalesce(any_target, FALSE) AS any_t, coalesce(current_target, FALSE) AS ct, coalesce(current_document, FALSE) AS cd, xr.entity_id IS NOT NULL AS extracted, coalesce(stale, FALSE) AS st
   FROM entity e LEFT JOIN sf USING (entity_id) LEFT JOIN df USING (entity_id) LEFT JOIN xr USING (entity_id) WHERE active)
 """
 
 
 @query("coverage_by_region", FLAG_SQL + """SELECT coalesce(region, '__total__') AS region, count(*) AS entities, count(*) FILTER (has_url) AS with_url, count(*) FILTER (verified) AS with_verified_url, count(*) FILTER (has_document) AS with_any_document,
-  count(*) FILTER (at) AS with_target_any_period, count(*) FILTER (ct) AS with_target_this_period, count(*) FILTER (cd) AS with_document_this_period, count(*) FILTER (extracted) AS with_rows_this_period FROM flags GROUP BY ROLLUP (region)""", *FOUR)
+  count(*) FILTER (any_t) AS with_target_any_period, count(*) FILTER (ct) AS with_target_this_period, count(*) FILTER (cd) AS with_document_this_period, count(*) FILTER (extracted) AS with_rows_this_period FROM flags GROUP BY ROLLUP (region)""", *FOUR)
 def coverage_by_region(t: Load) -> DataFrame:
     return report.coverage(*_four(t), PERIOD)
 
@@ -602,7 +602,7 @@ def evidence_buckets(t: Load) -> DataFrame:
 
 
 @query("evidence_rollup_topn", """WITH l AS (SELECT 'reason' AS kind, reason AS value FROM evidence UNION ALL SELECT 'pdf_type', coalesce(pdf_type, 'null') FROM evidence UNION ALL SELECT 'pattern', pattern FROM evidence UNION ALL SELECT 'host', regexp_extract(url, '^https://([^/]+)', 1) FROM evidence)
-SELECT kind, value, count(*) AS n, row_number() OVER (PARTITION BY kind ORDER BY count(*) DESC, value) AS rank FROM l GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY kind ORDER BY count(*) DESC, value) <= 5""", "evidence")
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY n DESC, value) AS rank FROM (SELECT kind, value, count(*) AS n FROM l GROUP BY kind, value)) WHERE rank <= 5""", "evidence")
 def evidence_rollup_topn(t: Load) -> DataFrame:
     return evidence.rollup(t("evidence"), 5)
 
@@ -660,7 +660,7 @@ def gold_summary(t: Load) -> DataFrame:
     return evaluate.gold_summary(t("yearly_status").withColumnRenamed("status", "outcome"))
 
 
-@query("gold_entry_errors", "SELECT entry_id, array_to_string(errors, '; ') AS errors FROM (SELECT entry_id, list_filter([CASE WHEN count(*) OVER (PARTITION BY entry_id) > 1 THEN 'duplicate id' END, CASE WHEN outcome = 'error' THEN 'unknown outcome' END], x -> x IS NOT NULL) AS errors FROM (SELECT entity_id::VARCHAR || '-' || period AS entry_id, status AS outcome FROM yearly_status)) WHERE len(errors) > 0", "yearly_status")
+@query("gold_entry_errors", "SELECT entry_id, array_to_string(errors, '; ') AS errors FROM (SELECT entry_id, list_filter([CASE WHEN count(*) OVER (PARTITION BY entry_id) > 1 THEN 'duplicate id' END, CASE WHEN outcome = 'error' THEN 'unknown outcome' END], lambda x: x IS NOT NULL) AS errors FROM (SELECT entity_id::VARCHAR || '-' || period AS entry_id, status AS outcome FROM yearly_status)) WHERE len(errors) > 0", "yearly_status")
 def gold_entry_errors(t: Load) -> DataFrame:
     e = t("yearly_status").select(F.concat_ws("-", "entity_id", "period").alias("entry_id"), F.col("status").alias("outcome"), F.lit("u").alias("url"))
     return evaluate.entry_errors(e, ["excluded", "collected", "stale"]).select("entry_id", F.array_join("errors", "; ").alias("errors"))
@@ -783,9 +783,12 @@ def fiscal_year_of_date(t: Load) -> DataFrame:
     return t("orders").select("o_orderkey", p.alias("period"), periods.period_label(p).alias("label"))
 
 
-@query("url_canonical", "SELECT page_id, lower(regexp_extract(url, '^([a-z]+://[^/]+)', 1)) || regexp_replace(regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), '/+', '/', 'g'), '/$', '') AS canonical, lower(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1)) AS host FROM pages")
+@query("url_canonical", r"""WITH q AS (SELECT *, array_to_string(list_sort(list_filter(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_|gclid|fbclid)'))), '&') AS query FROM pages)
+SELECT page_id, lower(regexp_extract(url, '^([a-z]+://[^/]+)', 1)) || regexp_replace(regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), '/+', '/', 'g'), '/$', '') || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS canonical,
+  lower(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1)) AS host FROM q""")
 def url_canonical(t: Load) -> DataFrame:
-    messy = F.concat(F.col("url"), F.lit("?utm_source=x&gclid=1#top"))
+    bare = F.regexp_replace("url", "#.*$", "")
+    messy = F.concat(bare, F.when(bare.contains("?"), "&").otherwise("?"), F.lit("utm_source=x&gclid=1#top"))
     return t("pages").select("page_id", urls.canonical(messy).alias("canonical"), urls.host(F.col("url")).alias("host"))
 
 
@@ -797,8 +800,9 @@ def url_quality_action(t: Load) -> DataFrame:
 
 @query("url_score")
 def url_score(t: Load) -> DataFrame:
-    s = numbers.url_score(F.col("url"), F.lit("東京デザインABK専門学校"), F.lit("tokyo"), F.lit("ABK 東京デザイン"), F.col("html"), {"東京": "tokyo", "デザイン": "design"})
-    return t("pages").withColumn("s", s).select("page_id", "s.score", "s.decision", F.array_join(F.array_sort(F.map_keys("s.breakdown")), ",").alias("parts"))
+    pages = t("pages").withColumns({"name": F.lit("東京デザインABK専門学校"), "title": F.lit("ABK 東京デザイン"), "excerpt": text.folded(F.col("html"))})
+    s = numbers.url_score(F.col("url"), F.col("name"), F.lit("tokyo"), F.col("title"), F.col("excerpt"), {"東京": "tokyo", "デザイン": "design"})
+    return pages.withColumn("s", s).select("page_id", "s.score", "s.decision", F.array_join(F.array_sort(F.map_keys("s.breakdown")), ",").alias("parts"))
 
 
 @query("page_links")
@@ -831,7 +835,7 @@ def eligible_documents(t: Load) -> DataFrame:
     return t("document").filter(report.eligible(F.col("status"), F.col("doc_class"), F.lit("p"))).select("document_id")
 
 
-@query("url_list_errors", "SELECT s_suppkey, array_to_string(list_filter([CASE WHEN s_suppkey % 4 = 0 THEN 'name is empty' END, CASE WHEN s_suppkey % 6 = 0 THEN 'url is empty' END, CASE WHEN s_suppkey % 6 = 0 THEN 'url is no address' END], x -> x IS NOT NULL), '; ') AS errors FROM supplier")
+@query("url_list_errors", "SELECT s_suppkey, array_to_string(list_filter([CASE WHEN s_suppkey % 4 = 0 THEN 'name is empty' END, CASE WHEN s_suppkey % 6 = 0 THEN 'url is empty' END, CASE WHEN s_suppkey % 6 = 0 THEN 'url is no address' END], lambda x: x IS NOT NULL), '; ') AS errors FROM supplier")
 def url_list_errors(t: Load) -> DataFrame:
     from veritab.sources.files import url_rows
 

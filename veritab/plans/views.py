@@ -97,6 +97,8 @@ def sql(body: str, *names: str) -> str:
     for n in set(re.findall(r"\{(\w+)\}", ctes)):
         ctes = ctes.replace("{" + n + "}", n)
     body = body.strip()
+    if not names:
+        return body
     if body[:5].upper() == "WITH ":
         return f"WITH {ctes}, {body[5:]}"
     return f"WITH {ctes} {body}"
