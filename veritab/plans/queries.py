@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritab.functions import numbers, payloads, periods, states, text, urls
-from veritab.operators import diff, evaluate, evidence, export, records, report, resolve, revision
+from veritab.operators import diff, evaluate, evidence, export, records, report, resolve, revision, workflow
 from veritab.plans.views import PERIOD, sql, view
 from veritab.streaming import queues
 
@@ -879,3 +879,112 @@ def stream_bucket_counts(t: Load) -> DataFrame:
     name = f"buckets_{uuid.uuid4().hex}"
     queues.bucket_stream(rows, name, f"{checkpoint_dir(spark)}/{name}")
     return spark.table(name)
+
+
+# --- review work -------------------------------------------------------------------------------------------------
+
+METHODS = ("region_index", "operator_manual")
+
+
+def _items(t: Load) -> DataFrame:
+    return t("events").select(F.col("event_id").alias("item_id"), F.when(F.col("event_type") == "error", "approved").when(F.col("event_type") == "click", "corrected").otherwise("pending").alias("status"), (F.col("event_id") % 4).alias("priority"), F.when(F.col("event_id") % 5 != 0, F.col("value")).alias("confidence"))
+
+
+ITEM_SQL = "WITH i AS (SELECT event_id AS item_id, CASE event_type WHEN 'error' THEN 'approved' WHEN 'click' THEN 'corrected' ELSE 'pending' END AS status, event_id % 4 AS priority, CASE WHEN event_id % 5 <> 0 THEN value END AS confidence FROM events)"
+
+
+@query("pending_items", ITEM_SQL + " SELECT item_id, priority, confidence FROM i WHERE status = 'pending' ORDER BY priority, confidence DESC NULLS LAST, item_id LIMIT 200")
+def pending_items(t: Load) -> DataFrame:
+    return workflow.pending(_items(t), 200).select("item_id", "priority", "confidence")
+
+
+@query("review_stats", ITEM_SQL + " SELECT count(*) AS total, count(*) FILTER (status = 'pending') AS pending, count(*) FILTER (status <> 'pending') AS resolved, count(*) FILTER (status = 'pending' AND priority <= 1) AS urgent FROM i")
+def review_stats(t: Load) -> DataFrame:
+    return workflow.review_stats(_items(t))
+
+
+@query("recent_actions", "SELECT event_id, user_id FROM events WHERE event_type = 'error' ORDER BY ts DESC, event_id DESC LIMIT 50")
+def recent_actions(t: Load) -> DataFrame:
+    e = t("events").withColumns({"at": F.col("ts"), "id": F.col("event_id")})
+    return workflow.recent(e, 50, event_type="error").select("event_id", "user_id")
+
+
+@query("documents_to_enter", f"SELECT document_id, status FROM document WHERE status IN ('ocr_pending', 'parse_failed') AND (period = {PERIOD} OR period IS NULL) ORDER BY status, document_id DESC LIMIT 100", "document")
+def documents_to_enter(t: Load) -> DataFrame:
+    return workflow.documents_in(t("document"), ["ocr_pending", "parse_failed"], PERIOD, limit=100).select("document_id", "status")
+
+
+@query("entities_by_name", "SELECT entity_id, name FROM entity WHERE active AND contains(name, '7') ORDER BY name, entity_id LIMIT 20", "entity")
+def entities_by_name(t: Load) -> DataFrame:
+    return workflow.found_by_name(t("entity"), "7").select("entity_id", "name")
+
+
+MISSING_SQL = f"SELECT entity_id FROM entity WHERE active AND entity_id IN (SELECT entity_id FROM site WHERE method IN ('region_index', 'operator_manual')) AND entity_id NOT IN (SELECT entity_id FROM document WHERE doc_class = 'target' AND status = 'ingested' AND period = {PERIOD})"
+
+
+@query("missing_target_entities", MISSING_SQL, "entity", "site", "document")
+def missing_target_entities(t: Load) -> DataFrame:
+    return workflow.missing_target(t("entity"), t("site"), t("document"), PERIOD, METHODS)
+
+
+@query("stale_entities", f"WITH m AS ({MISSING_SQL}) SELECT entity_id, max(period) AS latest FROM m JOIN document USING (entity_id) WHERE doc_class = 'target' AND status = 'ingested' AND period < {PERIOD} GROUP BY 1", "entity", "site", "document")
+def stale_entities(t: Load) -> DataFrame:
+    return workflow.stale(t("entity"), t("site"), t("document"), PERIOD, METHODS)
+
+
+@query("crawl_order", f"""SELECT site_id FROM site WHERE entity_id NOT IN (SELECT entity_id FROM document WHERE status = 'entity_mismatch') AND entity_id NOT IN (SELECT entity_id FROM document WHERE doc_class = 'target' AND status = 'ingested' AND period = {PERIOD})
+ORDER BY list_position(['domain_override','operator_manual','seed_csv','region_index','official_site','owner_pattern','web_search'], method), entity_id, CASE WHEN lower(url) LIKE '%.pdf' OR NOT contains(lower(url), 'info') THEN 1 ELSE 0 END, site_id LIMIT 100""", "site", "document")
+def crawl_order(t: Load) -> DataFrame:
+    done = t("document").filter((F.col("doc_class") == "target") & (F.col("status") == "ingested") & (F.col("period") == PERIOD))
+    return workflow.crawl_order(t("site"), t("document").filter("status = 'entity_mismatch'"), done, 100).select("site_id")
+
+
+@query("year_overview", f"WITH p AS (SELECT entity_id, bool_or(period = {PERIOD}) AS n, bool_or(period < {PERIOD}) AS o, bool_or(period > {PERIOD}) AS l FROM document WHERE doc_class = 'target' AND status = 'ingested' AND entity_id IN (SELECT entity_id FROM entity WHERE active) GROUP BY 1) SELECT count(*) FILTER (n) AS current, count(*) FILTER (o AND NOT n) AS stale, count(*) FILTER (l) AS future FROM p", "entity", "document")
+def year_overview(t: Load) -> DataFrame:
+    return workflow.year_overview(t("entity"), t("document"), PERIOD)
+
+
+@query("url_stats", "SELECT count(DISTINCT e.entity_id) AS entities, count(DISTINCT s.entity_id) AS with_url, count(DISTINCT CASE WHEN verified THEN e.entity_id END) AS verified, count(*) FILTER (method IN ('region_index', 'operator_manual')) AS trusted_sites FROM entity e LEFT JOIN site s ON e.entity_id = s.entity_id WHERE active", "entity", "site")
+def url_stats(t: Load) -> DataFrame:
+    return workflow.url_stats(t("entity"), t("site"))
+
+
+@query("worst_verdicts", "SELECT document_id, count(*) AS rows, round(avg(confidence), 6) AS mean_confidence, arg_max(CASE WHEN confidence >= 0.85 THEN 'auto' WHEN confidence >= 0.7 THEN 'auto_flag' WHEN confidence >= 0.5 THEN 'review_pending' ELSE 'rejected' END, -confidence) AS worst FROM fact WHERE confidence IS NOT NULL GROUP BY 1", "fact")
+def worst_verdicts(t: Load) -> DataFrame:
+    return workflow.worst_verdict(t("fact"))
+
+
+@query("strict_yield", STATUS_SQL + ", u AS (SELECT 'url_status' AS dimension, url_status AS value FROM st UNION ALL SELECT 'document_status', document_status FROM st UNION ALL SELECT 'extract_status', extract_status FROM st UNION ALL SELECT 'blocking_reason', coalesce(blocking_reason, '-') FROM st) SELECT dimension, value, count(*) AS n, count(*) / (SELECT count(*) FROM st) AS share FROM u GROUP BY ALL", *FOUR)
+def strict_yield(t: Load) -> DataFrame:
+    return workflow.strict_yield(_status(t))
+
+
+@query("writer_plan", """WITH q AS (SELECT *, CASE WHEN lower(url) LIKE '%.pdf' THEN 3 WHEN contains(lower(url), 'info') THEN 2 ELSE 1 END AS r FROM site), h AS (SELECT entity_id, max(r) AS best, arg_min(site_id, r::BIGINT * 1000000000 + site_id) AS worst FROM q GROUP BY 1)
+SELECT c.entity_id, 'https://a.example.com/x.pdf' AS url, CASE WHEN best IS NULL THEN 'add' WHEN best < 3 THEN 'upgrade' ELSE 'noop' END AS action, CASE WHEN best < 3 THEN worst END AS replaces FROM entity c LEFT JOIN h USING (entity_id)""", "entity", "site")
+def writer_plan(t: Load) -> DataFrame:
+    return workflow.writer_plan(t("site"), t("entity").select("entity_id", F.lit("https://a.example.com/x.pdf").alias("url")))
+
+
+@query("inferred_sites", "SELECT entity_id, 'https://' || lower(replace(owner, ' ', '')) || '.example.com' AS url, 'owner_pattern' AS method FROM entity WHERE active AND entity_id NOT IN (SELECT entity_id FROM site)", "entity", "site")
+def inferred_sites(t: Load) -> DataFrame:
+    domains = t("entity").select("owner").distinct().withColumn("domain", F.concat(F.lit("https://"), F.lower(F.replace("owner", F.lit(" "), F.lit(""))), F.lit(".example.com")))
+    return workflow.inferred_sites(t("entity"), t("site"), domains)
+
+
+@query("merged_proposals", "SELECT c_custkey AS entity_id, 'old' AS kind FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT c_custkey, 'new' FROM customer WHERE c_custkey % 2 <> 0 AND c_custkey % 3 = 0")
+def merged_proposals(t: Load) -> DataFrame:
+    c = t("customer").select(F.col("c_custkey").alias("entity_id"))
+    return workflow.with_new(c.filter("entity_id % 2 = 0").withColumn("kind", F.lit("old")), c.filter("entity_id % 3 = 0").withColumn("kind", F.lit("new")), ["entity_id"])
+
+
+@query("refused_aliases", "SELECT entity_id, alias FROM (SELECT s_suppkey AS entity_id, 'Supplier#' || lpad((s_suppkey % 70)::VARCHAR, 9, '0') AS alias FROM supplier) p WHERE EXISTS (SELECT 1 FROM supplier s WHERE s.s_name = p.alias AND s.s_suppkey <> p.entity_id)")
+def refused_aliases(t: Load) -> DataFrame:
+    s = t("supplier").select(F.col("s_suppkey").alias("entity_id"), F.col("s_name").alias("name"))
+    p = s.select("entity_id", F.concat(F.lit("Supplier#"), F.lpad((F.col("entity_id") % 70).cast("string"), 9, "0")).alias("alias"))
+    return workflow.approved_aliases(p, p.filter("false"), s)[1]
+
+
+@query("comparison_run", COMPARE_SQL + "SELECT count(*) AS rows, count(*) FILTER (status = 'match') AS matches FROM labelled", "reviewed", "external")
+def comparison_run(t: Load) -> DataFrame:
+    header, _ = workflow.comparison_run(diff.compare_external(t("reviewed"), t("external")), b"file", "system")
+    return header.select("rows", "matches")
