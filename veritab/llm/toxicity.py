@@ -16,6 +16,7 @@ from math import log
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,97 +44,90 @@ def word_of(raw: bytes) -> str:
     return raw.decode("utf-8", "replace").lower().strip(".,;:!?\"'()[]") or raw.decode("utf-8", "replace")
 
 
-def freed(count: int) -> float:
-    """What a class's count gives up to the backoff."""
-    return DISCOUNTS[min(count, 3)]
+def freed(counts: np.ndarray) -> np.ndarray:
+    """What a class's counts give up to the backoff."""
+    return np.array(DISCOUNTS)[np.minimum(counts, 3)]
 
 
-class KneserNey:
-    """Two models of characters from counts of grams by class: {gram: (ordinary, toxic)}.
+def _sums(keys: pa.Array, **columns: np.ndarray) -> tuple[pa.Array, dict[str, np.ndarray]]:
+    """The columns' sums by key."""
+    table = pa.table({"key": keys, **columns}).group_by("key").aggregate([(c, "sum") for c in columns])
+    return table["key"].combine_chunks(), {c: table[f"{c}_sum"].to_numpy() for c in columns}
+
+
+def _places(keys: pa.Array, among: pa.Array) -> np.ndarray:
+    """Where each key stands among distinct ones."""
+    return pc.index_in(keys, value_set=among).to_numpy(zero_copy_only=False).astype(np.int64)
 
-    In a class, a count loses DISCOUNTS[0] if it is 1, the next if 2, the last if more: what a class says once is left
-    to the shared backoff.
-    """
 
-    def __init__(self, counts: dict[str, tuple[int, int]], discount: float = 0.75):
-        self.discount = discount
-        self.top = counts
-        self.top_total: dict[str, list[int]] = defaultdict(lambda: [0, 0])
-        self.top_freed: dict[str, list[float]] = defaultdict(lambda: [0.0, 0.0])
-        lower: Counter = Counter()
-        for gram, pair in counts.items():
-            context = gram[:-1]
-            for c in (0, 1):
-                self.top_total[context][c] += pair[c]
-                self.top_freed[context][c] += freed(pair[c])
-            if len(gram) > 1:
-                lower[gram[1:]] += 1
-        # continuation counts: in how many longer grams each gram occurs, order by order
-        level = lower
-        self.shared: dict[str, int] = {}
-        self.shared_total: Counter = Counter()
-        self.shared_kinds: Counter = Counter()
-        while level:
-            below: Counter = Counter()
-            for gram, n in level.items():
-                if gram not in self.shared:
-                    self.shared[gram] = n
-                else:
-                    self.shared[gram] += n
-            for gram in level:
-                if len(gram) > 1:
-                    below[gram[1:]] += 1
-            level = below
-        for gram, n in self.shared.items():
-            self.shared_total[gram[:-1]] += n
-            self.shared_kinds[gram[:-1]] += 1
-        self.alphabet = max(2, self.shared_kinds[""] + 1)
-        self.cache: dict[str, float] = {}
-
-    def backoff(self, gram: str) -> float:
-        """The shared probability of a gram's last character after the rest, never 0."""
-        if not gram:
-            return 1.0 / self.alphabet
-        known = self.cache.get(gram)
-        if known is not None:
-            return known
-        context = gram[:-1]
-        total = self.shared_total.get(context, 0)
-        below = self.backoff(gram[1:]) if len(gram) > 1 else 1.0 / self.alphabet
-        if total:
-            p = max(self.shared.get(gram, 0) - self.discount, 0) / total + self.discount * self.shared_kinds[context] / total * below
+def shared_backoff(top: pa.Array, discount: float = 0.75) -> tuple[pa.Array, np.ndarray]:
+    """The grams below the highest order, and the shared probability of each one's last character after the rest.
+
+    A gram's count is the number of distinct longer grams that end in it, order by order.
+    """
+    level, found, counts = pc.unique(top), [], []
+    while len(level := level.filter(pc.greater(pc.utf8_length(level), 1))):
+        level, n = _sums(pc.utf8_slice_codeunits(level, 1), n=np.ones(len(level), np.int64))
+        found.append(level)
+        counts.append(n["n"])
+    if not found:
+        return pa.array([], pa.string()), np.zeros(0)
+    grams, n = _sums(pa.concat_arrays(found), n=np.concatenate(counts))
+    count = n["n"].astype(float)
+    context, stats = _sums(pc.utf8_slice_codeunits(grams, 0, -1), total=count, kinds=np.ones(len(grams), np.int64))
+    at = _places(pc.utf8_slice_codeunits(grams, 0, -1), context)
+    total, kinds = stats["total"][at], stats["kinds"][at]
+    alphabet = max(2, int((pc.utf8_length(grams).to_numpy(zero_copy_only=False) == 1).sum()) + 1)
+    probability = np.maximum(count - discount, 0) / total
+    share = discount * kinds / total
+    length = pc.utf8_length(grams).to_numpy(zero_copy_only=False)
+    for k in range(1, ORDER):
+        here = np.flatnonzero(length == k)
+        if k == 1:
+            below = 1.0 / alphabet
         else:
-            p = below
-        if len(self.cache) > 500_000:
-            self.cache.clear()
-        self.cache[gram] = p
-        return p
-
-    def tables(self) -> tuple[dict[str, float], dict[str, float]]:
-        """log P(character | toxic) - log P(character | ordinary): of grams, and of contexts for any other character.
-
-        What both classes say at most once is left to the backoff, like what they never say: those grams need no entry,
-        and the contexts that give up all their counts none either.
-        """
-        others: dict[str, float] = {}
-        for context, totals in self.top_total.items():
-            share = [self.top_freed[context][c] / totals[c] if totals[c] else 1.0 for c in (0, 1)]
-            if share[0] != share[1]:
-                others[context] = log(share[1]) - log(share[0])
-        own: dict[str, float] = {}
-        for gram, pair in self.top.items():
-            if max(pair) > 1:
-                totals, free, below = self.top_total[gram[:-1]], self.top_freed[gram[:-1]], self.backoff(gram[1:])
-                p = [(pair[c] - freed(pair[c]) + free[c] * below) / totals[c] if totals[c] else below for c in (0, 1)]
-                own[gram] = log(p[1]) - log(p[0])
-        return own, others
+            below = probability[_places(pc.utf8_slice_codeunits(grams.take(pa.array(here)), 1), grams)]
+        probability[here] += share[here] * below
+    return grams, probability
+
+
+Tables = tuple[list[str], np.ndarray, list[str], np.ndarray]
+
+
+def ratio_tables(grams: pa.Array, ordinary: np.ndarray, toxic: np.ndarray) -> Tables:
+    """log P(character | toxic) - log P(character | ordinary): of grams, and of contexts for any other character.
+
+    In a class, a count loses the first of DISCOUNTS after 0 if it is 1, the next if 2, the last if more.  What both
+    classes say at most once is left to the backoff, like what they never say: those grams need no entry, and contexts
+    in which both classes give up the same share need none either.
+    """
+    if not len(grams):
+        return [], np.zeros(0), [], np.zeros(0)
+    contexts = pc.utf8_slice_codeunits(grams, 0, -1)
+    context, stats = _sums(contexts, o=ordinary, t=toxic, fo=freed(ordinary), ft=freed(toxic))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        so, st = (np.where(stats[n] > 0, stats[f] / stats[n], 1.0) for n, f in (("o", "fo"), ("t", "ft")))
+    differs = np.flatnonzero(so != st)
+    lower, probability = shared_backoff(grams)
+    own = np.flatnonzero(np.maximum(ordinary, toxic) > 1)
+    kept = grams.take(pa.array(own))
+    below = probability[_places(pc.utf8_slice_codeunits(kept, 1), lower)]
+    at = _places(contexts.take(pa.array(own)), context)
+
+    def p(count: np.ndarray, total: np.ndarray, share: np.ndarray) -> np.ndarray:
+        return np.where(total[at] > 0, (count - freed(count)) / np.maximum(total[at], 1) + share[at] * below, below)
+
+    ratio = np.log(p(toxic[own], stats["t"], st)) - np.log(p(ordinary[own], stats["o"], so))
+    return kept.to_pylist(), ratio, context.take(pa.array(differs)).to_pylist(), np.log(st[differs]) - np.log(so[differs])
 
 
 class WordDifferences(dict):
     """log P(word | toxic) - log P(word | ordinary) of words as they stand in texts, worked out when first met."""
 
-    def __init__(self, tables: tuple[dict[str, float], dict[str, float]], max_words: int = 300_000):
-        self.own, self.others = tables
+    def __init__(self, tables: Tables, max_words: int = 300_000):
+        grams, ratios, contexts, others = tables
+        self.own = dict(zip(grams, ratios.tolist(), strict=True))
+        self.others = dict(zip(contexts, others.tolist(), strict=True))
         self.max_words = max_words
 
     def difference(self, word: str) -> float:
@@ -166,8 +160,8 @@ def evidence(text: bytes, differences: WordDifferences) -> tuple[float, float, f
     return d.mean(), passage, top.mean(), log(len(d))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4, held_out: int = 2, per_class: int = 4000) -> tuple[tuple[dict[str, float], dict[str, float]], np.ndarray]:
-    """The tables of a KneserNey model and the calibration, from at most per_class rows of either class.
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4, held_out: int = 2, per_class: int = 4000) -> tuple[Tables, np.ndarray]:
+    """The tables of both models and the calibration, from at most per_class rows of either class.
 
     Four fifths of the sample are counted; the others, whose words the counts have not seen, calibrate.
     """
@@ -195,11 +189,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int =
             )
 
     counted = in_batches(sample.filter(~F.col("calibrates")), count, "gram string, ordinary long, toxic long")
-    table = counted.groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")).orderBy("gram").toArrow()
-    counts = dict(zip(table["gram"].to_pylist(), zip(table["ordinary"].to_pylist(), table["toxic"].to_pylist(), strict=True), strict=True))
+    table = counted.groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")).toArrow().combine_chunks()
+    tables = ratio_tables(table["gram"].combine_chunks(), table["ordinary"].to_numpy(), table["toxic"].to_numpy())
     del table
-    tables = KneserNey(counts).tables()
-    del counts
     shared = docs.sparkSession.sparkContext.broadcast(tables)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,7 +223,7 @@ def worker_differences(shared) -> WordDifferences:
     return _models[key]
 
 
-def score_toxicity(spark: SparkSession, docs: DataFrame, tables: tuple[dict[str, float], dict[str, float]], calibration: np.ndarray, parts: int = 4, held_out: int = 2, threshold: float = 0.3) -> DataFrame:
+def score_toxicity(spark: SparkSession, docs: DataFrame, tables: Tables, calibration: np.ndarray, parts: int = 4, held_out: int = 2, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score and predicted (score >= threshold) of every row.
 
     Null and empty texts have no evidence either way and get the calibration's intercept.
