@@ -19,8 +19,11 @@ WEIGHTS = (0.4, 0.4, 0.2)
 CUTOFFS = (0.85, 0.70, 0.50)
 NEUTRAL = 0.7
 URL_CUTOFFS = (6.0, 4.0)
-POSITIVE_WORDS = ("修学支援", "確認申請", "機関要件", "様式第2号", "情報公開", "shugaku", "disclosure")
-NEGATIVE_WORDS = ("パンフレット", "募集要項", "シラバス", "学則", "syllabus", "pamphlet")
+POSITIVE_WORDS = ("修学支援", "高等教育", "無償化", "確認申請", "機関要件", "様式第2号", "様式2", "学校教育法", "情報公開")
+NEGATIVE_WORDS = (
+    "シラバス", "syllabus", "募集要項", "パンフレット", "入学案内", "カリキュラム", "時間割", "規程", "規則", "規定", "就業規則", "学則", "事業計画", "事業報告", "財務諸表",
+    "決算", "自己点検", "自己評価", "学校案内", "ガイドブック", "attachment", "appendix", "添付資料", "別紙", "bessi", "besshi",
+)
 LOW_VALUE_PATHS = (
     ("form_download", -3.0), ("admission", -3.0), ("/admis", -3.0), ("/enter", -2.0), ("application", -3.0),
     ("/archives/news", -2.0), ("/news", -2.0), ("/event", -2.0), ("opencampus", -2.0),
@@ -134,7 +137,7 @@ def _any(text: Column, words: Sequence[str]) -> Column:
     return hit
 
 
-def url_score(url: Column, name: Column, region: Column, title: Column, excerpt: Column, romanised: dict[str, str] | None = None, directories: Sequence[str] = ()) -> Column:
+def url_score(url: Column, name: Column, region: Column, title: Column, excerpt: Column, romanised: dict[str, str] | None = None, directories: Sequence[str] = urls.DIRECTORY_HOSTS) -> Column:
     """NUM-14: a struct of breakdown, score and decision for a candidate site of an entity; name, title and excerpt are
     folded already (text.folded, in a projection before).
 
@@ -207,6 +210,6 @@ def all_ints(c: Column) -> Column:
     return F.transform(F.regexp_extract_all(folded(c), F.lit(r"(\d[\d,]*)"), 1), lambda x: F.replace(x, F.lit(","), F.lit("")).try_cast("long"))
 
 
-def yield_gate(percent: Column, passing: float = 60.0, warning: float = 40.0) -> Column:
+def yield_gate(percent: Column, passing: float = 60.0) -> Column:
     """NUM-21: the gate's status by yield."""
-    return F.when(percent >= passing, "pass").when(percent >= warning, "review").otherwise("fail")
+    return F.when(percent.isNull(), "not_measured").when(percent >= passing, "pass").otherwise("below_gate")

@@ -118,9 +118,13 @@ def next_action(reason: Column, site_is_document: Column) -> Column:
     by_reason = (
         F.when(reason.isNull(), "export")
         .when(reason == "no_url", "add_url")
-        .when(reason.isin("no_target_pdf", "publication_lag_latest_public", "stale_pdf_only"), "add_document")
-        .when(reason.isin("ocr_pending", "parse_failed"), "manual_entry")
-        .when(reason.isin("not_extracted", "review_required"), "check_document")
+        .when(reason == "no_target_pdf", "find_document")
+        .when(reason.isin("publication_lag_latest_public", "stale_pdf_only"), "await_publication")
+        .when(reason.isin("target_year_unverified", "not_extracted", "review_required"), "check_document")
+        .when(reason == "tls_certificate_verify_failed", "check_certificate")
+        .when(reason == "ocr_pending", "recognise_or_enter")
+        .when(reason == "parse_failed", "enter")
+        .when(reason == "dept_change_review", "check_unit_changes")
         .otherwise("check")
     )
     return F.when(site_is_document & reason.isin("no_target_pdf", "publication_lag_latest_public", "stale_pdf_only"), "add_url").otherwise(by_reason)
@@ -161,13 +165,14 @@ def alias_class(matches: Column, same_stem: Column) -> Column:
 
 
 def predicted_outcome(reason: Column, document_class: Column) -> Column:
-    """CLS-17: the outcome that an evidence row predicts."""
+    """CLS-17: the outcome that an evidence row predicts; null if it says nothing."""
     return (
-        F.when(reason == "accepted_downloaded", "accepted")
-        .when(reason.startswith("fiscal_year_mismatch:") & (document_class == "target"), "publication_lag")
-        .when(reason == "no_candidates_found", "no_candidate")
-        .when(reason == "discovery_error", "fetch_error")
-        .otherwise("operator_review")
+        F.when(reason == "accepted_downloaded", "accepted_target_pdf")
+        .when(reason.startswith("fiscal_year_mismatch:") & F.coalesce(document_class == "image_only", F.lit(False)), "needs_operator_review")
+        .when(reason.startswith("fiscal_year_mismatch:"), "publication_lag_latest_public")
+        .when(reason == "target_fiscal_year_not_detected", "needs_operator_review")
+        .when(reason.isin("no_candidates_found", "all_negative_score", "classified_non_target", "pre_filtered_non_target_hint"), "no_target_candidate_found")
+        .when((reason == "discovery_error") | reason.startswith("http_error:"), "site_fetch_error")
     )
 
 

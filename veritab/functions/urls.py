@@ -6,8 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values.
-TRACKING = ("fbclid", "gclid", "utm_campaign", "utm_content", "utm_medium", "utm_source", "utm_term")
-DISCLOSURE_WORDS = ("joho", "jouhou", "disclosure", "kokai", "koukai", "public", "info")
+TRACKING = ("fbclid", "gclid", "mc_cid", "mc_eid", "utm_campaign", "utm_content", "utm_medium", "utm_source", "utm_term")
+DISCLOSURE_WORDS = ("disclos", "joho", "kyufu", "shien", "youken", "yoken", "info", "support", "schoolguide", "valuation", "kakunin", "shinsei", "musho")
+DIRECTORY_HOSTS = (
+    "best-shingaku.net", "korekarashinro.jp", "manabi.benesse.ne.jp", "minkou.jp", "nicjp.niad.ac.jp", "shingakunet.com", "shinronavi.com", "studyplus.jp",
+)
 QUALITY_RANK = {"direct_pdf": 3, "disclosure": 2, "homepage": 1, "none": 0}
 PROBE_PATHS = ("/disclosure/", "/information/", "/joho/", "/public/", "/about/disclosure/")
 SOCIAL_HOSTS = (
@@ -29,6 +32,9 @@ def canonical(url: Column) -> Column:
     host = F.when(scheme == "https", F.regexp_replace(host, ":443$", "")).when(scheme == "http", F.regexp_replace(host, ":80$", "")).otherwise(host)
     path = F.regexp_replace(F.regexp_replace(F.regexp_extract(url, r"^[^:]+://[^/?#]+([^?#]*)", 1), "/+", "/"), "/$", "")
     pairs = F.filter(F.split(F.regexp_extract(url, r"\?([^#]*)", 1), "&"), lambda p: (p != "") & ~F.lower(F.regexp_extract(p, "^([^=]*)", 1)).isin(*TRACKING))
+    name = lambda p: F.lower(F.regexp_extract(p, "^([^=]*)", 1))
+    # a download manager's links change with every visit
+    pairs = F.when(F.exists(pairs, lambda p: name(p) == "wpdmdl"), F.filter(pairs, lambda p: name(p) != "refresh")).otherwise(pairs)
     query = F.array_join(F.array_sort(pairs), "&")
     whole = F.concat(scheme, F.lit("://"), host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))
     return F.when((scheme == "") | (host == ""), url).otherwise(whole)

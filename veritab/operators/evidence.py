@@ -18,6 +18,7 @@ BUCKET_PRIORITY = (
     "target_form_without_year_evidence", "publication_lag_or_old_target_pdf", "entity_identity_mismatch", "mixed_with_site_fetch_error", "site_fetch_error_only",
     "tls_certificate_verify_failed", "non_target_candidates_only", "no_pdf_candidates", "no_evidence",
 )
+OUTCOMES = ("accepted_target_pdf", "publication_lag_latest_public", "needs_operator_review", "site_fetch_error", "no_target_candidate_found")
 REASON_PRIORITY = ("accepted_downloaded", "pdf_entity_mismatch", "target_fiscal_year_not_detected", "fiscal_year_mismatch:", "no_candidates_found", "discovery_error")
 
 
@@ -124,6 +125,8 @@ def packet(rows: DataFrame, sites: DataFrame, entity_id: int, n: int = 5) -> Dat
 def predictions(rows: DataFrame) -> DataFrame:
     """CLS-17, WIN-10, JOIN-12: each entity's best predicted outcome by priority, ties to the first in the log."""
     outcome = states.predicted_outcome(F.col("reason"), F.col("pdf_type"))
-    rank = F.when(outcome == "accepted", 0).when(outcome == "operator_review", 1).when(outcome == "publication_lag", 2).when(outcome == "fetch_error", 3).otherwise(4)
-    best = rows.withColumns({"outcome": outcome, "_rank": rank}).groupBy("entity_id").agg(F.min_by(F.struct("outcome", "url"), F.struct("_rank", "position")).alias("b"))
+    rank = F.lit(len(OUTCOMES))
+    for i, name in reversed(list(enumerate(OUTCOMES))):
+        rank = F.when(outcome == name, i).otherwise(rank)
+    best = rows.withColumns({"outcome": outcome, "_rank": rank}).filter("outcome IS NOT NULL").groupBy("entity_id").agg(F.min_by(F.struct("outcome", "url"), F.struct("_rank", "position")).alias("b"))
     return best.select("entity_id", "b.outcome", "b.url")

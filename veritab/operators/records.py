@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from veritab.functions import numbers, periods, states, urls
 from veritab.functions.text import header_name, metric_of_label, squeezed
 
+# Fixed values.
 STATUS_WORDS = {
     "〇": "collected", "〇（一部欠損）": "collected", "〇（一部昨年？）": "collected", "△": "collected", "△（不足）": "collected", "△（前年データ）": "stale",
     "△（前年）": "stale", "△（同一データ）": "stale", "対象外": "excluded", "学校なし": "excluded", "統合": "excluded", "統廃合": "excluded", "閉校": "excluded",
@@ -18,6 +19,22 @@ STATUS_WORDS = {
     "情報公開": "collected", "事業報告": "collected",
 }
 
+#: Strings in a link that tell of a document that is not wanted.
+UNWANTED = (
+    "実務経験", "授業科目", "jitsumukeiken", "course-subject", "course_subject", "subject_", "subject-", "info_", "grade_manage", "goal_policies", "curriculum", "財務", "zaimu",
+    "収支計算書", "incomeandexpenditurestatement", "正味財産増減計算書", "calculationofchangesinassets", "貸借対照表", "balancesheet", "財産目録", "inventoryofassets", "監査報告書",
+    "auditreport", "理事名簿", "rijimeibo", "役員名簿", "yakuinmeibo", "役員一覧", "executive-list", "executive_list", "board-member", "board_member", "学校情報", "学校紹介", "学校案内",
+    "school-info", "schoolinfo", "gakkouinfo", "school-guide", "schoolguide", "学則", "regulation.pdf", "寄付行為", "寄附行為", "kifu", "donation.pdf", "報酬", "remuneration.pdf",
+    "学校評価", "gakkouuneihyouka", "学校関係者評価", "kankeishahyouka", "職業実践", "shokugyouzissen", "shokugyojissen", "外部評価", "gaibuhyouka", "内部評価", "naibuhyouka",
+    "自己点検", "自己評価", "jikohyoka", "evaluation", "hyoukahokoku", "daigakuhyouka", "客観的指標", "客観的な指標", "kyakkantekishihyo", "kyakangpa", "シラバス", "syllabus",
+    "教育課程表", "教育課程", "教育課程編成", "議事録", "成績分布", "seiseki", "kamoku", "classsubject", "indexing_rule", "学年暦", "学年歴", "年間計画表", "年間計画", "nenkan",
+    "学修評価", "learningassessment", "教育理念", "educationalphilosophy", "必要経費", "gakuinannai", "卒業認定", "卒業の認定", "進級", "卒業の要件", "sotugyo", "sotsugyo",
+    "graduation", "diploma-policy", "成績評価", "grading", "給付金", "kyufukin", "実習施設", "インターンシップ", "internshipreport", "学校の現況", "gakkou_genjyou", "gakkou_genjo",
+    "諸心得", "knowledge", "細則", "通期", "前期", "後期", "お知らせ", "ニュース", "/news/", "イベント", "オープンキャンパス", "open-campus", "opencampus", "進路相談会", "防災訓練",
+    "防犯講話", "ハラスメント", "harassment", "planreport", "securitypolicy", "事業報告", "teikitenkenhokoku", "sihyosanshutu", "証明書", "推薦書", "個人票", "アルバイト", "外泊",
+    "student_support_guidelines", "入学試験", "入試", "ao入試",
+)
+
 
 def melted(wide: DataFrame, ids: Sequence[str], metrics: Sequence[str]) -> DataFrame:
     """FLT-07: always one row for each metric; nulls stay."""
@@ -136,7 +153,7 @@ def range_errors(fields: dict[str, tuple[Column, float, float]]) -> Column:
     return states.errors(*[((~value.between(low, high)), f"{name} is out of range") for name, (value, low, high) in fields.items()])
 
 
-def rejected(text: Column, hinted: Column, target: int, bad: Sequence[str] = numbers.NEGATIVE_WORDS) -> Column:
+def rejected(text: Column, hinted: Column, target: int, bad: Sequence[str] = UNWANTED) -> Column:
     """FLT-05: why a candidate is not worth a download; null if it is."""
     low = F.lower(text)
     out = None

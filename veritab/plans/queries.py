@@ -516,7 +516,7 @@ ps AS (SELECT entity_id, site_id, url FROM site QUALIFY row_number() OVER (PARTI
 
 
 @query("task_list_topk", STATUS_SQL + PICK_SQL + """ SELECT st.entity_id, name, document_id, site_id, ready, blocking_reason, CASE WHEN coalesce(lower(url) LIKE '%.pdf', FALSE) AND blocking_reason IN ('no_target_pdf', 'publication_lag_latest_public', 'stale_pdf_only') THEN 'add_url' WHEN blocking_reason IS NULL THEN 'export' WHEN blocking_reason = 'no_url' THEN 'add_url'
-  WHEN blocking_reason IN ('no_target_pdf', 'publication_lag_latest_public', 'stale_pdf_only') THEN 'add_document' WHEN blocking_reason IN ('ocr_pending', 'parse_failed') THEN 'manual_entry' WHEN blocking_reason IN ('not_extracted', 'review_required') THEN 'check_document' ELSE 'check' END AS next_action
+  WHEN blocking_reason = 'no_target_pdf' THEN 'find_document' WHEN blocking_reason = 'stale_pdf_only' THEN 'await_publication' WHEN blocking_reason = 'ocr_pending' THEN 'recognise_or_enter' WHEN blocking_reason = 'parse_failed' THEN 'enter' WHEN blocking_reason IN ('not_extracted', 'review_required') THEN 'check_document' ELSE 'check' END AS next_action
   FROM st JOIN entity e USING (entity_id) LEFT JOIN pd USING (entity_id) LEFT JOIN ps USING (entity_id) ORDER BY ready, blocking_reason NULLS LAST, st.region, st.entity_id LIMIT 500""", *FOUR)
 def task_list_topk(t: Load) -> DataFrame:
     out = report.task_list(_status(t), t("entity"), t("document"), t("site"), PERIOD)
@@ -628,10 +628,10 @@ def plan_coverage(t: Load) -> DataFrame:
     return evidence.plan_coverage(outcomes.unionByName(outcomes.filter("entity_id % 10 = 0")), c.filter("entity_id % 4 <> 0"))
 
 
-PREDICT_SQL = """CASE WHEN reason = 'accepted_downloaded' THEN 'accepted' WHEN starts_with(reason, 'fiscal_year_mismatch:') AND pdf_type = 'target' THEN 'publication_lag' WHEN reason = 'no_candidates_found' THEN 'no_candidate' WHEN reason = 'discovery_error' THEN 'fetch_error' ELSE 'operator_review' END"""
+PREDICT_SQL = """CASE WHEN reason = 'accepted_downloaded' THEN 'accepted_target_pdf' WHEN starts_with(reason, 'fiscal_year_mismatch:') AND pdf_type = 'image_only' THEN 'needs_operator_review' WHEN starts_with(reason, 'fiscal_year_mismatch:') THEN 'publication_lag_latest_public' WHEN reason = 'target_fiscal_year_not_detected' THEN 'needs_operator_review' WHEN reason = 'no_candidates_found' THEN 'no_target_candidate_found' WHEN reason = 'discovery_error' THEN 'site_fetch_error' END"""
 
 
-@query("evidence_predictions", f"SELECT entity_id, outcome, url FROM (SELECT *, {PREDICT_SQL} AS outcome FROM evidence) QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY list_position(['accepted','operator_review','publication_lag','fetch_error','no_candidate'], outcome), position) = 1", "evidence")
+@query("evidence_predictions", f"SELECT entity_id, outcome, url FROM (SELECT *, {PREDICT_SQL} AS outcome FROM evidence) WHERE outcome IS NOT NULL QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY list_position(['accepted_target_pdf','publication_lag_latest_public','needs_operator_review','site_fetch_error','no_target_candidate_found'], outcome), position) = 1", "evidence")
 def evidence_predictions(t: Load) -> DataFrame:
     return evidence.predictions(t("evidence"))
 

@@ -20,24 +20,40 @@ _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 
 
 def code_list(spark: SparkSession, path: str, kind: str = "H1") -> DataFrame:
-    """SRC-05: a national code list in cp932: rows of a kind that have no abolition date."""
-    raw = spark.read.csv(path, header=True, encoding="windows-31j")
-    type_code, region, name, address, ended = (F.col(f"`{c}`") for c in raw.columns[1:6])
-    rows = raw.select(F.col(f"`{raw.columns[0]}`").alias("code"), type_code.alias("type_code"), region.alias("region"), name.alias("name"), address.alias("address"), ended.alias("ended"))
-    return rows.filter(F.col("type_code").contains(kind) & (F.coalesce("ended", F.lit("")) == ""))
+    """SRC-05: a national code list in cp932 (which Spark's CSV reader does not know): rows of a kind that have no
+    abolition date.  Columns by place: code, type, region, name, address, abolition date."""
+    rows = csv_cells(spark, path)
+    named = rows.filter("row > 0").select(*[F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(("code", "type_code", "region", "name", "address", "ended"))])
+    return named.filter(F.col("type_code").contains(kind) & (F.coalesce("ended", F.lit("")) == ""))
+
+
+def csv_text(content: bytes) -> str:
+    """A CSV file's text: UTF-8 with or without mark, or else cp932."""
+    try:
+        return content.decode("utf-8-sig")
+    except UnicodeDecodeError:
+        return content.decode("cp932", "replace")
+
+
+def csv_cells(spark: SparkSession, path: str) -> DataFrame:
+    """(path, row, cells) of CSV files by place, the header being row 0."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for p, content in zip(batch["path"], batch["content"], strict=True):
+                rows = list(csv.reader(io.StringIO(csv_text(content))))
+                yield pd.DataFrame({"path": p, "row": range(len(rows)), "cells": rows}, columns=["path", "row", "cells"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(work, "path string, row long, cells array<string>")
 
 
 def csv_with_fallback(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-09, SRC-11: (path, row, cells) of CSV files in UTF-8 with or without mark, or else cp932; decided by file."""
+    """SRC-09, SRC-11: (path, row, cells) of CSV files by their headers; the encoding is decided by file."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for p, content in zip(batch["path"], batch["content"], strict=True):
-                try:
-                    text = content.decode("utf-8-sig")
-                except UnicodeDecodeError:
-                    text = content.decode("cp932", "replace")
-                rows = list(csv.DictReader(io.StringIO(text)))
+                rows = list(csv.DictReader(io.StringIO(csv_text(content))))
                 yield pd.DataFrame({"path": p, "row": range(len(rows)), "cells": [{k: v for k, v in r.items() if k} for r in rows]}, columns=["path", "row", "cells"])
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(work, "path string, row long, cells map<string,string>")
