@@ -76,13 +76,13 @@ def unique_containment(left: DataFrame, right: DataFrame, block: str, key: Key,
 
 
 def greedy_codes(entities: DataFrame, targets: DataFrame, used: DataFrame, least: float = 0.6) -> DataFrame:
-    """JOIN-06: (entity_id, code, tier): codes handed out in the order of entity_id, each once.
+    """JOIN-06: (entity_id, code, tier): codes handed out in the order of entity_id, each exact one once.
 
     entities: entity_id, name, region; targets: code, name, region, position; used: code.  First by name and region:
     an entity can claim only the first target of its key, so a code goes to the lowest entity that claims it.  Then by
     containment inside the region, with codes that are still free for the entity: not used before, and not claimed by an
-    entity that stood before it.  An entity takes the best score, ties to the earlier target; a code that two entities
-    take in this tier stays with the lower one.
+    entity that stood before it.  An entity gets the best score, ties to the earlier target.  These are proposals for
+    review: they use up no code, so two entities may be offered the same one.
     """
     first = targets.withColumn("_n", F.row_number().over(Window.partitionBy("name", "region").orderBy("position"))).filter("_n = 1").drop("_n")
     claims = entities.join(first, ["name", "region"]).join(used, "code", "left_anti").select("entity_id", "code")
@@ -92,8 +92,7 @@ def greedy_codes(entities: DataFrame, targets: DataFrame, used: DataFrame, least
     pairs = rest.join(targets, "region").join(used, "code", "left_anti").join(taken, "code", "left").filter("taken_by IS NULL OR taken_by > entity_id")
     scored = pairs.withColumn("score", containment(F.col("e_name"), F.col("name"))).filter(F.col("score") >= least)
     best = scored.withColumn("_n", F.row_number().over(Window.partitionBy("entity_id").orderBy(F.col("score").desc(), "position"))).filter("_n = 1")
-    partial = best.groupBy("code").agg(F.min("entity_id").alias("entity_id")).withColumn("tier", F.lit("containment"))
-    return exact.unionByName(partial).select("entity_id", "code", "tier")
+    return exact.select("entity_id", "code", "tier").unionByName(best.select("entity_id", "code", F.lit("containment").alias("tier")))
 
 
 def set_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

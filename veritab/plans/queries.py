@@ -352,7 +352,7 @@ f AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY name, region ORDER
 p AS (SELECT e.entity_id, g.code, g.position, least(length(e.name), length(g.name)) / greatest(length(e.name), length(g.name)) AS score FROM e JOIN g ON e.region = g.region AND (contains(e.name, g.name) OR contains(g.name, e.name)) LEFT JOIN x ON x.code = g.code
   WHERE e.entity_id NOT IN (SELECT entity_id FROM x) AND g.code % 7 <> 0 AND (x.entity_id IS NULL OR x.entity_id > e.entity_id)),
 b AS (SELECT * FROM p WHERE score >= 0.6 QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY score DESC, position) = 1)
-SELECT entity_id, code, 'exact' AS tier FROM x UNION ALL SELECT min(entity_id), code, 'containment' FROM b GROUP BY code"""
+SELECT entity_id, code, 'exact' AS tier FROM x UNION ALL SELECT entity_id, code, 'containment' FROM b"""
 
 
 @query("greedy_code_assign", GREEDY_SQL)
