@@ -9,9 +9,10 @@ probability of their weighted Jaccard similarity.  Intervals above a weight are
 it is later than the latest component, so the work follows the number of distinct windows, not the weights.
 
 Signatures are banded; documents that share a band are candidates; candidates are verified by their exact multiset
-overlap.  In a bucket all are held against one leader first.  Those that are not yet in one group then get further
-leaders, until every two of them are in one group or have been compared, so no similar pair that shares a band is
-lost and no bucket emits all its pairs.
+overlap.  In a bucket all are held against one leader first, which puts most copies into one group.  Buckets whose
+members are then still in different groups are worked through in blocks of bounded size: every two members that are in
+different groups, and that sizes and signatures don't rule out, are compared where they meet first, and only links that
+join groups are emitted.  So no similar pair that shares a band is lost, and no bucket emits all its pairs.
 """
 
 from __future__ import annotations
@@ -30,11 +31,13 @@ WORDS = 5
 BANDS, ROWS = 32, 5
 SIZE = BANDS * ROWS
 SIMILAR = 0.8
-#: Leaders that a bucket gets in one round after the first.
-LEADERS = 64
-#: One bit of every component's hash is kept.  Texts of similarity 0.8 differ in a bit with probability 0.1, so they
-#: differ in more than MOST_BITS of 160 with a probability below 1e-10; such pairs need no verification.
-MOST_BITS = 42
+#: Members of a bucket that one task holds: two blocks at most.
+MEMBERS = 512
+#: Four bits of every component's hash are kept.  Texts of similarity 0.8 differ in 30 of 160 such digits on average,
+#: with a standard deviation of 4.94; more than MOST_DIGITS, 4.5 deviations above, happens no more often than that such
+#: texts share no band.  Pairs beyond it need no verification.
+MOST_DIGITS = 52
+DIGIT_BITS = 0x1111111111111111
 #: Windows whose processes run side by side.
 BLOCK = 200_000
 _U = np.uint64
@@ -135,11 +138,10 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def bit_words(sig: np.ndarray) -> np.ndarray:
-    """A hashed bit of every component, packed into SIZE / 64 numbers for each signature."""
-    bits = (mixed(sig.view(_U) + np.arange(1, SIZE + 1, dtype=_U)) & _U(1)).astype(np.uint8)
-    packed = np.packbits(bits, axis=1)
-    return np.concatenate([packed, np.zeros((len(sig), -packed.shape[1] % 8), np.uint8)], axis=1).view(np.int64)
+def digit_words(sig: np.ndarray) -> np.ndarray:
+    """A hexadecimal digit of every component, packed into SIZE / 16 numbers for each signature."""
+    digits = (mixed(sig.view(_U) + np.arange(1, SIZE + 1, dtype=_U)) & _U(15)).astype(np.uint8)
+    return np.ascontiguousarray(digits[:, 0::2] << 4 | digits[:, 1::2]).view(np.int64)
 
 
 def blocks(hashes: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
@@ -161,26 +163,26 @@ def name_of(hashes: np.ndarray) -> int:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, n, bands, bits) of (doc_id, text): the name of the text's multiset of windows, its size, the keys
-    of its bands and the bits of its components."""
+    """(doc_id, node, n, bands, digits) of (doc_id, text): the name of the text's multiset of windows, its size, the
+    keys of its bands and the digits of its components."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes = [windows(t) for t in texts_of(batch.column("text"))]
             sig = np.concatenate([signatures(part) for part in blocks(hashes)]) if hashes else np.zeros((0, SIZE))
-            keys, bits = band_keys(sig), bit_words(sig)
+            keys, digits = band_keys(sig), digit_words(sig)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array([name_of(h) for h in hashes], pa.int64()),
                     pa.array([len(h) for h in hashes], pa.int64()),
                     pa.ListArray.from_arrays(np.arange(0, len(hashes) * BANDS + 1, BANDS, dtype=np.int32), pa.array(keys.ravel())),
-                    pa.array(list(bits), pa.list_(pa.int64())),
+                    pa.array(list(digits), pa.list_(pa.int64())),
                 ],
-                ["doc_id", "node", "n", "bands", "bits"],
+                ["doc_id", "node", "n", "bands", "digits"],
             )
 
-    return in_batches(docs, work, "doc_id long, node long, n long, bands array<long>, bits array<long>")
+    return in_batches(docs, work, "doc_id long, node long, n long, bands array<long>, digits array<long>")
 
 
 def window_sets(docs: DataFrame) -> DataFrame:
@@ -196,11 +198,17 @@ def window_sets(docs: DataFrame) -> DataFrame:
 
 
 def may_be_similar(x: str, y: str) -> Column:
-    """Whether two rows with n and bits can be similar: the smaller is at least SIMILAR of the larger, and their bits
-    do not rule it out."""
+    """Whether two rows with n and digits can be similar: the smaller is at least SIMILAR of the larger, and their
+    digits do not rule it out."""
     sizes = F.least(F.col(f"{x}.n"), F.col(f"{y}.n")) >= SIMILAR * F.greatest(F.col(f"{x}.n"), F.col(f"{y}.n"))
-    apart = sum((F.bit_count(F.col(f"{x}.bits")[k].bitwiseXOR(F.col(f"{y}.bits")[k])) for k in range(1, -(-SIZE // 64))), F.bit_count(F.col(f"{x}.bits")[0].bitwiseXOR(F.col(f"{y}.bits")[0])))
-    return sizes & (apart <= MOST_BITS)
+    apart = F.lit(0)
+    for k in range(SIZE // 16):
+        differs = F.col(f"{x}.digits")[k].bitwiseXOR(F.col(f"{y}.digits")[k])
+        # a digit's lowest bit gathers its four
+        differs = differs.bitwiseOR(F.shiftrightunsigned(differs, 1))
+        differs = differs.bitwiseOR(F.shiftrightunsigned(differs, 2))
+        apart = apart + F.bit_count(differs.bitwiseAND(DIGIT_BITS))
+    return sizes & (apart <= MOST_DIGITS)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -234,7 +242,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
 
 def bucketed(texts: DataFrame) -> DataFrame:
-    """(bucket, node, n, bits) of the texts that share a bucket with others.
+    """(bucket, band, node, n, digits) of the texts that share a bucket with others.
 
     A bucket is a band's key and a class of sizes.  Sizes at least SIMILAR of each other are in the same or in
     neighbouring classes, and every text is in its own class and in the next.
@@ -243,10 +251,10 @@ def bucketed(texts: DataFrame) -> DataFrame:
     def shared(entries: DataFrame) -> DataFrame:
         return entries.join(entries.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1").select("bucket"), "bucket")
 
-    banded = written(shared(texts.filter("n > 0").select("node", F.explode("bands").alias("bucket"))), "bands")
+    banded = written(shared(texts.filter("n > 0").select("node", F.posexplode("bands").alias("band", "bucket"))), "bands")
     size_class = F.floor(F.log("n") / float(-np.log(SIMILAR)) + 1e-9)
-    known = banded.join(texts.select("node", "n", "bits"), "node")
-    classed = known.select("node", "n", "bits", F.explode(F.array(F.xxhash64("bucket", size_class), F.xxhash64("bucket", size_class + 1))).alias("bucket"))
+    known = banded.join(texts.select("node", "n", "digits"), "node")
+    classed = known.select("node", "n", "digits", "band", F.explode(F.array(F.xxhash64("bucket", size_class), F.xxhash64("bucket", size_class + 1))).alias("bucket"))
     return written(shared(classed), "buckets")
 
 
@@ -260,46 +268,113 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """
     source = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-1)).alias("doc_id"), F.col(text).alias("text"))
     sketched = written(sketch(source), "sketch")
-    firsts = [F.first(c).alias(c) for c in ("n", "bands", "bits")]
+    firsts = [F.first(c).alias(c) for c in ("n", "bands", "digits")]
     texts = written(sketched.groupBy("node").agg(F.min("doc_id").alias("text_id"), F.count("*").alias("copies"), *firsts), "texts")
     entries = bucketed(texts)
-    # which leader a bucket gets depends on the bucket, so that a large group has many
-    first = F.min(F.struct(F.xxhash64("node", "bucket").alias("place"), "node", "n", "bits")).alias("leader")
-    leaders = entries.groupBy("bucket").agg(first).select("bucket", "leader.node", "leader.n", "leader.bits")
+    # all buckets order their members alike, so a large group has few leaders
+    leaders = entries.groupBy("bucket").agg(F.min(F.struct("node", "n", "digits")).alias("leader")).select("bucket", "leader.node", "leader.n", "leader.digits")
     pairs = entries.alias("x").join(leaders.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") != F.col("y.node")) & may_be_similar("x", "y"))
     pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     wanted = entries.select("node").distinct().join(texts.select("node", "text_id"), "node").select(F.col("text_id").alias("doc_id")).distinct()
     sets = window_sets(source.join(wanted, "doc_id").select("text")).groupBy("node").agg(F.first("windows").alias("windows"))
     sets = written(sets, "windows")
-    groups = linked_groups(entries, written(verified(pairs, sets), "edges"), sets)
+    groups = linked_groups(entries, written(verified(pairs, sets), "edges"), sets.join(texts.select("node", "bands"), "node"))
     rooted = texts.select("node", "text_id", "copies").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classes = rooted.groupBy("root").agg(F.min("text_id").alias("class_id"), F.sum("copies").alias("class_size"))
     named = written(rooted.join(classes, "root").select("node", "text_id", "class_id", "class_size"), "classes")
     return sketched.select("doc_id", "node").join(named, "node").select("doc_id", "text_id", "class_id", "class_size")
 
 
-def linked_groups(entries: DataFrame, edges: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, root) by rounds of further leaders in the buckets whose members are not all in one group.
+def linked_groups(entries: DataFrame, edges: DataFrame, members: DataFrame) -> DataFrame:
+    """(node, root): components of the edges and of what blocks of open buckets add to them.
 
-    A round takes the next LEADERS members of such a bucket, in its own order, and compares each with the members that
-    follow it there and are not in its group.  A bucket is done when its members are in one group or have all led.
+    A bucket is open if it has more than two members (two have met already) and they are not all in one group.  Its
+    members are dealt into blocks of MEMBERS, and every two blocks meet in one place, so what a task holds is bounded.
+    members: (node, windows, bands).
     """
-    order = Window.partitionBy("bucket").orderBy(F.xxhash64("node", "bucket"), "node")
-    open_, led = entries, 1
-    while True:
-        groups = components(edges)
-        rooted = open_.select("bucket", "node", "n", "bits").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        unlike = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
-        unlike = unlike.filter((F.col("low") < F.col("high")) & (F.col("members") > led + 1)).select("bucket")
-        open_ = written(rooted.join(unlike, "bucket").withColumn("turn", F.row_number().over(order)), "open")
-        if open_.isEmpty():
-            return groups
-        heads = open_.filter((F.col("turn") > led) & (F.col("turn") <= led + LEADERS))
-        meet = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.turn") > F.col("y.turn")) & (F.col("x.root") != F.col("y.root")) & may_be_similar("x", "y")
-        pairs = open_.alias("x").join(heads.alias("y"), meet)
-        pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-        edges = written(edges.unionByName(verified(pairs, sets)), "edges")
-        led += LEADERS
+    groups = components(edges)
+    rooted = entries.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    unlike = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"))
+    unlike = unlike.filter((F.col("low") < F.col("high")) & (F.col("size") > 2)).select("bucket", (F.ceil(F.col("size") / MEMBERS)).cast("int").alias("blocks"))
+    turn = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
+    open_ = written(rooted.join(unlike, "bucket").withColumn("block", F.floor((turn - 1) / MEMBERS).cast("int")), "open")
+    if open_.isEmpty():
+        return groups
+    met = open_.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
+    rows = met.join(members, "node").withColumn("place", F.xxhash64("bucket", "first", "second"))
+    rows = rows.select("place", "bucket", "first", "second", "block", "band", "node", "root", "n", "digits", "bands", "windows")
+    dealt = rows.repartition("place").sortWithinPartitions("place", "bucket", "first", "second")
+    new = written(in_batches(dealt, block_links, "a long, b long"), "edges")
+    return components(edges.unionByName(new))
+
+
+def block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links that join groups, from rows sorted by where they meet."""
+    held: list[pa.Table] = []
+    key = None
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        if held:
+            links = links_of(pa.concat_tables(held).combine_chunks())
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())], ["a", "b"])
+            held.clear()
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = np.stack([batch.column(c).to_numpy() for c in ("bucket", "first", "second")], axis=1)
+        cuts = np.flatnonzero((names[1:] != names[:-1]).any(1)) + 1
+        for start, end in zip([0, *cuts], [*cuts, len(names)], strict=True):
+            if key != tuple(names[start]):
+                yield from flush()
+                key = tuple(names[start])
+            held.append(pa.Table.from_batches([batch.slice(start, end - start)]))
+    yield from flush()
+
+
+def links_of(rows: pa.Table) -> list[tuple[int, int]]:
+    """Links between members of different groups where two blocks of a bucket meet."""
+    block, node, root, n = (rows[c].to_numpy() for c in ("block", "node", "root", "n"))
+    first, second, band = rows["first"][0].as_py(), rows["second"][0].as_py(), rows["band"][0].as_py()
+    lists = {c: rows[c].combine_chunks() for c in ("digits", "bands", "windows")}
+    digits, bands = (lists[c].flatten().to_numpy().reshape(len(node), -1) for c in ("digits", "bands"))
+    windows, ends = lists["windows"].flatten().to_numpy(), lists["windows"].offsets.to_numpy()
+    ends = ends - ends[0]
+    parent = {int(r): int(r) for r in root}
+
+    def find(r: int) -> int:
+        while parent[r] != r:
+            parent[r] = r = parent[parent[r]]
+        return r
+
+    top = root.copy()
+    out = []
+    for i in range(len(node)):
+        rest = slice(i + 1, None)
+        meets = (np.minimum(block[i], block[rest]) == first) & (np.maximum(block[i], block[rest]) == second) & (top[rest] != top[i])
+        meets &= np.minimum(n[i], n[rest]) >= SIMILAR * np.maximum(n[i], n[rest])
+        near = np.flatnonzero(meets) + i + 1
+        if not len(near):
+            continue
+        differs = (digits[near] ^ digits[i]).view(_U)
+        differs |= differs >> _U(1)
+        differs |= differs >> _U(2)
+        near = near[np.bitwise_count(differs & _U(DIGIT_BITS)).sum(1) <= MOST_DIGITS]
+        # of the bands that two share, only the first compares them
+        near = near[(bands[near] == bands[i]).argmax(1) == band] if len(near) else near
+        mine = windows[ends[i] : ends[i + 1]]
+        for j in near.tolist():
+            a, b = find(int(root[i])), find(int(root[j]))
+            if a == b:
+                continue
+            common = len(np.intersect1d(mine, windows[ends[j] : ends[j + 1]], assume_unique=True))
+            if common >= SIMILAR * (n[i] + n[j] - common):
+                out.append((int(node[i]), int(node[j])))
+                parent[max(a, b)] = min(a, b)
+                top = np.array([find(int(r)) for r in root])
+    return out
 
 
 def first_of_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
