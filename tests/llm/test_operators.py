@@ -232,6 +232,23 @@ def test_near_groups(spark):
     assert bagminhash.near_groups(empty(spark)).count() == 0
 
 
+def test_null_and_repeated_ids(spark):
+    random.seed(19)
+    text = lambda: " ".join(random.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(60))
+    one, two, three, four, five = (text() for _ in range(5))
+    # three is a near copy under two ids; id 7 has a copy of it and a text of its own
+    rows = [(None, one), (None, two), (None, two), (3, three), (7, three + " z"), (7, four), (8, five), (8, five), (8, one), (9, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = bagminhash.first_of_groups(docs)
+    assert kept.columns == docs.columns
+    assert Counter(map(tuple, kept.collect())) == Counter([(None, one), (None, two), (3, three), (7, four), (8, five), (None, None)])
+    # the classes by their sizes: unrelated texts share neither class_id nor text_id
+    groups = bagminhash.near_groups(docs).collect()
+    sizes = Counter(r["class_id"] for r in groups)
+    assert sorted(sizes.values()) == [1, 2, 2, 2, 2, 2] and all(r["class_size"] == sizes[r["class_id"]] for r in groups)
+    assert {r["class_id"] for r in groups} >= {-1, 3, 7, 8} and len({r["text_id"] for r in groups}) == 7
+
+
 def test_signatures_are_unbiased():
     random.seed(11)
     off = []

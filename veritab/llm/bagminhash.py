@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from veritab.llm.frames import in_batches, texts_of, written
 
@@ -258,31 +259,54 @@ def bucketed(texts: DataFrame) -> DataFrame:
     return written(shared(classed), "buckets")
 
 
-def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of docs: doc_id, text_id (the smallest id with the same windows), class_id (the smallest id
-    of its near-duplicate class) and class_size (rows in the class).
-
-    Classes are the connected components of pairs of similarity SIMILAR or more.  Texts without words, null ones
-    too, are each other's copies; a text of fewer than five words is one window.  Rows whose id is null take
-    part under the id -1; repeated rows are copies and give repeated results.
-    """
-    source = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-1)).alias("doc_id"), F.col(text).alias("text"))
+def grouped(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, node) of every row, and (node, first_id, text_id, class_id, class_size, kept) of every distinct text; of
+    each class the text of the smallest (first_id, node) is kept."""
+    source = docs.select(id_of(key).alias("doc_id"), F.col(text).alias("text"))
     sketched = written(sketch(source), "sketch")
     firsts = [F.first(c).alias(c) for c in ("n", "bands", "digits")]
-    texts = written(sketched.groupBy("node").agg(F.min("doc_id").alias("text_id"), F.count("*").alias("copies"), *firsts), "texts")
+    texts = written(sketched.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), *firsts), "texts")
     entries = bucketed(texts)
     # all buckets order their members alike, so a large group has few leaders
     leaders = entries.groupBy("bucket").agg(F.min(F.struct("node", "n", "digits")).alias("leader")).select("bucket", "leader.node", "leader.n", "leader.digits")
     pairs = entries.alias("x").join(leaders.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") != F.col("y.node")) & may_be_similar("x", "y"))
     pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    wanted = entries.select("node").distinct().join(texts.select("node", "text_id"), "node").select(F.col("text_id").alias("doc_id")).distinct()
+    wanted = entries.select("node").distinct().join(texts.select("node", "first_id"), "node").select(F.col("first_id").alias("doc_id")).distinct()
     sets = window_sets(source.join(wanted, "doc_id").select("text")).groupBy("node").agg(F.first("windows").alias("windows"))
     sets = written(sets, "windows")
     groups = linked_groups(entries, written(verified(pairs, sets), "edges"), sets.join(texts.select("node", "bands"), "node"))
-    rooted = texts.select("node", "text_id", "copies").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    classes = rooted.groupBy("root").agg(F.min("text_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    named = written(rooted.join(classes, "root").select("node", "text_id", "class_id", "class_size"), "classes")
-    return sketched.select("doc_id", "node").join(named, "node").select("doc_id", "text_id", "class_id", "class_size")
+    rooted = texts.select("node", "first_id", "copies").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = with_own_id(rooted, "text_id")
+    classes = rooted.groupBy("root").agg(F.min(F.struct("first_id", "node")).alias("first"), F.sum("copies").alias("class_size"))
+    classes = with_own_id(classes.select("root", "first.first_id", "first.node", "class_size"), "class_id").select("root", F.col("node").alias("keeper"), "class_id", "class_size")
+    named = rooted.join(classes, "root").select("node", "first_id", "text_id", "class_id", "class_size", (F.col("node") == F.col("keeper")).alias("kept"))
+    return sketched.select("doc_id", "node"), written(named, "classes")
+
+
+def with_own_id(rows: DataFrame, name: str) -> DataFrame:
+    """rows of distinct node with first_id as name; of several with one first_id that of the smallest node has it, and
+    the others have their node with the sign bit set."""
+    clashes = rows.groupBy("first_id").agg(F.min("node").alias("holder"), F.count("*").alias("rows")).filter("rows > 1").select("first_id", "holder")
+    named = F.when(F.col("node") == F.coalesce("holder", "node"), F.col("first_id")).otherwise(F.col("node").bitwiseOR(F.lit(-(2**63))))
+    return rows.join(clashes, "first_id", "left").withColumn(name, named).drop("holder")
+
+
+def id_of(key: str) -> Column:
+    return F.coalesce(F.col(key).cast("long"), F.lit(-1))
+
+
+def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each row of docs: doc_id, text_id (the smallest id with the same windows), class_id (the smallest id
+    of its near-duplicate class) and class_size (rows in the class).
+
+    Classes are the connected components of pairs of similarity SIMILAR or more.  Texts without words, null ones
+    too, are each other's copies; a text of fewer than five words is one window.  Rows whose id is null take
+    part under the id -1; repeated rows are copies and give repeated results.  Where different texts, or classes, have
+    one smallest id (null or repeated ids), one of them has it and the others a negative number made of their windows,
+    so that no two share a text_id or a class_id.
+    """
+    rows, named = grouped(docs, key, text)
+    return rows.join(named, "node").select("doc_id", "text_id", "class_id", "class_size")
 
 
 def linked_groups(entries: DataFrame, edges: DataFrame, members: DataFrame) -> DataFrame:
@@ -378,7 +402,18 @@ def links_of(rows: pa.Table) -> list[tuple[int, int]]:
 
 
 def first_of_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with one row of each near-duplicate class: that of the smallest id, once."""
-    groups = near_groups(docs, key, text).select("doc_id", "class_id").filter("doc_id = class_id").select(F.col("doc_id").alias("_keeper")).distinct()
-    numbered = docs.withColumn("_keeper", F.coalesce(F.col(key).cast("long"), F.lit(-1)))
-    return numbered.join(groups, "_keeper").dropDuplicates(["_keeper"]).drop("_keeper")
+    """docs with one row of each near-duplicate class: that of the smallest id, once.
+
+    Rows are told apart by id and windows, so different texts under null or repeated ids are each kept.
+    """
+    keepers = grouped(docs, key, text)[1].filter("kept").select(F.col("first_id").alias("_id"), F.col("node").alias("_node"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = pa.array([name_of(windows(t)) for t in texts_of(batch.column("_text"))], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], names], [*batch.schema.names[:-1], "_node"])
+
+    numbered = docs.withColumn("_id", id_of(key))
+    schema = StructType([*numbered.schema.fields, StructField("_node", LongType())])
+    named = in_batches(numbered.withColumn("_text", F.col(text)), work, schema)
+    return named.join(keepers, ["_id", "_node"]).dropDuplicates(["_id", "_node"]).select(*docs.columns)
