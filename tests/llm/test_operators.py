@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import struct
 import zlib
@@ -249,6 +250,17 @@ def test_null_and_repeated_ids(spark):
     assert {r["class_id"] for r in groups} >= {-1, 3, 7, 8} and len({r["text_id"] for r in groups}) == 7
 
 
+def test_digits_rarely_rule_out_similar_texts():
+    apart = (1 - bagminhash.SIMILAR) * 15 / 16
+    n, most = bagminhash.SIZE, bagminhash.MOST_DIGITS
+    assert sum(math.comb(n, k) * apart**k * (1 - apart) ** (n - k) for k in range(most + 1, n + 1)) < 1e-8
+    # two copies whose digits, set by hand, differ in 57 places
+    digits = np.zeros((2, n // 2), np.uint8)
+    digits[1, :57] = 1
+    columns = {c: [0, 0] for c in ("bucket", "first", "second", "block", "band")} | {"node": [1, 2], "root": [1, 2], "n": [3, 3], "digits": digits.view(np.int64).tolist(), "bands": [[5] * bagminhash.BANDS] * 2, "windows": [[7, 8, 9]] * 2}
+    assert bagminhash.links_of(pa.table(columns)) == [(1, 2)]
+
+
 def test_signatures_are_unbiased():
     random.seed(11)
     off = []

@@ -12,7 +12,8 @@ Signatures are banded; documents that share a band are candidates; candidates ar
 overlap.  In a bucket all are held against one leader first, which puts most copies into one group.  Buckets whose
 members are then still in different groups are worked through in blocks of bounded size: every two members that are in
 different groups, and that sizes and signatures don't rule out, are compared where they meet first, and only links that
-join groups are emitted.  So no similar pair that shares a band is lost, and no bucket emits all its pairs.
+join groups are emitted.  So a similar pair that shares a band is lost only if the signatures rule it out wrongly
+(see MOST_DIGITS), and no bucket emits all its pairs.
 """
 
 from __future__ import annotations
@@ -35,9 +36,9 @@ SIMILAR = 0.8
 #: Members of a bucket that one task holds: two blocks at most.
 MEMBERS = 512
 #: Four bits of every component's hash are kept.  Texts of similarity 0.8 differ in 30 of 160 such digits on average,
-#: with a standard deviation of 4.94; more than MOST_DIGITS, 4.5 deviations above, happens no more often than that such
-#: texts share no band.  Pairs beyond it need no verification.
-MOST_DIGITS = 52
+#: with a standard deviation of 4.94.  They differ in more than MOST_DIGITS with a chance of 1.1e-9, against 3.0e-6 that
+#: they share no band.  Pairs beyond it aren't verified.
+MOST_DIGITS = 62
 DIGIT_BITS = 0x1111111111111111
 #: Windows whose processes run side by side.
 BLOCK = 200_000
