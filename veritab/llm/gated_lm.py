@@ -2,10 +2,12 @@
 
 Word counts of the whole training corpus give the vocabulary, the base score and the distribution of rare words.  On
 top stands a gated recurrent network in numpy, trained by truncated backpropagation: tokens run in lanes of documents,
-windows of WINDOW steps are trained on, and the state is carried from window to window.  The output is factored: first
-a class, then a word within the class.  The most frequent words form classes of CLASS_WORDS with a softmax of their
-own; bands of rarer words, and all words beyond the broadcast head of the vocabulary, are classes whose words share the
-class by their smoothed corpus counts.  So every token has a probability, also one never seen.
+windows of WINDOW steps are trained on, and the state is carried from window to window.  Every word of the head of the
+vocabulary (the HEAD most frequent, or all if there are fewer) has a vector, by which the network takes it in and
+predicts it.  The output is factored: first a group of classes, then a class, then a word within the class, each by a
+softmax.  Classes are runs of words by falling count, longer where words are rarer, so that a token costs least; their
+number grows with the vocabulary.  All words beyond the head are one class and share it by their smoothed corpus counts.  So every token has a
+probability, also one never seen.
 
 Training is data-parallel: in every round each partition trains a replica on its share of the documents, and replicas
 are averaged by tokens, summed in a tree.  Rounds grow, so that replicas start from a common model; each training
@@ -29,14 +31,16 @@ from veritab.llm.frames import in_batches, remainder, texts_of, written
 
 #: Stands for the end of a document; no word is empty.
 END = b""
-#: Words with their own output, and how many of them a class holds.
-WORDS, CLASS_WORDS = 256, 16
-#: Ranks at which bands of rarer words end; the last is how many words are broadcast.
-BANDS = (2048, 16384, 131072)
+#: How many words are broadcast, each with a vector and an output of its own.
+HEAD = 131072
 HIDDEN, WINDOW, LANES = 16, 32, 256
 #: Percent of training documents at which rounds end.
 ROUNDS = (3, 15, 45, 100)
 LEARNING_RATE = 4e-3
+#: That of words' vectors, by sums of gradients over the root of their squares so far.
+WORD_RATE = 0.3
+#: Pieces of parameters in which replicas are averaged.
+PIECE = 1 << 16
 SMOOTHING = 0.1
 #: Tokens that are trained on together, and scored together: enough for lanes longer than the longest documents.
 TOGETHER, SCORED = 400_000, 5_000_000
@@ -56,27 +60,33 @@ class Vocabulary:
 
     def __post_init__(self):
         self.rank = {w: i for i, w in enumerate(self.words)}
-        own = min(WORDS, len(self.words))
-        edges = [own, *[min(max(b, own), len(self.words)) for b in BANDS]]
-        self.own, self.n_bands = own, len(BANDS) + 1
-        ranks = np.arange(len(self.words))
-        #: what the network takes a word of the head for: itself, or its band
-        self.symbol = np.where(ranks < own, ranks, own + np.searchsorted(edges[1:], ranks, "right")).astype(np.int32)
-        self.rest = own + len(BANDS)
-        self.band_counts = [int(self.counts[a:b].sum()) for a, b in zip(edges, edges[1:], strict=False)]
+        self.own, self.n_bands = len(self.words), 1
+        #: the symbol of all words beyond the head; a word of the head is its rank
+        self.rest = self.own
         self.rest_count = self.tokens - int(self.counts.sum())
-        self.rest_distinct = self.distinct - len(self.words)
-        self.classes = -(-own // CLASS_WORDS)
-        with np.errstate(divide="ignore"):
-            in_band = np.array([*self.band_counts, 1], float)[np.maximum(self.symbol - own, 0)] if len(ranks) else np.zeros(0)
-            #: of words beyond their own outputs, the logarithm of their share of the band
-            self.share = np.where(ranks < own, 0.0, np.log10(self.counts / np.maximum(in_band, 1)))
+        self.rest_distinct = self.distinct - self.own
+        # a class that holds a word of probability p has about 1 / sqrt(p) words: sum(sqrt(p)) classes
+        first = self.runs(self.counts)
+        #: where classes begin; the last is the rest's
+        self.starts = np.append(first, [self.own, self.own + 1]).astype(np.int64)
+        self.classes = len(first)
+        self.class_by_symbol = np.repeat(np.arange(self.classes + 1), np.diff(self.starts))
+        by_class = np.add.reduceat(self.counts, first) if self.own else np.zeros(0, np.int64)
+        self.class_counts = np.append(by_class, self.rest_count)
+        first = self.runs(self.class_counts)
+        #: classes at which groups begin
+        self.group_starts = np.append(first, self.classes + 1)
+        self.group_counts = np.add.reduceat(self.class_counts, first)
         self.base_all = float(np.log10(self.tokens + SMOOTHING * (self.distinct + 1)))
         self.rest_all = float(np.log10(self.rest_count + SMOOTHING * (self.rest_distinct + 1)))
         self.base = np.log10(self.counts + SMOOTHING) - self.base_all
 
+    def runs(self, counts: np.ndarray) -> np.ndarray:
+        """Where runs begin that are as long as the root of tokens by count."""
+        return np.flatnonzero(np.diff(np.floor(np.cumsum(np.sqrt(counts / max(1, self.tokens)))), prepend=-1.0))
+
     def class_of(self, symbols: np.ndarray) -> np.ndarray:
-        return np.where(symbols < self.own, symbols // CLASS_WORDS, self.classes + symbols - self.own)
+        return self.class_by_symbol[symbols]
 
     def read(self, text: bytes) -> tuple[np.ndarray, list[bytes]]:
         """Ranks of a text's tokens, -1 beyond the head, and the words beyond it."""
@@ -90,7 +100,7 @@ class Vocabulary:
         return np.array(ranks, np.int32), beyond
 
     def symbols(self, ranks: np.ndarray) -> np.ndarray:
-        return np.where(ranks < 0, self.rest, self.symbol[ranks]) if len(self.symbol) else np.full(len(ranks), self.rest, np.int32)
+        return np.where(ranks < 0, self.rest, ranks)
 
 
 class Network:
@@ -101,12 +111,16 @@ class Network:
 
     def __init__(self, vocabulary: Vocabulary, flat: np.ndarray | None = None):
         v = self.v = vocabulary
-        n_in, n_class = v.own + v.n_bands, v.classes + v.n_bands
-        self.shapes = {"x": (n_in, 3 * HIDDEN), "u": (3 * HIDDEN, HIDDEN), "c": (n_class, HIDDEN), "cb": (n_class, 1), "w": (v.own, HIDDEN), "wb": (v.own, 1)}
+        n_group, n_class = len(v.group_counts), v.classes + 1
+        # the words' vectors and biases stand last
+        self.shapes = {"i": (3 * HIDDEN, HIDDEN), "ib": (3 * HIDDEN, 1), "u": (3 * HIDDEN, HIDDEN), "g": (n_group, HIDDEN), "gb": (n_group, 1), "c": (n_class, HIDDEN), "cb": (n_class, 1), "w": (v.own + 1, HIDDEN), "wb": (v.own + 1, 1)}
+        self.core = sum(int(np.prod(self.shapes[name])) for name in ("i", "ib", "u", "g", "gb", "c", "cb"))
         self.size = sum(int(np.prod(s)) for s in self.shapes.values())
         self.flat = self.start() if flat is None else flat.astype(np.float32)
         self.p = self.views(self.flat)
-        self.begin = int(v.symbol[v.rank[END]]) if END in v.rank else v.rest
+        self.begin = v.rank.get(END, v.rest)
+        #: classes whose words the last window's gradient is about
+        self.touched = np.zeros(0, np.int64)
 
     def views(self, flat: np.ndarray) -> dict[str, np.ndarray]:
         out, at = {}, 0
@@ -121,20 +135,21 @@ class Network:
         v, rng = self.v, np.random.default_rng(5)
         flat = np.zeros(self.size, np.float32)
         p = self.views(flat)
-        p["x"][:] = rng.normal(0, 0.1, p["x"].shape)
+        p["i"][:] = rng.normal(0, 0.5, p["i"].shape)
         p["u"][:] = rng.normal(0, HIDDEN**-0.5, p["u"].shape)
+        p["g"][:] = rng.normal(0, 0.02, p["g"].shape)
         p["c"][:] = rng.normal(0, 0.02, p["c"].shape)
-        p["w"][:] = rng.normal(0, 0.02, p["w"].shape)
-        own = v.counts[: v.own].astype(float)
-        by_class = [own[i : i + CLASS_WORDS].sum() for i in range(0, v.own, CLASS_WORDS)]
-        bias = np.log(np.array([*by_class, *v.band_counts, v.rest_count], float) + SMOOTHING)
-        p["cb"][:, 0] = bias - bias.max()
-        p["wb"][:, 0] = np.log(own / max(1.0, own.max(initial=1.0)))
+        p["w"][:] = rng.normal(0, 0.1, p["w"].shape)
+        own = v.counts.astype(float)
+        for name, counts in (("gb", v.group_counts), ("cb", v.class_counts)):
+            bias = np.log(counts + SMOOTHING)
+            p[name][:, 0] = bias - bias.max()
+        p["wb"][: v.own, 0] = np.log(own / max(1.0, own.max(initial=1.0)))
         return flat
 
     def inputs(self, symbols: np.ndarray) -> np.ndarray:
         """What the symbols of a window add to the gates, as (3 * HIDDEN, symbols)."""
-        return np.ascontiguousarray(self.p["x"][symbols].T)
+        return self.p["i"] @ self.p["w"][symbols].T + self.p["ib"]
 
     def step(self, gx: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
         gh = self.p["u"] @ h
@@ -168,37 +183,62 @@ class Network:
         """Log probability of each target symbol after its state in (HIDDEN, tokens); with grads, also the gradient of
         minus their sum."""
         p, v = self.p, self.v
+        out = np.empty(len(target), h.dtype)
+        dh = None if grads is None else np.empty_like(h)
         kind = v.class_of(target)
-        at = np.arange(len(target))
-        logits = p["c"] @ h
-        logits += p["cb"]
-        e, total = self.softmax(logits)
-        out = logits[kind, at] - np.log(total)
-        dh = None
-        if grads is not None:
-            e /= total
-            e[kind, at] -= 1
-            dh = p["c"].T @ e
-            grads["c"] += e @ h.T
-            grads["cb"] += e.sum(1, keepdims=True)
+        # tokens of a class stand side by side
         order = np.argsort(kind, kind="stable")
-        edges = np.searchsorted(kind[order], np.arange(v.classes + 1))
-        for c in range(v.classes):
-            rows = order[edges[c] : edges[c + 1]]
-            if not len(rows):
-                continue
-            words = slice(c * CLASS_WORDS, min((c + 1) * CLASS_WORDS, v.own))
-            hc, inside, here = h[:, rows], target[rows] - words.start, np.arange(len(rows))
-            logits = p["w"][words] @ hc
-            logits += p["wb"][words]
+        kind, target, h = kind[order], target[order], h[:, order]
+        by_token = np.ascontiguousarray(h.T)
+        edges = np.searchsorted(kind, np.arange(v.classes + 2))
+        value, back = np.zeros(len(target), h.dtype), None if grads is None else np.zeros_like(h)
+
+        def choose(name: str, which: slice, rows: slice, inside: np.ndarray) -> None:
+            weights, here = p[name][which], np.arange(len(inside))
+            logits = weights @ h[:, rows]
+            logits += p[name + "b"][which]
             e, total = self.softmax(logits)
-            out[rows] += logits[inside, here] - np.log(total)
+            value[rows] += logits[inside, here] - np.log(total)
             if grads is not None:
                 e /= total
                 e[inside, here] -= 1
-                dh[:, rows] += p["w"][words].T @ e
-                grads["w"][words] += e @ hc.T
-                grads["wb"][words] += e.sum(1, keepdims=True)
+                back[:, rows] += weights.T @ e
+                grads[name][which] += e @ h[:, rows].T
+                grads[name + "b"][which] += e.sum(1, keepdims=True)
+
+        group_edges = edges[v.group_starts]
+        choose("g", slice(None), slice(None), np.repeat(np.arange(len(v.group_counts)), np.diff(group_edges)))
+        for g in np.flatnonzero(np.diff(group_edges)).tolist():
+            which, rows = slice(v.group_starts[g], v.group_starts[g + 1]), slice(group_edges[g], group_edges[g + 1])
+            if which.stop - which.start > 1:
+                choose("c", which, rows, kind[rows] - which.start)
+        for c in np.flatnonzero(np.diff(edges)).tolist():
+            words, rows = slice(v.starts[c], v.starts[c + 1]), slice(edges[c], edges[c + 1])
+            if words.stop - words.start == 1:
+                # certain within its class
+                if grads is not None:
+                    grads["w"][words], grads["wb"][words] = 0, 0
+                continue
+            # by (token, word), as few tokens may meet many words
+            hc, inside = by_token[rows], target[rows] - words.start
+            here = np.arange(len(inside))
+            logits = hc @ p["w"][words].T
+            logits += p["wb"][words, 0]
+            logits -= logits.max(1, keepdims=True)
+            own = logits[here, inside]
+            e = np.exp(logits, out=logits)
+            total = e.sum(1)
+            value[rows] += own - np.log(total)
+            if grads is not None:
+                e /= total[:, None]
+                e[here, inside] -= 1
+                back[:, rows] += (e @ p["w"][words]).T
+                # each class is met once
+                np.matmul(e.T, hc, out=grads["w"][words])
+                grads["wb"][words, 0] = e.sum(0)
+        out[order] = value
+        if grads is not None:
+            dh[:, order] = back
         return out, dh
 
     @staticmethod
@@ -213,8 +253,9 @@ class Network:
         """Backpropagation through one window of (step, lane) arrays; returns the state to carry on with.
 
         fresh marks first tokens of documents, which start from a zero state; real marks tokens that are no padding.
+        Of the words' gradient only touched classes are filled in.
         """
-        gradient[:] = 0
+        gradient[: self.core] = 0
         g = self.views(gradient)
         steps, lanes = inputs.shape
         symbols = inputs.ravel()
@@ -227,6 +268,12 @@ class Network:
             kept.append((before, *gates))
             states[:, here] = h
         used = real.ravel()
+        met = np.unique(self.v.class_of(targets.ravel()[used]))
+        taken = np.unique(self.v.class_of(symbols))
+        for c in np.setdiff1d(taken, met).tolist():
+            g["w"][self.v.starts[c] : self.v.starts[c + 1]] = 0
+            g["wb"][self.v.starts[c] : self.v.starts[c + 1]] = 0
+        self.touched = np.union1d(met, taken)
         if used.all():
             _, dh_out = self.outputs(states, targets.ravel(), g)
         else:
@@ -254,7 +301,9 @@ class Network:
                 back[:, fresh[t]] = 0
         order = np.argsort(symbols, kind="stable")
         first = np.flatnonzero(np.diff(symbols[order], prepend=-1))
-        g["x"][symbols[order][first]] += np.add.reduceat(gx[:, order], first, axis=1).T
+        g["i"] += gx @ self.p["w"][symbols]
+        g["ib"] += gx.sum(1, keepdims=True)
+        g["w"][symbols[order][first]] += np.add.reduceat((self.p["i"].T @ gx)[:, order], first, axis=1).T
         return h
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -306,7 +355,7 @@ class Network:
 
 
 class Trainer:
-    """One replica: truncated backpropagation with Adam.
+    """One replica: truncated backpropagation with Adam, and for words' vectors, of which a window is about some, Adagrad.
 
     Documents stand one after another; TOGETHER tokens of them are cut into LANES lanes, which run through windows side
     by side.
@@ -316,7 +365,11 @@ class Trainer:
         self.network = network
         self.waiting: list[np.ndarray] = []
         self.size = 0
-        self.gradient, self.mean, self.square = (np.zeros(network.size, np.float32) for _ in range(3))
+        self.gradient = np.zeros(network.size, np.float32)
+        self.views = network.views(self.gradient)
+        self.mean, self.square = (np.zeros(network.core, np.float32) for _ in range(2))
+        #: mean squares of each word's gradient, of its vector and its bias; a first one, so that small ones move little
+        self.words = np.ones((2, network.v.own + 1), np.float32)
         self.steps = self.tokens = 0
 
     def add(self, symbols: np.ndarray) -> None:
@@ -353,14 +406,23 @@ class Trainer:
             return
         self.steps += 1
         self.tokens += tokens
-        g = self.gradient
+        network, vectors, biases = self.network, self.views["w"], self.views["wb"][:, 0]
+        for c in network.touched.tolist():
+            words = slice(network.v.starts[c], network.v.starts[c + 1])
+            g, squares = vectors[words], self.words[0, words]
+            squares += np.einsum("ij,ij->i", g, g) / HIDDEN
+            network.p["w"][words] -= g * (np.float32(WORD_RATE) / np.sqrt(squares))[:, None]
+            g, squares = biases[words], self.words[1, words]
+            squares += g * g
+            network.p["wb"][words, 0] -= g * (np.float32(WORD_RATE) / np.sqrt(squares))
+        g = self.gradient[: network.core]
         g /= tokens
         np.clip(g, -0.5, 0.5, out=g)
         self.mean += 0.1 * (g - self.mean)
         self.square += 0.01 * (g * g - self.square)
         # a window of few tokens moves the weights less
         rate = LEARNING_RATE * min(1.0, tokens / (WINDOW * LANES)) * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps)
-        self.network.flat -= np.float32(rate) * self.mean / (np.sqrt(self.square) + np.float32(1e-7))
+        network.flat[: network.core] -= np.float32(rate) * self.mean / (np.sqrt(self.square) + np.float32(1e-7))
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -386,32 +448,33 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 
 def head_of(counts: DataFrame) -> Vocabulary:
-    """The BANDS[-1] most frequent words, which is all that is collected, and the totals."""
+    """The HEAD most frequent words, which is all that is collected, and the totals."""
     totals = counts.agg(F.sum("n").alias("tokens"), F.count("*").alias("distinct")).first()
-    head = counts.orderBy(F.col("n").desc(), "word").limit(BANDS[-1]).toArrow()
+    head = counts.orderBy(F.col("n").desc(), "word").limit(HEAD).toArrow()
     return Vocabulary(head["word"].to_pylist(), head["n"].to_numpy().astype(np.int64), totals["tokens"] or 0, totals["distinct"])
 
 
-def summed(replicas: DataFrame) -> tuple[np.ndarray, float]:
-    """The average of (weight, parameters), summed in a tree until few rows are left."""
+def averaged(replicas: DataFrame, size: int) -> np.ndarray | None:
+    """The average of replicas' (piece, weight, parameters) by weight; None if there are none.
+
+    A task adds up its pieces as they come, so that it holds one sum for each, and only averages are collected.
+    """
+    pieces = -(-size // PIECE)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight, total = 0.0, None
+        sums: dict[int, tuple[float, np.ndarray]] = {}
         for batch in batches:
-            for w, raw in zip(batch.column("weight").to_pylist(), batch.column("parameters").to_pylist(), strict=True):
-                part = np.frombuffer(raw, np.float64)
-                weight, total = weight + w, part.copy() if total is None else total + part
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([weight]), pa.array([total.tobytes()], pa.binary())], ["weight", "parameters"])
-
-    tree = written(replicas, "replicas")
-    while (n := tree.count()) > 8:
-        tree = written(in_batches(tree.repartition(-(-n // 8)), work, "weight double, parameters binary"), "replicas")
-    rows = tree.collect()
-    weight = sum(r["weight"] for r in rows)
-    if not weight:
-        return np.zeros(0), 0.0
-    return sum(np.frombuffer(r["parameters"], np.float64) for r in rows) / weight, weight
+            for piece, weight, raw in zip(*(batch.column(c).to_pylist() for c in ("piece", "weight", "parameters")), strict=True):
+                before, total = sums.get(piece, (0.0, 0.0))
+                sums[piece] = before + weight, total + weight * np.frombuffer(raw, np.float32).astype(np.float64)
+        for piece, (weight, total) in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([weight]), pa.array([(total / weight).astype(np.float32).tobytes()], pa.binary())], ["piece", "weight", "parameters"])
+
+    schema = "piece int, weight double, parameters binary"
+    rows = in_batches(replicas.repartition(min(pieces, 16), "piece"), work, schema).collect()
+    if not rows:
+        return None
+    return np.concatenate([np.frombuffer(r["parameters"], np.float32) for r in sorted(rows, key=lambda r: r["piece"])])
 
 
 def train(training: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
@@ -422,23 +485,25 @@ def train(training: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
     begin = 0
     turn = F.pmod(F.xxhash64("doc_id"), F.lit(100))
     for end in ROUNDS:
-        start_at = flat
+        start_at = spark.sparkContext.broadcast(flat)
 
-        def work(batches: Iterator[pa.RecordBatch], start_at: np.ndarray = start_at) -> Iterator[pa.RecordBatch]:
+        def work(batches: Iterator[pa.RecordBatch], start_at=start_at) -> Iterator[pa.RecordBatch]:
             v = worker_vocabulary(shared)
-            trainer = Trainer(Network(v, start_at.copy()))
+            trainer = Trainer(Network(v, start_at.value.copy()))
             for batch in batches:
                 for text in texts_of(batch.column("text")):
                     trainer.add(v.symbols(v.read(text)[0]))
             trainer.finish()
             if trainer.tokens:
-                weighted = trainer.network.flat.astype(np.float64) * trainer.tokens
-                yield pa.RecordBatch.from_arrays([pa.array([float(trainer.tokens)]), pa.array([weighted.tobytes()], pa.binary())], ["weight", "parameters"])
+                flat = trainer.network.flat
+                for piece, at in enumerate(range(0, len(flat), PIECE)):
+                    yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([float(trainer.tokens)]), pa.array([flat[at : at + PIECE].tobytes()], pa.binary())], ["piece", "weight", "parameters"])
 
         part = training.filter((turn >= begin) & (turn < end)).select("text")
-        average, weight = summed(in_batches(part, work, "weight double, parameters binary"))
-        if weight:
-            flat = average.astype(np.float32)
+        # half as many replicas as partitions: each has parameters to pass on
+        part = part.coalesce(max(1, part.rdd.getNumPartitions() // 2))
+        average = averaged(in_batches(part, work, "piece int, weight double, parameters binary"), len(flat))
+        flat = flat if average is None else average
         begin = end
     return flat
 
@@ -473,10 +538,10 @@ def score_texts(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, flat
             nonlocal place
             natural = network.score([w[2] for w in waiting])
             columns: list[list] = [[] for _ in range(8)]
-            for (doc_id, held, symbols, known, base, share, beyond), logp in zip(waiting, natural, strict=True):
+            for (doc_id, held, symbols, known, base, beyond), logp in zip(waiting, natural, strict=True):
                 place += 1
                 # a document's own row: its word begins with a space, as no word does
-                for column, value in zip(columns, (place, b" %d" % place, 0, doc_id, held, len(symbols), known, (base, logp / np.log(10) + share)), strict=True):
+                for column, value in zip(columns, (place, b" %d" % place, 0, doc_id, held, len(symbols), known, (base, logp / np.log(10))), strict=True):
                     column.append(value)
                 for word, n in Counter(beyond).items():
                     for column, value in zip(columns, (place, word, n, None, None, None, None, (None, None)), strict=True):
@@ -491,7 +556,7 @@ def score_texts(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, flat
             for doc_id, held, text in rows:
                 ranks, beyond = v.read(text)
                 inside = ranks[ranks >= 0]
-                waiting.append((doc_id, held, v.symbols(ranks), len(inside), float(v.base[inside].sum()), float(v.share[inside].sum()), beyond))
+                waiting.append((doc_id, held, v.symbols(ranks), len(inside), float(v.base[inside].sum()), beyond))
                 size += len(ranks)
                 if size >= SCORED:
                     yield out()
