@@ -39,6 +39,8 @@ ROUNDS = (3, 15, 45, 100)
 LEARNING_RATE = 4e-3
 #: That of words' vectors, by sums of gradients over the root of their squares so far.
 WORD_RATE = 0.3
+#: Training tokens for each replica, over all rounds.
+REPLICA = 4_000_000
 #: Pieces of parameters in which replicas are averaged.
 PIECE = 1 << 16
 SMOOTHING = 0.1
@@ -500,8 +502,8 @@ def train(training: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
                     yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([float(trainer.tokens)]), pa.array([flat[at : at + PIECE].tobytes()], pa.binary())], ["piece", "weight", "parameters"])
 
         part = training.filter((turn >= begin) & (turn < end)).select("text")
-        # half as many replicas as partitions: each has parameters to pass on
-        part = part.coalesce(max(1, part.rdd.getNumPartitions() // 2))
+        # each replica has parameters to pass on, so small partitions share one
+        part = part.coalesce(max(1, min(part.rdd.getNumPartitions() // 2, -(-vocabulary.tokens // REPLICA))))
         average = averaged(in_batches(part, work, "piece int, weight double, parameters binary"), len(flat))
         flat = flat if average is None else average
         begin = end
