@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritab.functions import numbers, periods, states, urls
-from veritab.functions.text import header_name, metric_of_label, squeezed
+from veritab.functions.text import header_name, metric_of_label, squeezed, unit_key
 
 # Fixed values.
 STATUS_WORDS = {
@@ -116,26 +116,86 @@ def template_blocks(cells: DataFrame, gap: int = 2) -> DataFrame:
     return blocks(years, ["sheet", "row"], "col", gap)
 
 
-def support_fields(page: Column) -> dict[str, Column]:
-    """ARR-03: figures of the support section by their labels; null where a label is absent."""
-    text = numbers.folded(page)
-    labels = {"first_half_total": "前半期", "second_half_total": "後半期", "annual_total": "年間", "grand_total": "合計"}
-    return {n: numbers.first_int(F.nullif(F.regexp_extract(text, rf"{label}[^\d\n]*([\d,]+)", 1), F.lit(""))) for n, label in labels.items()}
+# The form's labels, by which its sections begin and end, and words that stand where names do.
+UNIT_ENDS = "カリキュラム|授業計画作成と公表|成績評価の基準|卒業・進級|学修支援等|卒業者数|中途退学"
+NOT_NAMES = ("専門士", "高度専門士", "学科名", "分野", "課程名", "昼夜", "修業", "修業年限", "昼", "夜", "昼間", "夜間")
+FIELD_NAMES = "(工業|農業|医療|衛生|教育|社会福祉|商業|商業実務|服飾|家政|服飾・家政|文化|教養|文化・教養|教育・社会福祉)(関係)?"
+TEMPLATE_TEXTS = r"修業全課程|全課程の修了|開設している授業|授業時数|総単位数|単位時間|\d+\s*(?:単位|時間)"
+SUPPORT_PAGES = (("別紙", "授業料等減免対象者"), ("前年度の授業料等減免対象者", "支援対象者数"))
 
 
-def unit_section(section: Column) -> dict[str, Column]:
-    """ARR-02, FLT-11: a unit's figures from its section of text, by the labels that its lines begin with; sections
-    that only break a course down are marked."""
-    text = numbers.folded(section)
-    labels = {"capacity": "生徒総定員|収容定員", "enrollment": "生徒実員|在籍者数", "intl_students": "留学生", "graduates": "卒業者数", "dropouts": "中途退学者|退学者"}
-    out = {n: numbers.first_int(F.nullif(F.regexp_extract(text, rf"(?:{label})[^\d\n]*([\d,]+)", 1), F.lit(""))) for n, label in labels.items()}
-    return out | {"is_breakdown": text.rlike("コース別|内訳")}
+def persons(part: Column) -> Column:
+    """The numbers of persons that a part of a page tells, those in brackets left out."""
+    found = F.regexp_extract_all(F.regexp_replace(part, r"\([^)]*\)", ""), F.lit(r"(\d[\d,]*)\s*人"), 1)
+    return F.transform(found, lambda x: F.replace(x, F.lit(","), F.lit("")).try_cast("long"))
+
+
+def support_records(pages: DataFrame) -> DataFrame:
+    """ARR-03: one row for each document of (doc_id, page, text) whose support section tells a total.
+
+    The section is the first page with the appendix's mark, or else with its headings, and the page after it.  A class
+    of support whose line has no number goes on in the next line.
+    """
+    folded = pages.select("doc_id", "page", numbers.folded(F.col("text")).alias("text"))
+    marks = [F.col("text").contains(a) & F.col("text").contains(b) for a, b in SUPPORT_PAGES]
+    start = folded.groupBy("doc_id").agg(F.coalesce(*[F.min(F.when(m, F.col("page"))) for m in marks]).alias("start"))
+    near = folded.join(start, "doc_id").filter(F.col("page").between(F.col("start"), F.col("start") + 1))
+    whole = near.groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page", "text"))), lambda x: x["text"]), "\n").alias("t"))
+    t = F.col("t")
+
+    def after(label: str) -> Column:
+        return persons(F.regexp_extract(t, rf"{label}([^\n]*人[^\n]*|[^\n]*\n[^\n]*)", 1))
+
+    totals = persons(F.regexp_extract(t, r"(?:支援対象者数|括弧内は多子世帯)([^\n]*\d\s*人[^\n]*)", 1))
+    out = {"first_half_total": F.get(totals, F.lit(0)), "second_half_total": F.get(totals, F.lit(1)), "annual_total": F.get(totals, F.lit(2))}
+    for n, label in enumerate(("第I区分", "第II区分", "第III区分", "第IV区分[^\\n]*理工農"), 1):
+        out |= {f"first_half_cat{n}": F.get(after(label), F.lit(0)), f"second_half_cat{n}": F.get(after(label), F.lit(1))}
+    out |= {"household_change": F.get(after(r"家計急変(?![^\n]*除く)"), F.lit(0)), "grand_total": F.get(persons(F.regexp_extract(t, r"合計[^\n]*年間([^\n]*)", 1)), F.lit(0))}
+    rows = whole.select("doc_id", *[v.alias(k) for k, v in out.items()])
+    return rows.filter("coalesce(first_half_total, second_half_total, grand_total) IS NOT NULL")
+
+
+def unit_records(sections: DataFrame) -> DataFrame:
+    """ARR-02, FLT-11, SRC-12, SRC-13: unit records of (doc_id, section, body), the sections of units of page texts.
+
+    The name and the course are the first words after the heading that are neither labels, fields, durations nor
+    template text; counts of persons follow their headings in a fixed order.  Sections without a name or without an
+    enrolment give no record; those that only break a course down are marked.
+    """
+    t = F.col("t")
+    head = F.regexp_extract(t, rf"(?s)学科名(.*?)(?:生徒総定員|{UNIT_ENDS}|$)", 1)
+    words = F.filter(F.split(head, r"\s+"), lambda w: (F.length(w) >= 2) & ~w.isin(*NOT_NAMES) & ~w.rlike(rf"^{FIELD_NAMES}$|^\d+年?$|{TEMPLATE_TEXTS}"))
+    seats = persons(F.regexp_extract(t, rf"(?s)生徒総定員(.*?)(?:{UNIT_ENDS}|$)", 1))
+    left = persons(F.regexp_extract(t, r"(?s)卒業者数(.*?)(?:中途退学|$)", 1))
+    gone = F.regexp_extract(t, r"(?s)中途退学(.*)", 1)
+    lines = F.filter(F.split(gone, "\n"), lambda x: ~x.rlike("年度当初|途中") & x.rlike(r"\d[^\d]+\d"))
+    counts = F.regexp_extract_all(F.regexp_replace(F.get(lines, F.lit(0)), r"[\d.]+\s*%", ""), F.lit(r"(\d[\d,]*)"), 1)
+    number = lambda a, i: F.get(a, F.lit(i))
+    enough = lambda a, i: F.when(F.size(a) >= 3, number(a, i))
+    three = {n: enough(seats, i) for i, n in enumerate(("capacity", "enrollment", "intl_students"))} | {n: enough(left, i) for i, n in enumerate(("graduates", "advanced", "employed", "other"))}
+    course = F.get(F.filter(words, lambda w: w.contains("専門課程")), F.lit(0))
+    name = F.get(F.filter(words, lambda w: ~w.contains("専門課程")), F.lit(0))
+    shift = F.regexp_extract(t, r"(?m)(?:^|\s)(昼|夜)(?=\s|$)", 1)
+    out = {
+        "name": F.regexp_replace(name, "[〇○]", ""), "course_name": course, "duration_years": F.regexp_extract(t, r"(?:修業[^\d]{0,20}|(?=\d+\s*年[^\n]*昼))(\d+)\s*年", 1).try_cast("double"), "shift": F.nullif(shift, F.lit("")),
+        **three, "prev_enrollment": number(counts, 0).try_cast("long"), "dropouts": number(counts, 1).try_cast("long"),
+        "dropout_rate": F.regexp_extract(gone, r"(\d+\.?\d*)\s*%", 1).try_cast("double"), "is_breakdown": t.rlike("コース別|内訳"),
+    }
+    rows = sections.select("doc_id", "section", numbers.folded(F.col("body")).alias("t")).select("doc_id", "section", *[v.alias(k) for k, v in out.items()])
+    return rows.filter("name IS NOT NULL AND enrollment IS NOT NULL")
+
+
+def unit_alias_classes(units: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
+    """CLS-16: how sure an alias of a unit is, by (key, unit) and (key, candidate): one candidate whose key without the
+    suffix is the unit's own is taken, another single one is reviewed, several are ambiguous, none is none."""
+    j = units.join(candidates, key, "left").groupBy(key).agg(F.count("candidate").alias("n"), F.bool_or(unit_key(F.col("unit")) == unit_key(F.col("candidate"))).alias("same"))
+    return j.select(key, states.alias_class(F.col("n"), F.coalesce("same", F.lit(False))).alias("class"))
 
 
 def plausible_name(c: Column) -> Column:
     """FLT-17: whether a cell may be an institution's name."""
     t = squeezed(c)
-    return F.length(t).between(3, 60) & ~t.rlike(r"^[\d\W_]+$") & ~t.rlike("確認大学等|学校名|所在地|設置者")
+    return F.length(t).between(3, 60) & ~t.rlike(r"(?U)^[\d\W_]+$") & ~t.rlike("確認大学等|学校名|所在地|設置者")
 
 
 def intake_errors(name: Column, period: Column, page_url: Column, file_name: Column, latest: int) -> Column:
@@ -178,17 +238,29 @@ def page_links(pages: DataFrame) -> DataFrame:
     return a.unionByName(e).select("page_id", "position", "source", full.alias("href"), plain.alias("text"), urls.delivery_pattern(full, F.col("href"), F.when(F.col("source") == "embed", F.lit("embed"))).alias("pattern"))
 
 
+def match_rank(detected: Column, in_link: Column, is_entity: Column) -> Column:
+    """WIN-11: how a candidate fits the wanted entity: 0 if the document's own name is the entity's, 1 if only the link
+    says so, 2 if nothing is known, 3 if the document names another."""
+    known = F.length(F.coalesce(detected, F.lit(""))) >= 4
+    return F.when(known & is_entity, 0).when(known, 3).when(in_link, 1).otherwise(2)
+
+
 def ranked(candidates: DataFrame, target: int, most_general: int = 80) -> DataFrame:
-    """WIN-11: candidates of a page in the order of download: tier, period, -score, place; generic ones beyond
-    most_general are marked as dropped.  candidates: page_id, position, href, text, pattern."""
+    """WIN-11: candidates of a page in the order of download: tier, fit to the entity, period, -score, place; generic
+    ones beyond most_general are marked as dropped.
+
+    candidates: page_id, position, href, text, pattern, and match, the fit by match_rank (2 where there is no such
+    column).
+    """
     both = F.concat_ws(" ", "text", "href")
     hint = periods.period_hint(both, target)
     form, system = both.rlike("確認申請|申請書|様式"), both.rlike("修学支援|高等教育|無償化|機関要件")
     tier = F.when(form & system, 0).when(form, 1).otherwise(2)
     year = F.when(F.col("hint") == target, 0).when(F.col("hint").isNull(), 1).otherwise(2)
-    out = candidates.withColumns({"hint": hint, "tier": tier}).withColumns({"score": numbers.candidate_score(both, F.col("pattern"), F.col("hint"), target), "year_rank": year})
-    order = [F.col("tier"), F.when(F.col("tier") < 2, F.col("year_rank")).otherwise(0), F.col("score").desc(), F.col("position"), F.col("href")]
-    w, within = Window.partitionBy("page_id").orderBy(*order), Window.partitionBy("page_id", "tier").orderBy(F.col("score").desc(), "position", "href")
+    fit = F.col("match") if "match" in candidates.columns else F.lit(2)
+    out = candidates.withColumns({"hint": hint, "tier": tier, "match": fit}).withColumns({"score": numbers.candidate_score(both, F.col("pattern"), F.col("hint"), target), "year_rank": year})
+    order = [F.col("tier"), F.col("match"), F.when(F.col("tier") < 2, F.col("year_rank")).otherwise(0), F.col("score").desc(), F.col("position"), F.col("href")]
+    w, within = Window.partitionBy("page_id").orderBy(*order), Window.partitionBy("page_id", "tier").orderBy(*order[1:])
     return out.withColumns({"rank": F.row_number().over(w), "dropped": (F.col("tier") == 2) & (F.row_number().over(within) > most_general)})
 
 

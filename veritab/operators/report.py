@@ -332,9 +332,8 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def yield_bound(processed: int, successes: int, total: int, required: float) -> dict[str, float]:
-    """AGG-33: the yield that is certain, the most that is still possible, and whether the requirement can be met."""
-    if not total:
-        return {"certain": 0.0, "possible": 0.0, "reachable": False}
-    possible = (successes + max(0, total - processed)) / total * 100
-    return {"certain": successes / total * 100, "possible": possible, "reachable": possible >= required}
+def yield_bound(processed: Column, successes: Column, total: Column, required: float) -> dict[str, Column]:
+    """AGG-33: the yield in percent that is certain, the most that is still possible, and whether that meets the
+    requirement; nothing is certain or possible of nothing."""
+    possible = F.coalesce(F.try_divide((successes + F.greatest(F.lit(0), total - processed)) * 100.0, total), F.lit(0.0))
+    return {"certain": F.coalesce(F.try_divide(successes * 100.0, total), F.lit(0.0)), "possible": possible, "reachable": (total > 0) & (possible >= required)}

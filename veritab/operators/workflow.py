@@ -178,6 +178,15 @@ def strict_yield(status: DataFrame) -> DataFrame:
     return F.broadcast(total).join(named, F.lit(True)).select("dimension", "value", "n", (F.col("n") / F.col("total")).alias("share"))
 
 
+def weekly_yield(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """AGG-35: by week (from Monday) and group of (entity_id, at, confirmed, parsed): the entities selected, those with a
+    confirmed document, those with parsed rows, and both shares in percent."""
+    flags = rows.groupBy(*by, F.date_trunc("week", "at").cast("date").alias("week"), "entity_id").agg(F.bool_or("confirmed").alias("confirmed"), F.bool_or("parsed").alias("parsed"))
+    out = flags.groupBy(*by, "week").agg(F.count("*").alias("selected"), F.count_if("confirmed").alias("confirmed"), F.count_if("parsed").alias("parsed"))
+    share = lambda n: F.round(F.col(n) * 100.0 / F.col("selected"), 4)
+    return out.select(*by, "week", "selected", "confirmed", "parsed", share("parsed").alias("strict_yield"), share("confirmed").alias("broad_yield"))
+
+
 def region_report(matches: DataFrame, rows: DataFrame) -> DataFrame:
     """AGG-21: by region: rows of its index, those matched, and the matches by strategy."""
     j = rows.join(matches, "row_id", "left")

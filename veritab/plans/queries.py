@@ -2,31 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veritab.functions import numbers, payloads, periods, states, text, urls
 from veritab.operators import diff, evaluate, evidence, export, records, report, resolve, revision, workflow
-from veritab.plans.views import PERIOD, sql, view
+from veritab.plans.registry import ORACLE_SQL, QUERIES, Load, query
+from veritab.plans.views import PERIOD
 from veritab.streaming import queues
 
-Load = Callable[[str], DataFrame]
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(name: str, oracle: str | None = None, *adapters: str) -> Callable:
-    """Register a query that takes a loader of tables and adapters."""
-
-    def add(build: Callable[[Load], DataFrame]) -> Callable[[Load], DataFrame]:
-        QUERIES[name] = lambda spark, sf_dir: build(lambda table: view(spark, sf_dir, table))
-        if oracle is not None:
-            ORACLE_SQL[name] = sql(oracle, *adapters)
-        return build
+from veritab.plans import text_queries, work_queries  # noqa: F401  they register their queries
 
-    return add
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 
 # --- keyed comparisons -------------------------------------------------------------------------------------------

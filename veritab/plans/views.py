@@ -64,6 +64,14 @@ ADAPTERS: dict[str, str] = {
           concat('https://host', cast(event_id % 9 AS varchar(10)), '.example.com/files/', cast(2015 + event_id % 12 AS varchar(10)), '/form.pdf') AS url, 'form' AS text, 2026 AS target_period,
           CASE WHEN event_id % 7 = 0 THEN 'CERTIFICATE_VERIFY_FAILED' ELSE '' END AS error
         FROM {events}""",
+    # names with owner prefixes, wide letters and spaces, old glyphs, a zero-width space, a variation selector, and suffixes
+    "named": """
+        SELECT c_custkey AS id, concat(
+          CASE c_custkey % 5 WHEN 0 THEN '学校法人' WHEN 1 THEN '独立行政法人国立病院機構' WHEN 2 THEN '' WHEN 3 THEN ' 医療法人' ELSE '社会福祉法人　' END,
+          CASE c_custkey % 3 WHEN 0 THEN '東京デザイン' WHEN 1 THEN 'ＡＢＣ＆ＩＴ' ELSE '髙澤ビューティー アンド' END,
+          CASE WHEN c_custkey % 11 = 0 THEN '\u200b' WHEN c_custkey % 13 = 0 THEN '\ufe00' ELSE '' END, cast(c_custkey % 17 AS varchar(10)),
+          CASE c_custkey % 7 WHEN 0 THEN '専門学校' WHEN 1 THEN '学校' WHEN 2 THEN '大学' WHEN 3 THEN '高等専門学校' WHEN 4 THEN '' WHEN 5 THEN '学科' ELSE ' コース　' END) AS name
+        FROM {customer}""",
     "status": """
         SELECT entity_id, position, period, status, row_number() OVER (PARTITION BY entity_id, period ORDER BY position) AS revision,
           row_number() OVER (PARTITION BY entity_id, period ORDER BY position DESC) = 1 AS is_current
