@@ -108,21 +108,48 @@ def key_collisions(rows: DataFrame, scope: Sequence[str], side: str) -> DataFram
     return found.select(*scope, "unit", F.array_join("side_categories", ",").alias("categories"), F.lit(side).alias("side"))
 
 
-def _keyed(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("key", join_key(F.col("entity"), F.col("category"), F.col("unit"), F.col("period"), F.col("metric")))
+PAYLOAD = ("review_id", "review_status", "final_value", "reviewed_unit", "source_row", "value", "other_unit")
 
 
-def _pairs(reviewed: DataFrame, other: DataFrame) -> DataFrame:
-    """Both sides joined on their keys, with the number of rows of the key on each side."""
-    r = _keyed(reviewed.filter(F.col("metric").isNotNull() & (F.col("metric") != "") & F.col("unit").isNotNull() & (F.col("unit") != "")))
-    o = _keyed(other)
+def _both_sides(reviewed: DataFrame, other: DataFrame) -> DataFrame:
+    """The rows of both sides under one another, with their key, its label, and how many rows of the key each side has.
 
-    def grouped(rows: DataFrame, side: str) -> DataFrame:
-        return rows.groupBy("key").agg(F.count("*").alias(f"{side}_rows"), F.collect_list(F.struct(*[c for c in rows.columns if c != "key"])).alias(side))
-
-    joined = grouped(r, "reviewed").alias("r").join(grouped(o, "other").alias("o"), F.col("r.key").eqNullSafe(F.col("o.key")), "full_outer")
-    n = {s: F.coalesce(F.col(f"{s}_rows"), F.lit(0)).alias(f"{s}_rows") for s in ("reviewed", "other")}
-    return joined.select(F.coalesce("r.key", "o.key").alias("key"), "reviewed", "other", *n.values())
+    Keys are counted first, with partial sums; rows meet one row of counts each, so no key's rows are ever gathered.
+    """
+    wanted = reviewed.filter(F.col("metric").isNotNull() & (F.col("metric") != "") & F.col("unit").isNotNull() & (F.col("unit") != ""))
+    key = join_key(F.col("entity"), F.col("category"), F.col("unit"), F.col("period"), F.col("metric"))
+    none = lambda kind: F.lit(None).cast(kind)
+    ours = wanted.select(F.lit(True).alias("ours"), key.alias("key"), F.col("review_id").cast("long").alias("review_id"), "review_status", "final_value", F.col("unit").alias("reviewed_unit"), none("long").alias("source_row"), none("string").alias("value"), none("string").alias("other_unit"))
+    source = F.col("source_row").cast("long") if "source_row" in other.columns else none("long")
+    theirs = other.select(F.lit(False).alias("ours"), key.alias("key"), none("long").alias("review_id"), none("string").alias("review_status"), none("string").alias("final_value"), none("string").alias("reviewed_unit"), source.alias("source_row"), "value", F.col("unit").alias("other_unit"))
+    rows = ours.unionByName(theirs)
+    # nulls and bars inside a part must not make two keys one
+    parts = [F.coalesce(F.col(f"key.{n}").cast("string"), F.lit("\u0000")) for n in ("entity", "category", "unit", "period", "metric")]
+    rows = rows.select(F.concat_ws("\u001f", *parts).alias("k"), join_key_label(F.col("key")).alias("key"), "ours", *PAYLOAD)
+    counts = rows.groupBy("k").agg(F.count_if("ours").alias("reviewed_rows"), F.count_if(~F.col("ours")).alias("other_rows"))
+    return rows.join(counts, "k")
+
+
+def _ambiguous() -> Column:
+    return (F.col("reviewed_rows") > 1) | (F.col("other_rows") > 1)
+
+
+def _single(rows: DataFrame, status: Column) -> DataFrame:
+    """One row for each key with one row on a side at most, with what both sides say, and its status."""
+    paired = rows.filter(~_ambiguous()).groupBy("k").agg(F.first("key").alias("key"), *[F.max(c).alias(c) for c in ("reviewed_rows", "other_rows")], *[F.first(c, ignorenulls=True).alias(c) for c in PAYLOAD])
+    return paired.withColumns({"status": status, "reason": F.lit("")})
+
+
+def _status(missing: str, missing_other: str, ambiguous: str) -> Column:
+    return (
+        F.when(F.col("reviewed_rows") == 0, missing)
+        .when(F.col("review_status") == "excluded", "excluded_not_comparable")
+        .when(F.col("final_value").isNull(), "needs_review_not_comparable")
+        .when(F.col("other_rows") == 0, missing_other)
+        .when(granularity_collision(F.col("reviewed_unit"), F.col("other_unit")), ambiguous)
+        .when(values_equal(F.col("final_value"), F.col("value")), "match")
+        .otherwise("value_mismatch")
+    )
 
 
 def _reason(first: str, second: str) -> Column:
@@ -136,25 +163,11 @@ def compare_external(reviewed: DataFrame, external: DataFrame) -> DataFrame:
     reviewed: entity, category, unit, period, metric, review_id, review_status, final_value; external: the same key
     columns, source_row, value.  An ambiguous key emits every candidate of both sides, each on its own row.
     """
-    p = _pairs(reviewed, external)
-    ambiguous = (F.col("reviewed_rows") > 1) | (F.col("other_rows") > 1)
-    r, o = F.get("reviewed", F.lit(0)), F.get("other", F.lit(0))
-    status = (
-        F.when(F.col("reviewed_rows") == 0, "missing_in_primary")
-        .when(r["review_status"] == "excluded", "excluded_not_comparable")
-        .when(r["final_value"].isNull(), "needs_review_not_comparable")
-        .when(F.col("other_rows") == 0, "missing_in_external")
-        .when(granularity_collision(r["unit"], o["unit"]), "ambiguous_key_not_comparable")
-        .when(values_equal(r["final_value"], o["value"]), "match")
-        .otherwise("value_mismatch")
-    )
-    single = p.filter(~ambiguous).select("key", r["review_id"].alias("review_id"), o["source_row"].alias("source_row"), r["final_value"].alias("primary_value"), o["value"].alias("external_value"), status.alias("status"), F.lit("").alias("reason"))
-    many = p.filter(ambiguous).withColumn("reason", _reason("reviewed", "external"))
-    none = F.lit(None)
-    ours = many.select("key", "reason", F.explode("reviewed").alias("x")).select("key", F.col("x.review_id"), none.cast("long").alias("source_row"), F.col("x.final_value").alias("primary_value"), none.cast("string").alias("external_value"), F.lit("ambiguous_key_not_comparable").alias("status"), "reason")
-    theirs = many.select("key", "reason", F.explode("other").alias("x")).select("key", none.cast("long").alias("review_id"), F.col("x.source_row"), none.cast("string").alias("primary_value"), F.col("x.value").alias("external_value"), F.lit("ambiguous_key_not_comparable").alias("status"), "reason")
-    rows = single.unionByName(ours).unionByName(theirs)
-    return rows.withColumns({"key": join_key_label(F.col("key")), "result": states.truth_label(F.col("status"))})
+    rows = _both_sides(reviewed, external)
+    single = _single(rows, _status("missing_in_primary", "missing_in_external", "ambiguous_key_not_comparable"))
+    many = rows.filter(_ambiguous()).withColumns({"status": F.lit("ambiguous_key_not_comparable"), "reason": _reason("reviewed", "external")})
+    shown = ["key", "review_id", "source_row", F.col("final_value").alias("primary_value"), F.col("value").alias("external_value"), "status", "reason"]
+    return single.select(*shown).unionByName(many.select(*shown)).withColumn("result", states.truth_label(F.col("status")))
 
 
 def diff_master(reviewed: DataFrame, master: DataFrame) -> DataFrame:
@@ -162,26 +175,15 @@ def diff_master(reviewed: DataFrame, master: DataFrame) -> DataFrame:
 
     An ambiguous key emits the reviewed candidates if there are any, else the master's.
     """
-    p = _pairs(reviewed, master)
-    ambiguous = (F.col("reviewed_rows") > 1) | (F.col("other_rows") > 1)
-    r, o = F.get("reviewed", F.lit(0)), F.get("other", F.lit(0))
-    status = (
-        F.when(F.col("reviewed_rows") == 0, "missing_in_extraction")
-        .when(r["review_status"] == "excluded", "excluded_not_comparable")
-        .when(r["final_value"].isNull(), "needs_review_not_comparable")
-        .when(F.col("other_rows") == 0, "missing_in_master")
-        .when(granularity_collision(r["unit"], o["unit"]), "ambiguous_key")
-        .when(values_equal(r["final_value"], o["value"]), "match")
-        .otherwise("value_mismatch")
-    )
-    single = p.filter(~ambiguous).select("key", r["review_id"].alias("review_id"), r["final_value"].alias("extracted_value"), o["value"].alias("expected_value"), status.alias("status"), F.lit("").alias("reason"))
-    many = p.filter(ambiguous).withColumn("reason", _reason("reviewed", "master"))
-    expected = F.when(F.col("other_rows") == 1, o["value"])
-    ours = many.filter("reviewed_rows > 0").select("key", "reason", expected.alias("expected_value"), F.explode("reviewed").alias("x"))
-    ours = ours.select("key", F.col("x.review_id"), F.col("x.final_value").alias("extracted_value"), "expected_value", F.lit("ambiguous_key").alias("status"), "reason")
-    theirs = many.filter("reviewed_rows = 0").select("key", "reason", F.explode("other").alias("x"))
-    theirs = theirs.select("key", F.lit(None).cast("long").alias("review_id"), F.lit(None).cast("string").alias("extracted_value"), F.col("x.value").alias("expected_value"), F.lit("ambiguous_key").alias("status"), "reason")
-    return single.unionByName(ours).unionByName(theirs).withColumn("key", join_key_label(F.col("key")))
+    rows = _both_sides(reviewed, master)
+    single = _single(rows, _status("missing_in_extraction", "missing_in_master", "ambiguous_key"))
+    many = rows.filter(_ambiguous()).withColumns({"status": F.lit("ambiguous_key"), "reason": _reason("reviewed", "master")})
+    # of several candidates against one row of the master, each shows its value
+    only = many.filter("not ours AND other_rows = 1").select("k", F.col("value").alias("only_value"))
+    ours = many.filter("ours").drop("value").join(only, "k", "left").withColumnRenamed("only_value", "value")
+    theirs = many.filter("reviewed_rows = 0")
+    shown = ["key", "review_id", F.col("final_value").alias("extracted_value"), F.col("value").alias("expected_value"), "status", "reason"]
+    return single.select(*shown).unionByName(ours.select(*shown)).unionByName(theirs.select(*shown))
 
 
 def final_value(status: Column, extracted: Column, corrected: Column) -> Column:

@@ -7,7 +7,7 @@ from io import BytesIO
 from xml.sax.saxutils import escape
 from zipfile import ZIP_DEFLATED, ZipFile
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -84,6 +84,44 @@ def copied(source: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFram
     return source.join(target.select(*key).distinct(), list(key), "left_anti")
 
 
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """A small file in any store that Spark knows; what was there is replaced."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+
+
+#: Rows of a sheet, which its format limits.
+SHEET_ROWS = 1_048_575
+
+
+def write_workbook(path: str, sheets: dict[str, DataFrame]) -> None:
+    """SNK-01, SNK-02: DataFrames as the sheets of one file, in their own order.  A sheet of more rows than the format
+    has is an error, never cut."""
+    filled = {}
+    for name, df in sheets.items():
+        rows = df.limit(SHEET_ROWS + 1).collect()
+        if len(rows) > SHEET_ROWS:
+            raise ValueError(f"sheet {name} has more rows than a workbook holds")
+        filled[name] = (df.columns, [list(r) for r in rows])
+    write_bytes(next(iter(sheets.values())).sparkSession, path, workbook(filled))
+
+
+def master_sheets(entity: DataFrame, status: DataFrame, fact: DataFrame, support: DataFrame, excluded: DataFrame | None, periods: Sequence[int], measures: Sequence[str]) -> dict[str, DataFrame]:
+    """SNK-01: a master workbook's sheets: status by period, support, measures of units by period, the same for the last
+    period alone, and, if given, rows that were left out."""
+    names = entity.select("entity_id", "region", "owner", "name")
+    states = status_pivot(names, status, periods).select("region", "owner", "name", *[F.col(f"status_{p}").alias(str(p)) for p in periods]).orderBy("region", "name")
+    wide = names.select("entity_id", "name").join(measure_pivot(fact, periods, measures), "entity_id")
+    units = wide.select("name", F.col("unit_id").cast("string").alias("unit"), *[f"{m}_{p}" for p in periods for m in measures]).orderBy("name", "unit")
+    last = units.select("name", "unit", *[f"{m}_{periods[-1]}" for m in measures])
+    given = support.join(names.select("entity_id", "name"), "entity_id").select("name", "period", "total").orderBy("name", "period")
+    return {"status": states, "support": given, "unit": units, "extract": last} | ({"excluded": excluded} if excluded is not None else {})
+
+
 def workbook(sheets: dict[str, tuple[Sequence[str], Sequence[Sequence[object]]]]) -> bytes:
     """SNK-01: a spreadsheet file of sheets given as headers and rows, for exports of a few thousand rows."""
 

@@ -1,7 +1,8 @@
 """Entity resolution: tiers of ever looser joins, the first tier that finds something wins, ambiguity is refused.
 
-Every tier but the first sees only what earlier tiers left over, so the expensive ones are small.  Containment tests run
-inside a block (the region) as an equi join with a condition, never across blocks.
+Every tier but the first sees only what earlier tiers left over, so the expensive ones are small.  Containment tests are
+equi joins on the rarest pair of letters of the shorter name within a block (the region): what holds a name holds that
+pair too.
 """
 
 from __future__ import annotations
@@ -16,6 +17,30 @@ from veritab.functions.text import containment
 Key = Callable[[Column], Column]
 
 
+def letter_pairs(c: Column) -> Column:
+    """The distinct pairs of neighbouring letters of a text; a single letter is its own."""
+    return F.when(F.length(c) < 2, F.array(c)).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substring(c, i, F.lit(2)))))
+
+
+def containing(left: DataFrame, right: DataFrame, block: str) -> DataFrame:
+    """Pairs of a block of (left_id, block, k) and (right_id, block, rk), of which one text holds the other; texts of one
+    letter meet only each other.
+
+    Each text looks for those that hold it by its rarest pair of letters in the block.
+    """
+    l = left.select("left_id", block, "k", F.explode(letter_pairs(F.col("k"))).alias("pair"))
+    r = right.select("right_id", block, "rk", F.explode(letter_pairs(F.col("rk"))).alias("pair"))
+    often = l.select(block, "pair").unionByName(r.select(block, "pair")).groupBy(block, "pair").agg(F.count("*").alias("n"))
+
+    def rarest(rows: DataFrame, ident: str, key: str) -> DataFrame:
+        return rows.join(often, [block, "pair"]).groupBy(ident, block, key).agg(F.min(F.struct("n", "pair")).alias("rare")).select(ident, block, key, F.col("rare.pair").alias("pair"))
+
+    shown = ["left_id", "right_id", block, "k", "rk"]
+    held = rarest(l, "left_id", "k").join(r, [block, "pair"]).filter(F.col("rk").contains(F.col("k"))).select(*shown)
+    holds = rarest(r, "right_id", "rk").join(l, [block, "pair"]).filter(F.col("k").contains(F.col("rk"))).select(*shown)
+    return held.unionByName(holds).distinct()
+
+
 def tiered(left: DataFrame, right: DataFrame, tiers: Sequence[tuple[str, Key, bool]], least: float | None = None) -> DataFrame:
     """JOIN-05, JOIN-09: (left_id, right_id, tier): each left row's match in the first tier that has one.
 
@@ -41,7 +66,7 @@ def tiered(left: DataFrame, right: DataFrame, tiers: Sequence[tuple[str, Key, bo
         key = tiers[-1][1]
         l = rest.select("left_id", "region", key(F.col("name")).alias("k")).filter("k <> ''")
         r = right.select("right_id", "region", key(F.col("name")).alias("rk")).filter("rk <> ''")
-        take(l.join(r, "region").withColumns({"score": containment(F.col("k"), F.col("rk")), "same": F.lit(1)}).filter(F.col("score") >= least), "containment")
+        take(containing(l, r, "region").withColumns({"score": containment(F.col("k"), F.col("rk")), "same": F.lit(1)}).filter(F.col("score") >= least), "containment")
     return found
 
 
@@ -71,7 +96,7 @@ def unique_containment(left: DataFrame, right: DataFrame, block: str, key: Key,
     """JOIN-08: the one right row of the block whose key holds the left one or is held by it; none if there are more."""
     l = left.select("left_id", block, key(F.col("name")).alias("k")).filter(F.length("k") >= least_length)
     r = right.select("right_id", block, key(F.col("name")).alias("rk")).filter(F.length("rk") >= least_length)
-    pairs = l.join(r, block).filter(F.col("k").contains(F.col("rk")) | F.col("rk").contains(F.col("k")))
+    pairs = containing(l, r, block)
     return pairs.groupBy("left_id").agg(F.count_distinct("right_id").alias("n"), F.min("right_id").alias("right_id")).filter("n = 1").drop("n")
 
 
@@ -89,8 +114,10 @@ def greedy_codes(entities: DataFrame, targets: DataFrame, used: DataFrame, least
     exact = claims.groupBy("code").agg(F.min("entity_id").alias("entity_id")).withColumn("tier", F.lit("exact"))
     rest = entities.join(exact.select("entity_id"), "entity_id", "left_anti").select("entity_id", F.col("name").alias("e_name"), "region")
     taken = exact.select("code", F.col("entity_id").alias("taken_by"))
-    pairs = rest.join(targets, "region").join(used, "code", "left_anti").join(taken, "code", "left").filter("taken_by IS NULL OR taken_by > entity_id")
-    scored = pairs.withColumn("score", containment(F.col("e_name"), F.col("name"))).filter(F.col("score") >= least)
+    free = targets.join(used, "code", "left_anti")
+    near = containing(rest.select(F.col("entity_id").alias("left_id"), "region", F.col("e_name").alias("k")), free.select(F.col("code").alias("right_id"), "region", F.col("name").alias("rk")), "region")
+    scored = near.withColumn("score", containment(F.col("k"), F.col("rk"))).filter(F.col("score") >= least).select(F.col("left_id").alias("entity_id"), F.col("right_id").alias("code"), "score")
+    scored = scored.join(free.select("code", "position"), "code").join(taken, "code", "left").filter("taken_by IS NULL OR taken_by > entity_id")
     best = scored.withColumn("_n", F.row_number().over(Window.partitionBy("entity_id").orderBy(F.col("score").desc(), "position"))).filter("_n = 1")
     return exact.select("entity_id", "code", "tier").unionByName(best.select("entity_id", "code", F.lit("containment").alias("tier")))
 

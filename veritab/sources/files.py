@@ -92,15 +92,78 @@ def sheet_rows(content: bytes, sheet: str | None = None) -> Iterator[tuple[str,
 
 
 def spreadsheet(spark: SparkSession, path: str, sheet: str | None = None) -> DataFrame:
-    """SRC-01, SRC-06, SRC-10, SRC-30: (path, sheet, row, cells) of spreadsheet files; one file is one task's work."""
+    """(path, sheet, position, row, cells) of spreadsheet files; position is the sheet's in its file, and one file is one
+    task's work."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for p, content in zip(batch["path"], batch["content"], strict=True):
                 rows = list(sheet_rows(content, sheet))
-                yield pd.DataFrame({"path": p, "sheet": [r[0] for r in rows], "row": [r[1] for r in rows], "cells": [r[2] for r in rows]}, columns=["path", "sheet", "row", "cells"])
+                turn = {name: i for i, name in enumerate(dict.fromkeys(r[0] for r in rows))}
+                yield pd.DataFrame({"path": p, "sheet": [r[0] for r in rows], "position": [turn[r[0]] for r in rows], "row": [r[1] for r in rows], "cells": [r[2] for r in rows]})
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(work, "path string, sheet string, row long, cells array<string>")
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(work, "path string, sheet string, position int, row long, cells array<string>")
+
+
+def tabular(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-10, SRC-11: (path, row, cells by header) of an external file by its suffix: CSV, or a spreadsheet's first sheet
+    with its headers in row 1; other suffixes are an error."""
+    suffix = path.rsplit(".", 1)[-1].lower()
+    if suffix == "csv":
+        return csv_with_fallback(spark, path)
+    if suffix not in ("xlsx", "xlsm"):
+        raise ValueError(f"neither CSV nor a spreadsheet: {path}")
+    cells = spreadsheet(spark, path)
+    first = cells.groupBy("path").agg(F.min_by("sheet", "position").alias("sheet"))
+    sheet = cells.join(F.broadcast(first), ["path", "sheet"])
+    head = sheet.filter("row = 1").select("path", F.col("cells").alias("names"))
+    named = sheet.filter("row > 1").join(F.broadcast(head), "path")
+    pairs = F.filter(F.arrays_zip("names", "cells"), lambda x: x["names"].isNotNull())
+    return named.select("path", (F.col("row") - 2).alias("row"), F.map_from_entries(F.transform(pairs, lambda x: F.struct(x["names"], x["cells"]))).alias("cells"))
+
+
+def target_institutions(spark: SparkSession, path: str, kind: str = "専門学校", first_row: int = 5) -> DataFrame:
+    """SRC-06: (code, name, region, kind) of a workbook of target institutions, whose rows begin at first_row; those of a
+    kind that have a name."""
+    rows = spreadsheet(spark, path).filter(F.col("row") >= first_row)
+    named = rows.select(*[F.trim(F.get("cells", F.lit(i))).alias(n) for i, n in enumerate(("code", "name", "region", "kind"))])
+    return named.filter((F.col("kind") == kind) & (F.coalesce("name", F.lit("")) != ""))
+
+
+#: Sheets of a master workbook in the order of import; a fourth one is derived from the third and skipped.
+MASTER_SHEETS = ("status", "support", "unit")
+
+
+def master_workbook(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """SRC-01: the sheets of a master workbook as rows: status (region, owner, name, period, status), support (name,
+    period, total; the first row of a name and period, bad periods left out) and unit (name, unit, period, measures).
+
+    Headers stand in row 1.  Status and unit sheets have a column, or one for each measure, of each period; their headers
+    are `2025` and `capacity_2025`.
+    """
+    from veritab.operators.records import status_of_text
+    from veritab.operators.revision import first_by
+
+    cells = spreadsheet(spark, path).filter(F.col("sheet").isin(*MASTER_SHEETS))
+    head = cells.filter("row = 1").select("path", "sheet", F.col("cells").alias("names"))
+    rows = cells.filter("row > 1").join(F.broadcast(head), ["path", "sheet"]).select("sheet", "row", F.col("cells"), F.posexplode("names").alias("col", "header"))
+    at = lambda i: F.get("cells", F.lit(i))
+    value = F.get("cells", F.col("col"))
+    status = rows.filter((F.col("sheet") == "status") & F.col("header").rlike(r"^20\d{2}$")).select(at(0).alias("region"), at(1).alias("owner"), at(2).alias("name"), F.col("header").cast("int").alias("period"), status_of_text(value).alias("status"))
+    support = cells.filter("sheet = 'support' AND row > 1").select("row", F.get("cells", F.lit(0)).alias("name"), F.get("cells", F.lit(1)).try_cast("int").alias("period"), F.get("cells", F.lit(2)).try_cast("long").alias("total")).filter("period IS NOT NULL")
+    measure = F.regexp_extract("header", r"^([a-z_]+)_20\d{2}$", 1)
+    unit = rows.filter((F.col("sheet") == "unit") & (measure != "")).select(at(0).alias("name"), at(1).alias("unit"), F.regexp_extract("header", r"_(20\d{2})$", 1).cast("int").alias("period"), measure.alias("measure"), value.try_cast("long").alias("value"))
+    wide = unit.filter("value IS NOT NULL").groupBy("name", "unit", "period").agg(*[F.max(F.when(F.col("measure") == m, F.col("value"))).alias(m) for m in ("capacity", "enrollment")])
+    return {"status": status, "support": first_by(support, ["name", "period"], [F.col("row")]).drop("row"), "unit": wide}
+
+
+def template_schema(cells: DataFrame, name_words: str = "学校名|名称", most: int = 10) -> DataFrame:
+    """SRC-30: by sheet of a template's (sheet, row, cells): the first of its first rows that has a name column, that
+    column, and the columns of years, as (sheet, header_row, name_col, col, period)."""
+    spread = cells.filter(F.col("row") <= most).select("sheet", "row", F.posexplode("cells").alias("col", "value"))
+    named = spread.filter(F.coalesce("value", F.lit("")).rlike(name_words)).groupBy("sheet").agg(F.min(F.struct("row", "col")).alias("at")).select("sheet", F.col("at.row").alias("header_row"), F.col("at.col").alias("name_col"))
+    years = spread.withColumn("period", F.regexp_extract(F.coalesce("value", F.lit("")), r"(20\d{2})", 1).try_cast("int")).filter("period IS NOT NULL")
+    return years.join(named, "sheet").filter("row = header_row").select("sheet", "header_row", "name_col", "col", "period")
 
 
 def zip_members(spark: SparkSession, path: str, suffix: str = ".pdf") -> DataFrame:
@@ -170,9 +233,9 @@ def predictions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PREDICTION).option("mode", "DROPMALFORMED").json(path)
 
 
-def annotations(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-21, SRC-12: one row for each unit of the annotated documents, with its place."""
-    a = spark.read.schema(ANNOTATION).option("multiLine", True).json(path)
+def annotations(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """SRC-21: one row for each unit of the annotated documents, with its place; a file is one document, or a line is."""
+    a = spark.read.schema(ANNOTATION).option("multiLine", multi_line).json(path)
     return a.select(F.col("source_pdf").alias("doc"), F.col("school_name").alias("entity_name"), F.posexplode("departments").alias("pos", "u")).select("doc", "entity_name", "pos", "u.*")
 
 
@@ -202,10 +265,12 @@ class _Table(HTMLParser):
 
     def __init__(self, base: str):
         super().__init__()
-        self.base, self.rows, self.row, self.cell, self.href, self.header = base, [], None, None, None, False
+        self.base, self.rows, self.row, self.cell, self.href, self.header, self.table = base, [], None, None, None, False, 0
 
     def handle_starttag(self, tag, attrs):
-        if tag == "tr":
+        if tag == "table":
+            self.table += 1
+        elif tag == "tr":
             self.row = []
         elif tag in ("td", "th") and self.row is not None:
             self.cell, self.href, self.header = "", None, tag == "th"
@@ -221,12 +286,12 @@ class _Table(HTMLParser):
             self.row.append((" ".join(self.cell.split()), urljoin(self.base, self.href) if self.href else None, self.header))
             self.cell = None
         elif tag == "tr" and self.row is not None:
-            self.rows.append(self.row)
+            self.rows.append((self.table, self.row))
             self.row = None
 
 
 def html_tables(pages: DataFrame) -> DataFrame:
-    """SRC-23, SRC-24: (page_id, row, col, text, href, is_header) of the table cells of (page_id, url, html)."""
+    """SRC-23, SRC-24: (page_id, tab, row, col, text, href, is_header) of the table cells of (page_id, url, html)."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -234,18 +299,37 @@ def html_tables(pages: DataFrame) -> DataFrame:
             for page, url, html in zip(batch["page_id"], batch["url"], batch["html"], strict=True):
                 t = _Table(url or "")
                 t.feed(html or "")
-                out += [(page, r, c, *cell) for r, row in enumerate(t.rows) for c, cell in enumerate(row)]
-            yield pd.DataFrame(out, columns=["page_id", "row", "col", "text", "href", "is_header"])
+                out += [(page, tab, r, c, *cell) for r, (tab, row) in enumerate(t.rows) for c, cell in enumerate(row)]
+            yield pd.DataFrame(out, columns=["page_id", "tab", "row", "col", "text", "href", "is_header"])
+
+    return pages.select("page_id", "url", "html").mapInPandas(work, "page_id long, tab int, row int, col int, text string, href string, is_header boolean")
 
-    return pages.select("page_id", "url", "html").mapInPandas(work, "page_id long, row int, col int, text string, href string, is_header boolean")
 
+# Headers of tables of withdrawn institutions, of columns of names, and what names end in.
+WITHDRAWN = "根拠規定|取消"
+NAME_HEADERS = "名|name|title"
+NAMED_LIKE = "(学校|大学|学院|学園)$"
 
-def index_rows(cells: DataFrame, name_words: str = "名|name|title") -> DataFrame:
-    """JOIN-27: an index table's rows as (page_id, name, href): the first anchor of the row, each pair once."""
-    head = cells.filter(F.col("is_header") & F.lower("text").rlike(name_words)).groupBy("page_id").agg(F.min("col").alias("name_col"))
-    rows = cells.filter(~F.col("is_header")).join(head, "page_id", "left").withColumn("name_col", F.coalesce("name_col", F.lit(0)))
-    out = rows.groupBy("page_id", "row").agg(F.max(F.when(F.col("col") == F.col("name_col"), F.col("text"))).alias("name"), F.min_by("href", F.when(F.col("href").isNotNull(), F.col("col"))).alias("href"))
-    return out.filter("name IS NOT NULL AND name <> ''").dropDuplicates(["page_id", "name", "href"])
+
+def index_rows(cells: DataFrame, links: DataFrame | None = None) -> DataFrame:
+    """JOIN-27, SRC-23: an index's rows as (page_id, name, href), each pair once: the name in the column whose header
+    says so, the first anchor of the row.
+
+    Tables of withdrawn institutions give no rows, and free links (page_id, text, href) to what they name none either;
+    other free links that name an institution fill in an address that is missing, or are rows of their own.
+    """
+    key = lambda c: F.regexp_replace(c, r"(?U)\s+", "")
+    heads = cells.filter("is_header").groupBy("page_id", "tab").agg(F.min(F.when(F.lower("text").rlike(NAME_HEADERS), F.col("col"))).alias("name_col"), F.bool_or(F.col("text").rlike(WITHDRAWN)).alias("withdrawn"))
+    rows = cells.filter(~F.col("is_header")).join(heads, ["page_id", "tab"], "left").withColumns({"name_col": F.coalesce("name_col", F.lit(0)), "withdrawn": F.coalesce("withdrawn", F.lit(False))})
+    listed = rows.filter(~F.col("withdrawn")).groupBy("page_id", "row").agg(F.max(F.when(F.col("col") == F.col("name_col"), F.col("text"))).alias("name"), F.min_by("href", F.when(F.col("href").isNotNull(), F.col("col"))).alias("href"))
+    listed = listed.filter("name IS NOT NULL AND name <> ''").select("page_id", "name", "href").distinct()
+    if links is None:
+        return listed
+    gone = rows.filter(F.col("withdrawn") & F.col("text").rlike(NAMED_LIKE)).select("page_id", key(F.col("text")).alias("k")).distinct()
+    free = links.filter(F.col("text").rlike(NAMED_LIKE)).select("page_id", "text", "href", key(F.col("text")).alias("k")).join(gone, ["page_id", "k"], "left_anti")
+    free = free.groupBy("page_id", "k").agg(F.min("text").alias("text"), F.min("href").alias("free_href"))
+    both = listed.withColumn("k", key(F.col("name"))).join(free, ["page_id", "k"], "full_outer")
+    return both.select("page_id", F.coalesce("name", "text").alias("name"), F.coalesce("href", "free_href").alias("href")).distinct()
 
 
 def sitemap_locations(df: DataFrame, xml: str = "xml") -> DataFrame:

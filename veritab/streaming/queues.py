@@ -22,6 +22,35 @@ def process_new(stream: DataFrame, work: Callable[[DataFrame, int], None], check
     return query
 
 
+def process_documents(stream: DataFrame, work: Callable[[DataFrame], DataFrame], states_path: str, checkpoint: str) -> StreamingQuery:
+    """STM-01, STM-03, STM-04: documents of a stream worked on batch by batch, the state of each appended to a table.
+
+    work takes a batch of (document_id, ...) and returns (document_id, status).  If it fails, the documents of the batch
+    are transient_error, with what went wrong, and a later run takes them up from there (see retried).  A batch that is
+    run again after a crash appends its states again; latest_states keeps the last.
+    """
+
+    def one(batch: DataFrame, number: int) -> None:
+        try:
+            rows = work(batch).select("document_id", "status", F.lit(None).cast("string").alias("error"), F.lit(number).cast("long").alias("batch"))
+            rows.write.mode("append").parquet(states_path)
+        except Exception as failure:  # noqa: BLE001  a document that cannot be parsed must not end the run
+            told = F.lit(f"{type(failure).__name__}: {failure}"[:500])
+            batch.select("document_id", F.lit("transient_error").alias("status"), told.alias("error"), F.lit(number).cast("long").alias("batch")).write.mode("append").parquet(states_path)
+
+    return process_new(stream, one, checkpoint)
+
+
+def latest_states(states: DataFrame) -> DataFrame:
+    """The last state of each document."""
+    return states.groupBy("document_id").agg(F.max_by(F.struct("status", "error"), "batch").alias("s")).select("document_id", "s.*")
+
+
+def retried(documents: DataFrame, states: DataFrame) -> DataFrame:
+    """Documents whose last state is a transient error."""
+    return documents.join(latest_states(states).filter("status = 'transient_error'").select("document_id"), "document_id", "left_semi")
+
+
 def missing_items(items: DataFrame, queue: DataFrame, key: str) -> DataFrame:
     """STM-02: queue items that are still to be made."""
     return items.join(queue.select(key).distinct(), key, "left_anti").select(key, F.lit("pending").alias("status"))
@@ -57,13 +86,14 @@ def bucket_stream(stream: DataFrame, table: str, checkpoint: str) -> StreamingQu
 def throttle(log: DataFrame, least_s: float = 30.0, failures: int = 3, cooldown_s: float = 3600.0) -> DataFrame:
     """STM-06: what a per-host throttle would have decided for each request of a log: (host, at, decision, wait_s).
 
-    log: host, at (seconds), ok, blocked.  A request inside a cooldown is refused and changes nothing; a block, or so
+    log: host, at (seconds), ok, blocked, and request, by which equal times are ordered, if there is such a column; else
+    they are ordered by ok and blocked.  A request inside a cooldown is refused and changes nothing; a block, or so
     many failures in a row, starts one.  State passes along each host's requests in time.
     """
 
     def work(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         last, bad, until, out = float("-inf"), 0, float("-inf"), []
-        for r in rows.sort_values("at").itertuples():
+        for r in rows.sort_values(["at", *(c for c in ("request", "ok", "blocked") if c in rows.columns)]).itertuples():
             if until > r.at:
                 out.append((key[0], r.at, "cooldown", until - r.at))
                 continue
