@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritab.functions.text import containment
+from veritab.functions.text import containment, institution_key, squeezed
 
 Key = Callable[[Column], Column]
 
@@ -135,6 +135,28 @@ def proposals(missing: DataFrame, known: DataFrame, key: Key) -> DataFrame:
     return out.withColumn("proposal", F.when(F.col("matches") == 0, "no_candidate").when(F.col("matches") == 1, "auto_alias").otherwise("ambiguous"))
 
 
+# What a name ends in, or holds in brackets, if it is a branch.
+BRANCH = "(分校|校舎|キャンパス|サテライト|[^学大高]校)$"
+
+
+def branch_of(name: Column) -> Column:
+    """The part of a squeezed name that marks a branch: a bracket, or a word before a branch's ending; empty if none."""
+    bracket = F.regexp_extract(name, r"\(([^()]+)\)", 1)
+    place = F.regexp_extract(F.regexp_replace(name, r"\([^()]*\)", ""), "(?:学校|大学|学院|学園)(.+)$", 1)
+    return F.when(place.rlike(BRANCH), place).when(bracket.rlike(BRANCH), bracket).otherwise(F.lit(""))
+
+
+def template_aliases(missing: DataFrame, known: DataFrame) -> DataFrame:
+    """JOIN-14: (left_id, right_id, tier) for a template's missing names: the one known name that is the same, the same
+    without brackets, or the same without its institution's suffix.  A branch is never an alias of its parent or of
+    another branch."""
+    bare = lambda c: F.regexp_replace(squeezed(c), r"\([^()]*\)", "")
+    tiers = [("exact", squeezed), ("bracket", bare), ("suffix", lambda c: institution_key(bare(c)))]
+    found = unique_match(missing, known, tiers)
+    marks = found.join(missing.select("left_id", branch_of(squeezed(F.col("name"))).alias("_b")), "left_id").join(known.select("right_id", branch_of(squeezed(F.col("name"))).alias("_p")), "right_id")
+    return marks.filter("_b = _p").select("left_id", "right_id", "tier")
+
+
 def unit_groups(lumped: DataFrame, units: DataFrame) -> DataFrame:
     """JOIN-16: units of the same entity that belong to a lumped one, by a track that both name."""
     tracks = lumped.select("left_id", "entity_id", F.explode("tracks").alias("track"))

@@ -112,6 +112,15 @@ def filled(rows: DataFrame, partition: Sequence[str], order: Sequence[str], colu
     return rows.withColumn(column, F.last(column, ignorenulls=True).over(w))
 
 
+def attached(rows: DataFrame, partition: Sequence[str], order: str, name: str, value: str) -> DataFrame:
+    """WIN-24: records that take two rows, a name and, below it, a value: each name with the first value that follows it
+    before the next name; names without one have none."""
+    w = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    turn = rows.withColumn("_turn", F.count(name).over(w)).filter("_turn > 0")
+    out = turn.groupBy(*partition, "_turn").agg(F.max(name).alias(name), F.min(F.when(F.col(value).isNotNull(), F.struct(order, value))).alias("_v"), F.min(order).alias(order))
+    return out.select(*partition, order, name, F.col(f"_v.{value}").alias(value))
+
+
 def blocks(rows: DataFrame, partition: Sequence[str], order: str, gap: float) -> DataFrame:
     """WIN-18: runs of neighbours no further apart than gap, numbered from 0."""
     w = Window.partitionBy(*partition).orderBy(order)

@@ -178,6 +178,24 @@ def strict_yield(status: DataFrame) -> DataFrame:
     return F.broadcast(total).join(named, F.lit(True)).select("dimension", "value", "n", (F.col("n") / F.col("total")).alias("share"))
 
 
+def yield_groupings(rows: DataFrame, groupings: dict[str, Sequence[str]]) -> DataFrame:
+    """AGG-32: the yield analysis's counts: entities by each grouping of columns, all in one pass by grouping sets, as
+    (grouping, value, n, share), the values of several columns joined by bars and null shown as a dash.
+
+    The analysis groups by status, by site and document, by document state, by host, by source of the site, by owner,
+    by whether there are yearly rows, and by whether any is of low confidence.
+    """
+    columns = list(dict.fromkeys(c for g in groupings.values() for c in g))
+    shown = rows.select(*[F.coalesce(F.col(c).cast("string"), F.lit("-")).alias(c) for c in columns])
+    sets = [list(g) for g in groupings.values()]
+    counted = shown.groupingSets(sets, *columns).agg(F.count("*").alias("n"), F.grouping_id().alias("g"))
+    bits = {name: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in g) for name, g in groupings.items()}
+    parts = [F.when(F.col("g") == bits[name], F.struct(F.lit(name).alias("grouping"), F.concat_ws("|", *g).alias("value"))) for name, g in groupings.items()]
+    total = rows.agg(F.count("*").alias("total"))
+    named = counted.select(F.coalesce(*parts).alias("p"), "n").select("p.grouping", "p.value", "n")
+    return named.join(F.broadcast(total), F.lit(True)).select("grouping", "value", "n", F.round(F.col("n") / F.col("total"), 6).alias("share"))
+
+
 def weekly_yield(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     """AGG-35: by week (from Monday) and group of (entity_id, at, confirmed, parsed): the entities selected, those with a
     confirmed document, those with parsed rows, and both shares in percent."""
@@ -240,6 +258,12 @@ def manual_entries(entries: DataFrame, existing: DataFrame) -> DataFrame:
     return appended(existing, good, ["unit_id", "period"], ["entry_id"])
 
 
+def manual_entry_audit(entries: DataFrame, appended: DataFrame, actor: str, at: Column) -> DataFrame:
+    """UPD-05: audit rows of the manual entries that were appended: what each unit's enrolment became."""
+    written = entries.join(appended.select("entry_id"), "entry_id", "left_semi")
+    return audit(written, "manual_entry", "fact", F.concat_ws("/", F.col("unit_id").cast("string"), F.col("period").cast("string")), F.lit(None), F.col("enrollment"), "entered by hand", actor, at)
+
+
 def applied_codes(entity: DataFrame, matches: DataFrame) -> DataFrame:
     """UPD-07: entities with the code that a reconciliation gives them; one that has a code keeps it."""
     return entity.join(matches.select("entity_id", F.col("code").alias("_new")), "entity_id", "left").withColumn("code", F.coalesce("code", "_new")).drop("_new")

@@ -863,9 +863,9 @@ def stream_bucket_counts(t: Load) -> DataFrame:
     path = events.inputFiles()[0].rsplit("/", 1)[0]
     stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet" if path.rsplit("/", 1)[1] != "events.parquet" else "*.parquet").parquet(path)
     rows = spark.sql(ADAPTERS["evidence"], events=stream)
-    name = f"buckets_{uuid.uuid4().hex}"
-    queues.bucket_stream(rows, name, f"{checkpoint_dir(spark)}/{name}")
-    return spark.table(name)
+    name = f"{checkpoint_dir(spark)}/buckets-{uuid.uuid4().hex}"
+    queues.bucket_stream(rows, f"{name}-table", f"{name}-progress")
+    return queues.latest_buckets(spark, f"{name}-table")
 
 
 # --- review work -------------------------------------------------------------------------------------------------

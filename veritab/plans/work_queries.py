@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from veritab.functions import payloads, states
 from veritab.functions.text import folded
-from veritab.operators import evidence, records, report, revision, workflow
+from veritab.operators import evidence, records, report, resolve, revision, workflow
 from veritab.plans.registry import Load, query
 from veritab.plans.text_queries import by_case, case_sql
+from veritab.sources import files
 from veritab.streaming import queues
 
 # --- rules -------------------------------------------------------------------------------------------------------
@@ -293,6 +294,72 @@ def weekly_yield(t: Load) -> DataFrame:
     return workflow.weekly_yield(rows, ["region"]).withColumn("week", F.col("week").cast("string"))
 
 
+GROUPINGS = {"status": ("url", "document", "extract", "blocker"), "url_document": ("url", "document"), "document": ("document",), "host": ("host",), "source": ("method",), "owner": ("owner",), "yearly_rows": ("has_rows",), "low_confidence": ("low",)}
+GROUPED = " UNION ALL ".join(f"SELECT '{n}' AS \"grouping\", concat_ws('|', {', '.join(g)}) AS value, count(*) AS n, round(count(*) / (SELECT count(*) FROM r), 6) AS share FROM r GROUP BY {', '.join(g)}" for n, g in GROUPINGS.items())
+
+
+@query("yield_groupings", f"""WITH r AS (SELECT CASE c_custkey % 2 WHEN 0 THEN 'no_url' ELSE 'region_url' END AS url, CASE c_custkey % 3 WHEN 0 THEN 'none' WHEN 1 THEN 'confirmed' ELSE '-' END AS document, c_mktsegment AS extract, 'b' || c_custkey % 4 AS blocker,
+  'h' || c_custkey % 9 AS host, CASE c_custkey % 2 WHEN 0 THEN 'web' ELSE '-' END AS method, 'o' || c_custkey % 40 AS owner, (c_custkey % 5 = 0)::VARCHAR AS has_rows, (c_custkey % 7 = 0)::VARCHAR AS low FROM customer) {GROUPED}""")
+def yield_groupings(t: Load) -> DataFrame:
+    """AGG-32: all eight groupings."""
+    k = F.col("c_custkey")
+    text = lambda p, n: F.concat(F.lit(p), (k % n).cast("string"))
+    rows = t("customer").select(
+        by_case("c_custkey", "no_url", "region_url").alias("url"), by_case("c_custkey", "none", "confirmed", None).alias("document"), F.col("c_mktsegment").alias("extract"), text("b", 4).alias("blocker"), text("h", 9).alias("host"),
+        by_case("c_custkey", "web", None).alias("method"), text("o", 40).alias("owner"), (k % 5 == 0).alias("has_rows"), (k % 7 == 0).alias("low"),
+    )
+    return workflow.yield_groupings(rows, GROUPINGS)
+
+
+KNOWN = ("東京デザイン専門学校", "大阪美容専門学校(なんば校舎)", "京都調理専門学校", "神戸医療大学", "神戸医療専門学校")
+MISSING = ("東京デザイン 専門学校", "京都調理専門学校(夜間)", "大阪美容専門学校", "東京デザイン学校", "京都調理専門学校山科校", "神戸医療", "なし", "大阪美容専門学校(梅田校舎)")
+ALIASED = ("0 exact", "2 bracket", None, "0 suffix", None, None, None, None)
+
+
+@query("template_aliases", f"SELECT s_suppkey AS left_id, {case_sql('s_suppkey', *ALIASED)} AS alias FROM supplier WHERE {case_sql('s_suppkey', *ALIASED)} IS NOT NULL")
+def template_aliases(t: Load) -> DataFrame:
+    """JOIN-14: branches, and names that two institutions share, are refused."""
+    missing = t("supplier").select(F.col("s_suppkey").alias("left_id"), by_case("s_suppkey", *MISSING).alias("name"))
+    known = t("region").limit(1).select(F.posexplode(F.array(*map(F.lit, KNOWN))).alias("right_id", "name"))
+    out = resolve.template_aliases(missing, known)
+    return out.select("left_id", F.concat_ws(" ", F.col("right_id").cast("string"), "tier").alias("alias"))
+
+
+@query("attached_urls", "SELECT o_custkey % 5 AS sheet, o_orderkey * 2 AS pos, o_orderstatus || o_orderkey AS name, CASE WHEN o_orderkey % 3 <> 0 THEN 'u' || o_orderkey END AS url FROM orders")
+def attached_urls(t: Load) -> DataFrame:
+    """WIN-24: a name's row, and, but for every third, a row with its address below."""
+    k, sheet = F.col("o_orderkey"), (F.col("o_custkey") % 5).alias("sheet")
+    names = t("orders").select(sheet, (k * 2).alias("pos"), F.concat("o_orderstatus", k.cast("string")).alias("name"), F.lit(None).cast("string").alias("url"))
+    urls = t("orders").filter(k % 3 != 0).select(sheet, (k * 2 + 1).alias("pos"), F.lit(None).cast("string").alias("name"), F.concat(F.lit("u"), k.cast("string")).alias("url"))
+    return revision.attached(names.unionByName(urls), ["sheet"], "pos", "name", "url")
+
+
+LISTS_SQL = """SELECT s_suppkey AS id, CASE s_suppkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'domain is no host' WHEN 2 THEN 'owner is empty' ELSE '' END AS domain_errors, CASE s_suppkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'unknown region;expected is no count' ELSE 'url is no address' END AS coverage_errors, s_suppkey % 5 <> 0 AS imported FROM supplier"""
+
+
+@query("url_lists", LISTS_SQL)
+def url_lists(t: Load) -> DataFrame:
+    """SRC-28, SRC-29, UPD-20: three kinds of lists of addresses."""
+    key, k = "s_suppkey", F.col("s_suppkey")
+    s = t("supplier")
+    domains = s.select(k.alias("row"), F.when(k % 4 != 2, F.col("s_name")).otherwise(" ").alias("owner"), by_case(key, "https://A.example.com/x", "no host", "b.example.com", "c.example.com").alias("domain"))
+    # rows without an owner are one group, of which only the first is not listed before
+    told = files.owner_domains(domains).select(F.col("row").alias("id"), F.array_join(F.filter("errors", lambda e: e != "owner is listed before"), ";").alias("domain_errors"))
+    coverage = s.select(k.alias("row"), by_case(key, "ASIA", "NOWHERE", "ASIA").alias("region"), by_case(key, "https://a.b", "https://a.b", "a.b").alias("url"), by_case(key, "3", "-1", "4").alias("expected"))
+    covered = files.region_coverage(coverage, t("region").select(F.col("r_name").alias("region"))).select(F.col("row").alias("id"), F.array_join("errors", ";").alias("coverage_errors"))
+    good, bad = files.url_import(s.select(k.cast("string").alias("id"), F.col("s_name").alias("name"), F.when(k % 5 != 0, F.lit("https://a.b")).alias("url")))
+    split = good.select(F.col("id").cast("long").alias("id"), F.lit(True).alias("imported")).unionByName(bad.select(F.col("id").cast("long").alias("id"), F.lit(False).alias("imported")))
+    return told.join(covered, "id").join(split, "id")
+
+
+@query("manual_entry_audit", "SELECT o_custkey || '/' || year(o_orderdate) AS target_id, '5' AS new_value, count(*) AS n FROM orders WHERE o_orderkey % 9 <> 0 GROUP BY ALL")
+def manual_entry_audit(t: Load) -> DataFrame:
+    """UPD-05, UPD-17."""
+    entries = t("orders").select(F.col("o_orderkey").alias("entry_id"), F.col("o_custkey").alias("unit_id"), F.year("o_orderdate").alias("period"), F.lit(5).alias("enrollment"))
+    rows = workflow.manual_entry_audit(entries, entries.filter("entry_id % 9 <> 0"), "me", F.lit("2026-01-01").cast("timestamp"))
+    return rows.groupBy("target_id", "new_value").agg(F.count("*").alias("n"))
+
+
 @query("top_statuses", "SELECT status, count(*) AS n FROM document WHERE status IS NOT NULL GROUP BY 1 ORDER BY n DESC, status LIMIT 4", "document")
 def top_statuses(t: Load) -> DataFrame:
     """SORT-11."""

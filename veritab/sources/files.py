@@ -260,6 +260,39 @@ def url_rows(df: DataFrame, required: tuple[str, ...] = ("name", "url")) -> Data
     return df.filter(~blank).withColumn("errors", errors(*checks, (~F.coalesce(F.col("url"), F.lit("")).rlike("^https?://"), "url is no address")))
 
 
+def url_import(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """UPD-20: the rows of a URL list that can be imported, and the others with their errors."""
+    rows = url_rows(df)
+    return rows.filter(F.size("errors") == 0).drop("errors"), rows.filter(F.size("errors") > 0)
+
+
+def owner_domains(df: DataFrame) -> DataFrame:
+    """SRC-28: (owner, domain, errors) of a list of owners' domains: a domain is a host, or an address whose host is
+    taken; each owner's first row counts, later ones are errors."""
+    from pyspark.sql import Window
+
+    from veritab.functions.states import errors
+    from veritab.functions.urls import host
+
+    given = F.lower(F.trim(F.coalesce("domain", F.lit(""))))
+    domain = F.when(given.rlike("^https?://"), host(given)).otherwise(given)
+    turn = F.row_number().over(Window.partitionBy("owner").orderBy("row"))
+    rows = df.withColumns({"domain": domain, "_n": turn})
+    wrong = errors((F.trim(F.coalesce("owner", F.lit(""))) == "", "owner is empty"), (~F.col("domain").rlike(r"^[a-z0-9-]+(\.[a-z0-9-]+)+$"), "domain is no host"), (F.col("_n") > 1, "owner is listed before"))
+    return rows.select("row", "owner", "domain", wrong.alias("errors"))
+
+
+def region_coverage(df: DataFrame, regions: DataFrame) -> DataFrame:
+    """SRC-29: (region, url, expected, errors) of a list of regions' index pages: the region must be known, the address
+    one, and the expected count a number that is not negative."""
+    from veritab.functions.states import errors
+
+    known = regions.select("region", F.lit(True).alias("_known")).distinct()
+    rows = df.join(known, "region", "left").withColumn("_n", F.col("expected").try_cast("int"))
+    wrong = errors((F.col("_known").isNull(), "unknown region"), (~F.coalesce("url", F.lit("")).rlike("^https?://"), "url is no address"), (F.col("_n").isNull() | (F.col("_n") < 0), "expected is no count"))
+    return rows.select("row", "region", "url", F.col("_n").alias("expected"), wrong.alias("errors"))
+
+
 class _Table(HTMLParser):
     """Cells and anchors of the tables of a page."""
 

@@ -74,15 +74,29 @@ def ingest_units(annotations: DataFrame, current: DataFrame, target: int) -> Dat
     return rows.filter(F.col("verdict").isin("auto", "auto_flag"))
 
 
-def bucket_stream(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """STM-05: entities' evidence buckets over a log that grows, in complete mode into a table in memory."""
+def bucket_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """STM-05: entities' evidence buckets over a log that grows: each micro-batch appends the entities that it changed, with
+    its number, to a table; latest_buckets reads it.
+
+    The state is one row of flags for each entity.
+    """
     rows = evidence.with_flags(evidence.actionable(stream)).groupBy("entity_id").agg(*evidence.bucket_aggregates())
     out = rows.select("entity_id", evidence.bucket_column().alias("bucket"), "rows")
-    query = out.writeStream.outputMode("complete").format("memory").queryName(table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+    def append(batch: DataFrame, number: int) -> None:
+        batch.withColumn("batch", F.lit(number).cast("long")).write.mode("append").parquet(path)
+
+    query = out.writeStream.outputMode("update").foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
 
+def latest_buckets(spark: SparkSession, path: str) -> DataFrame:
+    """Each entity's bucket by the last batch that changed it."""
+    told = spark.read.schema("entity_id long, bucket string, rows long, batch long").parquet(path)
+    return told.groupBy("entity_id").agg(F.max_by(F.struct("bucket", "rows"), "batch").alias("b")).select("entity_id", "b.bucket", "b.rows")
+
+
 def throttle(log: DataFrame, least_s: float = 30.0, failures: int = 3, cooldown_s: float = 3600.0) -> DataFrame:
     """STM-06: what a per-host throttle would have decided for each request of a log: (host, at, decision, wait_s).
 
