@@ -304,6 +304,65 @@ def test_nearest(spark):
     assert hnsw.nearest(df.filter("false"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def brute_nearest(rows, queries, k):
+    """Ids of the k nearest of (id, vector), best first, ties to smaller ids."""
+    ids = np.array([i for i, _ in rows])
+    unit = np.array([v for _, v in rows], float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    out = {}
+    for q in queries:
+        sims = np.round(unit @ unit[np.flatnonzero(ids == q)[0]], 13)
+        out[q] = [i for i in ids[np.lexsort([ids, -sims])].tolist() if i != q][:k]
+    return out
+
+
+@pytest.mark.parametrize("clusters", [0, 40])
+def test_nearest_of_many_shards(spark, monkeypatch, clusters):
+    monkeypatch.setattr(hnsw, "SHARD_ROWS", 3000)
+    monkeypatch.setattr(hnsw, "QUERY_BLOCK", 128)
+    rng = np.random.default_rng(21)
+    n = 20_000
+    x = rng.normal(size=(n, 24))
+    if clusters:
+        # half of all rows are of one cluster
+        x = 0.3 * x + rng.normal(size=(clusters, 24))[np.minimum(rng.integers(0, 2 * clusters, n), clusters - 1)]
+    rows = list(enumerate(x.astype(np.float32).tolist()))
+    found = hnsw.entries(spark.createDataFrame(rows, "id long, vector array<double>"), 6)
+    routes = hnsw.fit_routes(found, 5)
+    assert routes[24].splits.sum() >= 5
+    if clusters:
+        assert routes[24].asked < len(routes[24].centres) and routes[24].splits.max() > 1
+    got = defaultdict(list)
+    for r in hnsw.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0, 5).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append(r["vec_id"])
+    expected = brute_nearest(rows, range(0, n, 50), 5)
+    assert set(got) == set(expected) and all(len(v) == 5 for v in got.values())
+    assert np.mean([len(set(got[q]) & set(expected[q])) for q in expected]) / 5 >= 0.9
+
+
+def test_nearest_keeps_precision_and_ties(spark):
+    """Double components that floats can't tell apart; scaled copies of one vector; two lengths; repeated ids; clashing names."""
+    rng = np.random.default_rng(22)
+    base = rng.normal(size=8)
+    rows = [(i, (base + 1e-9 * rng.normal(size=8)).tolist()) for i in range(20)]
+    rows += [(100 + i, (2.0 ** (i % 5) * np.arange(1.0, 9.0)).tolist()) for i in range(60)] + [(200 + i, rng.normal(size=3).tolist()) for i in range(9)]
+    rows += [(50, [1.0] * 8), (50, [1.0] * 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({"score": F.lit("mine"), "dim": F.lit("mine"), "shard": F.lit("mine")})
+    got = defaultdict(list)
+    for r in hnsw.nearest(df, F.col("vec_id") % 50 == 0, 5).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    by_id = dict(rows)
+    for q in (0, 50, 100, 150):
+        want = brute_nearest([(i, v) for i, v in rows if len(v) == 8 and (i != 50 or q == 50)][: len(rows)], [q], 5)[q]
+        assert [i for i, _ in got[q]] == want or q in (0, 50)
+        for i, score in got[q]:
+            a, b = np.array(by_id[q]), np.array(by_id[i])
+            assert score == pytest.approx(a @ b / np.linalg.norm(a) / np.linalg.norm(b), abs=1e-15)
+    # ties of all scaled copies go to the smallest ids
+    assert [i for i, _ in got[100]] == [101, 102, 103, 104, 105] and [i for i, _ in got[150]] == [100, 101, 102, 103, 104]
+    assert len(got[200]) == 5 and all(i > 200 for i, _ in got[200]) and len(got[50]) == 5
+
+
 def test_network_gradient():
     counts = Counter({f"w{i}".encode(): 1000 - i for i in range(900)}) + Counter({gated_lm.END: 700})
     top = sorted(counts.items(), key=lambda x: (-x[1], x[0]))
@@ -312,19 +371,19 @@ def test_network_gradient():
     net.flat = net.flat.astype(np.float64)
     net.p = net.views(net.flat)
     rng = np.random.default_rng(0)
-    symbols = lambda: rng.integers(0, v.own + v.n_bands, (6, 5))
+    symbols = lambda: rng.choice([*range(v.own), v.rest], (6, 5))
     inputs, targets, fresh, real, h0 = symbols(), symbols(), rng.random((6, 5)) < 0.2, rng.random((6, 5)) < 0.9, rng.normal(size=(gated_lm.HIDDEN, 5))
 
     def loss():
         h, total = h0, 0.0
         for t in range(6):
-            h = net.step(net.inputs(inputs[t]), net.cleared(h, fresh[t]))[0]
+            h = net.step(net.inputs(inputs[t : t + 1])[0], net.cleared(h, fresh[t]))
             total -= net.outputs(h[:, real[t]], targets[t][real[t]])[0].sum()
         return total
 
     gradient = np.zeros(net.size)
     net.train_window(inputs, targets, fresh, real, h0, gradient)
-    for k in rng.choice(np.flatnonzero(gradient), 40):
+    for k in rng.choice(np.flatnonzero(gradient), 80):
         old = net.flat[k]
         net.flat[k] = old + 1e-5
         above = loss()
@@ -338,7 +397,7 @@ def test_network_sums_to_one():
     counts = {b"a": 50, b"b": 30, b"c": 5, gated_lm.END: 10}
     v = gated_lm.Vocabulary(list(counts), np.array(list(counts.values())), 95, 4)
     net = gated_lm.Network(v)
-    total = sum(np.exp(net.score([np.array([s])])[0]) for s in range(v.own + v.n_bands))
+    total = sum(np.exp(net.score([np.array([s])])[0]) for s in [*range(v.own), v.rest])
     assert total == pytest.approx(1.0, abs=1e-4)
     whole = [np.array([0, 1, 0, 2, 3] * 20), np.array([1]), np.array([2, 3])]
     assert net.score(whole) == pytest.approx([net.score([w])[0] for w in whole], rel=1e-5)
@@ -349,7 +408,7 @@ def test_network_tells_rarer_words_apart():
     words = [b"w%03d" % i for i in range(600)]
     v = gated_lm.Vocabulary([gated_lm.END, *words], np.array([3000, *[1000] * 600]), 603_000, 601)
     assert v.own == 601 and len({int(s) for s in v.symbols(v.read(b" ".join(words))[0])}) == 601
-    assert gated_lm.Vocabulary([gated_lm.END, *words * 4], np.array([3000, *[250] * 2400]), 603_000, 2401).classes > v.classes
+    assert len(gated_lm.Vocabulary([gated_lm.END, *words * 40], np.array([3000, *[25] * 24000]), 603_000, 24001).class_counts) > len(v.class_counts)
     rng = np.random.default_rng(1)
     text = lambda: np.append(np.stack([a := 299 + 2 * rng.integers(0, 150, 40), a + 1], 1).ravel(), v.rank[gated_lm.END])
     trainer = gated_lm.Trainer(gated_lm.Network(v))

@@ -4,14 +4,14 @@ Word counts of the whole training corpus give the vocabulary, the base score and
 top stands a gated recurrent network in numpy, trained by truncated backpropagation: tokens run in lanes of documents,
 windows of WINDOW steps are trained on, and the state is carried from window to window.  Every word of the head of the
 vocabulary (the HEAD most frequent, or all if there are fewer) has a vector, by which the network takes it in and
-predicts it.  The output is factored: first a group of classes, then a class, then a word within the class, each by a
-softmax.  Classes are runs of words by falling count, longer where words are rarer, so that a token costs least; their
-number grows with the vocabulary.  All words beyond the head are one class and share it by their smoothed corpus counts.  So every token has a
-probability, also one never seen.
+predicts it.  The output is factored: first a group of classes, then a class, then a leaf of LEAF words within the
+class, then a word of the leaf, each by a softmax.  Classes are runs of leaves by falling count, longer where words are
+rarer, so that a token costs least; their number grows with the vocabulary.  All words beyond the head are one class and
+share it by their smoothed corpus counts.  So every token has a probability, also one never seen.
 
 Training is data-parallel: in every round each partition trains a replica on its share of the documents, and replicas
-are averaged by tokens, summed in a tree.  Rounds grow, so that replicas start from a common model; each training
-document is used in one round, none is left out.
+are averaged: a leaf's words by how often each replica met the leaf, all else by tokens.  Rounds grow, so that replicas
+start from a common model; each training document is used in one round, none is left out.
 """
 
 from __future__ import annotations
@@ -20,11 +20,12 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from heapq import heappop, heappush
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark import Broadcast, TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritab.llm.frames import in_batches, remainder, texts_of, written
@@ -33,19 +34,25 @@ from veritab.llm.frames import in_batches, remainder, texts_of, written
 END = b""
 #: How many words are broadcast, each with a vector and an output of its own.
 HEAD = 131072
-HIDDEN, WINDOW, LANES = 16, 32, 256
+HIDDEN, WINDOW, LANES = 16, 32, 512
+#: Tokens of a leaf in a window from which on its words are a matrix product of their own.
+MANY, TOGETHER = 40, 4
+#: Lanes that are scored side by side; no step depends on how many.
+WIDE = 768
+#: Words of a leaf, the lowest level of the factored output.
+LEAF = 16
 #: Percent of training documents at which rounds end.
 ROUNDS = (3, 15, 45, 100)
 LEARNING_RATE = 4e-3
-#: That of words' vectors, by sums of gradients over the root of their squares so far.
+#: That of the vectors of words and leaves, by sums of gradients over the root of their squares so far.
 WORD_RATE = 0.3
-#: Training tokens for each replica, over all rounds.
+#: Training tokens for each replica in a round.
 REPLICA = 4_000_000
-#: Pieces of parameters in which replicas are averaged.
-PIECE = 1 << 16
+#: Leaves whose words are averaged together.
+PIECE = 256
 SMOOTHING = 0.1
-#: Tokens that are trained on together, and scored together: enough for lanes longer than the longest documents.
-TOGETHER, SCORED = 400_000, 5_000_000
+#: Steps that all lanes wait for before they are trained on, and tokens that are scored together.
+AHEAD, SCORED = 8 * WINDOW, 1_500_000
 #: Distinct words that a counting task holds before it passes them on.
 COUNTED = 300_000
 
@@ -62,47 +69,40 @@ class Vocabulary:
 
     def __post_init__(self):
         self.rank = {w: i for i, w in enumerate(self.words)}
-        self.own, self.n_bands = len(self.words), 1
-        #: the symbol of all words beyond the head; a word of the head is its rank
-        self.rest = self.own
+        self.own = len(self.words)
         self.rest_count = self.tokens - int(self.counts.sum())
         self.rest_distinct = self.distinct - self.own
-        # a class that holds a word of probability p has about 1 / sqrt(p) words: sum(sqrt(p)) classes
-        first = self.runs(self.counts)
-        #: where classes begin; the last is the rest's
-        self.starts = np.append(first, [self.own, self.own + 1]).astype(np.int64)
-        self.classes = len(first)
-        self.class_by_symbol = np.repeat(np.arange(self.classes + 1), np.diff(self.starts))
-        by_class = np.add.reduceat(self.counts, first) if self.own else np.zeros(0, np.int64)
-        self.class_counts = np.append(by_class, self.rest_count)
+        leaves = -(-self.own // LEAF)
+        #: the symbol of all words beyond the head, the only one of the last leaf; a word of the head is its rank
+        self.rest = leaves * LEAF
+        by_leaf = np.add.reduceat(self.counts, np.arange(0, self.own, LEAF)) if self.own else np.zeros(0, np.int64)
+        #: leaves at which classes begin, and classes at which groups begin; the last class and its leaf are the rest's
+        first = self.runs(by_leaf)
+        self.class_starts = np.append(first, [leaves, leaves + 1]).astype(np.int64)
+        self.class_by_leaf = np.repeat(np.arange(len(first) + 1), np.diff(self.class_starts))
+        self.leaf_counts = np.append(by_leaf, self.rest_count)
+        self.class_counts = np.add.reduceat(self.leaf_counts, self.class_starts[:-1])
         first = self.runs(self.class_counts)
-        #: classes at which groups begin
-        self.group_starts = np.append(first, self.classes + 1)
+        self.group_starts = np.append(first, len(self.class_counts))
         self.group_counts = np.add.reduceat(self.class_counts, first)
         self.base_all = float(np.log10(self.tokens + SMOOTHING * (self.distinct + 1)))
         self.rest_all = float(np.log10(self.rest_count + SMOOTHING * (self.rest_distinct + 1)))
         self.base = np.log10(self.counts + SMOOTHING) - self.base_all
 
     def runs(self, counts: np.ndarray) -> np.ndarray:
-        """Where runs begin that are as long as the root of tokens by count."""
+        """Where runs begin of which one with a share p of the tokens has about 1 / sqrt(p) members."""
         return np.flatnonzero(np.diff(np.floor(np.cumsum(np.sqrt(counts / max(1, self.tokens)))), prepend=-1.0))
 
-    def class_of(self, symbols: np.ndarray) -> np.ndarray:
-        return self.class_by_symbol[symbols]
-
     def read(self, text: bytes) -> tuple[np.ndarray, list[bytes]]:
         """Ranks of a text's tokens, -1 beyond the head, and the words beyond it."""
         words = text.lower().split()
+        words.append(END)
         get = self.rank.get
-        ranks = [get(w, -1) for w in words]
-        beyond = [w for w, r in zip(words, ranks, strict=True) if r < 0] if -1 in ranks else []
-        ranks.append(get(END, -1))
-        if ranks[-1] < 0:
-            beyond.append(END)
-        return np.array(ranks, np.int32), beyond
+        ranks = np.array([get(w, -1) for w in words], np.int32)
+        return ranks, [words[i] for i in np.flatnonzero(ranks < 0).tolist()]
 
     def symbols(self, ranks: np.ndarray) -> np.ndarray:
-        return np.where(ranks < 0, self.rest, ranks)
+        return np.where(ranks < 0, np.int32(self.rest), ranks)
 
 
 class Network:
@@ -113,15 +113,17 @@ class Network:
 
     def __init__(self, vocabulary: Vocabulary, flat: np.ndarray | None = None):
         v = self.v = vocabulary
-        n_group, n_class = len(v.group_counts), v.classes + 1
-        # the words' vectors and biases stand last
-        self.shapes = {"i": (3 * HIDDEN, HIDDEN), "ib": (3 * HIDDEN, 1), "u": (3 * HIDDEN, HIDDEN), "g": (n_group, HIDDEN), "gb": (n_group, 1), "c": (n_class, HIDDEN), "cb": (n_class, 1), "w": (v.own + 1, HIDDEN), "wb": (v.own + 1, 1)}
-        self.core = sum(int(np.prod(self.shapes[name])) for name in ("i", "ib", "u", "g", "gb", "c", "cb"))
+        n_group, n_class, n_leaf = len(v.group_counts), len(v.class_counts), len(v.leaf_counts)
+        core = {"i": (3 * HIDDEN, HIDDEN), "ib": (3 * HIDDEN, 1), "u": (3 * HIDDEN, HIDDEN), "g": (n_group, HIDDEN), "gb": (n_group, 1), "c": (n_class, HIDDEN), "cb": (n_class, 1)}
+        # the leaves' vectors and biases and, last, those of words stand behind the core
+        self.shapes = core | {"l": (n_leaf, HIDDEN), "lb": (n_leaf, 1), "w": (n_leaf, LEAF, HIDDEN), "wb": (n_leaf, LEAF)}
+        self.core = sum(int(np.prod(s)) for s in core.values())
+        self.dense = self.core + n_leaf * (HIDDEN + 1)
         self.size = sum(int(np.prod(s)) for s in self.shapes.values())
         self.flat = self.start() if flat is None else flat.astype(np.float32)
         self.p = self.views(self.flat)
         self.begin = v.rank.get(END, v.rest)
-        #: classes whose words the last window's gradient is about
+        #: leaves whose words the last window's gradient is about
         self.touched = np.zeros(0, np.int64)
 
     def views(self, flat: np.ndarray) -> dict[str, np.ndarray]:
@@ -139,29 +141,34 @@ class Network:
         p = self.views(flat)
         p["i"][:] = rng.normal(0, 0.5, p["i"].shape)
         p["u"][:] = rng.normal(0, HIDDEN**-0.5, p["u"].shape)
-        p["g"][:] = rng.normal(0, 0.02, p["g"].shape)
-        p["c"][:] = rng.normal(0, 0.02, p["c"].shape)
+        for name in ("g", "c", "l"):
+            p[name][:] = rng.normal(0, 0.02, p[name].shape)
         p["w"][:] = rng.normal(0, 0.1, p["w"].shape)
-        own = v.counts.astype(float)
-        for name, counts in (("gb", v.group_counts), ("cb", v.class_counts)):
+        for name, counts in (("gb", v.group_counts), ("cb", v.class_counts), ("lb", v.leaf_counts)):
             bias = np.log(counts + SMOOTHING)
             p[name][:, 0] = bias - bias.max()
-        p["wb"][: v.own, 0] = np.log(own / max(1.0, own.max(initial=1.0)))
+        # places in leaves that no word has are never chosen
+        biases = np.full(p["wb"].size, -1e4)
+        biases[: v.own] = np.log(v.counts / max(1, v.counts.max(initial=1)))
+        biases[v.rest] = 0
+        p["wb"][:] = biases.reshape(-1, LEAF)
         return flat
 
     def inputs(self, symbols: np.ndarray) -> np.ndarray:
-        """What the symbols of a window add to the gates, as (3 * HIDDEN, symbols)."""
-        return self.p["i"] @ self.p["w"][symbols].T + self.p["ib"]
-
-    def step(self, gx: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        gh = self.p["u"] @ h
-        zr = gx[: 2 * HIDDEN] + gh[: 2 * HIDDEN]
+        """What the symbols of (step, lane) add to the gates, as (step, 3 * HIDDEN, lane)."""
+        return self.p["i"] @ self.p["w"].reshape(-1, HIDDEN)[symbols].transpose(0, 2, 1) + self.p["ib"]
+
+    def step(self, gx: np.ndarray, h: np.ndarray, gh: np.ndarray | None = None, gates: np.ndarray | None = None) -> np.ndarray:
+        """The next state; with gates of (3 * HIDDEN, lane), they are left there, and what the state adds to them in gh."""
+        gh = np.matmul(self.p["u"], h, out=gh)
+        gates = np.empty_like(gh) if gates is None else gates
+        zr, n = gates[: 2 * HIDDEN], gates[2 * HIDDEN :]
+        np.add(gx[: 2 * HIDDEN], gh[: 2 * HIDDEN], out=zr)
         np.negative(zr, out=zr)
         np.exp(zr, out=zr)
         zr += 1
         np.reciprocal(zr, out=zr)
-        z, r, gh_n = zr[:HIDDEN], zr[HIDDEN:], gh[2 * HIDDEN :]
-        n = r * gh_n
+        np.multiply(zr[HIDDEN:], gh[2 * HIDDEN :], out=n)
         n += gx[2 * HIDDEN :]
         # the hyperbolic tangent by the exponential
         n *= -2
@@ -170,77 +177,85 @@ class Network:
         np.divide(2, n, out=n)
         n -= 1
         new = h - n
-        new *= z
+        new *= zr[:HIDDEN]
         new += n
-        return new, z, r, n, gh_n
-
-    @staticmethod
-    def softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Exponentials of (kind, token) less each token's largest, and their sums; logits change in place."""
-        logits -= logits.max(0)
-        e = np.exp(logits)
-        return e, e.sum(0)
+        return new
 
     def outputs(self, h: np.ndarray, target: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Log probability of each target symbol after its state in (HIDDEN, tokens); with grads, also the gradient of
-        minus their sum."""
+        minus their sum.  Of the words' gradient only leaves of targets are set, to this one."""
         p, v = self.p, self.v
-        out = np.empty(len(target), h.dtype)
-        dh = None if grads is None else np.empty_like(h)
-        kind = v.class_of(target)
-        # tokens of a class stand side by side
-        order = np.argsort(kind, kind="stable")
-        kind, target, h = kind[order], target[order], h[:, order]
-        by_token = np.ascontiguousarray(h.T)
-        edges = np.searchsorted(kind, np.arange(v.classes + 2))
+        # tokens of a leaf, and so of a class and of a group, stand side by side
+        order = np.argsort(target, kind="stable")
+        leaf, place = np.divmod(target[order], LEAF)
+        kind = v.class_by_leaf[leaf]
+        h = h[:, order]
         value, back = np.zeros(len(target), h.dtype), None if grads is None else np.zeros_like(h)
 
-        def choose(name: str, which: slice, rows: slice, inside: np.ndarray) -> None:
-            weights, here = p[name][which], np.arange(len(inside))
+        def choose(name: str, which: slice | int, rows: slice, inside: np.ndarray) -> None:
+            """A softmax over the rows of weights that which names, of the leaf's words if it is a number."""
+            weights, bias, here = p[name][which], p[name + "b"][which], np.arange(len(inside))
             logits = weights @ h[:, rows]
-            logits += p[name + "b"][which]
-            e, total = self.softmax(logits)
-            value[rows] += logits[inside, here] - np.log(total)
+            logits += bias if bias.ndim == 2 else bias[:, None]
+            logits -= logits.max(0)
+            own = logits[inside, here]
+            e = np.exp(logits, out=logits)
+            total = e.sum(0)
+            value[rows] += own - np.log(total)
             if grads is not None:
                 e /= total
                 e[inside, here] -= 1
                 back[:, rows] += weights.T @ e
                 grads[name][which] += e @ h[:, rows].T
-                grads[name + "b"][which] += e.sum(1, keepdims=True)
+                grads[name + "b"][which] += e.sum(1, keepdims=bias.ndim == 2)
 
+        edges = np.searchsorted(kind, np.arange(len(v.class_counts) + 1))
         group_edges = edges[v.group_starts]
         choose("g", slice(None), slice(None), np.repeat(np.arange(len(v.group_counts)), np.diff(group_edges)))
-        for g in np.flatnonzero(np.diff(group_edges)).tolist():
-            which, rows = slice(v.group_starts[g], v.group_starts[g + 1]), slice(group_edges[g], group_edges[g + 1])
-            if which.stop - which.start > 1:
-                choose("c", which, rows, kind[rows] - which.start)
-        for c in np.flatnonzero(np.diff(edges)).tolist():
-            words, rows = slice(v.starts[c], v.starts[c + 1]), slice(edges[c], edges[c + 1])
-            if words.stop - words.start == 1:
-                # certain within its class
-                if grads is not None:
-                    grads["w"][words], grads["wb"][words] = 0, 0
-                continue
-            # by (token, word), as few tokens may meet many words
-            hc, inside = by_token[rows], target[rows] - words.start
-            here = np.arange(len(inside))
-            logits = hc @ p["w"][words].T
-            logits += p["wb"][words, 0]
-            logits -= logits.max(1, keepdims=True)
-            own = logits[here, inside]
+        for name, starts, at, members in (("c", v.group_starts, group_edges, kind), ("l", v.class_starts, edges, leaf)):
+            for k in np.flatnonzero((np.diff(at) > 0) & (np.diff(starts) > 1)).tolist():
+                rows = slice(at[k], at[k + 1])
+                choose(name, slice(starts[k], starts[k + 1]), rows, members[rows] - starts[k])
+        # words: leaves of many tokens one by one, those of the others side by side
+        first = np.flatnonzero(np.diff(leaf, prepend=-1))
+        size = np.diff(np.append(first, len(leaf)))
+        for k in np.flatnonzero(size >= MANY).tolist():
+            rows = slice(first[k], first[k] + size[k])
+            choose("w", int(leaf[first[k]]), rows, place[rows])
+        few = np.flatnonzero(size < MANY)
+        if len(few):
+            # places of TOGETHER tokens of one leaf, some of them empty
+            groups = -(-size[few] // TOGETHER)
+            of, turn = np.repeat(few, groups), np.arange(groups.sum()) - np.repeat(np.cumsum(groups) - groups, groups)
+            token = first[of, None] + turn[:, None] * TOGETHER + np.arange(TOGETHER)
+            real = token < (first + size)[of, None]
+            token = np.where(real, token, 0)
+            states, words = h.T[token], p["w"][leaf[first[of]]]
+            logits = states @ words.transpose(0, 2, 1)
+            logits += p["wb"][leaf[first[of]], None]
+            logits -= logits.max(2, keepdims=True)
+            own = np.take_along_axis(logits, place[token][:, :, None], 2)[:, :, 0]
             e = np.exp(logits, out=logits)
-            total = e.sum(1)
-            value[rows] += own - np.log(total)
+            total = e.sum(2)
+            value[token[real]] += (own - np.log(total))[real]
             if grads is not None:
-                e /= total[:, None]
-                e[here, inside] -= 1
-                back[:, rows] += (e @ p["w"][words]).T
-                # each class is met once
-                np.matmul(e.T, hc, out=grads["w"][words])
-                grads["wb"][words, 0] = e.sum(0)
+                e /= total[:, :, None]
+                turns, slots = np.nonzero(real)
+                e[turns, slots, place[token[real]]] -= 1
+                e[~real] = 0
+                back[:, token[real]] += (e @ words)[real].T
+                by_word, by_bias, leaves = e.transpose(0, 2, 1) @ states, e.sum(1), leaf[first[of]]
+                for k in range(int(turn.max()) + 1):
+                    # no leaf stands twice among the groups of one turn
+                    here = turn == k
+                    grads["w"][leaves[here]] += by_word[here]
+                    grads["wb"][leaves[here]] += by_bias[here]
+        out = np.empty_like(value)
         out[order] = value
-        if grads is not None:
-            dh[:, order] = back
+        if grads is None:
+            return out, None
+        dh = np.empty_like(h)
+        dh[:, order] = back
         return out, dh
 
     @staticmethod
@@ -255,57 +270,54 @@ class Network:
         """Backpropagation through one window of (step, lane) arrays; returns the state to carry on with.
 
         fresh marks first tokens of documents, which start from a zero state; real marks tokens that are no padding.
-        Of the words' gradient only touched classes are filled in.
+        Of the words' gradient only touched leaves are filled in.
         """
-        gradient[: self.core] = 0
+        gradient[: self.dense] = 0
         g = self.views(gradient)
         steps, lanes = inputs.shape
-        symbols = inputs.ravel()
-        gx = self.inputs(symbols)
-        kept, states = [], np.empty((HIDDEN, steps * lanes), gx.dtype)
+        gx = self.inputs(inputs)
+        gates, gh, states, before = (np.empty((steps, n * HIDDEN, lanes), gx.dtype) for n in (3, 3, 1, 1))
         for t in range(steps):
-            here = slice(t * lanes, (t + 1) * lanes)
-            before = self.cleared(h, fresh[t])
-            h, *gates = self.step(gx[:, here], before)
-            kept.append((before, *gates))
-            states[:, here] = h
+            before[t] = h
+            if fresh[t].any():
+                before[t, :, fresh[t]] = 0
+            h = states[t] = self.step(gx[t], before[t], gh[t], gates[t])
+        states = states.transpose(1, 0, 2).reshape(HIDDEN, -1)
         used = real.ravel()
-        met = np.unique(self.v.class_of(targets.ravel()[used]))
-        taken = np.unique(self.v.class_of(symbols))
-        for c in np.setdiff1d(taken, met).tolist():
-            g["w"][self.v.starts[c] : self.v.starts[c + 1]] = 0
-            g["wb"][self.v.starts[c] : self.v.starts[c + 1]] = 0
-        self.touched = np.union1d(met, taken)
+        self.touched = np.unique(np.concatenate([targets[real], inputs.ravel()]) // LEAF)
+        g["w"][self.touched], g["wb"][self.touched] = 0, 0
         if used.all():
             _, dh_out = self.outputs(states, targets.ravel(), g)
         else:
             dh_out = np.zeros_like(states)
-            _, dh_out[:, used] = self.outputs(np.ascontiguousarray(states[:, used]), targets.ravel()[used], g)
-        # from here gx holds the gradient of what it held
-        dgh = np.empty((3 * HIDDEN, lanes), gx.dtype)
+            _, dh_out[:, used] = self.outputs(np.ascontiguousarray(states[:, used]), targets[real], g)
+        # how each gate, before its function, answers to a state's gradient: all but the product with that gradient
+        z, r, n = gates[:, :HIDDEN], gates[:, HIDDEN : 2 * HIDDEN], gates[:, 2 * HIDDEN :]
+        dh_out = np.ascontiguousarray(dh_out.reshape(HIDDEN, steps, lanes).transpose(1, 0, 2))
+        by_n = (1 - n * n) * (1 - z)
+        by_z = (before - n) * z * (1 - z)
+        by_r = gh[:, 2 * HIDDEN :] * r * (1 - r)
+        # from here gx holds the gradient of what it held, and gh that of what the state added
         back = np.zeros((HIDDEN, lanes), gx.dtype)
         u_t = np.ascontiguousarray(self.p["u"].T)
         for t in range(steps - 1, -1, -1):
-            here = slice(t * lanes, (t + 1) * lanes)
-            before, z, r, n, gh_n = kept[t]
-            back += dh_out[:, here]
-            dn = (1 - n * n) * (1 - z)
-            dn *= back
-            dgh[:HIDDEN] = (before - n) * z * (1 - z) * back
-            dgh[HIDDEN : 2 * HIDDEN] = dn * gh_n * r * (1 - r)
-            gx[: 2 * HIDDEN, here] = dgh[: 2 * HIDDEN]
-            gx[2 * HIDDEN :, here] = dn
-            np.multiply(dn, r, out=dgh[2 * HIDDEN :])
-            g["u"] += dgh @ before.T
-            back *= z
-            back += u_t @ dgh
+            back += dh_out[t]
+            dn = np.multiply(by_n[t], back, out=gx[t, 2 * HIDDEN :])
+            np.multiply(by_z[t], back, out=gh[t, :HIDDEN])
+            np.multiply(by_r[t], dn, out=gh[t, HIDDEN : 2 * HIDDEN])
+            np.multiply(dn, r[t], out=gh[t, 2 * HIDDEN :])
+            back *= z[t]
+            back += u_t @ gh[t]
             if fresh[t].any():
                 back[:, fresh[t]] = 0
-        order = np.argsort(symbols, kind="stable")
-        first = np.flatnonzero(np.diff(symbols[order], prepend=-1))
-        g["i"] += gx @ self.p["w"][symbols]
+        gx[:, : 2 * HIDDEN] = gh[:, : 2 * HIDDEN]
+        g["u"] += (gh @ before.transpose(0, 2, 1)).sum(0)
+        gx = gx.transpose(1, 0, 2).reshape(3 * HIDDEN, -1)
+        symbols = inputs.ravel()
+        g["i"] += gx @ self.p["w"].reshape(-1, HIDDEN)[symbols]
         g["ib"] += gx.sum(1, keepdims=True)
-        g["w"][symbols[order][first]] += np.add.reduceat((self.p["i"].T @ gx)[:, order], first, axis=1).T
+        met, which = np.unique(symbols, return_inverse=True)
+        g["w"].reshape(-1, HIDDEN)[met] += np.stack([np.bincount(which, x, len(met)) for x in self.p["i"].T @ gx], 1)
         return h
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -317,7 +329,7 @@ class Network:
         lanes: list[list[int]] = []
         free: list[tuple[int, int]] = []
         for i in sorted(range(len(texts)), key=lambda i: -len(texts[i])):
-            if len(lanes) < LANES:
+            if len(lanes) < WIDE:
                 heappush(free, (len(texts[i]), len(lanes)))
                 lanes.append([i])
             else:
@@ -328,7 +340,7 @@ class Network:
         size = np.array([n for n, _ in free])
         lanes = [lanes[lane] for _, lane in free]
         whole = [np.concatenate([texts[i] for i in lane]) for lane in lanes]
-        owner = [np.repeat(lane, [len(texts[i]) for i in lane]) for lane in lanes]
+        owner = [np.repeat(np.array(lane, np.int32), [len(texts[i]) for i in lane]) for lane in lanes]
         h = np.zeros((HIDDEN, len(lanes)), np.float32)
         last, before = np.full(len(lanes), self.begin), np.full(len(lanes), -1)
         for start in range(0, int(size.max(initial=0)), WINDOW):
@@ -340,12 +352,11 @@ class Network:
                 targets[: len(part), lane] = part
                 owners[: len(part), lane] = owner[lane][start : start + WINDOW]
             fresh = owners != np.vstack([before, owners[:-1]])
-            gx = self.inputs(np.where(fresh, self.begin, np.vstack([last, targets[:-1]])).ravel())
-            states = np.empty((HIDDEN, WINDOW * live), np.float32)
+            gx = self.inputs(np.where(fresh, self.begin, np.vstack([last, targets[:-1]])))
+            states = np.empty((HIDDEN, WINDOW, live), np.float32)
             for t in range(WINDOW):
-                here = slice(t * live, (t + 1) * live)
-                h = self.step(gx[:, here], self.cleared(h, fresh[t]))[0]
-                states[:, here] = h
+                h = states[:, t] = self.step(gx[t], self.cleared(h, fresh[t]))
+            states = states.reshape(HIDDEN, -1)
             last, before = targets[-1], owners[-1]
             used = owners.ravel() >= 0
             if used.all():
@@ -357,74 +368,98 @@ class Network:
 
 
 class Trainer:
-    """One replica: truncated backpropagation with Adam, and for words' vectors, of which a window is about some, Adagrad.
+    """One replica: truncated backpropagation with Adam, and for vectors of words and leaves, of which a window is about
+    some, Adagrad.
 
-    Documents stand one after another; TOGETHER tokens of them are cut into LANES lanes, which run through windows side
-    by side.
+    Each of LANES lanes holds whole documents, one after another; the next goes to the lane with least to do.  Windows
+    run through all lanes side by side, and every lane's state is carried from one to the next.
     """
 
     def __init__(self, network: Network):
         self.network = network
-        self.waiting: list[np.ndarray] = []
-        self.size = 0
         self.gradient = np.zeros(network.size, np.float32)
         self.views = network.views(self.gradient)
         self.mean, self.square = (np.zeros(network.core, np.float32) for _ in range(2))
-        #: mean squares of each word's gradient, of its vector and its bias; a first one, so that small ones move little
-        self.words = np.ones((2, network.v.own + 1), np.float32)
+        #: mean squares of gradients so far, by leaf and by word, of vector and bias; a first one, so that small ones move little
+        self.leaves = np.ones((2, len(network.v.leaf_counts)), np.float32)
+        self.words = np.ones((2, len(network.v.leaf_counts), LEAF), np.float32)
+        #: how many targets each leaf has had
+        self.met = np.zeros(len(network.v.leaf_counts), np.int64)
         self.steps = self.tokens = 0
+        #: documents that wait, and whether they have begun
+        self.lanes: list[list[tuple[np.ndarray, bool]]] = [[] for _ in range(LANES)]
+        self.free = [(0, lane) for lane in range(LANES)]
+        self.done = 0
+        self.h = np.zeros((HIDDEN, LANES), np.float32)
+        self.last = np.full(LANES, network.begin)
 
     def add(self, symbols: np.ndarray) -> None:
-        self.waiting.append(symbols)
-        self.size += len(symbols)
-        if self.size >= TOGETHER:
-            self.finish()
+        length, lane = heappop(self.free)
+        self.lanes[lane].append((symbols, False))
+        heappush(self.free, (length + len(symbols), lane))
+        if self.free[0][0] - self.done >= AHEAD:
+            self.run(AHEAD)
 
     def finish(self) -> None:
-        """Train on what waits."""
-        if not self.size:
-            return
-        targets = np.concatenate(self.waiting)
-        fresh = np.zeros(self.size, bool)
-        fresh[np.cumsum([0, *(len(w) for w in self.waiting[:-1])])] = True
-        inputs = np.where(fresh, self.network.begin, np.concatenate([[0], targets[:-1]]))
-        lanes = max(1, min(LANES, self.size // WINDOW))
-        steps = -(-self.size // lanes)
-        real = np.arange(lanes * steps) < self.size
-
-        def in_lanes(x: np.ndarray) -> np.ndarray:
-            return np.concatenate([x, np.zeros(lanes * steps - self.size, x.dtype)]).reshape(lanes, steps).T
-
-        inputs, targets, fresh, real = in_lanes(inputs), in_lanes(targets), in_lanes(fresh), real.reshape(lanes, steps).T
-        h = np.zeros((HIDDEN, lanes), np.float32)
-        for start in range(0, steps, WINDOW):
-            part = slice(start, start + WINDOW)
-            h = self.network.train_window(inputs[part], targets[part], fresh[part], real[part], h, self.gradient)
-            self.update(int(real[part].sum()))
-        self.waiting, self.size = [], 0
+        """Train on what is left in the lanes."""
+        left = max(n for n, _ in self.free) - self.done
+        if left > 0:
+            self.run(left)
+
+    def run(self, steps: int) -> None:
+        """The next steps of all lanes; lanes that end before take no part in windows that they don't reach."""
+        network = self.network
+        targets, fresh = np.zeros((LANES, steps), np.int64), np.zeros((LANES, steps), bool)
+        size = np.zeros(LANES, np.int64)
+        for lane, documents in enumerate(self.lanes):
+            at = 0
+            while documents and at < steps:
+                text, begun = documents[0]
+                n = min(len(text), steps - at)
+                targets[lane, at : at + n] = text[:n]
+                fresh[lane, at] = not begun
+                documents[:1] = [(text[n:], True)] if n < len(text) else []
+                at += n
+            size[lane] = at
+        inputs = np.concatenate([self.last[:, None], targets[:, :-1]], 1)
+        inputs[fresh] = network.begin
+        full = np.arange(LANES)[size > 0]
+        self.last[full] = targets[full, size[full] - 1]
+        start = 0
+        while (live := np.flatnonzero(size > start)).size:
+            # few lanes, those of the longest documents, go in longer windows
+            length = WINDOW * min(8, LANES // len(live))
+            part = slice(start, start + length)
+            start += length
+            real = (np.arange(steps)[part] < size[live, None]).T
+            self.h[:, live] = network.train_window(inputs[live, part].T, targets[live, part].T, fresh[live, part].T, real, self.h[:, live], self.gradient)
+            self.met += np.bincount(targets[live, part].T[real] // LEAF, minlength=len(self.met))
+            self.update(int(real.sum()))
+        self.done += steps
 
     def update(self, tokens: int) -> None:
-        if not tokens:
-            return
         self.steps += 1
         self.tokens += tokens
-        network, vectors, biases = self.network, self.views["w"], self.views["wb"][:, 0]
-        for c in network.touched.tolist():
-            words = slice(network.v.starts[c], network.v.starts[c + 1])
-            g, squares = vectors[words], self.words[0, words]
-            squares += np.einsum("ij,ij->i", g, g) / HIDDEN
-            network.p["w"][words] -= g * (np.float32(WORD_RATE) / np.sqrt(squares))[:, None]
-            g, squares = biases[words], self.words[1, words]
-            squares += g * g
-            network.p["wb"][words, 0] -= g * (np.float32(WORD_RATE) / np.sqrt(squares))
+        network, views, rate = self.network, self.views, np.float32(WORD_RATE)
+        touched = network.touched
+        for names, squares, which in ((("l", "lb"), self.leaves, slice(None)), (("w", "wb"), self.words, touched)):
+            g = views[names[0]][which]
+            n = squares[0][which] + np.einsum("...h,...h->...", g, g) / HIDDEN
+            squares[0][which] = n
+            g *= (rate / np.sqrt(n))[..., None]
+            network.p[names[0]][which] -= g
+            g = views[names[1]][which].reshape(n.shape)
+            n = squares[1][which] + g * g
+            squares[1][which] = n
+            network.p[names[1]][which] -= (g * (rate / np.sqrt(n))).reshape(network.p[names[1]][which].shape)
         g = self.gradient[: network.core]
         g /= tokens
         np.clip(g, -0.5, 0.5, out=g)
         self.mean += 0.1 * (g - self.mean)
         self.square += 0.01 * (g * g - self.square)
         # a window of few tokens moves the weights less
-        rate = LEARNING_RATE * min(1.0, tokens / (WINDOW * LANES)) * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps)
-        network.flat[: network.core] -= np.float32(rate) * self.mean / (np.sqrt(self.square) + np.float32(1e-7))
+        pace = LEARNING_RATE * min(1.0, tokens / (WINDOW * LANES)) * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps)
+        network.flat[: network.core] -= np.float32(pace) * self.mean / (np.sqrt(self.square) + np.float32(1e-7))
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -456,38 +491,67 @@ def head_of(counts: DataFrame) -> Vocabulary:
     return Vocabulary(head["word"].to_pylist(), head["n"].to_numpy().astype(np.int64), totals["tokens"] or 0, totals["distinct"])
 
 
-def averaged(replicas: DataFrame, size: int) -> np.ndarray | None:
-    """The average of replicas' (piece, weight, parameters) by weight; None if there are none.
+def parts_of(trainer: Trainer) -> Iterator[pa.RecordBatch]:
+    """A replica as (piece, weights, parameters): piece -1 is all but the words, weighted by tokens; the others are PIECE
+    leaves of words and biases, weighted leaf by leaf by the targets met, and left out where there are none."""
+    p, dense = trainer.network.p, trainer.network.dense
+
+    def row(piece: int, weights: np.ndarray, parameters: np.ndarray) -> pa.RecordBatch:
+        values = [pa.array([piece], pa.int32()), pa.array([weights.astype(np.float64).tobytes()], pa.binary()), pa.array([parameters.astype(np.float32).tobytes()], pa.binary())]
+        return pa.RecordBatch.from_arrays(values, ["piece", "weights", "parameters"])
+
+    yield row(-1, np.array([trainer.tokens]), trainer.network.flat[:dense])
+    for at in range(0, len(trainer.met), PIECE):
+        which = slice(at, at + PIECE)
+        if trainer.met[which].any():
+            words = np.concatenate([p["w"][which].reshape(-1, LEAF * HIDDEN), p["wb"][which]], 1)
+            yield row(at // PIECE, trainer.met[which], words)
+
+
+def averaged(replicas: DataFrame, network: Network) -> bool:
+    """Put the weighted averages of replicas' (piece, weights, parameters) into the network; False if there are none.
 
     A task adds up its pieces as they come, so that it holds one sum for each, and only averages are collected.
     """
-    pieces = -(-size // PIECE)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, tuple[float, np.ndarray]] = {}
+        sums: dict[int, list[np.ndarray]] = {}
         for batch in batches:
-            for piece, weight, raw in zip(*(batch.column(c).to_pylist() for c in ("piece", "weight", "parameters")), strict=True):
-                before, total = sums.get(piece, (0.0, 0.0))
-                sums[piece] = before + weight, total + weight * np.frombuffer(raw, np.float32).astype(np.float64)
-        for piece, (weight, total) in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([weight]), pa.array([(total / weight).astype(np.float32).tobytes()], pa.binary())], ["piece", "weight", "parameters"])
-
-    schema = "piece int, weight double, parameters binary"
-    rows = in_batches(replicas.repartition(min(pieces, 16), "piece"), work, schema).collect()
-    if not rows:
-        return None
-    return np.concatenate([np.frombuffer(r["parameters"], np.float32) for r in sorted(rows, key=lambda r: r["piece"])])
+            for piece, weights, parameters in zip(*(batch.column(c).to_pylist() for c in ("piece", "weights", "parameters")), strict=True):
+                w = np.frombuffer(weights)
+                x = np.frombuffer(parameters, np.float32).reshape(len(w), -1) * w[:, None]
+                if piece in sums:
+                    sums[piece][0] += w
+                    sums[piece][1] += x
+                else:
+                    sums[piece] = [w.copy(), x]
+        for piece, (w, x) in sums.items():
+            x /= np.maximum(w, 1)[:, None]
+            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([w.tobytes()], pa.binary()), pa.array([x.astype(np.float32).tobytes()], pa.binary())], ["piece", "weights", "parameters"])
+
+    pieces = 1 + -(-len(network.v.leaf_counts) // PIECE)
+    rows = in_batches(replicas.repartition(min(pieces, 16), "piece"), work, "piece int, weights binary, parameters binary").collect()
+    for piece, weights, parameters in rows:
+        w = np.frombuffer(weights)
+        x = np.frombuffer(parameters, np.float32).reshape(len(w), -1)
+        if piece < 0:
+            network.flat[: network.dense] = x[0]
+        else:
+            met = np.flatnonzero(w)
+            network.p["w"][piece * PIECE + met] = x[met, : LEAF * HIDDEN].reshape(-1, LEAF, HIDDEN)
+            network.p["wb"][piece * PIECE + met] = x[met, LEAF * HIDDEN :]
+    return bool(rows)
 
 
 def train(training: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
     """The network's parameters after all rounds over (doc_id, text)."""
     spark = training.sparkSession
-    shared = spark.sparkContext.broadcast((vocabulary.words, vocabulary.counts, vocabulary.tokens, vocabulary.distinct))
-    flat = Network(vocabulary).flat
+    shared = broadcast_words(spark, vocabulary)
+    network = Network(vocabulary)
     begin = 0
-    turn = F.pmod(F.xxhash64("doc_id"), F.lit(100))
+    turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(100))
     for end in ROUNDS:
-        start_at = spark.sparkContext.broadcast(flat)
+        start_at = spark.sparkContext.broadcast(network.flat)
 
         def work(batches: Iterator[pa.RecordBatch], start_at=start_at) -> Iterator[pa.RecordBatch]:
             v = worker_vocabulary(shared)
@@ -497,36 +561,40 @@ def train(training: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
                     trainer.add(v.symbols(v.read(text)[0]))
             trainer.finish()
             if trainer.tokens:
-                flat = trainer.network.flat
-                for piece, at in enumerate(range(0, len(flat), PIECE)):
-                    yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([float(trainer.tokens)]), pa.array([flat[at : at + PIECE].tobytes()], pa.binary())], ["piece", "weight", "parameters"])
+                yield from parts_of(trainer)
 
         part = training.filter((turn >= begin) & (turn < end)).select("text")
         # each replica has parameters to pass on, so small partitions share one
-        part = part.coalesce(max(1, min(part.rdd.getNumPartitions() // 2, -(-vocabulary.tokens // REPLICA))))
-        average = averaged(in_batches(part, work, "piece int, weight double, parameters binary"), len(flat))
-        flat = flat if average is None else average
+        wanted = -(-vocabulary.tokens * (end - begin) // (100 * REPLICA))
+        part = part.coalesce(max(1, min(part.rdd.getNumPartitions(), wanted)))
+        averaged(in_batches(part, work, "piece int, weights binary, parameters binary"), network)
+        start_at.unpersist()
         begin = end
-    return flat
+    return network.flat
+
+
+def broadcast_words(spark: SparkSession, v: Vocabulary) -> Broadcast:
+    """The vocabulary under a name of its own, by which workers keep it."""
+    return spark.sparkContext.broadcast((uuid4().hex, v.words, v.counts, v.tokens, v.distinct))
 
 
-_vocabularies: dict[int, Vocabulary] = {}
+_vocabularies: dict[str, Vocabulary] = {}
 
 
-def worker_vocabulary(shared) -> Vocabulary:
+def worker_vocabulary(shared: Broadcast) -> Vocabulary:
     """One per Python worker."""
-    key = hash((shared.value[2], shared.value[3], len(shared.value[0])))
-    if key not in _vocabularies:
+    name, *values = shared.value
+    if name not in _vocabularies:
         _vocabularies.clear()
-        _vocabularies[key] = Vocabulary(*shared.value)
-    return _vocabularies[key]
+        _vocabularies[name] = Vocabulary(*values)
+    return _vocabularies[name]
 
 
 def score_texts(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, flat: np.ndarray, parts: int = 10, held_out: int = 0) -> DataFrame:
     """Scores of all docs in one pass: what the head of the vocabulary and the network give is summed where the text is
     read; only words beyond the head are shuffled, to meet their counts, and their sums return to their document."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((vocabulary.words, vocabulary.counts, vocabulary.tokens, vocabulary.distinct))
+    shared = broadcast_words(spark, vocabulary)
     weights = spark.sparkContext.broadcast(flat)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
