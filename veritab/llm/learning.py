@@ -13,14 +13,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, parts: int,
     """(doc_id, text, label) of at most per_class rows of either class, and how many rows each class has.
 
     Only labels of 0 or 1 count whose crc32(doc_id) modulo parts is not held_out.  The sample is that of the smallest
-    hashes of doc_id, so reruns agree; its ids, of which there are at most twice per_class, are broadcast, and no text
-    is shuffled.
+    hashes of doc_id, so reruns agree; its ids, of which there are at most twice per_class, are broadcast, and only the
+    sample's texts are shuffled.  Of several rows under one id, however many, the text of the smallest hash is taken.
     """
     usable = labels.select("doc_id", F.col(label).cast("int").alias("label")).filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
     usable = usable.filter(remainder(F.col("doc_id"), parts) != held_out)
     sizes = {r["label"]: r["n"] for r in usable.groupBy("label").agg(F.count("*").alias("n")).collect()}
     chosen = [usable.filter(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
-    return docs.select("doc_id", "text").join(F.broadcast(chosen[0].unionByName(chosen[1]).distinct()), "doc_id"), sizes
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen[0].unionByName(chosen[1]).distinct()), "doc_id")
+    one = found.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first"))
+    return one.select("doc_id", F.col("first.text").alias("text"), "label"), sizes
 
 
 def class_weights(y: np.ndarray, sizes: dict[int, int]) -> np.ndarray:

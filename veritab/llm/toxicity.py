@@ -5,18 +5,23 @@ start and end.  Only the highest order is counted by class; what it discounts go
 share, whose counts are Kneser-Ney continuations over both.  So a rare expression gets the same backoff from both
 models, and only what a class says more often than the other tells them apart.  A document is judged by the
 length-normalised difference of its two log-likelihoods: over all of it, over its most suspect passage, and over its
-most suspect words; a logistic calibration on labelled rows turns these three into a score.
+most suspect words; a logistic calibration on labelled rows turns these three into a score.  Lengths are counted in
+units: a word, or, of a longer one, each run of UNIT characters, whose contexts reach back over the seam; so glued
+words and scripts without spaces are judged whole.
 """
 
 from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain
 from math import log
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,19 +30,21 @@ from veritab.llm.learning import class_weights, fit_logistic, labelled_sample, l
 
 ORDER = 8
 START, END = "\x02", "\x03"
-#: Longer words are judged by runs of this many characters, all of them.
-LONGEST = 64
-#: Words in a passage.
+#: Characters of a unit: longer words are several.
+UNIT = 32
+#: Distinct grams that a counting task holds before it passes them on.
+COUNTED = 500_000
+#: Units in a passage.
 PASSAGE = 8
 TOP = 3
 #: By count: 0, 1, 2, more.
 DISCOUNTS = (0.0, 1.0, 1.25, 1.5)
 
 
-def grams(word: str) -> list[str]:
+def grams(word: str) -> Iterator[str]:
     """The word's characters with their contexts: the last character of each string, after what precedes it."""
     marked = START + word + END
-    return [marked[max(0, i + 1 - ORDER) : i + 1] for i in range(1, len(marked))]
+    return (marked[max(0, i + 1 - ORDER) : i + 1] for i in range(1, len(marked)))
 
 
 def word_of(raw: bytes) -> str:
@@ -130,29 +137,32 @@ class WordDifferences(dict):
         self.others = dict(zip(contexts, others.tolist(), strict=True))
         self.max_words = max_words
 
-    def difference(self, word: str) -> float:
-        out = 0.0
-        for gram in grams(word):
+    def difference(self, word: str) -> list[float]:
+        """The differences of the word's units."""
+        out = [0.0] * max(1, -(-len(word) // UNIT))
+        for i, gram in enumerate(grams(word)):
             known = self.own.get(gram)
-            out += self.others.get(gram[:-1], 0.0) if known is None else known
+            # the mark at the end belongs to the last unit
+            out[min(i // UNIT, len(out) - 1)] += self.others.get(gram[:-1], 0.0) if known is None else known
         return out
 
-    def __missing__(self, raw: bytes) -> float:
-        word = word_of(raw)
-        value = max(self.difference(word[i : i + LONGEST]) for i in range(0, len(word), LONGEST))
-        if len(self) >= self.max_words:
-            self.clear()
-        self[raw] = value
+    def __missing__(self, raw: bytes) -> list[float]:
+        value = self.difference(word_of(raw))
+        # a word of a megabyte is not worth keeping
+        if len(raw) <= 256:
+            if len(self) >= self.max_words:
+                self.clear()
+            self[raw] = value
         return value
 
 
 def evidence(text: bytes, differences: WordDifferences) -> tuple[float, float, float, float]:
-    """Mean difference of a text's words, of its most suspect passage, and of its most suspect words; and the
-    logarithm of its length, as the largest of more words is larger by chance."""
+    """Mean difference of a text's units, of its most suspect passage, and of its most suspect units; and the
+    logarithm of its length, as the largest of more units is larger by chance."""
     words = text.split()
     if not words:
         return 0.0, 0.0, 0.0, 0.0
-    d = np.fromiter(map(differences.__getitem__, words), np.float64, len(words))
+    d = np.fromiter(chain.from_iterable(map(differences.__getitem__, words)), np.float64)
     size = min(PASSAGE, len(d))
     sums = np.cumsum(np.concatenate([[0.0], d]))
     passage = (sums[size:] - sums[:-size]).max() / size
@@ -174,25 +184,26 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int =
             for t, c in zip(texts_of(batch.column("text")), batch.column("label").to_pylist(), strict=True):
                 words[c].update(t.split())
         found: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+
+        def out() -> pa.RecordBatch:
+            pairs = list(found.values())
+            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), *[pa.array([p[c] for p in pairs], pa.int64()) for c in (0, 1)]], ["gram", "ordinary", "toxic"])
+
         for c in (0, 1):
             for raw, n in words[c].items():
-                word = word_of(raw)
-                for i in range(0, len(word), LONGEST):
-                    for gram in grams(word[i : i + LONGEST]):
-                        found[gram][c] += n
-        keys = list(found)
-        for i in range(0, len(keys), 20_000):
-            part = keys[i : i + 20_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.string()), pa.array([found[k][0] for k in part], pa.int64()), pa.array([found[k][1] for k in part], pa.int64())],
-                ["gram", "ordinary", "toxic"],
-            )
+                for gram in grams(word_of(raw)):
+                    found[gram][c] += n
+                    if len(found) >= COUNTED:
+                        yield out()
+                        found.clear()
+        if found:
+            yield out()
 
     counted = in_batches(sample.filter(~F.col("calibrates")), count, "gram string, ordinary long, toxic long")
     table = counted.groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")).toArrow().combine_chunks()
     tables = ratio_tables(table["gram"].combine_chunks(), table["ordinary"].to_numpy(), table["toxic"].to_numpy())
     del table
-    shared = docs.sparkSession.sparkContext.broadcast(tables)
+    shared = broadcast_tables(docs.sparkSession, tables)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         differences = worker_differences(shared)
@@ -211,24 +222,30 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int =
     return tables, fit_logistic(x, y, class_weights(y, sizes), ridge=0.05)
 
 
-_models: dict[int, WordDifferences] = {}
+def broadcast_tables(spark: SparkSession, tables: Tables) -> Broadcast:
+    """The tables under a name of their own, by which workers keep them."""
+    return spark.sparkContext.broadcast((uuid4().hex, tables))
+
+
+_models: dict[str, WordDifferences] = {}
 
 
-def worker_differences(shared) -> WordDifferences:
+def worker_differences(shared: Broadcast) -> WordDifferences:
     """One cache of words per Python worker."""
-    key = shared._jbroadcast.id() if getattr(shared, "_jbroadcast", None) else id(shared)
-    if key not in _models:
+    name, tables = shared.value
+    if name not in _models:
         _models.clear()
-        _models[key] = WordDifferences(shared.value)
-    return _models[key]
+        _models[name] = WordDifferences(tables)
+    return _models[name]
 
 
 def score_toxicity(spark: SparkSession, docs: DataFrame, tables: Tables, calibration: np.ndarray, parts: int = 4, held_out: int = 2, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score and predicted (score >= threshold) of every row.
 
-    Null and empty texts have no evidence either way and get the calibration's intercept.
+    Null and empty texts have no evidence either way and get the calibration's intercept.  Rows with null ids are scored
+    and never held out; repeated rows are scored each; other columns take no part; an empty table gives no rows.
     """
-    shared = spark.sparkContext.broadcast(tables)
+    shared = broadcast_tables(spark, tables)
     columns = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"), (remainder(F.col("doc_id"), parts) == held_out).alias("held_out"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
