@@ -4,8 +4,7 @@ The merges are compiled into a deterministic automaton whose transitions carry t
 bpe.PrefixAutomaton), so a word is counted in one walk.  White space is never part of a token and resets the automaton,
 so a stretch of text maps any state to a known one as soon as it holds white space: its state map is the text before
 the first white space (which depends on the state it is entered with), the count in between, and the text after the
-last.  Such maps compose associatively; long texts are cut into chunks and the maps are combined in a parallel prefix
-scan.
+last.  Such maps compose associatively; texts are cut into chunks and the maps are combined in a parallel prefix scan.
 """
 
 from __future__ import annotations
@@ -103,10 +102,8 @@ class WordCounts(dict):
         return out
 
     def count(self, text: str, chunk: int = 1 << 15) -> int:
-        """Tokens of a whole text; one longer than a chunk is cut anywhere, even inside words."""
-        if len(text) <= chunk:
-            return self.between(text)
-        whole = self.scan([self.state_map(text[i : i + chunk]) for i in range(0, len(text), chunk)])[-1]
+        """Tokens of a whole text, which is cut into chunks anywhere, even inside words."""
+        whole = self.scan([self.state_map(text[i : i + chunk]) for i in range(0, max(1, len(text)), chunk)])[-1]
         return self.between(whole.head) + whole.count + (self.between(whole.tail) if whole.tail is not None else 0)
 
 
@@ -142,7 +139,10 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, text: str = "text", limit
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", limit: int = 2048) -> DataFrame:
-    """Only key and the figures: texts are read by the workers but not sent back."""
+    """Only key, as doc_id, and the figures: texts are read by the workers but not sent back.
+
+    Null and empty texts have 0 tokens; null and repeated ids give a row each; an empty table gives none.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = counter(tokenizer_path)
