@@ -26,8 +26,12 @@ CLOSING = tuple(c.encode() for c in ".!?:;…\"”’»)]")
 BOILERPLATE = (
     "all rights reserved", "licensed under", "released under the", "terms of use", "terms of service", "privacy policy", "cookie policy", "use cookies",
     "enable javascript", "lorem ipsum", "click here", "subscribe to our", "sign up for", "skip to content", "powered by",
+    "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "hier klicken", "zum inhalt springen",
+    "tous droits réservés", "mentions légales", "politique de confidentialité", "cliquez ici", "aller au contenu",
+    "todos los derechos reservados", "política de privacidad", "aviso legal", "haga clic aquí", "saltar al contenido",
 )
-_BOILERPLATE = re.compile("|".join(BOILERPLATE).encode())
+#: Lines are lowered in ASCII only, so other letters match in both cases.
+_BOILERPLATE = re.compile("|".join("".join(c if c.isascii() else f"(?:{c}|{c.upper()})" for c in phrase) for phrase in BOILERPLATE).encode())
 _NOT_CHARS = bytes([0x20, *range(0x09, 0x0E), *range(0x80, 0xC0)])
 _SPACES = bytes([0x20, *range(0x09, 0x0E)])
 
