@@ -5,7 +5,7 @@ times its mean, so the words asked of it until t are target * ((1 - slope) * t +
 its source's cumulated words gives, by the inverse of that demand, its position in training; sorting by position
 interleaves the sources as the schedules say.
 
-Prefix sums over a source do not pass through one task: documents fall into BLOCKS blocks by the hash of their id, the
+Prefix sums over a source do not pass through one task: documents fall into blocks by the hash of their id and text, the
 blocks' sums are cumulated, and running sums are taken within (source, block).
 """
 
@@ -28,6 +28,11 @@ def cycled(values: Sequence[float], rank: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), (rank % len(values) + 1).cast("int"))
 
 
+def row_hash(key: Column, text: Column) -> Column:
+    """By id and text, so that rows of one id, null or not, scatter too."""
+    return F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit("")))))
+
+
 def source_targets(sizes: DataFrame, weights: Sequence[int], slopes: Sequence[float], share: float) -> DataFrame:
     """source_key, source_size, target and slope of each source of (source_key, source, size).
 
@@ -78,18 +83,17 @@ def mix(
 
     Sources stand in code-point order, null last and as a source of its own; weights and slopes repeat over them.  A
     null text has no words; a source of no words has target 0.  Within a source documents are taken in the order of
-    the MD5 of their id, pass after pass, until the target; the document at the target is cut there, or, with whole,
-    taken fully if more than half of it lies before the target.  Ties (repeated or null ids) are ordered by text; rows
-    equal in both are interchangeable.
+    row_hash, pass after pass, until the target; the document at the target is cut there, or, with whole, taken fully if
+    more than half of it lies before the target.  Rows equal in id and text are interchangeable.  An empty table gives no
+    rows.
     """
-    hashed = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
+    hashed = row_hash(F.col(key), F.col(text))
     sized = docs.select(
         F.col(key).alias("doc_id"),
         F.col(source).alias("source"),
         F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("null")).alias("source_key"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         hashed.alias("hash"),
-        F.xxhash64(text).alias("text_hash"),
         F.substring(hashed, 1, BLOCK_DIGITS).alias("block"),
         F.struct(*[F.col(c) for c in keep]).alias("kept") if keep else F.lit(0).alias("kept"),
     )
@@ -97,7 +101,7 @@ def mix(
     earlier = Window.partitionBy("source_key").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select("source_key", "block", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("block_start"))
     starts = starts.join(source_targets(blocks, weights, slopes, share), "source_key")
-    running = Window.partitionBy("source_key", "block").orderBy("hash", "doc_id", "size", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
+    running = Window.partitionBy("source_key", "block").orderBy("hash", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.join(starts, ["source_key", "block"]).withColumn("start", F.col("block_start") + F.coalesce(F.sum("size").over(running), F.lit(0)))
 
     def words(n: int) -> Column:
@@ -123,14 +127,14 @@ def training_order(docs: DataFrame, key: str = "doc_id", source: str = "source",
     renamed = docs.select(*[F.col(c).alias(name) for c, name in own.items()])
     mixed = mix(renamed, key=own[key], source=own[source], text=own[text], whole=True, keep=renamed.columns, **options)
     passes = mixed.select("*", F.explode(F.filter("positions", lambda p: p.isNotNull())).alias("position"))
-    ordered = passes.orderBy("position", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    ordered = passes.orderBy("position", row_hash(F.col("doc_id"), F.col(own[text])))
     return ordered.select(*[F.col(name).alias(c) for c, name in own.items()])
 
 
 #: The query op10 in DuckDB's SQL.
 ORACLE = r"""
 WITH doc AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '')) AS hash FROM documents
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '') || md5(coalesce(text, ''))) AS hash FROM documents
 ), src AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM doc GROUP BY source
 ), ranked AS (
