@@ -3,7 +3,9 @@
 Equal texts form one atomic group; groups stand in the order of a 64-bit hash of their text.  The smallest capacity at
 which the ordered groups still fit into the wished number of contiguous shards is found by binary search with a greedy
 check.  The driver never sees the groups: it holds sums over at most some ten thousand ranges of the hash, and asks for
-finer sums only where a cut may fall.  Within that capacity the cuts are then set as evenly as the groups allow.
+finer sums only where a cut may fall.  Cuts where the greedy check ends its shards would leave the last shards short or
+empty, all the more where one group is large; so within that capacity, which no shard exceeds, the cuts are spread as
+evenly as the groups allow.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritab.llm.frames import written
@@ -174,8 +176,8 @@ def shard_documents(docs: DataFrame, shards: int = 24, key: str = "doc_id", text
     placed = rows.select("*", shard.alias("shard"), F.shiftright("place", ROW_BITS).alias("part"), F.col("place").bitwiseAND((1 << ROW_BITS) - 1).alias("row"))
     runs = placed.groupBy("part", "shard").agg(F.min("row").alias("first_row"), F.count("*").alias("n"))
     # one row for each partition and each cut: no more than partitions plus shards
-    before = runs.alias("a").join(runs.alias("b"), (F.col("a.shard") == F.col("b.shard")) & (F.col("b.part") < F.col("a.part")), "left")
-    before = before.groupBy("a.part", "a.shard", "a.first_row").agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("earlier"))
-    return placed.join(F.broadcast(before), ["part", "shard"]).select(
+    ahead = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = runs.select("part", "shard", "first_row", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("earlier"))
+    return placed.join(before, ["part", "shard"]).select(
         "doc_id", "size", "text_crc32", "group_key", "shard", (F.col("row") - F.col("first_row") + F.col("earlier")).alias("slot")
     )
