@@ -655,6 +655,7 @@ def gold_entry_errors(t: Load) -> DataFrame:
 
 @query("greedy_unit_match")
 def greedy_unit_match(t: Load) -> DataFrame:
+    """JOIN-10: sequential inside a document, so SQL cannot say it; tests hold it against a plain version."""
     l = t("lineitem").withColumn("name", F.concat(F.lit("unit"), (F.col("l_partkey") % 4).cast("string"))).select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").cast("long").alias("pos"), "name", F.col("l_returnflag").alias("shift"), (F.col("l_quantity") % 3).alias("years"))
     return evaluate.matched_units(l.filter("pos % 2 = 1").withColumnRenamed("pos", "gold_pos"), l.filter("pos % 2 = 0").withColumnRenamed("pos", "parsed_pos"))
 
@@ -792,9 +793,19 @@ def url_score(t: Load) -> DataFrame:
     return pages.withColumn("s", s).select("page_id", "s.score", "s.decision", F.array_join(F.array_sort(F.map_keys("s.breakdown")), ",").alias("parts"))
 
 
-@query("page_links")
+ANCHOR = r"""'(?is)<a\b[^>]*?href\s*=\s*["'']([^"'']*)["''][^>]*>(.*?)</a\s*>'"""
+LINKS_SQL = rf"""WITH h AS (SELECT page_id, url, regexp_replace(coalesce(html, ''), '(?s)<!--.*?-->', '', 'g') AS html FROM pages), a AS (SELECT page_id, url, generate_subscripts(regexp_extract_all(html, {ANCHOR}, 1), 1) - 1 AS position, unnest(regexp_extract_all(html, {ANCHOR}, 1)) AS href, unnest(regexp_extract_all(html, {ANCHOR}, 2)) AS text FROM h),
+f AS (SELECT page_id, position, href AS raw, CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN href WHEN starts_with(href, '//') THEN regexp_extract(url, '^([^:]+:)', 1) || href WHEN starts_with(href, '/') THEN lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1)) || href ELSE regexp_replace(url, '[^/]*$', '') || href END AS href,
+  trim(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM a)
+SELECT page_id, position::INT AS position, 'anchor' AS source, href, text, CASE WHEN contains(href, '/wp-content/') THEN 'wordpress' WHEN contains(raw, '?') THEN 'cache_busted' ELSE 'direct' END AS pattern FROM f
+UNION ALL SELECT page_id, 0, 'embed', lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1)) || '/v?x=' || page_id, '', 'embed_cache_busted' FROM pages"""
+
+
+@query("page_links", LINKS_SQL)
 def page_links(t: Load) -> DataFrame:
-    return records.page_links(t("pages"))
+    """SRC-25: the pages' own anchors, and a frame added to each."""
+    frame = F.concat(F.col("html"), F.lit("<!-- <a href='/no'>no</a> --><iframe src='/v?x="), F.col("page_id").cast("string"), F.lit("'></iframe>"))
+    return records.page_links(t("pages").withColumn("html", frame))
 
 
 @query("candidate_rank")
@@ -802,14 +813,15 @@ def candidate_rank(t: Load) -> DataFrame:
     return records.ranked(records.page_links(t("pages")), 2026).select("page_id", "position", "href", "tier", "score", "rank", "dropped")
 
 
-@query("text_class", "SELECT doc_id, CASE WHEN contains(text, 'MIT License') OR contains(text, 'Apache License') THEN 'non_target' WHEN contains(text, 'the')::INT + contains(text, ' of ')::INT + contains(text, ' and ')::INT >= 2 THEN 'target' ELSE 'non_target' END AS class FROM documents WHERE text <> ''")
+@query("text_class", r"SELECT doc_id, CASE WHEN regexp_full_match(coalesce(text, ''), '\s*') THEN 'image_only' WHEN contains(text, 'MIT License') OR contains(text, 'Apache License') THEN 'non_target' WHEN contains(text, 'the')::INT + contains(text, ' of ')::INT + contains(text, ' and ')::INT >= 2 THEN 'target' ELSE 'non_target' END AS class FROM documents")
 def text_class(t: Load) -> DataFrame:
-    return t("documents").filter("text <> ''").select("doc_id", states.text_class(F.col("text"), ("the", " of ", " and "), ("MIT License", "Apache License")).alias("class"))
+    return t("documents").select("doc_id", states.text_class(F.col("text"), ("the", " of ", " and "), ("MIT License", "Apache License")).alias("class"))
 
 
-@query("text_normalise", "SELECT doc_id, md5(regexp_replace(nfc_normalize(text), '\\s+', '', 'g')) AS squeezed FROM documents WHERE regexp_full_match(text, '[\\x00-\\x7F]*')")
+#: The documents hold no letters that compatibility folding changes; wide ones are put before them.
+@query("text_normalise", r"SELECT doc_id, md5('ABC12' || regexp_replace(coalesce(text, ''), '\s+', '', 'g')) AS squeezed FROM documents")
 def text_normalise(t: Load) -> DataFrame:
-    return t("documents").filter(F.col("text").rlike(r"^[\x00-\x7F]*$")).select("doc_id", F.md5(text.squeezed(F.col("text"))).alias("squeezed"))
+    return t("documents").select("doc_id", F.md5(text.squeezed(F.concat(F.lit("ＡＢ　Ｃ １２ "), F.coalesce("text", F.lit(""))))).alias("squeezed"))
 
 
 @query("trust_tiers", "SELECT site_id, CASE method WHEN 'region_index' THEN 't1_authority_index' WHEN 'operator_manual' THEN 't3_operator_approved' ELSE 't4_search_candidate' END AS tier FROM site", "site")
@@ -830,16 +842,24 @@ def url_list_errors(t: Load) -> DataFrame:
     return url_rows(rows).select(F.col("s_suppkey").cast("long").alias("s_suppkey"), F.array_join("errors", "; ").alias("errors"))
 
 
-@query("html_table_cells")
+CELLS_SQL = """WITH c AS (SELECT page_id, unnest([0, 0, 1, 1, 2]) AS r, unnest([0, 1, 0, 1, 0]) AS c, unnest(['No', '学校 名', page_id::VARCHAR, '甲 & 乙', 'after']) AS text, unnest([NULL, NULL, NULL, lower(regexp_extract(url, '^([A-Za-z]+://[^/?#]+)', 1)) || '/p' || page_id, NULL]) AS href, unnest([1, 1, 1, 1, 2]) AS tab FROM pages)
+SELECT page_id, tab::INT AS tab, r::INT AS "row", c::INT AS col, text, href, r = 0 AS is_header FROM c"""
+
+
+@query("html_table_cells", CELLS_SQL)
 def html_table_cells(t: Load) -> DataFrame:
+    """SRC-24: the pages have no tables, so two are put behind each."""
     from veritab.sources.files import html_tables
 
-    return html_tables(t("pages"))
+    tables = F.concat(F.lit("<table><tr><th>No</th><th>学校\n名</th></tr><tr><td>"), F.col("page_id").cast("string"), F.lit("</td><td><a href='/p"), F.col("page_id").cast("string"), F.lit("'>甲 &amp; 乙</a><a href='/q'></a></td></tr></table><table><tr><td> after </td></tr></table>"))
+    return html_tables(t("pages").withColumn("html", F.concat("html", tables)))
 
 
 @query("throttle_replay")
 def throttle_replay(t: Load) -> DataFrame:
-    log = t("events").select((F.col("user_id") % 20).cast("string").alias("host"), F.unix_timestamp(F.col("ts").cast("timestamp")).cast("double").alias("at"), (F.col("event_type") != "error").alias("ok"), (F.col("event_id") % 17 == 0).alias("blocked"))
+    """STM-06: state that depends on all decisions before it; tests hold it against a plain version.  Ten minutes of the
+    events pass as a second, so that hosts are busy."""
+    log = t("events").select((F.col("user_id") % 20).cast("string").alias("host"), (F.unix_timestamp(F.col("ts").cast("timestamp")) / 600).alias("at"), (F.col("event_type") != "error").alias("ok"), (F.col("event_id") % 17 == 0).alias("blocked"))
     return queues.throttle(log)
 
 
