@@ -13,6 +13,7 @@ from veritab.functions.text import name_variant
 from veritab.operators import revision
 from veritab.operators.report import valid_unit
 from veritab.operators.workflow import identity_matches
+from veritab.streaming.state import stored
 
 MEASURES = ("capacity", "enrollment", "graduates", "dropouts")
 UNIT = ("entity_id", "unit", "period")
@@ -56,8 +57,9 @@ def ingest(documents: DataFrame, units: DataFrame, support: DataFrame, names: Da
     revision and MEASURES; recipients: entity_id, period, revision and SUPPORT.  Of several documents of one entity and
     period the last is taken, the others are superseded; of several rows of one unit that of the largest measures.  A unit whose confidence calls for review is not written; a
     document none of whose units is written is review_pending, and one whose rows say nothing new is unchanged.
+    Verdicts, scored units and new facts are tables in the shared folder, as states rest on all of them.
     """
-    checked = judged(documents, names, target)
+    checked = stored(judged(documents, names, target), "judged")
     good = checked.filter("problem IS NULL")
     last = good.groupBy("entity_id", "period").agg(F.max("document_id").alias("document_id"))
     one = units.groupBy("document_id", "unit").agg(F.max(F.struct(*MEASURES)).alias("m")).select("document_id", "unit", "m.*")
@@ -66,10 +68,11 @@ def ingest(documents: DataFrame, units: DataFrame, support: DataFrame, names: Da
     required = [F.col(m) for m in MEASURES]
     b = numbers.breakdown(numbers.extraction_factor(required), required, F.col("enrollment"), F.col("prior"), "pdf_parse")
     scored = rows.join(prior, list(UNIT), "left").withColumn("confidence", F.round(b["composite"], 9)).withColumn("verdict", numbers.verdict(F.col("confidence")))
+    scored = stored(scored, "scored")
     writable = scored.filter(F.col("verdict").isin("auto", "auto_flag")).select(*UNIT, "document_id", *MEASURES, "confidence", "verdict")
-    new_facts = _new_revisions(writable.drop("confidence", "verdict"), facts, UNIT, MEASURES).join(writable.select(*UNIT, "confidence", "verdict"), list(UNIT))
+    new_facts = stored(_new_revisions(writable.drop("confidence", "verdict"), facts, UNIT, MEASURES).join(writable.select(*UNIT, "confidence", "verdict"), list(UNIT)), "facts")
     new_support = _new_revisions(last.join(support, "document_id"), recipients, ("entity_id", "period"), SUPPORT)
-    per = rows.groupBy("document_id").agg(F.count("*").alias("units"))
+    per = scored.groupBy("document_id").agg(F.count("*").alias("units"))
     may = writable.groupBy("document_id").agg(F.count("*").alias("writable"))
     done = new_facts.groupBy("document_id").agg(F.count("*").alias("written"))
     newest = last.select("document_id", F.lit(True).alias("newest"))

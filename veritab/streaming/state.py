@@ -1,10 +1,11 @@
-"""Where streams keep their progress."""
+"""Where streams keep their progress, and jobs what several of their results rest on."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -15,3 +16,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return tempfile.mkdtemp(prefix="veritab-stream-")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder: what several results rest on is worked out once."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
