@@ -200,7 +200,10 @@ def similarity(a, b):
     return common / (sum(a.values()) + sum(b.values()) - common)
 
 
-def test_near_groups(spark):
+@pytest.mark.parametrize("members", [512, 3])
+def test_near_groups(spark, monkeypatch, members):
+    # with few members in a block, open buckets are worked through in many
+    monkeypatch.setattr(bagminhash, "MEMBERS", members)
     random.seed(10)
     words = [f"w{i}" for i in range(300)]
     texts = [None, "", "a b", "a  b"]
@@ -233,6 +236,43 @@ def test_near_groups(spark):
     assert bagminhash.near_groups(empty(spark)).count() == 0
 
 
+def test_large_open_buckets(spark, monkeypatch):
+    """A chain of texts, each similar to the next only, and many that share bands with it, over many blocks."""
+    monkeypatch.setattr(bagminhash, "MEMBERS", 16)
+    random.seed(20)
+    words = [f"w{i}" for i in range(100)]
+    texts = [" ".join(words)]
+    for i in range(300):
+        # one word in thirty is new, so that a text is like its neighbours and unlike those far off
+        words = [w if (k + i) % 30 else f"x{i}_{k}" for k, w in enumerate(words)]
+        texts.append(" ".join(words))
+    texts += [" ".join(f"w{random.randrange(40)}" for _ in range(60)) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in bagminhash.near_groups(docs).collect()}
+    b, parent = bags(texts), list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if similarity(b[i], b[j]) >= 0.8:
+                low, high = sorted((find(i), find(j)))
+                parent[high] = low
+    assert got == {i: find(i) for i in range(len(texts))}
+
+
+def test_clashing_names_and_long_texts(spark):
+    long = " ".join(f"w{i % 5000}" for i in range(200_000))
+    docs = spark.createDataFrame([(1, long), (2, long + " end"), (3, "a b c d e f"), (-1, "other"), (None, "else")], "doc_id long, text string")
+    docs = docs.withColumns({c: F.lit("mine") for c in ("_id", "_node", "_keeper", "_text", "c0", "bucket", "n")})
+    kept = bagminhash.first_of_groups(docs)
+    assert kept.columns == docs.columns and kept.filter("_id <> 'mine' OR _node <> 'mine'").count() == 0
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter([1, 3, -1, None])
+
+
 def test_null_and_repeated_ids(spark):
     random.seed(19)
     text = lambda: " ".join(random.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(60))

@@ -23,7 +23,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -314,15 +314,16 @@ def linked_groups(entries: DataFrame, edges: DataFrame, members: DataFrame) -> D
     """(node, root): components of the edges and of what blocks of open buckets add to them.
 
     A bucket is open if it has more than two members (two have met already) and they are not all in one group.  Its
-    members are dealt into blocks of MEMBERS, and every two blocks meet in one place, so what a task holds is bounded.
+    members are dealt by a hash into blocks of about MEMBERS, and every two blocks meet in one place, so what a task
+    holds is bounded.
     members: (node, windows, bands).
     """
     groups = components(edges)
     rooted = entries.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     unlike = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"))
     unlike = unlike.filter((F.col("low") < F.col("high")) & (F.col("size") > 2)).select("bucket", (F.ceil(F.col("size") / MEMBERS)).cast("int").alias("blocks"))
-    turn = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-    open_ = written(rooted.join(unlike, "bucket").withColumn("block", F.floor((turn - 1) / MEMBERS).cast("int")), "open")
+    dealt = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
+    open_ = written(rooted.join(unlike, "bucket").withColumn("block", dealt), "open")
     if open_.isEmpty():
         return groups
     met = open_.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -407,14 +408,18 @@ def first_of_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     Rows are told apart by id and windows, so different texts under null or repeated ids are each kept.
     """
-    keepers = grouped(docs, key, text)[1].filter("kept").select(F.col("first_id").alias("_id"), F.col("node").alias("_node"))
+    # names of our own, so that no column of the documents clashes with what is added
+    own = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    renamed = docs.select(*[F.col(f"`{c}`").alias(name) for c, name in own.items()])
+    keepers = grouped(renamed, own[key], own[text])[1].filter("kept").select(F.col("first_id").alias("_id"), F.col("node").alias("_node"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = pa.array([name_of(windows(t)) for t in texts_of(batch.column("_text"))], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], names], [*batch.schema.names[:-1], "_node"])
 
-    numbered = docs.withColumn("_id", id_of(key))
+    numbered = renamed.withColumn("_id", id_of(own[key]))
     schema = StructType([*numbered.schema.fields, StructField("_node", LongType())])
-    named = in_batches(numbered.withColumn("_text", F.col(text)), work, schema)
-    return named.join(keepers, ["_id", "_node"]).dropDuplicates(["_id", "_node"]).select(*docs.columns)
+    named = in_batches(numbered.withColumn("_text", F.col(own[text])), work, schema)
+    kept = named.join(keepers, ["_id", "_node"]).dropDuplicates(["_id", "_node"])
+    return kept.select(*[F.col(name).alias(c) for c, name in own.items()])
