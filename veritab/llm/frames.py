@@ -45,7 +45,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def in_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
-    """mapInArrow with batches of BATCH_ROWS rows."""
+    """mapInArrow with batches of BATCH_ROWS rows.  The size is a setting of the session, which is read when a job runs, so
+    it stays set."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.mapInArrow(work, schema)
 

@@ -34,6 +34,8 @@ EF_BUILD, EF_SEARCH = 40, 128
 TOP_LAYER = 5
 #: Vectors on which centres and routes are fitted, and the share of true neighbours that routes keep there.
 SAMPLE, ROUTED = 16384, 0.99
+#: Components in a sample.
+SAMPLE_NUMBERS = 8_000_000
 
 
 def diverse(unit: np.ndarray, sims: np.ndarray, near: np.ndarray, most: int) -> np.ndarray:
@@ -248,7 +250,9 @@ def fit_routes(found: DataFrame, k: int) -> dict[int, Routes]:
     out = {}
     for dim, rows in found.groupBy("dim").agg(F.count("*").alias("rows")).filter(F.col("rows") > SHARD_ROWS).collect():
         few = found.filter(F.col("dim") == dim)
-        sample = few.orderBy(F.xxhash64("vector"), "vector").limit(SAMPLE).select("vector").collect()
+        # fewer of longer vectors, so that the sample's size is bounded too
+        most = min(SAMPLE, max(1024, SAMPLE_NUMBERS // dim))
+        sample = few.orderBy(F.xxhash64("vector"), "vector").limit(most).select("vector").collect()
         out[dim] = Routes(np.stack([np.frombuffer(r["vector"]) for r in sample]), -(-rows // SHARD_ROWS), k)
     if not out:
         return out
