@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from veritab.functions import states
 from veritab.functions.numbers import values_equal, within
 from veritab.functions.text import granularity_collision, join_key, join_key_label
+from veritab.streaming.state import stored
 
 FIVE = ("exact_match", "value_mismatch", "missing_actual", "unexpected_actual", "ambiguous_key")
 SEVEN_EXTERNAL = ("match", "value_mismatch", "missing_in_primary", "missing_in_external", "ambiguous_key_not_comparable", "needs_review_not_comparable", "excluded_not_comparable")
@@ -114,7 +115,8 @@ PAYLOAD = ("review_id", "review_status", "final_value", "reviewed_unit", "source
 def _both_sides(reviewed: DataFrame, other: DataFrame) -> DataFrame:
     """The rows of both sides under one another, with their key, its label, and how many rows of the key each side has.
 
-    Keys are counted first, with partial sums; rows meet one row of counts each, so no key's rows are ever gathered.
+    Names are folded once, into a table in the shared folder.  Keys are counted first, with partial sums; rows meet one
+    row of counts each, so no key's rows are ever gathered.
     """
     wanted = reviewed.filter(F.col("metric").isNotNull() & (F.col("metric") != "") & F.col("unit").isNotNull() & (F.col("unit") != ""))
     key = join_key(F.col("entity"), F.col("category"), F.col("unit"), F.col("period"), F.col("metric"))
@@ -125,7 +127,7 @@ def _both_sides(reviewed: DataFrame, other: DataFrame) -> DataFrame:
     rows = ours.unionByName(theirs)
     # nulls and bars inside a part must not make two keys one
     parts = [F.coalesce(F.col(f"key.{n}").cast("string"), F.lit("\u0000")) for n in ("entity", "category", "unit", "period", "metric")]
-    rows = rows.select(F.concat_ws("\u001f", *parts).alias("k"), join_key_label(F.col("key")).alias("key"), "ours", *PAYLOAD)
+    rows = stored(rows.select(F.concat_ws("\u001f", *parts).alias("k"), join_key_label(F.col("key")).alias("key"), "ours", *PAYLOAD), "both-sides")
     counts = rows.groupBy("k").agg(F.count_if("ours").alias("reviewed_rows"), F.count_if(~F.col("ours")).alias("other_rows"))
     return rows.join(counts, "k")
 

@@ -1,7 +1,7 @@
-"""Entity resolution: tiers of ever looser joins, the first tier that finds something wins, ambiguity is refused.
+"""Entity resolution: tiers of ever looser keys, the first tier that finds something wins, ambiguity is refused.
 
-Every tier but the first sees only what earlier tiers left over, so the expensive ones are small.  Containment tests are
-equi joins on the rarest pair of letters of the shorter name within a block (the region): what holds a name holds that
+All tiers meet in one join on (tier, key), of which each row keeps its first; only containment, which costs more, sees
+just what the keys left over.  Containment tests are equi joins on the rarest pair of letters of the shorter name within a block (the region): what holds a name holds that
 pair too.
 """
 
@@ -48,26 +48,29 @@ def tiered(left: DataFrame, right: DataFrame, tiers: Sequence[tuple[str, Key, bo
     and whether regions must agree.  Within a tier the same region comes first, then the lowest right_id.  With least,
     a last tier takes the best containment score of at least that in the same region.  Null names match nothing.
     """
-    rest, found = left, None
-    order = Window.partitionBy("left_id").orderBy(F.col("same").desc(), F.col("score").desc(), "right_id")
-
-    def take(pairs: DataFrame, tier: str) -> None:
-        nonlocal rest, found
-        best = pairs.withColumn("_n", F.row_number().over(order)).filter("_n = 1").select("left_id", "right_id", F.lit(tier).alias("tier"))
-        found = best if found is None else found.unionByName(best)
-        rest = rest.join(best.select("left_id"), "left_id", "left_anti")
-
-    for tier, key, regional in tiers:
-        l = rest.select("left_id", "region", key(F.col("name")).alias("k")).filter("k <> ''")
-        r = right.select("right_id", F.col("region").alias("r_region"), key(F.col("name")).alias("k")).filter("k <> ''")
-        pairs = l.join(r, "k").withColumns({"same": F.coalesce(F.col("region") == F.col("r_region"), F.lit(False)).cast("int"), "score": F.lit(1.0)})
-        take(pairs.filter("same = 1") if regional else pairs, tier)
-    if least is not None:
-        key = tiers[-1][1]
-        l = rest.select("left_id", "region", key(F.col("name")).alias("k")).filter("k <> ''")
-        r = right.select("right_id", "region", key(F.col("name")).alias("rk")).filter("rk <> ''")
-        take(containing(l, r, "region").withColumns({"score": containment(F.col("k"), F.col("rk")), "same": F.lit(1)}).filter(F.col("score") >= least), "containment")
-    return found
+    keys = [key for _, key, _ in tiers]
+    l, r = _by_tier(left, "left_id", keys), _by_tier(right, "right_id", keys)
+    first = r.groupBy("turn", "k", F.col("region").alias("r_region")).agg(F.min("right_id").alias("right_id"))
+    regional = F.array(*[F.lit(only) for _, _, only in tiers])[F.col("turn")]
+    pairs = l.join(first, ["turn", "k"]).withColumn("other", (~F.coalesce(F.col("region") == F.col("r_region"), F.lit(False))).cast("int"))
+    best = pairs.filter(~regional | (F.col("other") == 0)).groupBy("left_id").agg(F.min(F.struct("turn", "other", "right_id")).alias("b"))
+    named = F.array(*[F.lit(name) for name, _, _ in tiers])
+    found = best.select("left_id", "b.right_id", named[F.col("b.turn")].alias("tier"))
+    if least is None:
+        return found
+    last = len(tiers) - 1
+    rest = l.filter(F.col("turn") == last).join(found.select("left_id"), "left_id", "left_anti").select("left_id", "region", "k")
+    near = containing(rest, r.filter(F.col("turn") == last).select("right_id", "region", F.col("k").alias("rk")), "region")
+    scored = near.withColumn("score", containment(F.col("k"), F.col("rk"))).filter(F.col("score") >= least)
+    closest = scored.groupBy("left_id").agg(F.min(F.struct((-F.col("score")).alias("far"), "right_id")).alias("b"))
+    return found.unionByName(closest.select("left_id", "b.right_id", F.lit("containment").alias("tier")))
+
+
+def _by_tier(rows: DataFrame, ident: str, keys: Sequence[Key]) -> DataFrame:
+    """(ident, region, turn, k): each row's keys, one row for each tier that gives one."""
+    region = F.col("region") if "region" in rows.columns else F.lit(None).cast("string")
+    wide = rows.select(ident, region.alias("region"), *[key(F.col("name")).alias(f"k{i}") for i, key in enumerate(keys)])
+    return wide.select(ident, "region", F.posexplode(F.array(*[f"k{i}" for i in range(len(keys))])).alias("turn", "k")).filter("k <> ''")
 
 
 def unconflicted(matches: DataFrame, tiers: Sequence[str], code: str = "right_id") -> DataFrame:
@@ -76,20 +79,13 @@ def unconflicted(matches: DataFrame, tiers: Sequence[str], code: str = "right_id
     return matches.withColumn("_claims", claims).filter((F.col("_claims") == 1) & F.col("tier").isin(*tiers)).drop("_claims")
 
 
-def unique_keys(rows: DataFrame, key: Column, ident: str) -> DataFrame:
-    """Keys that stand for one id only; ambiguous ones are refused."""
-    return rows.groupBy(key.alias("k")).agg(F.count_distinct(ident).alias("ids"), F.min(ident).alias(ident)).filter("ids = 1").drop("ids")
-
-
 def unique_match(left: DataFrame, right: DataFrame, tiers: Sequence[tuple[str, Key]], least_length: int = 2) -> DataFrame:
     """JOIN-07, JOIN-08, JOIN-14: (left_id, right_id, tier) by keys that stand for one right row only."""
-    rest, found = left, None
-    for tier, key in tiers:
-        r = unique_keys(right.filter(F.length(key(F.col("name"))) >= least_length), key(F.col("name")), "right_id")
-        hit = rest.select("left_id", key(F.col("name")).alias("k")).join(r, "k").select("left_id", "right_id", F.lit(tier).alias("tier"))
-        found = hit if found is None else found.unionByName(hit)
-        rest = rest.join(hit.select("left_id"), "left_id", "left_anti")
-    return found
+    keys = [key for _, key in tiers]
+    r = _by_tier(right, "right_id", keys).filter(F.length("k") >= least_length)
+    only = r.groupBy("turn", "k").agg(F.min("right_id").alias("right_id"), F.max("right_id").alias("last")).filter("right_id = last")
+    best = _by_tier(left, "left_id", keys).join(only, ["turn", "k"]).groupBy("left_id").agg(F.min(F.struct("turn", "right_id")).alias("b"))
+    return best.select("left_id", "b.right_id", F.array(*[F.lit(name) for name, _ in tiers])[F.col("b.turn")].alias("tier"))
 
 
 def unique_containment(left: DataFrame, right: DataFrame, block: str, key: Key, least_length: int) -> DataFrame:
