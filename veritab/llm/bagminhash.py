@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from veritab.llm.frames import in_batches, texts_of, written
+from veritab.llm.frames import held, in_batches, texts_of, written
 
 WORDS = 5
 BANDS, ROWS = 32, 5
@@ -62,15 +62,12 @@ class WordHashes(dict):
         return value
 
 
-_hashes = WordHashes()
-
-
 def windows(text: bytes) -> np.ndarray:
     """Hashes of a text's windows of WORDS words in order; a shorter text is one window, an empty one has none."""
     words = text.split()
     if not words:
         return np.zeros(0, _U)
-    h = np.fromiter(map(_hashes.__getitem__, words), _U, len(words))
+    h = np.fromiter(map(held("word hashes", WordHashes).__getitem__, words), _U, len(words))
     if len(h) < WORDS:
         h = np.concatenate([h, np.zeros(WORDS - len(h), _U)])
     out = np.zeros(len(h) - WORDS + 1, _U)

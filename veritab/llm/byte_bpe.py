@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from veritab.llm.bpe import PrefixAutomaton, load_ranks
-from veritab.llm.frames import in_batches, strings_of
+from veritab.llm.frames import held, in_batches, strings_of
 
 
 class Encoder(dict):
@@ -52,14 +52,9 @@ class Encoder(dict):
         return b"".join(map(self.bytes.__getitem__, ids))
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder(path: str, pattern: str) -> Encoder:
     """One per Python worker: what it has compiled serves all its tasks."""
-    if (path, pattern) not in _encoders:
-        _encoders[path, pattern] = Encoder(path, pattern)
-    return _encoders[path, pattern]
+    return held(f"encoder {path} {pattern}", lambda: Encoder(path, pattern))
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:

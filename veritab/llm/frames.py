@@ -51,6 +51,18 @@ def in_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterato
     return df.mapInArrow(work, schema)
 
 
+_held: dict[str, object] = {}
+
+
+def held(name: str, make: Callable[[], object]) -> object:
+    """What a Python worker keeps between tasks under a name: one thing at a time, so that operators that follow each
+    other in a worker do not add up."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
+
+
 def remainder(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo parts; ids that are null count as -1, so they are never held out."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % parts, F.lit(-1))

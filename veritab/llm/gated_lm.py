@@ -28,7 +28,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritab.llm.frames import in_batches, remainder, texts_of, written
+from veritab.llm.frames import held, in_batches, remainder, texts_of, written
 
 #: Stands for the end of a document; no word is empty.
 END = b""
@@ -578,16 +578,10 @@ def broadcast_words(spark: SparkSession, v: Vocabulary) -> Broadcast:
     return spark.sparkContext.broadcast((uuid4().hex, v.words, v.counts, v.tokens, v.distinct))
 
 
-_vocabularies: dict[str, Vocabulary] = {}
-
-
 def worker_vocabulary(shared: Broadcast) -> Vocabulary:
     """One per Python worker."""
     name, *values = shared.value
-    if name not in _vocabularies:
-        _vocabularies.clear()
-        _vocabularies[name] = Vocabulary(*values)
-    return _vocabularies[name]
+    return held(f"vocabulary {name}", lambda: Vocabulary(*values))
 
 
 def score_texts(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, flat: np.ndarray, parts: int = 10, held_out: int = 0) -> DataFrame:

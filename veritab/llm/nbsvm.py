@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritab.llm.frames import in_batches, remainder, texts_of
+from veritab.llm.frames import held, in_batches, remainder, texts_of
 from veritab.llm.learning import class_weights, fit_logistic, labelled_sample, logistic
 
 #: Indicators are hashed into this many.
@@ -48,15 +48,12 @@ class Words(dict):
         return code
 
 
-_words = Words()
-
-
 def indicators(text: bytes) -> np.ndarray:
     """The distinct features of a whole text; of an empty one, none."""
     words = text.split()
     if not words:
         return np.zeros(0, np.int32)
-    codes = np.fromiter(map(_words.__getitem__, words), np.int64, len(words))
+    codes = np.fromiter(map(held("word shapes", Words).__getitem__, words), np.int64, len(words))
     word = (codes & 0xFFFFFFFF).astype(np.uint64)
     shape = (codes >> 32).astype(np.uint64)
     shape[1:] += np.uint64(128) * (word[1:] == word[:-1])

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veritab.llm.bpe import PrefixAutomaton, load_listed
-from veritab.llm.frames import in_batches, strings_of
+from veritab.llm.frames import held, in_batches, strings_of
 
 #: Fixed values of the tokenizer file: what it takes for white space, and how it cuts text into words.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -107,14 +107,9 @@ class WordCounts(dict):
         return self.between(whole.head) + whole.count + (self.between(whole.tail) if whole.tail is not None else 0)
 
 
-_counters: dict[str, WordCounts] = {}
-
-
 def counter(path: str) -> WordCounts:
     """One per Python worker: what it has compiled serves all its tasks."""
-    if path not in _counters:
-        _counters[path] = WordCounts(path)
-    return _counters[path]
+    return held(f"token counts {path}", lambda: WordCounts(path))
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, text: str = "text", limit: int = 2048) -> DataFrame:

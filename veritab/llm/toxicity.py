@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritab.llm.frames import in_batches, remainder, texts_of
+from veritab.llm.frames import held, in_batches, remainder, texts_of
 from veritab.llm.learning import class_weights, fit_logistic, labelled_sample, logistic
 
 ORDER = 8
@@ -227,16 +227,10 @@ def broadcast_tables(spark: SparkSession, tables: Tables) -> Broadcast:
     return spark.sparkContext.broadcast((uuid4().hex, tables))
 
 
-_models: dict[str, WordDifferences] = {}
-
-
 def worker_differences(shared: Broadcast) -> WordDifferences:
     """One cache of words per Python worker."""
     name, tables = shared.value
-    if name not in _models:
-        _models.clear()
-        _models[name] = WordDifferences(tables)
-    return _models[name]
+    return held(f"differences {name}", lambda: WordDifferences(tables))
 
 
 def score_toxicity(spark: SparkSession, docs: DataFrame, tables: Tables, calibration: np.ndarray, parts: int = 4, held_out: int = 2, threshold: float = 0.3) -> DataFrame:
