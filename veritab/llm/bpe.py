@@ -162,7 +162,7 @@ class ListedTable(MergeTable):
 class PrefixAutomaton:
     """States and transitions over symbols, built as needed; forgotten as a whole beyond max_states."""
 
-    def __init__(self, table: MergeTable, counting: bool, max_states: int = 250_000):
+    def __init__(self, table: MergeTable, counting: bool, max_states: int = 120_000):
         self.table, self.counting, self.max_states = table, counting, max_states
         self.reset()
 

@@ -25,7 +25,7 @@ from veritab.llm.frames import held, in_batches, strings_of
 class Encoder(dict):
     """Ids of matches as little-endian unsigned 32-bit integers, worked out when a match is first met."""
 
-    def __init__(self, path: str, pattern: str, max_words: int = 400_000):
+    def __init__(self, path: str, pattern: str, max_words: int = 200_000):
         table = load_ranks(path)
         self.automaton = PrefixAutomaton(table, counting=False)
         self.bytes = table.bytes

@@ -45,7 +45,7 @@ class StateMap(NamedTuple):
 class WordCounts(dict):
     """Token counts of stretches between white space, worked out by the transducer when first met."""
 
-    def __init__(self, path: str, max_words: int = 400_000):
+    def __init__(self, path: str, max_words: int = 200_000):
         table, special = load_listed(path)
         self.transducer = PrefixAutomaton(table, counting=True)
         self.words = regex.compile(WORDS)
