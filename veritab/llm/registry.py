@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritab.llm import bagminhash, byte_bpe, gated_lm, hnsw, line_rules, mixing, nbsvm, sharding, token_count, toxicity
+from veritab.llm import bagminhash, byte_bpe, divergence, gated_lm, hnsw, line_rules, mixing, nbsvm, secret_scan, sharding, spelling, token_count, toxicity
 from veritab.llm.frames import table
 
 
@@ -67,6 +67,21 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), first).orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets; a source is an owner, and a repository is what a source holds in one language."""
+    return secret_scan.scan_documents(table(spark, sf_dir, "documents"), F.col("source"), F.struct("source", "lang"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far every source is from the others of its language, and by which terms."""
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with the form and the root that it is a variant of."""
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over the documents table."""
     import corpus_pipeline
@@ -85,7 +100,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ann_search": op8_ann_search,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_mix_sources": op10_mix_sources,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_spelling_variants": op13_spelling_variants,
     "pipeline": pipeline,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_quality_rules": line_rules.ORACLE, "op10_mix_sources": mixing.ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op5_quality_rules": line_rules.ORACLE,
+    "op10_mix_sources": mixing.ORACLE,
+    "op11_secret_scan": secret_scan.ORACLE,
+    "op12_source_divergence": divergence.ORACLE,
+    "op13_spelling_variants": spelling.ORACLE,
+}
