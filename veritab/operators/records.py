@@ -116,11 +116,7 @@ def template_blocks(cells: DataFrame, gap: int = 2) -> DataFrame:
     return blocks(years, ["sheet", "row"], "col", gap)
 
 
-# The form's labels, by which its sections begin and end, and words that stand where names do.
-UNIT_ENDS = "カリキュラム|授業計画作成と公表|成績評価の基準|卒業・進級|学修支援等|卒業者数|中途退学"
-NOT_NAMES = ("専門士", "高度専門士", "学科名", "分野", "課程名", "昼夜", "修業", "修業年限", "昼", "夜", "昼間", "夜間")
-FIELD_NAMES = "(工業|農業|医療|衛生|教育|社会福祉|商業|商業実務|服飾|家政|服飾・家政|文化|教養|文化・教養|教育・社会福祉)(関係)?"
-TEMPLATE_TEXTS = r"修業全課程|全課程の修了|開設している授業|授業時数|総単位数|単位時間|\d+\s*(?:単位|時間)"
+# The headings of the support section's page.
 SUPPORT_PAGES = (("別紙", "授業料等減免対象者"), ("前年度の授業料等減免対象者", "支援対象者数"))
 
 
@@ -155,36 +151,6 @@ def support_records(pages: DataFrame) -> DataFrame:
     return rows.filter("coalesce(first_half_total, second_half_total, grand_total) IS NOT NULL")
 
 
-def unit_records(sections: DataFrame) -> DataFrame:
-    """ARR-02, FLT-11, SRC-12, SRC-13: unit records of (doc_id, section, body), the sections of units of page texts.
-
-    The name and the course are the first words after the heading that are neither labels, fields, durations nor
-    template text; counts of persons follow their headings in a fixed order.  Sections without a name or without an
-    enrolment give no record; those that only break a course down are marked.
-    """
-    t = F.col("t")
-    head = F.regexp_extract(t, rf"(?s)学科名(.*?)(?:生徒総定員|{UNIT_ENDS}|$)", 1)
-    words = F.filter(F.split(head, r"\s+"), lambda w: (F.length(w) >= 2) & ~w.isin(*NOT_NAMES) & ~w.rlike(rf"^{FIELD_NAMES}$|^\d+年?$|{TEMPLATE_TEXTS}"))
-    seats = persons(F.regexp_extract(t, rf"(?s)生徒総定員(.*?)(?:{UNIT_ENDS}|$)", 1))
-    left = persons(F.regexp_extract(t, r"(?s)卒業者数(.*?)(?:中途退学|$)", 1))
-    gone = F.regexp_extract(t, r"(?s)中途退学(.*)", 1)
-    lines = F.filter(F.split(gone, "\n"), lambda x: ~x.rlike("年度当初|途中") & x.rlike(r"\d[^\d]+\d"))
-    counts = F.regexp_extract_all(F.regexp_replace(F.get(lines, F.lit(0)), r"[\d.]+\s*%", ""), F.lit(r"(\d[\d,]*)"), 1)
-    number = lambda a, i: F.get(a, F.lit(i))
-    enough = lambda a, i: F.when(F.size(a) >= 3, number(a, i))
-    three = {n: enough(seats, i) for i, n in enumerate(("capacity", "enrollment", "intl_students"))} | {n: enough(left, i) for i, n in enumerate(("graduates", "advanced", "employed", "other"))}
-    course = F.get(F.filter(words, lambda w: w.contains("専門課程")), F.lit(0))
-    name = F.get(F.filter(words, lambda w: ~w.contains("専門課程")), F.lit(0))
-    shift = F.regexp_extract(t, r"(?m)(?:^|\s)(昼|夜)(?=\s|$)", 1)
-    out = {
-        "name": F.regexp_replace(name, "[〇○]", ""), "course_name": course, "duration_years": F.regexp_extract(t, r"(?:修業[^\d]{0,20}|(?=\d+\s*年[^\n]*昼))(\d+)\s*年", 1).try_cast("double"), "shift": F.nullif(shift, F.lit("")),
-        **three, "prev_enrollment": number(counts, 0).try_cast("long"), "dropouts": number(counts, 1).try_cast("long"),
-        "dropout_rate": F.regexp_extract(gone, r"(\d+\.?\d*)\s*%", 1).try_cast("double"), "is_breakdown": t.rlike("コース別|内訳"),
-    }
-    rows = sections.select("doc_id", "section", numbers.folded(F.col("body")).alias("t")).select("doc_id", "section", *[v.alias(k) for k, v in out.items()])
-    return rows.filter("name IS NOT NULL AND enrollment IS NOT NULL")
-
-
 def unit_alias_classes(units: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
     """CLS-16: how sure an alias of a unit is, by (key, unit) and (key, candidate): one candidate whose key without the
     suffix is the unit's own is taken, another single one is reviewed, several are ambiguous, none is none."""

@@ -118,13 +118,6 @@ def owner_pages(entity: DataFrame, pages: DataFrame) -> DataFrame:
     return hit.withColumn("_n", n).filter("_n = 1").select("entity_id", "url")
 
 
-def page_sections(pages: DataFrame) -> DataFrame:
-    """SRC-13: (doc_id, section, body) of recognised page texts, (doc_id, page, text): pages joined in order and cut at
-    the lines that begin a unit's section."""
-    whole = pages.groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page", "text"))), lambda x: x["text"]), "\n").alias("text"))
-    return whole.select("doc_id", F.posexplode(F.split("text", r"(?m)^(?=.*学科名)")).alias("section", "body")).filter("trim(body) <> ''")
-
-
 # --- counters
 
 

@@ -11,7 +11,7 @@ from veritab.plans.registry import ORACLE_SQL, QUERIES, Load, query
 from veritab.plans.views import PERIOD
 from veritab.streaming import queues
 
-from veritab.plans import file_queries, text_queries, work_queries  # noqa: F401  they register their queries
+from veritab.plans import file_queries, form_queries, text_queries, work_queries  # noqa: F401  they register their queries
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 

@@ -225,9 +225,9 @@ def document_periods(t: Load) -> DataFrame:
 
 HINTS = (
     "令和８年度 確認申請", "2024年度", "確認申請書(2023)", "2022_様式第2号.pdf", "yoshiki_2021a.pdf", "確認申請 2025年", "確認申請 /files/20240401.pdf", "kakunin/disclosure/2023/x", "機関要件 2026 学校", "r7.pdf", "令和七",
-    "令和6年5月1日", "令和元年法律第8号", "2024.pdf", "平成30 確認", "お知らせ", None,
+    "令和6年5月1日", "令和元年法律第8号", "2024.pdf", "平成30 確認", "お知らせ", None, "確認申請 修学支援新制度 2025年4月から", "確認申請書 2023年4月 就職 修学支援", "機関要件 高等教育の無償化は令和2年4月より", "令和2年4月 無償化", "12021 確認申請 x2022y.pdf",
 )
-HINT_PERIODS = (2026, 2024, 2023, 2022, 2021, 2025, 2024, 2023, 2026, 2025, 2025, None, None, None, 2018, None, None)
+HINT_PERIODS = (2026, 2024, 2023, 2022, 2021, 2025, 2024, 2023, 2026, 2025, 2025, None, None, None, 2018, None, None, 2025, None, 2020, None, 2022)
 
 
 @query("period_hints", f"SELECT o_orderkey, {case_sql('o_orderkey', *HINT_PERIODS)} AS hint FROM orders")

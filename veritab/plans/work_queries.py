@@ -115,23 +115,6 @@ def grid_records(t: Load) -> DataFrame:
     return records.grid_records(records.unit_tables(grids)).select("doc_id", "row", "col", "unit", "metric", "label", "value")
 
 
-UNIT_PAGE = (
-    "分野 課程名 学科名 専門士 高度専門士\n工業 工業専門課程 情報処理科 〇\n修業年限 2年 昼\n生徒総定員数 生徒実員 うち留学生数\n８０人(116の内数) 75人 5人 3人\nカリキュラム\n卒業者数、進学者数、就職者数\n30人 3人 25人 2人\n(100%) (10%)\n"
-    "中途退学の現状\n年度当初在学者数 年度の途中における退学者の数 中退率\n76人 4人 5.2%\n学科名 看護学科\n生徒総定員 40人 生徒実員 40人 うち留学生数 0人\nコース別 内訳\n学科名\n生徒総定員 10人"
-)
-
-
-@query("unit_sections", """SELECT o_orderkey AS doc_id, s::INT AS section, CASE s WHEN 1 THEN '情報処理科' ELSE '看護学科' END AS name, CASE s WHEN 1 THEN '工業専門課程' END AS course_name, CASE s WHEN 1 THEN 2.0 END::DOUBLE AS duration_years, CASE s WHEN 1 THEN '昼' END AS shift,
-  CASE s WHEN 1 THEN 80 ELSE 40 END::BIGINT AS capacity, CASE s WHEN 1 THEN 75 ELSE 40 END::BIGINT AS enrollment, CASE s WHEN 1 THEN 5 ELSE 0 END::BIGINT AS intl_students, CASE s WHEN 1 THEN 30 END::BIGINT AS graduates, CASE s WHEN 1 THEN 3 END::BIGINT AS advanced,
-  CASE s WHEN 1 THEN 25 END::BIGINT AS employed, CASE s WHEN 1 THEN 2 END::BIGINT AS other, CASE s WHEN 1 THEN 76 END::BIGINT AS prev_enrollment, CASE s WHEN 1 THEN 4 END::BIGINT AS dropouts, CASE s WHEN 1 THEN 5.2 END::DOUBLE AS dropout_rate, s = 2 AS is_breakdown
-FROM orders, unnest([1, 2]) AS x(s)""")
-def unit_sections(t: Load) -> DataFrame:
-    """ARR-02, SRC-12, SRC-13, FLT-11: page texts to unit records; the second page begins inside a section."""
-    cut = UNIT_PAGE.index("中途退学")
-    pages = t("orders").select(F.col("o_orderkey").alias("doc_id"), F.explode(F.array(*[F.struct(F.lit(i).alias("page"), F.lit(x).alias("text")) for i, x in enumerate(("表紙\n" + UNIT_PAGE[:cut], UNIT_PAGE[cut:]))])).alias("p")).select("doc_id", "p.*")
-    return records.unit_records(workflow.page_sections(pages))
-
-
 SUPPORT_PAGE = "（別紙）\n前年度の授業料等減免対象者\n支援対象者数 ※括弧内は多子世帯の学生等(内数) 342 人 (1人) 328 人 (11人) 350 人 (15人)\n第Ⅰ区分 177 人 166 人\n第Ⅱ区分\n90 人 88 人\n第Ⅲ区分 75 人\n第Ⅳ区分(理工農) 3 人 4 人\n※家計急変による者を除く"
 SUPPORT_NEXT = "家計急変による\n2 人 (0人)\n合計(年間) 352 人 (15人)"
 
