@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from veritab.operators import sections
 from veritab.plans.registry import Load, query
+from veritab.sources import markup
 
 # Names of units, in the form that they are read in, and of courses.
 UNIT_NAMES = ("情報処理科", "CG映像学科", "看護学科", "国家資格学科(応用専攻)", "Webデザイン科", "デジタルコース", "放送技術科")
@@ -89,3 +90,42 @@ FROM (SELECT o_orderkey, s, o_orderkey * 2 + s AS u FROM orders, unnest([1, 2])
 def unit_sections(t: Load) -> DataFrame:
     """ARR-02, SRC-12, SRC-13, FLT-11: page texts in six layouts to unit records."""
     return sections.unit_records(unit_pages(t("orders")))
+
+
+# --- links of raw pages ------------------------------------------------------------------------------------------
+
+#: Of each extractor a piece of markup that bears the page's id, and the text that its link has; signs inside quotes, nested
+#: elements, comments and scripts stand beside it.
+MARKUP = {
+    "anchor": ('<!-- <a href="/no#.pdf">no</a> --><a class="x>y" href="/f/#.pdf?v=2">Form <b>#</b> &amp; more</a>', "/f/#.pdf?v=2", "Form # & more", "cache_busted"),
+    "embed": ("<object data='/wp-content/#.pdf'>none</object>", "/wp-content/#.pdf", "none", "embed_wordpress"),
+    "download_manager": ('<a data-downloadurl="/get?wpdmdl=#">Get #</a>', "/get?wpdmdl=#", "Get #", "wordpress_download_manager"),
+    "meta_refresh": ("<title>Page #</title><META content='5; URL=/m/#.PDF' HTTP-EQUIV=refresh>", "/m/#.PDF", "Page #", "meta_refresh_direct"),
+    "select_option": ("<select><option value=''>-<option value=/o/#.pdf>Year #</select>", "/o/#.pdf", "Year #", "select_option_direct"),
+    "form_action": ('<form action="/s/#.pdf"><p>Get it<input type=submit value="Now #"></p></form>', "/s/#.pdf", "Get it Now #", "form_action_direct"),
+    "data_attribute": ('<div data-file="/d/#%2Epdf"><div>Inner</div>Outer #</div>', "/d/#%2Epdf", "Inner Outer #", "data_attribute_direct"),
+    "onclick": ("<button onclick=\"track('x'); open('/c/#.pdf')\">Open > #</button>", "/c/#.pdf", "Open > #", "onclick_direct"),
+    "input_control": ('<script>var a = "<a href=\'/no#.pdf\'>";</script><input type="button" data-url="/i/#.pdf" aria-label="Load #">', "/i/#.pdf", "Load #", "input_control_direct"),
+}
+_ORIGIN = "regexp_extract(url, '^([^:]+://[^/?#]+)', 1)"
+MARKUP_SQL = " UNION ALL ".join(
+    f"""SELECT page_id, '{source}' AS source, {_ORIGIN} || replace('{address.replace("'", "''")}', '#', page_id::VARCHAR) AS href, replace('{text.replace("'", "''")}', '#', page_id::VARCHAR) AS text, '{pattern}' AS pattern FROM pages WHERE page_id % 9 <> {i}"""
+    for i, (source, (_, address, text, pattern)) in enumerate(MARKUP.items())
+)
+
+
+@query("markup_links", MARKUP_SQL)
+def markup_links(t: Load) -> DataFrame:
+    """SRC-25: every page, with eight of nine kinds of links to documents in its body."""
+    pieces = [F.when(F.col("page_id") % 9 != i, F.replace(F.lit(piece), F.lit("#"), F.col("page_id").cast("string"))).otherwise("") for i, (piece, *_) in enumerate(MARKUP.values())]
+    html = F.concat(F.replace(F.coalesce("html", F.lit("")), F.lit("</body>"), F.lit("")), *pieces, F.lit("</body></html>"))
+    return markup.markup_links(t("pages").select("page_id", "url", html.alias("html")), documents=True).select("page_id", "source", "href", "text", "pattern")
+
+
+@query("markup_anchors", r"""WITH a AS (SELECT page_id, unnest(regexp_extract_all(regexp_replace(coalesce(html, ''), '(?s)<!--.*?-->|<script.*?</script>', '', 'g'), '(?is)<a\b[^>]*?href\s*=\s*["'']([^"'']*)["''][^>]*>(.*?)</a\s*>', 2)) AS text FROM pages),
+p AS (SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM a)
+SELECT page_id, count(*) AS links, md5(string_agg(text, chr(10) ORDER BY text)) AS digest FROM p GROUP BY 1""")
+def markup_anchors(t: Load) -> DataFrame:
+    """SRC-25: the anchors of all pages, one extractor of nine switched on."""
+    found = markup.markup_links(t("pages"), ["anchor"])
+    return found.groupBy("page_id").agg(F.count("*").alias("links"), F.md5(F.array_join(F.array_sort(F.collect_list("text")), "\n")).alias("digest"))
