@@ -8,6 +8,8 @@ The running state is a window over the document's lines, which spills; no docume
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,8 +17,8 @@ from veritab.functions.text import folded
 
 # The form's labels, by which cards and regions begin and end.
 FIELD, UNIT, COURSE = "分野", "学科名", "課程名"
-SEATS, LEAVERS, DROPOUTS = "生徒総定|定員数", "卒業者数", "中途退学|中退率"
-ENDS = "授業計画作成と公表|成績評価の基準|卒業・進級|学修支援等|カリキュラム"
+SEATS, LEAVERS, DROPOUTS = ("生徒総定", "定員数"), ("卒業者数",), ("中途退学", "中退率")
+ENDS = ("授業計画作成と公表", "成績評価の基準", "卒業・進級", "学修支援等", "カリキュラム")
 # Words that stand where names do, and what a heading's own lines say.
 LABELS = "専門士|学科名|分野|課程名|昼夜"
 FIELDS = ("文化・教養", "教育・社会福祉", "服飾・家政", "商業実務", "社会福祉", "工業", "農業", "医療", "衛生", "教育", "商業", "服飾", "家政", "文化", "教養")
@@ -35,15 +37,17 @@ def _field(tail: str) -> str:
 def cleaned_lines(pages: DataFrame) -> DataFrame:
     """doc_id, seq and t, the lines that are not empty of (doc_id, page, text): compatibility forms folded, marks of
     markup that recognisers put in dropped, cells parted by spaces.  Pages of accounts that tell no enrolment are left
-    out.  A null text has no lines."""
-    read = pages.select("doc_id", F.col("page").cast("long").alias("page"), folded(F.col("text")).alias("text"))
-    read = read.filter(~F.col("text").rlike("財務|経営情報の公表") | F.col("text").contains("生徒実員"))
-    line = read.select("doc_id", "page", F.posexplode(F.split("text", "\n")).alias("at", "t")).filter(~F.col("t").rlike(r"^\s*\|[\s:|-]+\|?\s*$"))
-    t = F.regexp_replace("t", r"!\[[^\]]*\]\([^)]*\)|^\s*#{1,6}\s+|\*{1,3}", "")
-    t = F.trim(F.regexp_replace(t, r"[|\s]+", " "))
+    out.  A null text has no lines.  Pages are shuffled by document before they are cut up, as this is the only shuffle."""
+    together = pages.select("doc_id", F.col("page").cast("long").alias("page"), "text").repartition("doc_id")
+    read = together.select("doc_id", "page", folded(F.col("text")).alias("text"))
+    read = read.filter(F.col("text").contains("生徒実員") | ~F.col("text").rlike("財務|経営情報の公表"))
+    # pictures, headings, emphasis and rules between rows go; cells are parted by one space
+    bare = F.regexp_replace("text", r"(?m)!\[[^\]\n]*\]\([^)\n]*\)|^[ \t]*#{1,6}[ \t]+|\*{1,3}|^[ \t]*\|[ \t:|-]+$", "")
+    plain = F.regexp_replace(bare, r"(?U)[|\s&&[^\n]]+", " ")
     # a zero that a recogniser read as letters, alone on its line
-    t = F.when(t.rlike("^[VYO]0$"), "0人").otherwise(t)
-    return line.select("doc_id", (F.col("page") * (1 << 32) + F.col("at")).alias("seq"), t.alias("t")).filter("t <> ''")
+    zero = F.regexp_replace(plain, r"(?m)^ ?[VYO]0 ?$", "0人")
+    lines = read.select("doc_id", "page", F.posexplode(F.split(zero, r" ?\n[ \n]*")).alias("at", "t")).filter("t <> ''")
+    return lines.select("doc_id", (F.col("page") * (1 << 32) + F.col("at")).alias("seq"), "t")
 
 
 def regions(lines: DataFrame) -> DataFrame:
@@ -53,7 +57,7 @@ def regions(lines: DataFrame) -> DataFrame:
     named in the next lines.  Leavers are only told where the heading's other words are near.
     """
     w = Window.partitionBy("doc_id").orderBy("seq")
-    has = lambda x: F.col("t").rlike(x)
+    has = lambda *words: reduce(Column.__or__, [F.col("t").contains(x) for x in words])
     near = lambda c, first, last: F.coalesce(F.max(c).over(w.rowsBetween(first, last)), F.lit(False))
     split = (F.length("t") <= 5) & near(has(UNIT), 1, HEADING) & near(has(COURSE), 1, HEADING)
     years = F.regexp_extract("t", r"(\d+)\s*年", 1).try_cast("double")
@@ -62,11 +66,11 @@ def regions(lines: DataFrame) -> DataFrame:
         "t",
         F.row_number().over(w).alias("row"),
         (has(FIELD) & (has(UNIT) | split)).alias("card"),
-        (has(LEAVERS) & near(has("進学|就職"), 0, 3)).alias("leavers"),
-        F.when(has("修業|昼") | near(has("修業"), -2, -1), years).alias("duration"),
-        F.when(~has("昼夜"), F.nullif(F.regexp_extract("t", r"(?:^|\s)(昼|夜)(?=\s|$)", 1), F.lit(""))).alias("shift"),
+        (has(*LEAVERS) & near(has("進学", "就職"), 0, 3)).alias("leavers"),
+        F.when(has("年") & (has("修業", "昼") | near(has("修業"), -2, -1)), years).alias("duration"),
+        F.when(has("昼", "夜") & ~has("昼夜"), F.nullif(F.regexp_extract("t", r"(?:^|\s)(昼|夜)(?=\s|$)", 1), F.lit(""))).alias("shift"),
     )
-    mark = F.when(has(UNIT), "names").when(F.col("card"), "card").when(has(SEATS), "seats").when(F.col("leavers"), "leavers").when(has(DROPOUTS), "dropouts").when(has(ENDS), "end")
+    mark = F.when(has(UNIT), "names").when(F.col("card"), "card").when(has(*SEATS), "seats").when(F.col("leavers"), "leavers").when(has(*DROPOUTS), "dropouts").when(has(*ENDS), "end")
     marked = seen.select("*", mark.alias("own"))
     by_row = Window.partitionBy("doc_id").orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
     last = F.last(F.when(F.col("own").isNotNull(), F.struct("own", "row")), True).over(by_row)
@@ -77,13 +81,8 @@ def regions(lines: DataFrame) -> DataFrame:
     return of_region.agg(F.transform(text, lambda x: x["t"]).alias("lines"), first("duration").alias("duration"), first("shift").alias("shift"))
 
 
-def counts(text: Column) -> Column:
-    """The numbers that a region tells: those of persons if there are three, else all but percentages; brackets, also
-    such as end on a later line, are left out.  Null if there are fewer than three."""
-    bare = F.regexp_replace(text, r"\([^)]*\)", " ")
-    number = lambda pattern, c: F.transform(F.regexp_extract_all(c, F.lit(pattern), 1), lambda x: F.replace(x, F.lit(","), F.lit("")).try_cast("long"))
-    people, plain = number(r"(\d[\d,]*)\s*人", bare), number(r"(\d[\d,]*)", F.regexp_replace(bare, r"\d+(\.\d+)?\s*%", " "))
-    return F.when(F.size(people) >= 3, people).when(F.size(plain) >= 3, plain)
+def numbers_in(text: Column, pattern: str = r"(\d[\d,]*)") -> Column:
+    return F.transform(F.regexp_extract_all(text, F.lit(pattern), 1), lambda x: F.replace(x, F.lit(","), F.lit("")).try_cast("long"))
 
 
 def name_cells(lines: Column) -> Column:
@@ -108,24 +107,28 @@ def unit_records(pages: DataFrame) -> DataFrame:
     is_breakdown marks cards that only break a course down: they name a course and their seats are part of others.
     Documents without cards give no row; an empty table gives none.
     """
-    r = regions(cleaned_lines(pages))
-    text = F.array_join("lines", "\n")
-    # leavers end at the first line of percentages
-    leavers = F.regexp_replace(F.array_join(F.filter("lines", lambda x: ~x.rlike(NOTES)), "\n"), r"(?s)\n\(?\s*\d+(\.\d+)?\s*%.*$", "")
-    dropouts = F.array_join(F.filter(F.slice("lines", 1, 6), lambda x: ~x.rlike("年度当初|途中") | x.rlike(r"\d\s*人")), "\n")
-    people = F.regexp_extract_all(F.regexp_replace(leavers, r"\([^)]*\)", " "), F.lit(r"(\d[\d,]*)\s*人"), 1)
-    # four places for numbers of which some are blank: the first is of leavers, the next of those employed
-    blanks = (F.size(people) > 0) & (F.size(people) < 3) & (F.regexp_count(leavers, F.lit("人")) >= 4)
-    two = F.array(F.get(people, F.lit(0)).try_cast("long"), F.lit(None).cast("long"), F.get(people, F.lit(1)).try_cast("long"))
-    gone = F.regexp_extract_all(F.regexp_replace(F.regexp_replace(dropouts, r"\([^)]*\)", " "), r"\d+(\.\d+)?\s*%", " "), F.lit(r"(\d[\d,]*)"), 1)
     is_ = lambda name: F.col("mark") == name
-    told = r.select(
-        "doc_id", "section", "mark", "start", "duration", "shift",
+    # leavers' own notes, and headings of dropouts, tell no numbers; leavers end at the first line of percentages
+    useful = F.when(is_("leavers"), F.filter("lines", lambda x: ~x.rlike(NOTES))).when(is_("dropouts"), F.filter(F.slice("lines", 1, 6), lambda x: ~x.rlike("年度当初|途中") | x.rlike(r"\d\s*人"))).otherwise(F.col("lines"))
+    kept = ["doc_id", "section", "mark", "start", "duration", "shift"]
+    told = regions(cleaned_lines(pages)).filter(is_("names") | is_("card") | is_("seats") | is_("leavers") | is_("dropouts") | F.col("duration").isNotNull() | F.col("shift").isNotNull())
+    told = told.select(*kept, "lines", F.array_join(useful, "\n").alias("text"))
+    told = told.withColumn("text", F.when(is_("leavers"), F.regexp_replace("text", r"(?s)\n\(?\s*\d+(\.\d+)?\s*%.*$", "")).otherwise(F.col("text")))
+    # numbers in brackets, also in such as end on a later line, are parts of others
+    told = told.withColumn("bare", F.regexp_replace("text", r"\([^)]*\)", " "))
+    told = told.withColumns({"people": numbers_in(F.col("bare"), r"(\d[\d,]*)\s*人"), "plain": numbers_in(F.regexp_replace("bare", r"\d+(\.\d+)?\s*%", " "))})
+    # numbers of persons if there are three, else all but percentages
+    three = F.when(F.size("people") >= 3, F.col("people")).when(F.size("plain") >= 3, F.col("plain"))
+    # four places for numbers of which some are blank: the first is of leavers, the next of those employed
+    blanks = is_("leavers") & F.size("people").between(1, 2) & (F.regexp_count("bare", F.lit("人")) >= 4)
+    two = F.array(F.get("people", F.lit(0)), F.lit(None).cast("long"), F.get("people", F.lit(1)))
+    told = told.select(
+        *kept,
         F.when(is_("names"), name_cells(F.slice("lines", 2, 11))).alias("cells"),
-        F.when(is_("seats"), counts(text)).when(is_("leavers"), F.when(blanks, two).otherwise(counts(leavers))).when(is_("dropouts") & (F.size(gone) >= 2), F.transform(gone, lambda x: F.replace(x, F.lit(","), F.lit("")).try_cast("long"))).alias("n"),
-        F.when(is_("dropouts"), F.regexp_extract(dropouts, r"(\d+(?:\.\d+)?)\s*%", 1).try_cast("double")).alias("rate"),
-        (is_("seats") & F.array_join(F.slice("lines", 1, 4), "\n").contains("内数")).alias("part_of"),
-    )
+        F.when(blanks, two).when(is_("seats") | is_("leavers"), three).when(is_("dropouts") & (F.size("plain") >= 2), F.col("plain")).alias("n"),
+        F.when(is_("dropouts"), F.regexp_extract("text", r"(\d+(?:\.\d+)?)\s*%", 1).try_cast("double")).alias("rate"),
+        (is_("seats") & F.exists(F.slice("lines", 1, 4), lambda x: x.contains("内数"))).alias("part_of"),
+    )
     first = lambda when, c: F.min(F.when(when, F.struct("start", c)))[c]
     numbers = lambda name: first(is_(name) & F.col("n").isNotNull(), "n")
     card = told.groupBy("doc_id", "section").agg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritab.operators import sections
+from veritab.operators import layouts, sections
 from veritab.plans.registry import Load, query
 from veritab.sources import markup
 
@@ -62,7 +62,9 @@ def unit_card(layout: int) -> Column:
 def unit_pages(orders: DataFrame) -> DataFrame:
     """(doc_id, page, text): a cover, two cards of which the second begins on one page and ends on the next, and a page of
     accounts that tells nothing of units."""
-    of_unit = orders.select(F.col("o_orderkey").alias("doc_id"), F.explode(F.array(F.lit(1), F.lit(2))).alias("s")).withColumn("u", F.col("doc_id") * 2 + F.col("s"))
+    # the table is one file; its keys are spread before texts are made of them
+    keys = orders.select(F.col("o_orderkey").alias("doc_id")).repartition(32, "doc_id")
+    of_unit = keys.select("doc_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("s")).withColumn("u", F.col("doc_id") * 2 + F.col("s"))
     valued = of_unit.select("*", *[F.expr(x).alias(m) for m, x in unit_values().items()])
     card = None
     for layout in range(LAYOUTS):
@@ -129,3 +131,78 @@ def markup_anchors(t: Load) -> DataFrame:
     """SRC-25: the anchors of all pages, one extractor of nine switched on."""
     found = markup.markup_links(t("pages"), ["anchor"])
     return found.groupBy("page_id").agg(F.count("*").alias("links"), F.md5(F.array_join(F.array_sort(F.collect_list("text")), "\n")).alias("digest"))
+
+
+# --- lists of institutions ---------------------------------------------------------------------------------------
+
+#: Ten layouts: of each column its header (null: the layout has none), and the role whose value its cells hold; "blank" is
+#: an empty column, "url_below" a row of its own under the row.
+LISTS: tuple[tuple[tuple[str | None, str], ...], ...] = (
+    (("確認大学等の名称", "name"), ("所在地", "address"), ("設置者", "owner"), ("設置者の主たる事務所の所在地", "owner_address"), ("備考", "remark_url")),
+    (("No.", "number"), ("学校名", "name"), ("住所", "address"), ("設置者名", "owner"), ("設置者住所", "owner_address"), ("備考", "remark")),
+    (("学校名", "name_link"), ("設置者", "owner"), ("備考", "remark")),
+    (("設置者名", "owner"), ("学校名", "name"), ("学校コード", "code"), ("ホームページ", "url")),
+    ((None, "name"), (None, "address"), (None, "owner"), (None, "owner_address"), (None, "url")),
+    (("名称", "name"), ("", "blank"), ("", "blank"), ("所在地", "address"), ("", "blank"), ("設置者の名称", "owner"), ("", "blank"), ("主たる事務所の所在地", "owner_address"), ("", "blank"), ("備考", "remark_url")),
+    (("番号", "number"), ("機関名", "name"), ("確認年月日", "date"), ("URL", "url"), ("摘要", "remark")),
+    (("学校名", "name"), ("所在地", "address"), ("設置者", "owner"), ("備考", "url_below")),
+    ((None, "number"), (None, "code"), (None, "owner"), (None, "name"), (None, "date")),
+    (("公表先", "url"), ("法人名", "owner"), ("住所", "address"), ("機関名", "name"), ("コード", "code"), ("備考", "remark")),
+)
+#: Rows of a list.
+LIST_ROWS = 15
+_LIST_VALUES = {
+    "number": "CAST(k % 15 + 1 AS STRING)", "name": "concat('第', CAST(k AS STRING), CASE WHEN k % 4 = 0 THEN '専門学校' WHEN k % 4 = 1 THEN '短期大学' WHEN k % 4 = 2 THEN '工業大学校' ELSE '看護学院' END)",
+    "address": "concat('東京都港区', CAST(k AS STRING), '-1')", "owner": "concat('学校法人', CAST(k % 500 AS STRING), '学園')", "owner_address": "concat('千葉県市川市', CAST(k % 500 AS STRING), '-2')",
+    "code": "concat('H1', lpad(CAST(k AS STRING), 9, '0'))", "date": "concat('令和', CAST(k % 7 + 1 AS STRING), '年8月', CAST(k % 28 + 1 AS STRING), '日')", "url": "concat('https://e', CAST(k AS STRING), '.ac.jp/')",
+    "remark": "CASE WHEN k % 3 = 0 THEN '名称変更' WHEN k % 3 = 1 THEN concat('統合', CAST(k AS STRING)) END",
+}
+
+
+def list_cells(customers: DataFrame) -> DataFrame:
+    """(page_id, tab, row, col, text, href, is_header): fifteen customers to a list, whose layout its number tells."""
+    k = F.col("c_custkey")
+    valued = customers.select("c_custkey").repartition(16, "c_custkey").select(k.alias("k"), F.floor(k / LIST_ROWS).cast("long").alias("page_id"), (k % LIST_ROWS * 2 + 2).cast("int").alias("row")).select("*", *[F.expr(v).alias(r) for r, v in _LIST_VALUES.items()])
+    none = F.lit(None).cast("string")
+
+    def cell(col: int, role: str) -> tuple[Column, ...]:
+        text = {"blank": F.lit(""), "remark_url": F.concat_ws(" ", "remark", "url"), "name_link": F.concat("name", F.lit("＜外部リンク＞")), "url_below": F.col("remark")}.get(role)
+        # a space within names, as in print
+        shown = F.regexp_replace("name", "^(第)", "$1 ") if role == "name" else F.col(role) if text is None else text
+        return F.lit(col).alias("col"), shown.alias("text"), (F.col("url") if role == "name_link" else none).alias("href")
+
+    cells = None
+    for n, layout in enumerate(LISTS):
+        is_layout = F.col("page_id") % len(LISTS) == n
+        body = [F.struct("row", *cell(i, role), F.lit(False).alias("is_header")) for i, (_, role) in enumerate(layout)]
+        if any(role == "url_below" for _, role in layout):
+            body.append(F.struct((F.col("row") + 1).alias("row"), F.lit(0).alias("col"), F.col("url").alias("text"), none.alias("href"), F.lit(False).alias("is_header")))
+        first = F.when(F.col("k") % LIST_ROWS == 0, F.array(*[F.struct(F.lit(0).alias("row"), F.lit(i).alias("col"), F.lit(h).alias("text"), none.alias("href"), F.lit(n % 2 == 0).alias("is_header")) for i, (h, _) in enumerate(layout)]))
+        some = valued.filter(is_layout).withColumn("cell", F.explode(F.array(*body)))
+        some = some.select("page_id", "cell.*")
+        if layout[0][0] is not None:
+            some = some.unionByName(valued.filter(is_layout).select("page_id", F.explode(first).alias("cell")).select("page_id", "cell.*"))
+        cells = some if cells is None else cells.unionByName(some)
+    return cells.withColumn("tab", F.lit(1))
+
+
+def _list_sql() -> str:
+    told = {"remark_url": ("remark", "url"), "name_link": ("name", "url"), "url_below": ("remark", "url")}
+    held = [{r for _, role in layout for r in told.get(role, (role,))} for layout in LISTS]
+    shown = []
+    for role, value in _LIST_VALUES.items():
+        if role != "number":
+            at = ", ".join(str(n) for n, roles in enumerate(held) if role in roles)
+            sql = value.replace("STRING", "VARCHAR")
+            if role == "remark":
+                joined = ", ".join(str(n) for n, layout in enumerate(LISTS) if any(r == "remark_url" for _, r in layout))
+                sql = f"CASE WHEN c_custkey // {LIST_ROWS} % 10 IN ({joined}) THEN coalesce({sql}, '') || {_LIST_VALUES['url'].replace('STRING', 'VARCHAR')} ELSE {sql} END"
+            shown.append(f"CASE WHEN c_custkey // {LIST_ROWS} % {len(LISTS)} IN ({at}) THEN {sql} END AS {role}")
+    # a list's first customer bears the header, so lists without it, at the table's ends, have none
+    return f"SELECT c_custkey // {LIST_ROWS} AS page_id, (c_custkey % {LIST_ROWS} * 2 + 2)::INT AS row, {', '.join(shown)} FROM (SELECT *, c_custkey AS k FROM customer)"
+
+
+@query("listed_institutions", _list_sql())
+def listed_institutions(t: Load) -> DataFrame:
+    """SRC-23: lists in ten layouts, each row's roles by the assignment that its table's columns give."""
+    return layouts.listed_institutions(list_cells(t("customer"))).drop("tab")
