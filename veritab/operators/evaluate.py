@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritab.functions.numbers import evaluated_equal
@@ -17,27 +16,38 @@ def matched_units(gold: DataFrame, parsed: DataFrame) -> DataFrame:
 
     gold: doc_id, gold_pos, name, shift, years; parsed: doc_id, parsed_pos and the same.  In gold order, each unit takes
     the first free parsed one whose name holds or is held by its own, with equal shift and years if there is one, else
-    by name only.  The greedy order is sequential inside a document, whose units travel together as arrays.
+    by name only; parsed units that share a place are taken together.  Empty and null names match nothing; an empty table gives no rows.
     """
-    def listed(rows: DataFrame, place: str, name: str) -> DataFrame:
-        unit = F.struct(F.col(place).alias("pos"), squeezed(F.col("name")).alias("key"), F.col("shift"), F.col("years"))
-        return rows.select("doc_id", unit.alias("u")).groupBy("doc_id").agg(F.sort_array(F.collect_list("u")).alias(name))
-
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for doc, units, rows in zip(batch["doc_id"], batch["gold"], batch["parsed"], strict=True):
-                free = list(rows)
-                for unit in units:
-                    held = [r for r in free if unit["key"] and r["key"] and (unit["key"] in r["key"] or r["key"] in unit["key"])]
-                    best = next((r for r in held if r["shift"] == unit["shift"] and r["years"] == unit["years"]), held[0] if held else None)
-                    if best is not None:
-                        free = [r for r in free if r["pos"] != best["pos"]]
-                        out.append((doc, unit["pos"], best["pos"]))
-            yield pd.DataFrame(out, columns=["doc_id", "gold_pos", "parsed_pos"])
-
-    both = listed(gold, "gold_pos", "gold").join(listed(parsed, "parsed_pos", "parsed"), "doc_id")
-    return both.mapInPandas(work, "doc_id long, gold_pos long, parsed_pos long")
+    unit = lambda rows, place, side: rows.select("doc_id", F.col(place), squeezed(F.col("name")).alias(f"{side}_key"), F.col("shift").alias(f"{side}_shift"), F.col("years").alias(f"{side}_years"))
+    g, p = unit(gold, "gold_pos", "g").filter("g_key <> ''"), unit(parsed, "parsed_pos", "p").filter("p_key <> ''")
+    held = F.col("g_key").contains(F.col("p_key")) | F.col("p_key").contains(F.col("g_key"))
+    other = ~(F.col("g_shift").eqNullSafe(F.col("p_shift")) & F.col("g_years").eqNullSafe(F.col("p_years")))
+    # units that share a place are told apart by what they say, and equal ones by a number
+    said = ["gold_pos", "g_key", "g_shift", "g_years"]
+    g = g.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id", *said).orderBy("doc_id"))).withColumn("unit", F.struct(*said, "_n"))
+    edges = g.join(p, "doc_id").filter(held).select("doc_id", "unit", "parsed_pos", F.struct(other.alias("other"), "parsed_pos").alias("choice")).distinct()
+    return greedy_matches(edges, ["doc_id"], "unit", "parsed_pos", "choice").select("doc_id", F.col("unit.gold_pos").alias("gold_pos"), "parsed_pos")
+
+
+def greedy_matches(edges: DataFrame, group: Sequence[str], left: str, right: str, choice: str) -> DataFrame:
+    """(group, left, right) of the sequential greedy matching: lefts in their order take their least choice that is free.
+
+    In rounds: an edge is taken if it is its left's least choice among what is left, and its left is the first of all
+    that could still take its right; no earlier one can then take it.  The first left of every group is settled in each
+    round, and most are at once, so there are as many rounds as lefts wait for each other in one group.
+    """
+    from veritab.streaming.state import stored
+
+    open_edges, taken = stored(edges.select(*group, left, right, choice), "edges"), None
+    while open_edges.limit(1).count():
+        by_left, by_right = Window.partitionBy(*group, left), Window.partitionBy(*group, right)
+        settled = open_edges.withColumns({"_least": F.min(choice).over(by_left), "_first": F.min(left).over(by_right)}).filter((F.col("_least") == F.col(choice)) & (F.col("_first") == F.col(left)))
+        settled = stored(settled.select(*group, left, right), "matches")
+        taken = settled if taken is None else taken.unionByName(settled)
+        for side in (left, right):
+            open_edges = open_edges.join(settled.select(*group, side), [*group, side], "left_anti")
+        open_edges = stored(open_edges, "edges")
+    return open_edges.select(*group, left, right) if taken is None else taken
 
 
 def field_accuracy(gold: DataFrame, parsed: DataFrame, key: Sequence[str], fields: Sequence[str], tolerance: float = 0.01) -> DataFrame:
@@ -71,8 +81,6 @@ def gold_summary(entries: DataFrame) -> DataFrame:
 
 def entry_errors(entries: DataFrame, outcomes: Sequence[str]) -> DataFrame:
     """CLS-19, SRC-19: entries with what is wrong with them; duplicates of an id are told on every row."""
-    from pyspark.sql import Window
-
     from veritab.functions.states import errors
 
     n = F.count("*").over(Window.partitionBy("entry_id"))

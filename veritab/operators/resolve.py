@@ -8,11 +8,13 @@ pair too.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritab.functions.text import containment, institution_key, squeezed
+from veritab.streaming.state import stored
 
 Key = Callable[[Column], Column]
 
@@ -160,6 +162,19 @@ def unit_groups(lumped: DataFrame, units: DataFrame) -> DataFrame:
     return tracks.join(parts, ["entity_id", "track"]).groupBy("left_id").agg(F.array_join(F.sort_array(F.collect_set(F.col("right_id").cast("string"))), ",").alias("unit_ids"))
 
 
-def new_ids(unmatched: DataFrame, key: Sequence[str], after: Column) -> DataFrame:
-    """JOIN-09: ids for what no tier has found, one for each key, counted on from the highest known one."""
-    return unmatched.withColumn("new_id", F.dense_rank().over(Window.orderBy(*key)) + after)
+def new_ids(unmatched: DataFrame, key: Sequence[str], after: int, parts: int = 64) -> DataFrame:
+    """JOIN-09: unmatched with new_id: ids for what no tier has found, one for each key in the order of keys, nulls first,
+    counted on from after.
+
+    Keys are parted by ranges and counted there; a part's ids begin where those of the parts before it end, so no task
+    sees all keys.  The parts, at most so many rows, are the only thing that is broadcast.
+    """
+    ranged = unmatched.select(*key).distinct().repartitionByRange(parts, *key)
+    # ranges follow a sample, so they are kept as they fell
+    keys = stored(ranged.select(*[F.col(k).alias(f"_{k}") for k in key], F.spark_partition_id().alias("_part")), "keys")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = keys.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    within = F.row_number().over(Window.partitionBy("_part").orderBy(*[f"_{k}" for k in key]))
+    ids = keys.withColumn("_at", within).join(F.broadcast(starts), "_part").withColumn("new_id", F.col("_start") + F.col("_at") + after)
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key])
+    return unmatched.join(ids, same).select(*unmatched.columns, "new_id")

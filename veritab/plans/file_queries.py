@@ -9,6 +9,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from veritab.operators import export, ingest, records
@@ -270,34 +271,73 @@ def ingest_support(t: Load) -> DataFrame:
     return _ingested(t).support.select("entity_id", "period", "document_id", F.col("revision").cast("int").alias("revision"))
 
 
-@query("document_queue", "SELECT event_id AS document_id, CASE WHEN event_type = 'error' THEN 'rejected' ELSE 'ingested' END AS status FROM events")
+QUEUE_SQL = """SELECT event_id AS document_id, CASE WHEN event_type = 'error' THEN 'parse_failed' ELSE 'ingested' END AS status, CASE WHEN event_type = 'error' THEN 'ValueError: no such page ' || event_id END AS error FROM events"""
+
+
+@query("document_queue", QUEUE_SQL)
 def document_queue(t: Load) -> DataFrame:
-    """STM-01, STM-03, STM-04: events as documents, claimed by a stream; a second run finds nothing new."""
+    """STM-01, STM-03, STM-04: events as documents, claimed by a stream, each parsed on its own: those that fail leave the
+    others ingested; those that time out are taken up by a second run; a third finds nothing new."""
     events = t("events")
     spark = events.sparkSession
-    source, states, progress = (_place(spark, n) for n in ("documents", "states", "progress"))
-    events.select(F.col("event_id").alias("document_id"), "event_type").write.parquet(source)
-    work = lambda batch: batch.select("document_id", F.when(F.col("event_type") == "error", "rejected").otherwise("ingested").alias("status"))
+    source, told, progress = (_place(spark, n) for n in ("documents", "states", "progress"))
+    text = F.concat_ws(" ", F.col("event_type"), F.col("event_id").cast("string"))
+    events.select(F.col("event_id").alias("document_id"), text.alias("text")).write.parquet(source)
+
+    def parse(text: str, late: bool = True) -> str:
+        kind, number = text.split()
+        if kind == "error":
+            raise ValueError(f"no such page {number}")
+        if late and int(number) % 97 == 0:
+            raise TimeoutError("too slow")
+        return kind
+
+    schema = "document_id long, text string"
     for _ in range(2):
-        queues.process_documents(spark.readStream.schema("document_id long, event_type string").parquet(source), work, states, progress)
-    # every row of the states, so a document worked on twice would show
-    return spark.read.schema("document_id long, status string, error string, batch long").parquet(states).select("document_id", "status")
+        queues.process_documents(spark.readStream.schema(schema).parquet(source), lambda batch: queues.outcomes(batch, parse, "text"), told, progress)
+    for run in (1, 2):
+        queues.retry(spark.read.schema(schema).parquet(source), lambda rows: queues.outcomes(rows, lambda x: parse(x, False), "text"), told, run)
+    return queues.latest_states(queues.read_states(spark, told))
+
+
+@query("queue_writes", "SELECT event_id AS document_id, 0 AS run FROM events UNION ALL SELECT event_id, 1 FROM events WHERE event_id % 97 = 0 AND event_type <> 'error'")
+def queue_writes(t: Load) -> DataFrame:
+    """STM-01: every write of a state: each document's once, also where the stream's batch is run again after a crash, and
+    one more of those that timed out."""
+    events = t("events")
+    spark = events.sparkSession
+    source, told, progress = (_place(spark, n) for n in ("documents", "states", "progress"))
+    events.select(F.col("event_id").alias("document_id"), "event_type").write.parquet(source)
+    late = F.when((F.col("document_id") % 97 == 0) & (F.col("event_type") != "error"), "transient_error").otherwise("ingested")
+
+    def crashes(batch: DataFrame, number: int) -> None:
+        queues.written_batch(batch.select("document_id", late.alias("status"), F.lit(None).cast("string").alias("error")), told, number)
+        raise RuntimeError("lost before the commit")
+
+    stream = lambda: spark.readStream.schema("document_id long, event_type string").parquet(source)
+    try:
+        queues.process_new(stream(), crashes, progress)
+    except StreamingQueryException:
+        pass
+    queues.process_documents(stream(), lambda batch: batch.select("document_id", late.alias("status")), told, progress)
+    queues.retry(spark.read.schema("document_id long, event_type string").parquet(source), lambda rows: rows.select("document_id", F.lit("ingested").alias("status")), told, 1)
+    return queues.read_states(spark, told).select("document_id", "run")
 
 
-@query("retried_documents", "SELECT n_nationkey AS document_id, 'transient_error' AS status FROM nation")
+@query("retried_documents", "SELECT n_nationkey AS document_id, 'transient_error' AS status, 'OSError: gone' AS error FROM nation")
 def retried_documents(t: Load) -> DataFrame:
-    """STM-01: a batch whose work fails leaves its documents to be taken up again."""
+    """STM-01: documents that could not be read stay to be taken up again."""
     n = t("nation").select(F.col("n_nationkey").alias("document_id"))
     spark = n.sparkSession
-    source, states, progress = (_place(spark, x) for x in ("documents", "states", "progress"))
+    source, told, progress = (_place(spark, x) for x in ("documents", "states", "progress"))
     n.write.parquet(source)
 
-    def fails(_: DataFrame) -> DataFrame:
-        raise ValueError("no such page")
+    def fails(_: int) -> str:
+        raise OSError("gone")
 
-    queues.process_documents(spark.readStream.schema("document_id long").parquet(source), fails, states, progress)
-    told = spark.read.schema("document_id long, status string, error string, batch long").parquet(states)
-    return queues.retried(n, told).select("document_id", F.lit("transient_error").alias("status"))
+    queues.process_documents(spark.readStream.schema("document_id long").parquet(source), lambda batch: queues.outcomes(batch, fails, "document_id"), told, progress)
+    table = queues.read_states(spark, told)
+    return queues.failed(table).join(queues.retried(n, table), "document_id", "left_semi")
 
 
 @query("sheet_statuses", "SELECT c_custkey AS id, (2024 + y)::INT AS period, CASE (c_custkey + y) % 3 WHEN 0 THEN 1 WHEN 1 THEN NULL ELSE 3 END::BIGINT AS capacity FROM customer, unnest([0, 1]) AS x(y) WHERE (c_custkey + y) % 3 <> 1")

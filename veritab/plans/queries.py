@@ -653,13 +653,35 @@ def gold_entry_errors(t: Load) -> DataFrame:
     return evaluate.entry_errors(e, ["excluded", "collected", "stale"]).select("entry_id", F.array_join("errors", "; ").alias("errors"))
 
 
-@query("greedy_unit_match")
+#: Unit after unit of each document, with the list of what is taken.
+GREEDY_SQL = """WITH RECURSIVE u AS (SELECT l_orderkey AS doc_id, l_linenumber::BIGINT AS pos, 'unit' || (l_partkey % 4) AS name, l_returnflag AS shift, l_quantity % 3 AS years FROM lineitem),
+g AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos, name, shift, years) AS turn FROM u WHERE pos % 2 = 1),
+e AS (SELECT g.doc_id, g.turn, p.pos, CASE WHEN g.shift = p.shift AND g.years = p.years THEN 0 ELSE 1 END AS other FROM g JOIN u p ON p.doc_id = g.doc_id AND p.pos % 2 = 0 AND p.name = g.name),
+walk AS (
+  SELECT DISTINCT doc_id, 0::BIGINT AS turn, []::BIGINT[] AS taken, NULL::BIGINT AS pick FROM g
+  UNION ALL
+  SELECT doc_id, turn, CASE WHEN best IS NULL THEN taken ELSE list_append(taken, best.pos) END, best.pos FROM (
+    SELECT w.doc_id, g.turn, w.taken, min(CASE WHEN e.pos IS NOT NULL THEN {'other': e.other, 'pos': e.pos} END) AS best
+    FROM walk w JOIN g ON g.doc_id = w.doc_id AND g.turn = w.turn + 1 LEFT JOIN e ON e.doc_id = w.doc_id AND e.turn = g.turn AND NOT list_contains(w.taken, e.pos)
+    GROUP BY w.doc_id, g.turn, w.taken)
+)
+SELECT doc_id, g.pos AS gold_pos, pick AS parsed_pos FROM walk JOIN g USING (doc_id, turn) WHERE pick IS NOT NULL"""
+
+
+@query("greedy_unit_match", GREEDY_SQL)
 def greedy_unit_match(t: Load) -> DataFrame:
-    """JOIN-10: sequential inside a document, so SQL cannot say it; tests hold it against a plain version."""
+    """JOIN-10."""
     l = t("lineitem").withColumn("name", F.concat(F.lit("unit"), (F.col("l_partkey") % 4).cast("string"))).select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").cast("long").alias("pos"), "name", F.col("l_returnflag").alias("shift"), (F.col("l_quantity") % 3).alias("years"))
     return evaluate.matched_units(l.filter("pos % 2 = 1").withColumnRenamed("pos", "gold_pos"), l.filter("pos % 2 = 0").withColumnRenamed("pos", "parsed_pos"))
 
 
+@query("new_ids", "SELECT o_orderkey, dense_rank() OVER (ORDER BY o_custkey, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END NULLS FIRST) + 1000 AS new_id FROM orders")
+def new_ids(t: Load) -> DataFrame:
+    """JOIN-09: ids for keys of which one part may be null."""
+    keyed = t("orders").select("o_orderkey", "o_custkey", F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("p"))
+    return resolve.new_ids(keyed, ["o_custkey", "p"], 1000).select("o_orderkey", "new_id")
+
+
 # --- export ------------------------------------------------------------------------------------------------------
 
 @query("period_pivot_status", "SELECT c_custkey AS entity_id, " + ", ".join(f"max(CASE WHEN period = {p} THEN status END) AS status_{p}" for p in (1996, 1997, 1998)) + " FROM customer LEFT JOIN (SELECT * FROM status WHERE is_current) s ON c_custkey = entity_id GROUP BY 1", "status")
@@ -888,6 +910,25 @@ def stream_bucket_counts(t: Load) -> DataFrame:
     return queues.latest_buckets(spark, f"{name}-table")
 
 
+@query("stream_evidence_state", BUCKET_SQL + " SELECT * FROM b", "evidence")
+def stream_evidence_state(t: Load) -> DataFrame:
+    """STM-05: the same log in several files, of which the last brings rows once more, through state that expires."""
+    import uuid
+
+    from veritab.plans.views import ADAPTERS
+    from veritab.streaming.state import checkpoint_dir
+
+    events = t("events")
+    spark = events.sparkSession
+    name = f"{checkpoint_dir(spark)}/evidence-{uuid.uuid4().hex}"
+    for part in range(3):
+        # late rows come in the second part, repeated ones in the third
+        events.filter(F.col("event_id") % 2 == part if part < 2 else F.col("event_id") % 5 == 0).coalesce(1).write.mode("append").parquet(f"{name}-log")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{name}-log")
+    queues.evidence_stream(spark.sql(ADAPTERS["evidence"], events=stream), f"{name}-table", f"{name}-progress", 24 * 3_600_000)
+    return queues.latest_buckets(spark, f"{name}-table")
+
+
 # --- review work -------------------------------------------------------------------------------------------------
 
 METHODS = ("region_index", "operator_manual")

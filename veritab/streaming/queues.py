@@ -5,13 +5,19 @@ A checkpoint takes the place of claim columns and locks: every file is processed
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import reduce
+from typing import Any
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from veritab.functions import states
 from veritab.operators import evidence
 
 
@@ -22,33 +28,85 @@ def process_new(stream: DataFrame, work: Callable[[DataFrame, int], None], check
     return query
 
 
-def process_documents(stream: DataFrame, work: Callable[[DataFrame], DataFrame], states_path: str, checkpoint: str) -> StreamingQuery:
-    """STM-01, STM-03, STM-04: documents of a stream worked on batch by batch, the state of each appended to a table.
+#: What may pass if it is tried again.
+TRANSIENT = (OSError, TimeoutError)
+STATES = "document_id {kind}, status string, error string, run int, batch long"
+
 
-    work takes a batch of (document_id, ...) and returns (document_id, status).  If it fails, the documents of the batch
-    are transient_error, with what went wrong, and a later run takes them up from there (see retried).  A batch that is
-    run again after a crash appends its states again; latest_states keeps the last.
+def outcomes(documents: DataFrame, parse: Callable[[Any], Any], on: str, transient: tuple[type[Exception], ...] = TRANSIENT) -> DataFrame:
+    """STM-01: document_id, status, error and result of each document, each on its own: parse gets the value of the column
+    named by on and returns a text, or nothing.
+
+    A document whose parse fails is parse_failed, or transient_error if the failure is one of transient, with what went
+    wrong; the others are ingested.  What ends the whole task, a lost executor or a fault of Spark, is no document's
+    fault: it fails the batch, which the stream runs again.
     """
+    kind = documents.schema["document_id"].dataType.simpleString()
 
-    def one(batch: DataFrame, number: int) -> None:
+    def one(value: Any) -> tuple[str, str | None, str | None]:
         try:
-            rows = work(batch).select("document_id", "status", F.lit(None).cast("string").alias("error"), F.lit(number).cast("long").alias("batch"))
-            rows.write.mode("append").parquet(states_path)
-        except Exception as failure:  # noqa: BLE001  a document that cannot be parsed must not end the run
-            told = F.lit(f"{type(failure).__name__}: {failure}"[:500])
-            batch.select("document_id", F.lit("transient_error").alias("status"), told.alias("error"), F.lit(number).cast("long").alias("batch")).write.mode("append").parquet(states_path)
+            result = parse(value)
+        except transient as failure:
+            return "transient_error", f"{type(failure).__name__}: {failure}"[:500], None
+        except Exception as failure:  # noqa: BLE001  any fault of a parser is its document's
+            return "parse_failed", f"{type(failure).__name__}: {failure}"[:500], None
+        return "ingested", None, result
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = list(zip(*map(one, batch.column(1).to_pylist()), strict=True)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.string()) for c in told]], ["document_id", "status", "error", "result"])
+
+    return documents.select("document_id", F.col(on).alias("value")).mapInArrow(work, f"document_id {kind}, status string, error string, result string")
+
+
+def written_batch(rows: DataFrame, path: str, batch: int, run: int = 0) -> None:
+    """rows as the part of the table at path that belongs to a run and batch.  A batch that is run again replaces what it
+    wrote before, so a crash between writing and committing leaves nothing twice."""
+    rows.write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch}")
+
+
+def process_documents(stream: DataFrame, work: Callable[[DataFrame], DataFrame], states_path: str, checkpoint: str) -> StreamingQuery:
+    """STM-01, STM-03, STM-04: documents of a stream worked on batch by batch, the state of each kept in a table.
+
+    work takes a batch of (document_id, ...) and returns (document_id, status), and error where there is one, such as
+    outcomes gives.  Documents that failed are rows of the table like all others: failed gives them, retry takes up
+    those that may pass.
+    """
+    return process_new(stream, lambda batch, number: written_batch(_told(work(batch)), states_path, number), checkpoint)
+
 
-    return process_new(stream, one, checkpoint)
+def _told(rows: DataFrame) -> DataFrame:
+    error = F.col("error") if "error" in rows.columns else F.lit(None).cast("string")
+    return rows.select("document_id", "status", error.alias("error"))
 
 
-def latest_states(states: DataFrame) -> DataFrame:
+def read_states(spark: SparkSession, path: str, kind: str = "long") -> DataFrame:
+    """The table of states: document_id, status, error, run, batch."""
+    return spark.read.schema(STATES.format(kind=kind)).parquet(path)
+
+
+def latest_states(states_table: DataFrame) -> DataFrame:
     """The last state of each document."""
-    return states.groupBy("document_id").agg(F.max_by(F.struct("status", "error"), "batch").alias("s")).select("document_id", "s.*")
+    return states_table.groupBy("document_id").agg(F.max_by(F.struct("status", "error"), F.struct("run", "batch")).alias("s")).select("document_id", "s.*")
 
 
-def retried(documents: DataFrame, states: DataFrame) -> DataFrame:
+def retried(documents: DataFrame, states_table: DataFrame) -> DataFrame:
     """Documents whose last state is a transient error."""
-    return documents.join(latest_states(states).filter("status = 'transient_error'").select("document_id"), "document_id", "left_semi")
+    return documents.join(latest_states(states_table).filter("status = 'transient_error'").select("document_id"), "document_id", "left_semi")
+
+
+def failed(states_table: DataFrame) -> DataFrame:
+    """The dead letters: documents whose last state is a failure, with what went wrong."""
+    return latest_states(states_table).filter("status IN ('transient_error', 'parse_failed')")
+
+
+def retry(documents: DataFrame, work: Callable[[DataFrame], DataFrame], states_path: str, run: int) -> None:
+    """Work once more on the documents whose last state before this run is a transient error.  A run has its number, from 1;
+    the same run again replaces its states."""
+    kind = documents.schema["document_id"].dataType.simpleString()
+    before = read_states(documents.sparkSession, states_path, kind).filter(F.col("run") < run)
+    written_batch(_told(work(retried(documents, before))), states_path, 0, run)
 
 
 def missing_items(items: DataFrame, queue: DataFrame, key: str) -> DataFrame:
@@ -75,28 +133,75 @@ def ingest_units(annotations: DataFrame, current: DataFrame, target: int) -> Dat
 
 
 def bucket_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """STM-05: entities' evidence buckets over a log that grows: each micro-batch appends the entities that it changed, with
-    its number, to a table; latest_buckets reads it.
+    """STM-05: entities' evidence buckets over a log that grows: each micro-batch writes the entities that it changed to its
+    part of a table; latest_buckets reads it.
 
-    The state is one row of flags for each entity.
+    The state is one row of flags for each entity, for ever; evidence_stream forgets.
     """
     rows = evidence.with_flags(evidence.actionable(stream)).groupBy("entity_id").agg(*evidence.bucket_aggregates())
     out = rows.select("entity_id", evidence.bucket_column().alias("bucket"), "rows")
-
-    def append(batch: DataFrame, number: int) -> None:
-        batch.withColumn("batch", F.lit(number).cast("long")).write.mode("append").parquet(path)
-
-    query = out.writeStream.outputMode("update").foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = out.writeStream.outputMode("update").foreachBatch(lambda batch, number: written_batch(batch, path, number)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
 
 def latest_buckets(spark: SparkSession, path: str) -> DataFrame:
     """Each entity's bucket by the last batch that changed it."""
-    told = spark.read.schema("entity_id long, bucket string, rows long, batch long").parquet(path)
+    told = spark.read.schema("entity_id long, bucket string, rows long, run int, batch long").parquet(path)
     return told.groupBy("entity_id").agg(F.max_by(F.struct("bucket", "rows"), "batch").alias("b")).select("entity_id", "b.bucket", "b.rows")
 
 
+#: Places of the log that are kept together, a bit for each.
+CHUNK = 8192
+STATE_FLAGS = (*evidence.FLAGS, "is_error", "is_tls")
+TOTALS = "rows long, " + ", ".join(f"f{i} long" for i in range(len(STATE_FLAGS)))
+
+
+def advanced(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState, ttl_ms: int) -> Iterator[pd.DataFrame]:
+    """What is known of an entity, moved on by new rows: how many rows bear each flag, and the places of rows met, as chunks
+    of bits.  An entity that was silent for ttl_ms is forgotten, with its rows."""
+    if state.hasTimedOut:
+        state.remove()
+        return
+    *totals, chunks, bits = state.get if state.exists else ([0] * (1 + len(STATE_FLAGS)) + [[], []])
+    met = {c: np.unpackbits(np.frombuffer(b, np.uint8)) for c, b in zip(chunks, bits, strict=True)}
+    for part in parts:
+        for chunk, mine in part.drop_duplicates("position").groupby(part["position"] // CHUNK):
+            places = met.setdefault(int(chunk), np.zeros(CHUNK, np.uint8))
+            new = mine[places[mine["position"] % CHUNK] == 0]
+            places[new["position"] % CHUNK] = 1
+            totals[0] += len(new)
+            for i in range(len(STATE_FLAGS)):
+                totals[1 + i] += int((new["flags"].to_numpy() >> i & 1).sum())
+    state.update((*totals, list(met), [np.packbits(p).tobytes() for p in met.values()]))
+    state.setTimeoutDuration(ttl_ms)
+    yield pd.DataFrame({"entity_id": [key[0]], "rows": [totals[0]], **{f"f{i}": [n] for i, n in enumerate(totals[1:])}})
+
+
+def evidence_stream(stream: DataFrame, path: str, checkpoint: str, ttl_ms: int) -> StreamingQuery:
+    """STM-05: as bucket_stream, with a state that forgets entities of which nothing is heard for ttl_ms, and in which a row
+    that comes again, by its position, counts once: positions number the log's rows from 0.
+
+    Counters are kept, so a busy entity's rows aren't read again, and a bit for each place of the log near its rows.
+    """
+    flags = reduce(Column.__add__, [F.col(f).cast("int") * (1 << i) for i, f in enumerate(STATE_FLAGS)])
+    rows = evidence.with_flags(evidence.actionable(stream)).select("entity_id", F.col("position").cast("long").alias("position"), flags.alias("flags"))
+    move = lambda key, parts, state: advanced(key, parts, state, ttl_ms)
+    kept = rows.groupBy("entity_id").applyInPandasWithState(move, f"entity_id long, {TOTALS}", f"{TOTALS}, chunks array<long>, bits array<binary>", "update", GroupStateTimeout.ProcessingTimeTimeout)
+    told = {f: F.col(f"f{i}") > 0 for i, f in enumerate(STATE_FLAGS)}
+    errors = F.col(f"f{STATE_FLAGS.index('is_error')}")
+    bucket = states.evidence_bucket({**{f: told[f] for f in evidence.FLAGS}, "all_errors": errors == F.col("rows"), "any_errors": told["is_error"], "any_tls": told["is_tls"], "any_rows": F.col("rows") > 0})
+    out = kept.select("entity_id", bucket.alias("bucket"), "rows")
+    query = out.writeStream.outputMode("update").foreachBatch(lambda batch, number: written_batch(batch, path, number)).option("checkpointLocation", checkpoint).start()
+    # a state that expires by the clock always has a further batch to run, so the run ends with the first that reads nothing
+    while query.isActive and not any(p["numInputRows"] == 0 for p in query.recentProgress):
+        query.awaitTermination(1)
+    query.stop()
+    if query.exception():
+        raise query.exception()
+    return query
+
+
 def throttle(log: DataFrame, least_s: float = 30.0, failures: int = 3, cooldown_s: float = 3600.0) -> DataFrame:
     """STM-06: what a per-host throttle would have decided for each request of a log: (host, at, decision, wait_s).
 
