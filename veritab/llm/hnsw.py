@@ -339,11 +339,17 @@ def build_index(found: DataFrame, routes: dict[int, Routes], members: int) -> Da
 INDEX = "dim int, shard int, vectors binary, node array<int>, ids array<long>, ends array<long>, links array<binary>, entry int"
 
 
+def halved(rows: np.ndarray) -> np.ndarray:
+    """Rows scaled by powers of two until the largest component is at least a half and below 1.  That is exact and leaves
+    cosines as they are, but no square of what is far from 1 overflows or vanishes."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(1, keepdims=True))[1])
+
+
 class Shard:
     """One shard of the index, ready to be searched."""
 
     def __init__(self, row: dict):
-        self.raw = np.frombuffer(row["vectors"]).reshape(-1, row["dim"])
+        self.raw = halved(np.frombuffer(row["vectors"]).reshape(-1, row["dim"]))
         self.norms = np.linalg.norm(self.raw, axis=1)
         node = np.array(row["node"])
         #: vectors by node
@@ -355,6 +361,7 @@ class Shard:
 
     def nearest(self, query: int, vector: np.ndarray, k: int) -> list[tuple[float, int]]:
         """(-score, id) of the k nearest rows found, other than the query's own."""
+        vector = halved(vector[None])[0]
         found = self.graph.search(unit_rows(vector[None])[0], max(EF_SEARCH, 2 * k))
         which = np.concatenate([self.order[self.starts[i] : self.starts[i + 1]] for i in found])
         scores = self.raw[which] @ vector / (self.norms[which] * np.linalg.norm(vector))
