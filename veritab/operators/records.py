@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from veritab.functions import numbers, periods, states, urls
 from veritab.functions.text import header_name, metric_of_label, squeezed, unit_key
+from veritab.functions.words import first_word
 
 # Fixed values.
 STATUS_WORDS = {
@@ -180,13 +181,10 @@ def range_errors(fields: dict[str, tuple[Column, float, float]]) -> Column:
 
 
 def rejected(text: Column, hinted: Column, target: int, bad: Sequence[str] = UNWANTED) -> Column:
-    """FLT-05: why a candidate is not worth a download; null if it is."""
-    low = F.lower(text)
-    out = None
-    for w in bad:
-        hit = low.contains(w.lower())
-        out = F.when(hit, f"negative_word:{w}") if out is None else out.when(hit, f"negative_word:{w}")
-    return out.when(hinted < target - 1, "stale_period").when(hinted > target + 1, "future_period")
+    """FLT-05: why a candidate is not worth a download; null if it is.  Of words in it the first of the list is told."""
+    place = first_word(F.lower(text), [w.lower() for w in bad])
+    word = F.get(F.array(*map(F.lit, bad)), place)
+    return F.when(word.isNotNull(), F.concat(F.lit("negative_word:"), word)).when(hinted < target - 1, "stale_period").when(hinted > target + 1, "future_period")
 
 
 def page_links(pages: DataFrame) -> DataFrame:

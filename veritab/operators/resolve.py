@@ -24,22 +24,28 @@ def letter_pairs(c: Column) -> Column:
     return F.when(F.length(c) < 2, F.array(c)).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substring(c, i, F.lit(2)))))
 
 
-def containing(left: DataFrame, right: DataFrame, block: str) -> DataFrame:
-    """Pairs of a block of (left_id, block, k) and (right_id, block, rk), of which one text holds the other; texts of one
-    letter meet only each other.
+def held_texts(inner: DataFrame, outer: DataFrame, block: str) -> DataFrame:
+    """(inner_id, outer_id, block, k, rk): pairs of a block of (inner_id, block, k) and (outer_id, block, rk) whose rk holds k.
 
-    Each text looks for those that hold it by its rarest pair of letters in the block.
+    Each k looks for those that hold it by its rarest pair of letters in the block, so a block's size does not matter as
+    long as its texts differ.  Empty and null texts meet none, a text of one letter only itself.
     """
-    l = left.select("left_id", block, "k", F.explode(letter_pairs(F.col("k"))).alias("pair"))
-    r = right.select("right_id", block, "rk", F.explode(letter_pairs(F.col("rk"))).alias("pair"))
-    often = l.select(block, "pair").unionByName(r.select(block, "pair")).groupBy(block, "pair").agg(F.count("*").alias("n"))
+    i = inner.select("inner_id", block, "k", F.explode(letter_pairs(F.col("k"))).alias("pair")).filter("k <> ''")
+    o = outer.select("outer_id", block, "rk", F.explode(letter_pairs(F.col("rk"))).alias("pair"))
+    # a pair that only inner texts have leads nowhere, so it counts as rarest and ends the search at once
+    often = o.groupBy(block, "pair").agg(F.count("*").alias("n"))
+    rare = i.join(often, [block, "pair"], "left").groupBy("inner_id", block, "k").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "pair")).alias("rare"))
+    sought = rare.select("inner_id", block, "k", F.col("rare.pair").alias("pair"))
+    return sought.join(o, [block, "pair"]).filter(F.col("rk").contains(F.col("k"))).select("inner_id", "outer_id", block, "k", "rk")
 
-    def rarest(rows: DataFrame, ident: str, key: str) -> DataFrame:
-        return rows.join(often, [block, "pair"]).groupBy(ident, block, key).agg(F.min(F.struct("n", "pair")).alias("rare")).select(ident, block, key, F.col("rare.pair").alias("pair"))
 
+def containing(left: DataFrame, right: DataFrame, block: str) -> DataFrame:
+    """Pairs of a block of (left_id, block, k) and (right_id, block, rk), of which one text holds the other."""
     shown = ["left_id", "right_id", block, "k", "rk"]
-    held = rarest(l, "left_id", "k").join(r, [block, "pair"]).filter(F.col("rk").contains(F.col("k"))).select(*shown)
-    holds = rarest(r, "right_id", "rk").join(l, [block, "pair"]).filter(F.col("k").contains(F.col("rk"))).select(*shown)
+    as_inner = lambda rows, ident, key: rows.select(F.col(ident).alias("inner_id"), block, F.col(key).alias("k"))
+    as_outer = lambda rows, ident, key: rows.select(F.col(ident).alias("outer_id"), block, F.col(key).alias("rk"))
+    held = held_texts(as_inner(left, "left_id", "k"), as_outer(right, "right_id", "rk"), block).toDF(*shown)
+    holds = held_texts(as_inner(right, "right_id", "rk"), as_outer(left, "left_id", "k"), block).toDF("right_id", "left_id", block, "rk", "k").select(*shown)
     return held.unionByName(holds).distinct()
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritab.functions import numbers, states, text, urls
+from veritab.operators.resolve import held_texts
 
 # How far discovery methods are trusted, the best first.
 METHOD_ORDER = ("domain_override", "operator_manual", "seed_csv", "region_index", "official_site", "owner_pattern", "web_search")
@@ -111,7 +112,12 @@ def names_another(label: Column, entity: Column, others: Column) -> Column:
 def owner_pages(entity: DataFrame, pages: DataFrame) -> DataFrame:
     """JOIN-28: for each (entity_id, owner, token), the owner's page whose address holds the token: documents first,
     then pages that hint at disclosure, then the shortest; the first hit wins."""
-    hit = entity.join(pages, "owner").filter(F.lower("url").contains(F.col("token")) & (F.col("token") != ""))
+    tokens = entity.select(F.col("entity_id").alias("inner_id"), "owner", F.col("token").alias("k"))
+    addresses = pages.select(F.col("url").alias("outer_id"), "owner", F.lower("url").alias("rk"))
+    hit = held_texts(tokens.filter(F.length("k") > 1), addresses, "owner")
+    # a token of one letter has no pair to be found by
+    letter = tokens.filter(F.length("k") == 1).join(addresses, "owner").filter(F.col("rk").contains(F.col("k")))
+    hit = hit.select("inner_id", "outer_id").unionByName(letter.select("inner_id", "outer_id")).toDF("entity_id", "url")
     q = urls.quality(F.col("url"))
     order = [F.when(q == "direct_pdf", 0).when(q == "disclosure", 1).otherwise(2), F.length("url"), "url"]
     n = F.row_number().over(Window.partitionBy("entity_id").orderBy(*order))
