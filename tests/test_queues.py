@@ -98,3 +98,20 @@ def test_state_counts_once_and_is_forgotten():
     assert list(queues.advanced((7,), iter([]), state, 1000)) == [] and not state.exists
     state.hasTimedOut = False
     assert step((1, 3)) == [(1, 1, 1)]
+
+
+def test_outbox_after_a_crash(spark, tmp_path):
+    source, path, progress = (str(tmp_path / n) for n in ("in", "log", "progress"))
+    flush = lambda: queues.outbox_stream(spark.readStream.schema("action_id string, note string").parquet(source), path, progress)
+    held = lambda: sorted(r["action_id"] or "" for r in spark.read.schema("action_id string, note string").json(path).collect())
+    spark.createDataFrame([("a", "1"), ("a", "2"), (None, "3")], "action_id string, note string").write.parquet(source)
+    flush()
+    assert held() == ["", "a"]
+    # the log was written, the commit of its batch was not
+    (last,) = sorted(p for p in (tmp_path / "progress" / "commits").iterdir() if p.name.isdigit())[-1:]
+    last.unlink()
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    spark.createDataFrame([("b", "1"), ("a", "4"), (None, "5")], "action_id string, note string").write.mode("append").parquet(source)
+    flush()
+    flush()
+    assert held() == ["", "a", "b"]

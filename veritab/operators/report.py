@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from veritab.functions import states
 from veritab.functions.numbers import CUTOFFS
+from veritab.streaming.state import stored
 
 UNKNOWN_REGION = "(unknown)"
 TOTAL = "__total__"
@@ -188,6 +189,45 @@ def status_rows(entity: DataFrame, site: DataFrame, document: DataFrame, fact: D
     return f.select("entity_id", "region", "url_status", "document_status", "extract_status", "yoy_status", "evidence_level", "ready", reason.alias("blocking_reason"))
 
 
+#: Parts of a written status table; a refresh rewrites those that hold an entity that was touched.
+STATUS_PARTS = 64
+
+
+def _parted(rows: DataFrame, parts: int) -> DataFrame:
+    return rows.withColumn("part", F.pmod(F.xxhash64("entity_id"), F.lit(parts)).cast("int"))
+
+
+def build_status(path: str, entity: DataFrame, site: DataFrame, document: DataFrame, fact: DataFrame, period: int, parts: int = STATUS_PARTS) -> None:
+    """UPD-12: the status rows of all entities as a table in so many parts by entity; what was there is replaced."""
+    _parted(status_rows(entity, site, document, fact, period), parts).repartition("part").write.mode("overwrite").partitionBy("part").parquet(path)
+
+
+def refresh_status(path: str, touched: DataFrame, entity: DataFrame, site: DataFrame, document: DataFrame, fact: DataFrame, period: int, parts: int = STATUS_PARTS) -> int:
+    """UPD-12: the table brought up to date for the touched entities (entity_id) only; returns how many parts were written.
+
+    touched: entities of which a row of any input was added, changed or taken away since the last run, each any number of
+    times.  Their rows are worked out anew from their own inputs; the other rows of their parts are kept, and all other
+    parts are not read.  Entities that are no longer active leave the table.  What is written is staged first, so a run
+    that fails leaves the table as it was, and a run again gives the same.
+    """
+    spark = touched.sparkSession
+    ids = stored(touched.select("entity_id").filter("entity_id IS NOT NULL").distinct(), "touched")
+    hit = [r["part"] for r in _parted(ids, parts).select("part").distinct().collect()]
+    if not hit:
+        return 0
+    mine = lambda df: df.join(ids, "entity_id", "left_semi")
+    new = _parted(status_rows(mine(entity), mine(site), mine(document), mine(fact), period), parts)
+    kept = spark.read.schema(new.schema).parquet(path).filter(F.col("part").isin(hit)).join(ids, "entity_id", "left_anti")
+    staged = stored(new.unionByName(kept), "status")
+    staged.repartition("part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
+    # a part that lost its last row is not among those written
+    left = {r["part"] for r in staged.select("part").distinct().collect()}
+    for part in set(hit) - left:
+        there = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/part={part}")
+        there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
+    return len(hit)
+
+
 def yoy_status(fact: DataFrame, period: int, measures: Sequence[str] = ("capacity", "enrollment")) -> DataFrame:
     """WIN-09: by entity: unchecked, new_entity, partial_diff or identical_to_prev_period, over all units' measures."""
     rows = fact.filter(F.col("is_current") & F.col("period").isin(period, period - 1))

@@ -226,6 +226,18 @@ def outbox_log(t: Load) -> DataFrame:
     return c.sparkSession.read.schema("action_id string").json(path).groupBy("action_id").agg(F.count("*").alias("n"))
 
 
+@query("outbox_stream", "SELECT 'a' || c_custkey AS action_id, count(*) AS n FROM customer GROUP BY 1")
+def outbox_stream(t: Load) -> DataFrame:
+    """SNK-07: actions as files of a stream in three flushes, half of them twice; each is in the log once."""
+    c = t("customer").select(F.concat(F.lit("a"), F.col("c_custkey").cast("string")).alias("action_id"), "c_custkey")
+    spark = c.sparkSession
+    source, path, progress = (_place(spark, n) for n in ("actions", "outbox", "progress"))
+    for part in ("c_custkey % 2 = 0", "c_custkey % 3 <> 0", "true"):
+        c.filter(part).select("action_id").write.mode("append").parquet(source)
+        queues.outbox_stream(spark.readStream.schema("action_id string").parquet(source), path, progress)
+    return spark.read.schema("action_id string").json(path).groupBy("action_id").agg(F.count("*").alias("n"))
+
+
 # --- ingest and streams ------------------------------------------------------------------------------------------
 
 #: A document of each order for its customer; units are its lines.

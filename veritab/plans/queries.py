@@ -479,6 +479,26 @@ def status_rebuild(t: Load) -> DataFrame:
     return _status(t)
 
 
+@query("status_refresh", STATUS_SQL + " SELECT * FROM st", *FOUR)
+def status_refresh(t: Load) -> DataFrame:
+    """UPD-12: a table built before some rows came, changed and went, brought up to date for the entities they belong to."""
+    import uuid
+
+    from veritab.streaming.state import checkpoint_dir
+
+    entity, site, document, fact = _four(t)
+    came = {"site": F.col("site_id") % 7 == 0, "document": F.col("document_id") % 50 == 0, "fact": F.col("unit_id") % 90 == 0, "entity": F.col("entity_id") % 40 == 0}
+    path = f"{checkpoint_dir(entity.sparkSession)}/status-{uuid.uuid4().hex}"
+    before = entity.withColumn("active", F.when(came["entity"], ~F.col("active")).otherwise(F.col("active")))
+    # some documents stood elsewhere before
+    moved = document.withColumn("period", F.when(F.col("document_id") % 70 == 1, F.col("period") - 1).otherwise(F.col("period")))
+    report.build_status(path, before, site.filter(~came["site"]), moved.filter(~came["document"]), fact.filter(~came["fact"]), PERIOD)
+    touched = site.filter(came["site"]).select("entity_id").unionByName(document.filter(came["document"] | (F.col("document_id") % 70 == 1)).select("entity_id"))
+    touched = touched.unionByName(fact.filter(came["fact"]).select("entity_id")).unionByName(entity.filter(came["entity"]).select("entity_id"))
+    report.refresh_status(path, touched, entity, site, document, fact, PERIOD)
+    return entity.sparkSession.read.parquet(path).drop("part")
+
+
 @query("status_counts", STATUS_SQL + """ SELECT count(*) AS total, count(*) FILTER (ready) AS ready, count(*) FILTER (document_status = 'confirmed_target') AS confirmed_target, count(*) FILTER (document_status = 'confirmed_target' AND extract_status = 'parsed') AS confirmed_target_parsed,
   count(*) FILTER (document_status = 'confirmed_target' AND ready) AS confirmed_target_ready, count(*) FILTER (document_status = 'image_pending') AS image_pending, count(*) FILTER (document_status = 'rejected_stale') AS rejected_stale, count(*) FILTER (document_status = 'discovered') AS discovered,
   count(*) FILTER (document_status = 'none') AS none, count(*) FILTER (extract_status = 'parse_failed') AS parse_failed FROM st""", *FOUR)

@@ -202,6 +202,18 @@ def evidence_stream(stream: DataFrame, path: str, checkpoint: str, ttl_ms: int)
     return query
 
 
+def outbox_stream(actions: DataFrame, path: str, checkpoint: str, key: str = "action_id") -> StreamingQuery:
+    """SNK-07: a stream of actions into a log of JSON lines, each action once by its key, the first that comes.
+
+    Keys that were written are state of the stream, so a flush reads no log; the log's own list of batches tells which
+    files count, so a batch that is run again after a crash between writing and committing adds nothing.  Null keys are
+    one action.
+    """
+    query = actions.dropDuplicates([key]).writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
 def throttle(log: DataFrame, least_s: float = 30.0, failures: int = 3, cooldown_s: float = 3600.0) -> DataFrame:
     """STM-06: what a per-host throttle would have decided for each request of a log: (host, at, decision, wait_s).
 
