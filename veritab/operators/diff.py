@@ -112,11 +112,16 @@ def key_collisions(rows: DataFrame, scope: Sequence[str], side: str) -> DataFram
 PAYLOAD = ("review_id", "review_status", "final_value", "reviewed_unit", "source_row", "value", "other_unit")
 
 
-def _both_sides(reviewed: DataFrame, other: DataFrame) -> DataFrame:
-    """The rows of both sides under one another, with their key, its label, and how many rows of the key each side has.
+#: What rows of two sides are joined by: the key's text, behind its hash, by which rows sort fast.
+KEY = ["h", "k"]
 
-    Names are folded once, into a table in the shared folder.  Keys are counted first, with partial sums; rows meet one
-    row of counts each, so no key's rows are ever gathered.
+
+def _both_sides(reviewed: DataFrame, other: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of both sides under one another, with their key and its label; and the ambiguous keys, with how many rows
+    each side has.
+
+    Names are folded once, into a table in the shared folder.  Keys are counted with partial sums, so no key's rows are
+    ever gathered.
     """
     wanted = reviewed.filter(F.col("metric").isNotNull() & (F.col("metric") != "") & F.col("unit").isNotNull() & (F.col("unit") != ""))
     key = join_key(F.col("entity"), F.col("category"), F.col("unit"), F.col("period"), F.col("metric"))
@@ -127,18 +132,19 @@ def _both_sides(reviewed: DataFrame, other: DataFrame) -> DataFrame:
     rows = ours.unionByName(theirs)
     # nulls and bars inside a part must not make two keys one
     parts = [F.coalesce(F.col(f"key.{n}").cast("string"), F.lit("\u0000")) for n in ("entity", "category", "unit", "period", "metric")]
-    rows = stored(rows.select(F.concat_ws("\u001f", *parts).alias("k"), join_key_label(F.col("key")).alias("key"), "ours", *PAYLOAD), "both-sides")
-    counts = rows.groupBy("k").agg(F.count_if("ours").alias("reviewed_rows"), F.count_if(~F.col("ours")).alias("other_rows"))
-    return rows.join(counts, "k")
-
-
-def _ambiguous() -> Column:
-    return (F.col("reviewed_rows") > 1) | (F.col("other_rows") > 1)
-
-
-def _single(rows: DataFrame, status: Column) -> DataFrame:
-    """One row for each key with one row on a side at most, with what both sides say, and its status."""
-    paired = rows.filter(~_ambiguous()).groupBy("k").agg(F.first("key").alias("key"), *[F.max(c).alias(c) for c in ("reviewed_rows", "other_rows")], *[F.first(c, ignorenulls=True).alias(c) for c in PAYLOAD])
+    rows = rows.select(F.concat_ws("\u001f", *parts).alias("k"), join_key_label(F.col("key")).alias("key"), "ours", *PAYLOAD)
+    rows = stored(rows.select(F.xxhash64("k").alias("h"), "*"), "both-sides")
+    counts = rows.groupBy(*KEY).agg(F.count_if("ours").alias("reviewed_rows"), F.count_if(~F.col("ours")).alias("other_rows"))
+    return rows, counts.filter((F.col("reviewed_rows") > 1) | (F.col("other_rows") > 1))
+
+
+def _single(rows: DataFrame, ambiguous: DataFrame, status: Column) -> DataFrame:
+    """One row for each key with one row on a side at most, with what both sides say, and its status: the sides without
+    ambiguous keys are joined row against row."""
+    clear = rows.join(ambiguous.select(*KEY), KEY, "left_anti")
+    ours = clear.filter("ours").select(*KEY, "key", "review_id", "review_status", "final_value", "reviewed_unit")
+    theirs = clear.filter(~F.col("ours")).select(*KEY, F.col("key").alias("other_key"), "source_row", "value", "other_unit", F.lit(1).alias("there"))
+    paired = ours.withColumn("here", F.lit(1)).join(theirs, KEY, "full_outer").withColumns({"reviewed_rows": F.coalesce("here", F.lit(0)), "other_rows": F.coalesce("there", F.lit(0)), "key": F.coalesce("key", "other_key")})
     return paired.withColumns({"status": status, "reason": F.lit("")})
 
 
@@ -165,9 +171,9 @@ def compare_external(reviewed: DataFrame, external: DataFrame) -> DataFrame:
     reviewed: entity, category, unit, period, metric, review_id, review_status, final_value; external: the same key
     columns, source_row, value.  An ambiguous key emits every candidate of both sides, each on its own row.
     """
-    rows = _both_sides(reviewed, external)
-    single = _single(rows, _status("missing_in_primary", "missing_in_external", "ambiguous_key_not_comparable"))
-    many = rows.filter(_ambiguous()).withColumns({"status": F.lit("ambiguous_key_not_comparable"), "reason": _reason("reviewed", "external")})
+    rows, ambiguous = _both_sides(reviewed, external)
+    single = _single(rows, ambiguous, _status("missing_in_primary", "missing_in_external", "ambiguous_key_not_comparable"))
+    many = rows.join(ambiguous, KEY).withColumns({"status": F.lit("ambiguous_key_not_comparable"), "reason": _reason("reviewed", "external")})
     shown = ["key", "review_id", "source_row", F.col("final_value").alias("primary_value"), F.col("value").alias("external_value"), "status", "reason"]
     return single.select(*shown).unionByName(many.select(*shown)).withColumn("result", states.truth_label(F.col("status")))
 
@@ -177,12 +183,12 @@ def diff_master(reviewed: DataFrame, master: DataFrame) -> DataFrame:
 
     An ambiguous key emits the reviewed candidates if there are any, else the master's.
     """
-    rows = _both_sides(reviewed, master)
-    single = _single(rows, _status("missing_in_extraction", "missing_in_master", "ambiguous_key"))
-    many = rows.filter(_ambiguous()).withColumns({"status": F.lit("ambiguous_key"), "reason": _reason("reviewed", "master")})
+    rows, ambiguous = _both_sides(reviewed, master)
+    single = _single(rows, ambiguous, _status("missing_in_extraction", "missing_in_master", "ambiguous_key"))
+    many = rows.join(ambiguous, KEY).withColumns({"status": F.lit("ambiguous_key"), "reason": _reason("reviewed", "master")})
     # of several candidates against one row of the master, each shows its value
-    only = many.filter("not ours AND other_rows = 1").select("k", F.col("value").alias("only_value"))
-    ours = many.filter("ours").drop("value").join(only, "k", "left").withColumnRenamed("only_value", "value")
+    only = many.filter("not ours AND other_rows = 1").select(*KEY, F.col("value").alias("only_value"))
+    ours = many.filter("ours").drop("value").join(only, KEY, "left").withColumnRenamed("only_value", "value")
     theirs = many.filter("reviewed_rows = 0")
     shown = ["key", "review_id", F.col("final_value").alias("extracted_value"), F.col("value").alias("expected_value"), "status", "reason"]
     return single.select(*shown).unionByName(ours.select(*shown)).unionByName(theirs.select(*shown))

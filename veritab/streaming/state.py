@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a local one only where none is set and Spark is local."""
+    """The shared folder of spark.checkpoint.dir, or that which setCheckpointDir was given; a local one only where neither is
+    set and Spark is local."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found
+    given = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if given.isDefined():
+        return given.get()
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return tempfile.mkdtemp(prefix="veritab-stream-")
