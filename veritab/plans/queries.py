@@ -117,9 +117,16 @@ def align_category_keys(t: Load) -> DataFrame:
     return e.unionByName(a).select("p_partkey", "aligned")
 
 
-@query("category_deltas", ALIGN_SQL + "SELECT scope, unit, ecs[1] AS expected_category, acs[1] AS actual_category FROM b WHERE len(ecs) = 1 AND len(acs) = 1 AND ecs[1] <> acs[1]")
+DELTA_SQL = """WITH p AS (SELECT (p_partkey // 2) % 5 AS scope, (p_partkey // 2)::VARCHAR AS unit, p_brand AS category, p_partkey % 2 AS side FROM part)
+SELECT e.scope, e.unit, e.category AS expected_category, a.category AS actual_category FROM p e JOIN p a ON e.scope = a.scope AND e.unit = a.unit WHERE e.side = 0 AND a.side = 1 AND e.category <> a.category"""
+
+
+@query("category_deltas", DELTA_SQL)
 def category_deltas(t: Load) -> DataFrame:
-    return diff.align_categories(*_sides(t), ["scope"])[2]
+    """JOIN-04: neighbouring parts are the two sides of a unit, most of another brand."""
+    half = F.floor(F.col("p_partkey") / 2)
+    part = t("part").select((half % 5).alias("scope"), half.cast("string").alias("unit"), F.col("p_brand").alias("category"), (F.col("p_partkey") % 2).alias("side"))
+    return diff.align_categories(part.filter("side = 0"), part.filter("side = 1"), ["scope"])[2]
 
 
 @query("key_collisions", ALIGN_SQL + "SELECT scope, unit, array_to_string(c, ',') AS categories, 'master' AS side FROM ec WHERE len(c) > 1 UNION ALL SELECT scope, unit, array_to_string(c, ',') AS categories, 'document' AS side FROM ac WHERE len(c) > 1")
@@ -622,10 +629,15 @@ def evidence_representatives(t: Load) -> DataFrame:
     return evidence.representatives(t("evidence"), 3).select("entity_id", "position", "reason", "rank")
 
 
-@query("batch_plan", BUCKET_SQL + """ SELECT c.entity_id, candidates, coalesce(bucket, 'no_evidence') AS bucket, coalesce(rows, 0) AS rows FROM (SELECT entity_id, count(*) AS candidates FROM evidence GROUP BY 1) c LEFT JOIN b USING (entity_id) WHERE coalesce(bucket, 'no_evidence') <> 'accepted_target_pdf'
+#: The log with a hundred entities in place of each, so that most are told by a few rows and not all are accepted.
+SPREAD_SQL = BUCKET_SQL.replace("WITH f AS", "WITH spread AS (SELECT * REPLACE (entity_id * 100 + position % 100 AS entity_id) FROM evidence), f AS").replace("FROM evidence WHERE", "FROM spread WHERE")
+
+
+@query("batch_plan", SPREAD_SQL + """ SELECT c.entity_id, candidates, coalesce(bucket, 'no_evidence') AS bucket, coalesce(rows, 0) AS rows FROM (SELECT entity_id, count(*) AS candidates FROM spread GROUP BY 1) c LEFT JOIN b USING (entity_id) WHERE coalesce(bucket, 'no_evidence') <> 'accepted_target_pdf'
 ORDER BY list_position(['target_form_without_year_evidence','publication_lag_or_old_target_pdf','entity_identity_mismatch','mixed_with_site_fetch_error','site_fetch_error_only','tls_certificate_verify_failed','non_target_candidates_only','no_pdf_candidates','no_evidence'], coalesce(bucket, 'no_evidence')), coalesce(rows, 0) DESC, candidates DESC, entity_id LIMIT 100""", "evidence")
 def batch_plan(t: Load) -> DataFrame:
-    return evidence.batch_plan(t("evidence"), 100).select("entity_id", "candidates", "bucket", "rows")
+    rows = t("evidence").withColumn("entity_id", F.col("entity_id") * 100 + F.col("position") % 100)
+    return evidence.batch_plan(rows, 100).select("entity_id", "candidates", "bucket", "rows")
 
 
 @query("plan_coverage", "WITH o AS (SELECT c_custkey AS entity_id, 1 + CASE WHEN c_custkey % 10 = 0 THEN 1 ELSE 0 END AS n FROM customer WHERE c_custkey % 3 <> 0), p AS (SELECT c_custkey AS entity_id FROM customer WHERE c_custkey % 4 <> 0), j AS (SELECT coalesce(p.entity_id, o.entity_id) AS entity_id, CASE WHEN n IS NULL THEN 'missing' WHEN p.entity_id IS NULL THEN 'extra' WHEN n > 1 THEN 'duplicate' END AS problem FROM p FULL JOIN o ON p.entity_id = o.entity_id) SELECT * FROM j WHERE problem IS NOT NULL")
