@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritab.functions.text import containment, institution_key, squeezed
+from veritab.functions.text import containment, institution_key, kana_folded, squeezed
 from veritab.streaming.state import stored
 
 Key = Callable[[Column], Column]
@@ -139,6 +139,41 @@ def proposals(missing: DataFrame, known: DataFrame, key: Key) -> DataFrame:
     return out.withColumn("proposal", F.when(F.col("matches") == 0, "no_candidate").when(F.col("matches") == 1, "auto_alias").otherwise("ambiguous"))
 
 
+#: A text that is part of another must have so many letters.
+LEAST_PART = 4
+
+
+def suffix_variants(name: Column) -> Column:
+    """A squeezed unit's name, and the name with its ending swapped for the other that units have."""
+    short = F.when(name.endswith("学科"), F.regexp_replace(name, "学科$", "科"))
+    long = F.when(name.endswith("科"), F.regexp_replace(name, "科$", "学科"))
+    return F.array_compact(F.array(name, short, long))
+
+
+def unit_aliases(missing: DataFrame, known: DataFrame) -> DataFrame:
+    """JOIN-15: (left_id, right_id, tier): known units of the same entity that a missing name may stand for, all those of
+    the first tier that has any: suffix (the name, or with its ending swapped), part (one of these holds the known name or
+    is held by it, if it has LEAST_PART letters), kana (equal but for long vowels and small i).
+
+    missing: left_id, entity_id, name; known: right_id, entity_id, name.  Empty and null names match nothing, and a name
+    of one letter is no part of another.
+    """
+    l = missing.select("left_id", "entity_id", squeezed(F.col("name")).alias("t"), kana_folded(F.col("name")).alias("kana")).filter("t <> ''")
+    r = known.select("right_id", "entity_id", squeezed(F.col("name")).alias("d"), kana_folded(F.col("name")).alias("kana")).filter("d <> ''")
+    variants = l.select("left_id", "entity_id", F.explode(suffix_variants(F.col("t"))).alias("v"))
+    suffix = variants.join(r.withColumnRenamed("d", "v"), ["entity_id", "v"]).select("left_id", "right_id", F.lit(0).alias("turn"))
+    long = variants.filter(F.length("v") >= LEAST_PART)
+    side = lambda df, ident, c, names: df.select(F.col(ident).alias(names[0]), "entity_id", F.col(c).alias(names[1]))
+    inner, outer = ("inner_id", "k"), ("outer_id", "rk")
+    held = held_texts(side(long, "left_id", "v", inner), side(r, "right_id", "d", outer), "entity_id").select(F.col("inner_id").alias("left_id"), F.col("outer_id").alias("right_id"))
+    holds = held_texts(side(r, "right_id", "d", inner), side(long, "left_id", "v", outer), "entity_id").select(F.col("outer_id").alias("left_id"), F.col("inner_id").alias("right_id"))
+    part = held.unionByName(holds).withColumn("turn", F.lit(1))
+    kana = l.filter("kana <> ''").join(r, ["entity_id", "kana"]).select("left_id", "right_id", F.lit(2).alias("turn"))
+    every = suffix.unionByName(part).unionByName(kana).groupBy("left_id", "right_id").agg(F.min("turn").alias("turn"))
+    first = every.groupBy("left_id").agg(F.min("turn").alias("turn"))
+    return every.join(first, ["left_id", "turn"]).select("left_id", "right_id", F.get(F.array(*map(F.lit, ("suffix", "part", "kana"))), F.col("turn")).alias("tier"))
+
+
 # What a name ends in, or holds in brackets, if it is a branch.
 BRANCH = "(分校|校舎|キャンパス|サテライト|[^学大高]校)$"
 

@@ -373,6 +373,27 @@ def alias_proposals(t: Load) -> DataFrame:
     return resolve.proposals(p.select(F.col("p_partkey").alias("left_id"), F.col("p_name").alias("name")), p.filter("p_partkey % 9 = 0").select(F.col("p_partkey").alias("right_id"), F.col("p_name").alias("name")), lambda c: F.regexp_replace(text.squeezed(c), "[0-9]+$", ""))
 
 
+#: Six units of each entity as they are known, and as they are missing: swapped endings, parts, long vowels, or nothing.
+KNOWN_UNITS = ("デザイン#学科", "情報処理#科", "コンピュータ#専攻", "Ｗｅｂ 制作#学科", "看護", "ビューティ#コース")
+MISSING_UNITS = ("デザイン#科", "情報処理#", "コンピューター#専攻", "Web制作#科(昼)", "看護学科", "音楽#")
+UNITS_SQL = f"""WITH u AS (SELECT c_custkey AS id, c_custkey // 6 AS entity_id, replace({text_queries.case_sql('c_custkey', *KNOWN_UNITS)}, '#', (c_custkey // 6 % 97)::VARCHAR) AS known, replace({text_queries.case_sql('c_custkey', *MISSING_UNITS)}, '#', (c_custkey // 6 % 97)::VARCHAR) AS missing FROM customer),
+r AS (SELECT id AS right_id, entity_id, replace(replace(known, 'Ｗｅｂ', 'Web'), ' ', '') AS d FROM u), l AS (SELECT id AS left_id, entity_id, missing AS t FROM u),
+v AS (SELECT left_id, entity_id, t AS v FROM l UNION SELECT left_id, entity_id, regexp_replace(t, '学科$', '科') FROM l WHERE t LIKE '%学科' UNION SELECT left_id, entity_id, regexp_replace(t, '科$', '学科') FROM l WHERE t LIKE '%科'),
+h AS (SELECT left_id, right_id, 0 AS turn FROM v JOIN r ON v.entity_id = r.entity_id AND v = d UNION SELECT left_id, right_id, 1 FROM v JOIN r ON v.entity_id = r.entity_id AND length(v) >= 4 AND (contains(v, d) OR contains(d, v))
+  UNION SELECT left_id, right_id, 2 FROM l JOIN r ON l.entity_id = r.entity_id AND regexp_replace(t, '[ーイィ]', '', 'g') = regexp_replace(d, '[ーイィ]', '', 'g')),
+b AS (SELECT left_id, right_id, min(turn) AS turn FROM h GROUP BY ALL)
+SELECT left_id, right_id, ['suffix', 'part', 'kana'][turn + 1] AS tier FROM b QUALIFY turn = min(turn) OVER (PARTITION BY left_id)"""
+
+
+@query("unit_aliases", UNITS_SQL)
+def unit_aliases(t: Load) -> DataFrame:
+    """JOIN-15."""
+    e = F.floor(F.col("c_custkey") / 6)
+    named = lambda names: F.replace(text_queries.by_case("c_custkey", *names), F.lit("#"), (e % 97).cast("string"))
+    c = t("customer").select("c_custkey", e.alias("entity_id"), named(KNOWN_UNITS).alias("known"), named(MISSING_UNITS).alias("missing"))
+    return resolve.unit_aliases(c.select(F.col("c_custkey").alias("left_id"), "entity_id", F.col("missing").alias("name")), c.select(F.col("c_custkey").alias("right_id"), "entity_id", F.col("known").alias("name")))
+
+
 @query("unit_groups", "WITH u AS (SELECT p_partkey AS right_id, p_size AS entity_id, unnest(string_split(p_type, ' ')) AS track FROM part WHERE p_partkey % 2 = 0), l AS (SELECT p_partkey AS left_id, p_size AS entity_id, unnest(string_split(p_type, ' ')) AS track FROM part WHERE p_partkey % 2 = 1) SELECT left_id, array_to_string(list_sort(list(DISTINCT right_id::VARCHAR)), ',') AS unit_ids FROM l JOIN u USING (entity_id, track) GROUP BY 1")
 def unit_groups(t: Load) -> DataFrame:
     p = t("part").select("p_partkey", F.col("p_size").alias("entity_id"), F.split("p_type", " ").alias("tracks"))
