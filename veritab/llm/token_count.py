@@ -45,9 +45,9 @@ class StateMap(NamedTuple):
 class WordCounts(dict):
     """Token counts of stretches between white space, worked out by the transducer when first met."""
 
-    def __init__(self, path: str, max_words: int = 200_000):
+    def __init__(self, path: str, max_words: int = 400_000, max_states: int = 250_000):
         table, special = load_listed(path)
-        self.transducer = PrefixAutomaton(table, counting=True)
+        self.transducer = PrefixAutomaton(table, True, max_states)
         self.words = regex.compile(WORDS)
         self.special = re.compile("(" + "|".join(re.escape(s) for s in sorted(special, key=len, reverse=True)) + ")") if special else None
         self.max_words = max_words
