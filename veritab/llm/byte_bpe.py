@@ -25,9 +25,9 @@ from veritab.llm.frames import held, in_batches, strings_of
 class Encoder(dict):
     """Ids of matches as little-endian unsigned 32-bit integers, worked out when a match is first met."""
 
-    def __init__(self, path: str, pattern: str, max_words: int = 200_000):
+    def __init__(self, path: str, pattern: str, max_words: int, max_states: int):
         table = load_ranks(path)
-        self.automaton = PrefixAutomaton(table, counting=False)
+        self.automaton = PrefixAutomaton(table, False, max_states)
         self.bytes = table.bytes
         self.matches = regex.compile(pattern).findall
         self.max_words = max_words
@@ -52,9 +52,9 @@ class Encoder(dict):
         return b"".join(map(self.bytes.__getitem__, ids))
 
 
-def encoder(path: str, pattern: str) -> Encoder:
-    """One per Python worker: what it has compiled serves all its tasks."""
-    return held(f"encoder {path} {pattern}", lambda: Encoder(path, pattern))
+def encoder(path: str, pattern: str, max_words: int = 400_000, max_states: int = 250_000) -> Encoder:
+    """One per Python worker: what it has compiled serves all its tasks.  It keeps at most so many words and states."""
+    return held(f"encoder {path} {pattern} {max_words} {max_states}", lambda: Encoder(path, pattern, max_words, max_states))
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
@@ -83,14 +83,15 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, ids: str = "ids")
     return in_batches(encoded.select(*kept), work, encoded.select(*kept).schema.add("decoded", "binary"))
 
 
-def round_trip(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text", max_words: int = 400_000, max_states: int = 250_000) -> DataFrame:
     """Per row: key as doc_id, n_tokens, and SHA-256 of the packed ids and of the bytes they decode to.
 
-    Null texts are empty: 0 tokens and the digest of nothing.  Repeated rows give repeated results.
+    Null texts are empty: 0 tokens and the digest of nothing.  Repeated rows give repeated results; an empty table gives no
+    rows.  max_words and max_states bound what a worker keeps, not what it encodes.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(ranks_path, pattern)
+        enc = encoder(ranks_path, pattern, max_words, max_states)
         for batch in batches:
             n, coded, back = [], [], []
             for t in strings_of(batch.column(1)):
