@@ -1,8 +1,9 @@
 """Entity resolution: tiers of ever looser keys, the first tier that finds something wins, ambiguity is refused.
 
 All tiers meet in one join on (tier, key), of which each row keeps its first; only containment, which costs more, sees
-just what the keys left over.  Containment tests are equi joins on the rarest pair of letters of the shorter name within a block (the region): what holds a name holds that
-pair too.
+just what the keys left over.  Containment tests are equi joins on a run of letters of the shorter name within a block
+(the region): what holds a name holds that run too.  They compare different texts; copies are counted before and found
+again behind.
 """
 
 from __future__ import annotations
@@ -19,24 +20,56 @@ from veritab.streaming.state import stored
 Key = Callable[[Column], Column]
 
 
-def letter_pairs(c: Column) -> Column:
-    """The distinct pairs of neighbouring letters of a text; a single letter is its own."""
-    return F.when(F.length(c) < 2, F.array(c)).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substring(c, i, F.lit(2)))))
+#: Texts of so many letters are looked up whole; longer ones by the rarest run of as many letters.
+GRAM = 8
+#: Kinds of runs, by their ends and length, that are told apart before anything is shuffled.
+SHAPES = 65_536
+#: Parts that texts are dealt to before they are cut up: there is many times more of their runs than of them.
+PARTS = 200
+
+
+def _shape(gram: Column) -> Column:
+    n = F.length(gram)
+    return F.pmod(F.xxhash64(F.substring(gram, F.lit(1), F.lit(2)), F.substring(gram, n - 1, F.lit(2)), n), F.lit(SHAPES))
+
+
+def _runs(texts: DataFrame, block: str, c: str) -> DataFrame:
+    """block, c and gram: the runs of two to GRAM letters of each text, once for each place; a single letter is its own."""
+    n = F.length(c)
+    placed = texts.filter(F.col(c) != "").select(block, c, F.explode(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1)))).alias("at"))
+    sized = placed.select("*", F.explode(F.sequence(F.least(n, F.lit(2)), F.least(n - F.col("at") + 1, F.lit(GRAM)))).alias("size"))
+    return sized.select(block, c, F.substring(F.col(c), F.col("at"), F.col("size")).alias("gram"))
+
+
+def held_names(inner: DataFrame, outer: DataFrame, block: str) -> DataFrame:
+    """(block, k, rk): the different texts k of (block, k) and rk of (block, rk) in a block of which rk holds k, each pair once.
+
+    A k of GRAM letters or less meets the runs that equal it, a longer one those that equal its rarest run, so that what is
+    compared grows with what is found and not with a block.  Runs whose ends and length no k has are dropped unshuffled.
+    Empty and null texts meet none, a text of one letter only itself.  Joins are merges: sizes of exploded rows are
+    estimated by those of files, so Spark would broadcast tables of any size.
+    """
+    i = inner.select(block, "k").filter("k <> ''").distinct()
+    whole = i.filter(F.length("k") <= GRAM).select(block, "k", F.col("k").alias("gram"))
+    parts = i.filter(F.length("k") > GRAM).select(block, "k", F.explode(F.sequence(F.lit(1), F.greatest(F.length("k") - (GRAM - 1), F.lit(1)))).alias("at"))
+    parts = parts.select(block, "k", F.substring(F.col("k"), F.col("at"), F.lit(GRAM)).alias("gram"))
+    shapes = whole.select(_shape(F.col("gram")).alias("shape")).unionByName(parts.select(_shape(F.col("gram")).alias("shape"))).distinct()
+    runs = _runs(outer.select(block, "rk").repartition(PARTS, block, "rk").distinct(), block, "rk").withColumn("shape", _shape(F.col("gram"))).join(F.broadcast(shapes), "shape", "left_semi").drop("shape")
+    often = runs.filter(F.length("gram") == GRAM).groupBy(block, "gram").agg(F.count("*").alias("n"))
+    # a run that only inner texts have leads nowhere, so it counts as rarest and ends the search at once
+    rare = parts.join(often.hint("merge"), [block, "gram"], "left").groupBy(block, "k").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram"))["gram"].alias("gram"))
+    return whole.unionByName(rare).join(runs.hint("merge"), [block, "gram"]).filter(F.col("rk").contains(F.col("k"))).select(block, "k", "rk").distinct()
 
 
 def held_texts(inner: DataFrame, outer: DataFrame, block: str) -> DataFrame:
     """(inner_id, outer_id, block, k, rk): pairs of a block of (inner_id, block, k) and (outer_id, block, rk) whose rk holds k.
 
-    Each k looks for those that hold it by its rarest pair of letters in the block, so a block's size does not matter as
-    long as its texts differ.  Empty and null texts meet none, a text of one letter only itself.
+    All copies of a text are paired, so this is for blocks that hold few; callers that want the best or only one of the
+    pairs take held_names.
     """
-    i = inner.select("inner_id", block, "k", F.explode(letter_pairs(F.col("k"))).alias("pair")).filter("k <> ''")
-    o = outer.select("outer_id", block, "rk", F.explode(letter_pairs(F.col("rk"))).alias("pair"))
-    # a pair that only inner texts have leads nowhere, so it counts as rarest and ends the search at once
-    often = o.groupBy(block, "pair").agg(F.count("*").alias("n"))
-    rare = i.join(often, [block, "pair"], "left").groupBy("inner_id", block, "k").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "pair")).alias("rare"))
-    sought = rare.select("inner_id", block, "k", F.col("rare.pair").alias("pair"))
-    return sought.join(o, [block, "pair"]).filter(F.col("rk").contains(F.col("k"))).select("inner_id", "outer_id", block, "k", "rk")
+    names = held_names(inner, outer, block)
+    pairs = names.join(inner.select("inner_id", block, "k").hint("merge"), [block, "k"]).join(outer.select("outer_id", block, "rk").hint("merge"), [block, "rk"])
+    return pairs.select("inner_id", "outer_id", block, "k", "rk")
 
 
 def containing(left: DataFrame, right: DataFrame, block: str) -> DataFrame:
@@ -158,20 +191,21 @@ def unit_aliases(missing: DataFrame, known: DataFrame) -> DataFrame:
     missing: left_id, entity_id, name; known: right_id, entity_id, name.  Empty and null names match nothing, and a name
     of one letter is no part of another.
     """
-    l = missing.select("left_id", "entity_id", squeezed(F.col("name")).alias("t"), kana_folded(F.col("name")).alias("kana")).filter("t <> ''")
-    r = known.select("right_id", "entity_id", squeezed(F.col("name")).alias("d"), kana_folded(F.col("name")).alias("kana")).filter("d <> ''")
+    # names are folded once; all joins are merges, as in held_names
+    l = stored(missing.select("left_id", "entity_id", squeezed(F.col("name")).alias("t"), kana_folded(F.col("name")).alias("kana")).filter("t <> ''"), "missing")
+    r = stored(known.select("right_id", "entity_id", squeezed(F.col("name")).alias("d"), kana_folded(F.col("name")).alias("kana")).filter("d <> ''"), "known")
     variants = l.select("left_id", "entity_id", F.explode(suffix_variants(F.col("t"))).alias("v"))
-    suffix = variants.join(r.withColumnRenamed("d", "v"), ["entity_id", "v"]).select("left_id", "right_id", F.lit(0).alias("turn"))
+    suffix = variants.join(r.withColumnRenamed("d", "v").hint("merge"), ["entity_id", "v"]).select("left_id", "right_id", F.lit(0).alias("turn"))
     long = variants.filter(F.length("v") >= LEAST_PART)
     side = lambda df, ident, c, names: df.select(F.col(ident).alias(names[0]), "entity_id", F.col(c).alias(names[1]))
     inner, outer = ("inner_id", "k"), ("outer_id", "rk")
     held = held_texts(side(long, "left_id", "v", inner), side(r, "right_id", "d", outer), "entity_id").select(F.col("inner_id").alias("left_id"), F.col("outer_id").alias("right_id"))
     holds = held_texts(side(r, "right_id", "d", inner), side(long, "left_id", "v", outer), "entity_id").select(F.col("outer_id").alias("left_id"), F.col("inner_id").alias("right_id"))
     part = held.unionByName(holds).withColumn("turn", F.lit(1))
-    kana = l.filter("kana <> ''").join(r, ["entity_id", "kana"]).select("left_id", "right_id", F.lit(2).alias("turn"))
+    kana = l.filter("kana <> ''").join(r.hint("merge"), ["entity_id", "kana"]).select("left_id", "right_id", F.lit(2).alias("turn"))
     every = suffix.unionByName(part).unionByName(kana).groupBy("left_id", "right_id").agg(F.min("turn").alias("turn"))
-    first = every.groupBy("left_id").agg(F.min("turn").alias("turn"))
-    return every.join(first, ["left_id", "turn"]).select("left_id", "right_id", F.get(F.array(*map(F.lit, ("suffix", "part", "kana"))), F.col("turn")).alias("tier"))
+    first = every.withColumn("_first", F.min("turn").over(Window.partitionBy("left_id"))).filter("turn = _first")
+    return first.select("left_id", "right_id", F.get(F.array(*map(F.lit, ("suffix", "part", "kana"))), F.col("turn")).alias("tier"))
 
 
 # What a name ends in, or holds in brackets, if it is a branch.
