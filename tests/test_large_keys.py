@@ -7,6 +7,26 @@ from pyspark.sql import functions as F
 from veritab.operators import resolve, revision, workflow
 
 
+def test_proposals_pair_no_copies(spark):
+    n = 20_000
+    missing = spark.range(n).select(F.col("id").alias("left_id"), F.lit("a").alias("name"))
+    known = spark.range(n).select(F.col("id").alias("right_id"), F.lit("a").alias("name"))
+    # 400 million pairs, if they were made
+    assert [tuple(r) for r in resolve.proposals(missing, known, lambda c: c).groupBy("matches", "right_id", "proposal").count().collect()] == [(n, 0, "ambiguous", n)]
+
+
+def test_proposals_of_several_keys(spark):
+    random.seed(3)
+    missing = [(random.choice([None, *range(8)]), random.choice(["a", "b", "c", "d", None])) for _ in range(30)] + [(50, "z"), (51, None)]
+    known = [(random.choice([None, *range(12)]), random.choice(["a", "b", "c", None])) for _ in range(20)]
+    got = resolve.proposals(spark.createDataFrame(missing, "left_id long, name string"), spark.createDataFrame(known, "right_id long, name string"), lambda c: c)
+    expected = {}
+    for left in {m for m, _ in missing}:
+        hits = {r for m, n in missing if m == left for r, k in known if n is not None and k == n and r is not None}
+        expected[left] = (len(hits), min(hits, default=None), ("no_candidate", "auto_alias")[len(hits)] if len(hits) < 2 else "ambiguous")
+    assert {r["left_id"]: (r["matches"], r["right_id"], r["proposal"]) for r in got.collect()} == expected
+
+
 def test_held_names_longer_than_runs(spark):
     random.seed(6)
     make = lambda least, most: "".join(random.choices("ab", k=random.randint(least, most)))

@@ -166,9 +166,17 @@ def set_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 def proposals(missing: DataFrame, known: DataFrame, key: Key) -> DataFrame:
     """JOIN-15, JOIN-17, CLS-15: for each missing (left_id, name), how many known names share its key, and the lowest."""
-    k = known.select(key(F.col("name")).alias("k"), "right_id")
-    hit = missing.select("left_id", key(F.col("name")).alias("k")).join(k, "k", "left")
-    out = hit.groupBy("left_id").agg(F.count_distinct("right_id").alias("matches"), F.min("right_id").alias("right_id"))
+    k = known.select(key(F.col("name")).alias("k"), "right_id").filter("k IS NOT NULL AND right_id IS NOT NULL").distinct()
+    # a right_id of several keys counts once where a left_id has them; only those are paired one by one
+    marked = k.join(k.groupBy("right_id").agg((F.count("*") > 1).alias("many")).hint("merge"), "right_id")
+    of_key = marked.groupBy("k").agg(F.count_if(~F.col("many")).alias("n"), F.min("right_id").alias("right_id"))
+    asked = missing.select("left_id", key(F.col("name")).alias("k")).distinct().withColumn("_keys", F.count("k").over(Window.partitionBy("left_id")))
+    many = marked.filter("many").select("k", F.col("right_id").alias("_r"))
+    none = F.lit(None).cast(known.schema["right_id"].dataType).alias("right_id")
+    counts = asked.join(of_key, "k", "left").select("left_id", "n", "right_id")
+    alone = asked.filter("_keys <= 1").join(many.groupBy("k").agg(F.count("*").alias("n")), "k").select("left_id", "n", none)
+    several = asked.filter("_keys > 1").join(many.hint("merge"), "k").groupBy("left_id").agg(F.count_distinct("_r").alias("n")).select("left_id", "n", none)
+    out = counts.unionByName(alone).unionByName(several).groupBy("left_id").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("matches"), F.min("right_id").alias("right_id"))
     return out.withColumn("proposal", F.when(F.col("matches") == 0, "no_candidate").when(F.col("matches") == 1, "auto_alias").otherwise("ambiguous"))
 
 
