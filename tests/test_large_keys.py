@@ -27,6 +27,48 @@ def test_proposals_of_several_keys(spark):
     assert {r["left_id"]: (r["matches"], r["right_id"], r["proposal"]) for r in got.collect()} == expected
 
 
+def test_greedy_codes_of_copies(spark):
+    random.seed(4)
+    name = lambda: random.choice(["abcd", "abcde", "abcdef", "xabcd", "zz", "zzz", None])
+    entities = [(i, name(), random.choice("pq")) for i in range(60)]
+    targets = [(100 + i, name(), random.choice("pq"), random.randint(0, 10**6)) for i in range(25)]
+    used = [(100 + i,) for i in range(0, 25, 6)]
+    got = resolve.greedy_codes(spark.createDataFrame(entities, "entity_id long, name string, region string"), spark.createDataFrame(targets, "code long, name string, region string, position long"), spark.createDataFrame(used, "code long"))
+    exact, rows, codes = {}, [], {u for (u,) in used}
+    for e, n, region in sorted(entities, key=lambda x: x[0]):
+        first = min((t for t in targets if n and t[1:3] == (n, region)), key=lambda t: t[3], default=None)
+        if first and first[0] not in codes and first[0] not in exact:
+            exact[first[0]] = e
+    for e, n, region in entities:
+        if e not in exact.values() and n:
+            near = [(-min(len(n), len(t[1])) / max(len(n), len(t[1])), t[3], t[0]) for t in targets if t[1] and t[2] == region and (n in t[1] or t[1] in n) and t[0] not in codes and exact.get(t[0], e + 1) > e]
+            best = min((x for x in near if x[0] <= -0.6), default=None)
+            rows += [(e, best[2], "containment")] if best else []
+    assert sorted(tuple(r) for r in got.collect()) == sorted(rows + [(e, c, "exact") for c, e in exact.items()]) and rows and exact
+
+
+def test_greedy_codes_pair_no_copies(spark):
+    n = 8_000
+    rows = spark.range(n).select("id", F.when(F.col("id") % 2 == 0, "abcdef").otherwise("abcdefg").alias("name"), F.lit("r").alias("region"))
+    entities = rows.filter("id % 2 = 0").withColumnRenamed("id", "entity_id")
+    targets = rows.filter("id % 2 = 1").select(F.col("id").alias("code"), "name", "region", F.col("id").alias("position"))
+    got = resolve.greedy_codes(entities, targets, spark.createDataFrame([], "code long"))
+    # a join of copies would make 16 million pairs, one task's whole sort
+    assert {(r["code"], r["tier"]) for r in got.select("code", "tier").distinct().collect()} == {(1, "containment")} and got.count() == n // 2
+    assert resolve.containing(entities.select("region", F.col("name").alias("k")), targets.select("region", F.col("name").alias("rk")), "region").count() == 1
+
+
+def test_unique_containment_of_several_names(spark):
+    random.seed(5)
+    left = [(i % 30, random.choice("pq"), "".join(random.choices("ab", k=random.randint(1, 4)))) for i in range(40)]
+    right = [(i % 15, random.choice("pq"), "".join(random.choices("ab", k=random.randint(1, 6)))) for i in range(18)] + [(99, "p", "abababababab"), (98, "p", "babababab")]
+    got = resolve.unique_containment(spark.createDataFrame(left, "left_id long, b string, name string"), spark.createDataFrame(right, "right_id long, b string, name string"), "b", lambda c: c, 2)
+    hits = {}
+    for i, b, k in left:
+        hits.setdefault(i, set()).update(r for r, c, rk in right if b == c and min(len(k), len(rk)) >= 2 and (k in rk or rk in k))
+    assert {r["left_id"]: r["right_id"] for r in got.collect()} == {i: min(h) for i, h in hits.items() if len(h) == 1}
+
+
 def test_held_names_longer_than_runs(spark):
     random.seed(6)
     make = lambda least, most: "".join(random.choices("ab", k=random.randint(least, most)))

@@ -73,13 +73,10 @@ def held_texts(inner: DataFrame, outer: DataFrame, block: str) -> DataFrame:
 
 
 def containing(left: DataFrame, right: DataFrame, block: str) -> DataFrame:
-    """Pairs of a block of (left_id, block, k) and (right_id, block, rk), of which one text holds the other."""
-    shown = ["left_id", "right_id", block, "k", "rk"]
-    as_inner = lambda rows, ident, key: rows.select(F.col(ident).alias("inner_id"), block, F.col(key).alias("k"))
-    as_outer = lambda rows, ident, key: rows.select(F.col(ident).alias("outer_id"), block, F.col(key).alias("rk"))
-    held = held_texts(as_inner(left, "left_id", "k"), as_outer(right, "right_id", "rk"), block).toDF(*shown)
-    holds = held_texts(as_inner(right, "right_id", "rk"), as_outer(left, "left_id", "k"), block).toDF("right_id", "left_id", block, "rk", "k").select(*shown)
-    return held.unionByName(holds).distinct()
+    """(block, k, rk): the different texts k of (block, k) and rk of (block, rk) in a block of which one holds the other."""
+    held = held_names(left, right, block)
+    holds = held_names(right.select(block, F.col("rk").alias("k")), left.select(block, F.col("k").alias("rk")), block)
+    return held.unionByName(holds.select(block, F.col("rk").alias("k"), F.col("k").alias("rk"))).distinct()
 
 
 def tiered(left: DataFrame, right: DataFrame, tiers: Sequence[tuple[str, Key, bool]], least: float | None = None) -> DataFrame:
@@ -99,11 +96,12 @@ def tiered(left: DataFrame, right: DataFrame, tiers: Sequence[tuple[str, Key, bo
     found = best.select("left_id", "b.right_id", named[F.col("b.turn")].alias("tier"))
     if least is None:
         return found
-    last = len(tiers) - 1
-    rest = l.filter(F.col("turn") == last).join(found.select("left_id"), "left_id", "left_anti").select("left_id", "region", "k")
-    near = containing(rest, r.filter(F.col("turn") == last).select("right_id", "region", F.col("k").alias("rk")), "region")
-    scored = near.withColumn("score", containment(F.col("k"), F.col("rk"))).filter(F.col("score") >= least)
-    closest = scored.groupBy("left_id").agg(F.min(F.struct((-F.col("score")).alias("far"), "right_id")).alias("b"))
+    found, last = stored(found, "found"), len(tiers) - 1
+    rest = stored(l.filter(F.col("turn") == last).join(found.select("left_id"), "left_id", "left_anti").select("left_id", "region", "k"), "rest")
+    of_name = stored(r.filter(F.col("turn") == last).groupBy("region", F.col("k").alias("rk")).agg(F.min("right_id").alias("right_id")), "of_name")
+    scored = containing(rest, of_name, "region").withColumn("score", containment(F.col("k"), F.col("rk"))).filter(F.col("score") >= least)
+    of_text = scored.join(of_name.hint("merge"), ["region", "rk"]).groupBy("region", "k").agg(F.min(F.struct((-F.col("score")).alias("far"), "right_id")).alias("b"))
+    closest = rest.join(of_text.hint("merge"), ["region", "k"]).groupBy("left_id").agg(F.min("b").alias("b"))
     return found.unionByName(closest.select("left_id", "b.right_id", F.lit("containment").alias("tier")))
 
 
@@ -133,8 +131,10 @@ def unique_containment(left: DataFrame, right: DataFrame, block: str, key: Key,
     """JOIN-08: the one right row of the block whose key holds the left one or is held by it; none if there are more."""
     l = left.select("left_id", block, key(F.col("name")).alias("k")).filter(F.length("k") >= least_length)
     r = right.select("right_id", block, key(F.col("name")).alias("rk")).filter(F.length("rk") >= least_length)
-    pairs = containing(l, r, block)
-    return pairs.groupBy("left_id").agg(F.count_distinct("right_id").alias("n"), F.min("right_id").alias("right_id")).filter("n = 1").drop("n")
+    of_name = r.groupBy(block, "rk").agg(F.min("right_id").alias("first"), F.max("right_id").alias("last"))
+    ends = lambda rows, *by: rows.groupBy(*by).agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    of_text = ends(containing(l, r, block).join(of_name.hint("merge"), [block, "rk"]), block, "k")
+    return ends(l.join(of_text.hint("merge"), [block, "k"]), "left_id").filter("first = last").select("left_id", F.col("first").alias("right_id"))
 
 
 def greedy_codes(entities: DataFrame, targets: DataFrame, used: DataFrame, least: float = 0.6) -> DataFrame:
@@ -146,17 +146,29 @@ def greedy_codes(entities: DataFrame, targets: DataFrame, used: DataFrame, least
     entity that stood before it.  An entity gets the best score, ties to the earlier target.  These are proposals for
     review: they use up no code, so two entities may be offered the same one.
     """
-    first = targets.withColumn("_n", F.row_number().over(Window.partitionBy("name", "region").orderBy("position"))).filter("_n = 1").drop("_n")
+    first = targets.groupBy("name", "region").agg(F.min(F.struct("position", "code"))["code"].alias("code"))
     claims = entities.join(first, ["name", "region"]).join(used, "code", "left_anti").select("entity_id", "code")
-    exact = claims.groupBy("code").agg(F.min("entity_id").alias("entity_id")).withColumn("tier", F.lit("exact"))
-    rest = entities.join(exact.select("entity_id"), "entity_id", "left_anti").select("entity_id", F.col("name").alias("e_name"), "region")
+    # what the second step rests on several times is worked out once
+    exact = stored(claims.groupBy("code").agg(F.min("entity_id").alias("entity_id")).withColumn("tier", F.lit("exact")), "exact")
+    rest = stored(entities.join(exact.select("entity_id"), "entity_id", "left_anti").select("entity_id", F.col("name").alias("k"), "region"), "rest")
     taken = exact.select("code", F.col("entity_id").alias("taken_by"))
-    free = targets.join(used, "code", "left_anti")
-    near = containing(rest.select(F.col("entity_id").alias("left_id"), "region", F.col("e_name").alias("k")), free.select(F.col("code").alias("right_id"), "region", F.col("name").alias("rk")), "region")
-    scored = near.withColumn("score", containment(F.col("k"), F.col("rk"))).filter(F.col("score") >= least).select(F.col("left_id").alias("entity_id"), F.col("right_id").alias("code"), "score")
-    scored = scored.join(free.select("code", "position"), "code").join(taken, "code", "left").filter("taken_by IS NULL OR taken_by > entity_id")
-    best = scored.withColumn("_n", F.row_number().over(Window.partitionBy("entity_id").orderBy(F.col("score").desc(), "position"))).filter("_n = 1")
-    return exact.select("entity_id", "code", "tier").unionByName(best.select("entity_id", "code", F.lit("containment").alias("tier")))
+    free = stored(targets.join(used, "code", "left_anti"), "free")
+    placed = free.select("code", "region", F.col("name").alias("rk")).distinct().join(free.groupBy("code").agg(F.min("position").alias("position")).hint("merge"), "code").join(taken.hint("merge"), "code", "left")
+    # all who are free to take it rank a name's codes alike: of those that nobody claims the first is enough
+    by_place = F.min(F.struct("position", "code"))
+    open_codes = placed.filter("taken_by IS NULL").groupBy("region", "rk").agg(by_place.alias("b")).select("region", "rk", "b.position", "b.code", F.lit(None).cast(taken.schema["taken_by"].dataType).alias("taken_by"))
+    codes = open_codes.unionByName(placed.filter("taken_by IS NOT NULL").select("region", "rk", "position", "code", "taken_by"))
+    scored = containing(rest, free.select("region", F.col("name").alias("rk")), "region").withColumn("score", containment(F.col("k"), F.col("rk"))).filter(F.col("score") >= least)
+    ranked = scored.join(codes.hint("merge"), ["region", "rk"]).select("region", "k", F.struct((-F.col("score")).alias("far"), "position", "code").alias("b"), "taken_by")
+    best_open = ranked.filter("taken_by IS NULL").groupBy("region", "k").agg(F.min("b").alias("b"))
+    offers = rest.join(best_open.hint("merge"), ["region", "k"]).select("entity_id", "b")
+    claimed = ranked.filter("taken_by IS NOT NULL").join(best_open.select("region", "k", F.col("b").alias("other")).hint("merge"), ["region", "k"], "left").filter("other IS NULL OR b < other")
+    # in their order, those that a later entity holds than all before; the others are never the first that is free
+    before = Window.partitionBy("region", "k").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    claimed = claimed.withColumn("_held", F.max("taken_by").over(before)).filter("_held IS NULL OR taken_by > _held").select("region", "k", "b", "taken_by")
+    offers = offers.unionByName(rest.join(claimed.hint("merge"), ["region", "k"]).filter("taken_by > entity_id").select("entity_id", "b"))
+    best = offers.groupBy("entity_id").agg(F.min("b").alias("b"))
+    return exact.select("entity_id", "code", "tier").unionByName(best.select("entity_id", "b.code", F.lit("containment").alias("tier")))
 
 
 def set_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
