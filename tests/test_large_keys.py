@@ -83,3 +83,24 @@ def test_unit_aliases_broadcast_nothing(spark):
     plan = resolve.unit_aliases(missing, missing.withColumnRenamed("left_id", "right_id"))._jdf.queryExecution().executedPlan().toString()
     # only the shapes of runs, of which there are SHAPES at most
     assert "SortMergeJoin" in plan and all("LeftSemi" in x for x in plan.splitlines() if "BroadcastHashJoin" in x)
+
+
+def test_attached_over_ranges(spark):
+    random.seed(9)
+    rows = [(sheet, pos, f"n{sheet}-{pos}" if kind == 0 else None, f"v{sheet}-{pos}" if kind == 1 else None) for sheet in (1, 2, None) for pos in range(400) for kind in [random.randint(0, 3)]]
+    random.shuffle(rows)
+    df = spark.createDataFrame(rows, "sheet long, pos long, name string, url string")
+    expected, now = [], None
+    for sheet, pos, name, url in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        now = None if now and now[0] != sheet else now
+        if name:
+            now = [sheet, pos, name, None]
+            expected.append(now)
+        elif url and now and now[3] is None:
+            now[3] = url
+    for parts in (1, 7, 40):
+        got = revision.attached(df, ["sheet"], "pos", "name", "url", parts)
+        assert {tuple(r) for r in got.collect()} == {tuple(r) for r in expected} and got.count() == len(expected)
+    # no task sorts a whole sheet
+    windows = [x for x in revision.attached(df, ["sheet"], "pos", "name", "url", 7)._jdf.queryExecution().analyzed().toString().splitlines() if "Window [count(name" in x]
+    assert windows and all("_part" in x.split("],")[1] for x in windows)

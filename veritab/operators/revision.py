@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from veritab.streaming.state import stored
+
 
 def numbered(rows: DataFrame, key: Sequence[str], order: Sequence[str | Column], start: Column | None = None) -> DataFrame:
     """WIN-02, WIN-03: rows with revision (counted on from start) and is_current, which holds for the last one."""
@@ -112,11 +115,22 @@ def filled(rows: DataFrame, partition: Sequence[str], order: Sequence[str], colu
     return rows.withColumn(column, F.last(column, ignorenulls=True).over(w))
 
 
-def attached(rows: DataFrame, partition: Sequence[str], order: str, name: str, value: str) -> DataFrame:
+def attached(rows: DataFrame, partition: Sequence[str], order: str, name: str, value: str, parts: int = 200) -> DataFrame:
     """WIN-24: records that take two rows, a name and, below it, a value: each name with the first value that follows it
-    before the next name; names without one have none."""
-    w = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    turn = rows.withColumn("_turn", F.count(name).over(w)).filter("_turn > 0")
+    before the next name; names without one have none.
+
+    Rows are parted by ranges and names counted there, so no task sees a whole partition; where a range goes on with a
+    partition, of which there are fewer than parts, the names of the ranges before are added.
+    """
+    # ranges follow a sample, so they are kept as they fell; only what a range goes on with is passed along
+    ranged = stored(rows.select(*partition, order, name, value).repartitionByRange(parts, *partition, order).withColumn("_part", F.spark_partition_id()), "ranges")
+    before = Window.partitionBy(*partition).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counted = ranged.groupBy(*partition, "_part").agg(F.count(name).alias("_n")).withColumn("_before", F.sum("_n").over(before)).filter("_before > 0")
+    starts = counted.select(*[F.col(p).alias(f"_{p}") for p in partition], F.col("_part").alias("_at"), "_before")
+    same = reduce(Column.__and__, [F.col(p).eqNullSafe(F.col(f"_{p}")) for p in partition], F.col("_part") == F.col("_at"))
+    w = Window.partitionBy(*partition, "_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    within = ranged.withColumn("_within", F.count(name).over(w))
+    turn = within.join(F.broadcast(starts), same, "left").withColumn("_turn", F.col("_within") + F.coalesce("_before", F.lit(0))).filter("_turn > 0")
     out = turn.groupBy(*partition, "_turn").agg(F.max(name).alias(name), F.min(F.when(F.col(value).isNotNull(), F.struct(order, value))).alias("_v"), F.min(order).alias(order))
     return out.select(*partition, order, name, F.col(f"_v.{value}").alias(value))
 
