@@ -85,6 +85,23 @@ def test_unit_aliases_broadcast_nothing(spark):
     assert "SortMergeJoin" in plan and all("LeftSemi" in x for x in plan.splitlines() if "BroadcastHashJoin" in x)
 
 
+def test_unit_groups_of_alike(spark):
+    random.seed(7)
+    told = lambda n: [(i % (n - 5), random.choice([None, 1, 2, 3]), [random.choice(["a", "b", "c", None]) for _ in range(random.randint(0, 3))]) for i in range(n)]
+    lumped, units = told(40), told(30)
+    shape = "long, entity_id long, tracks array<string>"
+    groups = resolve.unit_groups(spark.createDataFrame(lumped, f"left_id {shape}"), spark.createDataFrame(units, f"right_id {shape}"))
+    hits = {}
+    for i, e, tracks in lumped:
+        hits.setdefault(i, set()).update(str(r) for r, f, other in units if e is not None and e == f and {*tracks} & {*other} - {None})
+    assert {r["left_id"]: r["unit_ids"] for r in groups.collect()} == {i: ",".join(sorted(h)) for i, h in hits.items() if h}
+    # units are listed once for those that are alike
+    n = 3_000
+    alike = spark.range(n).select(F.col("id").alias("left_id"), F.lit(1).alias("entity_id"), F.array(F.lit("a")).alias("tracks"))
+    got = resolve.unit_groups(alike, alike.withColumnRenamed("left_id", "right_id"))
+    assert got.count() == n and got.select(F.length("unit_ids")).distinct().count() == 1
+
+
 def test_attached_over_ranges(spark):
     random.seed(9)
     rows = [(sheet, pos, f"n{sheet}-{pos}" if kind == 0 else None, f"v{sheet}-{pos}" if kind == 1 else None) for sheet in (1, 2, None) for pos in range(400) for kind in [random.randint(0, 3)]]

@@ -252,9 +252,12 @@ def template_aliases(missing: DataFrame, known: DataFrame) -> DataFrame:
 
 def unit_groups(lumped: DataFrame, units: DataFrame) -> DataFrame:
     """JOIN-16: units of the same entity that belong to a lumped one, by a track that both name."""
-    tracks = lumped.select("left_id", "entity_id", F.explode("tracks").alias("track"))
-    parts = units.select("right_id", "entity_id", F.explode("tracks").alias("track"))
-    return tracks.join(parts, ["entity_id", "track"]).groupBy("left_id").agg(F.array_join(F.sort_array(F.collect_set(F.col("right_id").cast("string"))), ",").alias("unit_ids"))
+    told = lambda rows, ident: rows.select(ident, "entity_id", F.explode("tracks").alias("track")).filter("entity_id IS NOT NULL AND track IS NOT NULL")
+    # lumped ones of the same tracks have the same units, which are looked up and listed once
+    alike = told(lumped, "left_id").groupBy("left_id").agg(F.sort_array(F.collect_set(F.struct("entity_id", "track"))).alias("kind"))
+    tracks = alike.select("kind").distinct().select("kind", F.explode("kind").alias("t")).select("kind", "t.entity_id", "t.track")
+    listed = tracks.join(told(units, "right_id").hint("merge"), ["entity_id", "track"]).groupBy("kind").agg(F.array_join(F.sort_array(F.collect_set(F.col("right_id").cast("string"))), ",").alias("unit_ids"))
+    return alike.join(listed.hint("merge"), "kind").select("left_id", "unit_ids")
 
 
 def new_ids(unmatched: DataFrame, key: Sequence[str], after: int, parts: int = 64) -> DataFrame:
