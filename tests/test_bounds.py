@@ -8,6 +8,17 @@ import pandas as pd
 import pytest
 
 
+def test_state_grows_with_an_entitys_rows():
+    from test_queues import State
+
+    from veritab.streaming import queues
+
+    state, rng = State(), np.random.default_rng(1)
+    rows = pd.DataFrame({"position": rng.permutation(60_000_000)[:500], "flags": 1})
+    assert [list(p[["rows", "f0"]].iloc[0]) for p in queues.advanced((7,), iter([rows, rows]), state, 1000)] == [[500, 500]]
+    assert sum(len(x) if isinstance(x, bytes) else sum(len(y) if isinstance(y, bytes) else 8 for y in x) for x in state.get if isinstance(x, bytes | list)) == 8 * 500
+
+
 def test_category_deltas_of_all_units(spark, sf):
     from veritab.operators import diff
     from veritab.plans import queries

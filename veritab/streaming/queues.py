@@ -151,29 +151,27 @@ def latest_buckets(spark: SparkSession, path: str) -> DataFrame:
     return told.groupBy("entity_id").agg(F.max_by(F.struct("bucket", "rows"), "batch").alias("b")).select("entity_id", "b.bucket", "b.rows")
 
 
-#: Places of the log that are kept together, a bit for each.
-CHUNK = 8192
 STATE_FLAGS = (*evidence.FLAGS, "is_error", "is_tls")
 TOTALS = "rows long, " + ", ".join(f"f{i} long" for i in range(len(STATE_FLAGS)))
 
 
 def advanced(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState, ttl_ms: int) -> Iterator[pd.DataFrame]:
-    """What is known of an entity, moved on by new rows: how many rows bear each flag, and the places of rows met, as chunks
-    of bits.  An entity that was silent for ttl_ms is forgotten, with its rows."""
+    """What is known of an entity, moved on by new rows: how many rows bear each flag, and the places of rows met, in order,
+    eight bytes each.  An entity that was silent for ttl_ms is forgotten, with its rows."""
     if state.hasTimedOut:
         state.remove()
         return
-    *totals, chunks, bits = state.get if state.exists else ([0] * (1 + len(STATE_FLAGS)) + [[], []])
-    met = {c: np.unpackbits(np.frombuffer(b, np.uint8)) for c, b in zip(chunks, bits, strict=True)}
+    *totals, known = state.get if state.exists else [0] * (1 + len(STATE_FLAGS)) + [b""]
+    met = np.frombuffer(known, np.int64)
     for part in parts:
-        for chunk, mine in part.drop_duplicates("position").groupby(part["position"] // CHUNK):
-            places = met.setdefault(int(chunk), np.zeros(CHUNK, np.uint8))
-            new = mine[places[mine["position"] % CHUNK] == 0]
-            places[new["position"] % CHUNK] = 1
-            totals[0] += len(new)
-            for i in range(len(STATE_FLAGS)):
-                totals[1 + i] += int((new["flags"].to_numpy() >> i & 1).sum())
-    state.update((*totals, list(met), [np.packbits(p).tobytes() for p in met.values()]))
+        places, rows = np.unique(part["position"].to_numpy(np.int64), return_index=True)
+        new = ~np.isin(places, met, assume_unique=True)
+        flags = part["flags"].to_numpy(np.int64)[rows[new]]
+        met = np.union1d(met, places[new])
+        totals[0] += len(flags)
+        for i in range(len(STATE_FLAGS)):
+            totals[1 + i] += int((flags >> i & 1).sum())
+    state.update((*totals, met.tobytes()))
     state.setTimeoutDuration(ttl_ms)
     yield pd.DataFrame({"entity_id": [key[0]], "rows": [totals[0]], **{f"f{i}": [n] for i, n in enumerate(totals[1:])}})
 
@@ -182,12 +180,13 @@ def evidence_stream(stream: DataFrame, path: str, checkpoint: str, ttl_ms: int)
     """STM-05: as bucket_stream, with a state that forgets entities of which nothing is heard for ttl_ms, and in which a row
     that comes again, by its position, counts once: positions number the log's rows from 0.
 
-    Counters are kept, so a busy entity's rows aren't read again, and a bit for each place of the log near its rows.
+    Counters are kept, so a busy entity's rows aren't read again, and the places of its rows, so that the state grows with
+    the rows and not with entities times the log's length.
     """
     flags = reduce(Column.__add__, [F.col(f).cast("int") * (1 << i) for i, f in enumerate(STATE_FLAGS)])
     rows = evidence.with_flags(evidence.actionable(stream)).select("entity_id", F.col("position").cast("long").alias("position"), flags.alias("flags"))
     move = lambda key, parts, state: advanced(key, parts, state, ttl_ms)
-    kept = rows.groupBy("entity_id").applyInPandasWithState(move, f"entity_id long, {TOTALS}", f"{TOTALS}, chunks array<long>, bits array<binary>", "update", GroupStateTimeout.ProcessingTimeTimeout)
+    kept = rows.groupBy("entity_id").applyInPandasWithState(move, f"entity_id long, {TOTALS}", f"{TOTALS}, places binary", "update", GroupStateTimeout.ProcessingTimeTimeout)
     told = {f: F.col(f"f{i}") > 0 for i, f in enumerate(STATE_FLAGS)}
     errors = F.col(f"f{STATE_FLAGS.index('is_error')}")
     bucket = states.evidence_bucket({**{f: told[f] for f in evidence.FLAGS}, "all_errors": errors == F.col("rows"), "any_errors": told["is_error"], "any_tls": told["is_tls"], "any_rows": F.col("rows") > 0})
