@@ -8,6 +8,23 @@ import pandas as pd
 import pytest
 
 
+def test_sheet_is_read_row_by_row():
+    from veritab.operators.export import workbook
+    from veritab.sources.files import sheet_rows
+
+    whole = workbook({"one": (["id"], [[i] for i in range(20_000)])})
+    out = io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(whole)) as z, zipfile.ZipFile(out, "w") as cut:
+        for name in z.namelist():
+            cut.writestr(name, z.read(name)[: -200 if name.endswith("sheet1.xml") else None])
+    rows = sheet_rows(out.getvalue())
+    # a file that ends too early is an error, but not before its rows were read
+    assert next(rows) == ("one", 1, ["id"]) and next(rows) == ("one", 2, ["0"])
+    with pytest.raises(Exception, match="unclosed token|no element found"):
+        list(rows)
+    assert [r[2][0] for r in sheet_rows(whole)][1:] == [str(i) for i in range(20_000)]
+
+
 def test_state_grows_with_an_entitys_rows():
     from test_queues import State
 

@@ -7,6 +7,8 @@ import io
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import islice
+from typing import IO
 from urllib.parse import urljoin
 from xml.etree import ElementTree
 from zipfile import ZipFile
@@ -59,20 +61,37 @@ def csv_with_fallback(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(work, "path string, row long, cells map<string,string>")
 
 
+def _elements(file: IO[bytes], parent: str, name: str) -> Iterator[ElementTree.Element]:
+    """The elements of a name in an element, one by one; each is dropped before the next is read."""
+    held = None
+    for event, x in ElementTree.iterparse(file, ("start", "end")):
+        if event == "start" and x.tag == f"{_MAIN}{parent}":
+            held = x
+        elif event == "end" and x.tag == f"{_MAIN}{name}":
+            yield x
+            if held is not None:
+                held.clear()
+
+
+#: Rows of a sheet, and pages, that a worker holds at once.
+SHEET_BATCH, PAGE_BATCH = 2_000, 256
+
+
 def sheet_rows(content: bytes, sheet: str | None = None) -> Iterator[tuple[str, int, list[str | None]]]:
     """(sheet, row from 1, cells) of a spreadsheet file, by the standard library; cells are text."""
     with ZipFile(io.BytesIO(content)) as z:
         names = z.namelist()
         shared = []
         if "xl/sharedStrings.xml" in names:
-            shared = ["".join(t.text or "" for t in si.iter(f"{_MAIN}t")) for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{_MAIN}si")]
+            with z.open("xl/sharedStrings.xml") as f:
+                shared = ["".join(t.text or "" for t in si.iter(f"{_MAIN}t")) for si in _elements(f, "sst", "si")]
         targets = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
         for s in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{_MAIN}sheet"):
             if sheet is not None and s.get("name") != sheet:
                 continue
             target = targets[s.get(f"{_REL}id")].lstrip("/")
-            tree = ElementTree.fromstring(z.read(target if target.startswith("xl/") else f"xl/{target}"))
-            for n, row in enumerate(tree.iter(f"{_MAIN}row"), 1):
+            sheet_file = z.open(target if target.startswith("xl/") else f"xl/{target}")
+            for n, row in enumerate(_elements(sheet_file, "sheetData", "row"), 1):
                 cells: list[str | None] = []
                 for c in row.iter(f"{_MAIN}c"):
                     place = re.match("[A-Z]+", c.get("r") or "")
@@ -91,6 +110,11 @@ def sheet_rows(content: bytes, sheet: str | None = None) -> Iterator[tuple[str,
                 yield s.get("name"), int(row.get("r") or n), cells
 
 
+def _some(rows: Iterator, n: int) -> Iterator[list]:
+    while some := list(islice(rows, n)):
+        yield some
+
+
 def spreadsheet(spark: SparkSession, path: str, sheet: str | None = None) -> DataFrame:
     """(path, sheet, position, row, cells) of spreadsheet files; position is the sheet's in its file, and one file is one
     task's work."""
@@ -98,9 +122,10 @@ def spreadsheet(spark: SparkSession, path: str, sheet: str | None = None) -> Dat
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for p, content in zip(batch["path"], batch["content"], strict=True):
-                rows = list(sheet_rows(content, sheet))
-                turn = {name: i for i, name in enumerate(dict.fromkeys(r[0] for r in rows))}
-                yield pd.DataFrame({"path": p, "sheet": [r[0] for r in rows], "position": [turn[r[0]] for r in rows], "row": [r[1] for r in rows], "cells": [r[2] for r in rows]})
+                turn: dict[str, int] = {}
+                for rows in _some(sheet_rows(content, sheet), SHEET_BATCH):
+                    position = [turn.setdefault(r[0], len(turn)) for r in rows]
+                    yield pd.DataFrame({"path": p, "sheet": [r[0] for r in rows], "position": position, "row": [r[1] for r in rows], "cells": [r[2] for r in rows]})
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(work, "path string, sheet string, position int, row long, cells array<string>")
 
