@@ -25,6 +25,15 @@ def test_sheet_is_read_row_by_row():
     assert [r[2][0] for r in sheet_rows(whole)][1:] == [str(i) for i in range(20_000)]
 
 
+def test_pages_come_a_few_at_once(spark):
+    from veritab.sources import files, markup
+
+    pages = spark.createDataFrame([(1, "https://a.example.com/", "<a href='/x.pdf'>x</a><table><tr><td>1</td></tr></table>")], "page_id long, url string, html string")
+    for read in (files.html_tables, markup.markup_links):
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert read(pages).count() == 1 and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == str(files.PAGE_BATCH)
+
+
 def test_state_grows_with_an_entitys_rows():
     from test_queues import State
 

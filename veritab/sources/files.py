@@ -348,6 +348,13 @@ class _Table(HTMLParser):
             self.row = None
 
 
+def few_at_once(pages: DataFrame) -> DataFrame:
+    """pages, which workers get PAGE_BATCH at a time: what they hold does not grow with a part of the table.  The size is a
+    setting of the session, which is read when a job runs, so it stays set."""
+    pages.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(PAGE_BATCH))
+    return pages
+
+
 def html_tables(pages: DataFrame) -> DataFrame:
     """SRC-23, SRC-24: (page_id, tab, row, col, text, href, is_header) of the table cells of (page_id, url, html)."""
 
@@ -360,7 +367,7 @@ def html_tables(pages: DataFrame) -> DataFrame:
                 out += [(page, tab, r, c, *cell) for r, (tab, row) in enumerate(t.rows) for c, cell in enumerate(row)]
             yield pd.DataFrame(out, columns=["page_id", "tab", "row", "col", "text", "href", "is_header"])
 
-    return pages.select("page_id", "url", "html").mapInPandas(work, "page_id long, tab int, row int, col int, text string, href string, is_header boolean")
+    return few_at_once(pages).select("page_id", "url", "html").mapInPandas(work, "page_id long, tab int, row int, col int, text string, href string, is_header boolean")
 
 
 # Headers of tables of withdrawn institutions, of columns of names, and what names end in.
