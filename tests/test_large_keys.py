@@ -102,6 +102,21 @@ def test_unit_groups_of_alike(spark):
     assert got.count() == n and got.select(F.length("unit_ids")).distinct().count() == 1
 
 
+def test_owner_pages_choose_by_token(spark):
+    random.seed(8)
+    tails = ["/plan.pdf", "/disclosure", "/top", "", "/Top"]
+    pages = [(random.choice("op"), f"https://o.example.com/{random.randint(1, 30)}{random.choice(tails)}") for _ in range(150)] + [("o", None)]
+    entity = [(i % 50, random.choice("op"), random.choice([f"/{i}/", f"/{i}", f"example.com/{i}", "1", "2", "", None])) for i in range(60)]
+    got = workflow.owner_pages(spark.createDataFrame(entity, "entity_id long, owner string, token string"), spark.createDataFrame(pages, "owner string, url string"))
+    rank = {u: tuple(r) for u, *r in spark.createDataFrame([(u,) for _, u in pages if u], "url string").distinct().select("url", F.when(workflow.urls.quality(F.col("url")) == "direct_pdf", 0).when(workflow.urls.quality(F.col("url")) == "disclosure", 1).otherwise(2), F.length("url"), "url").collect()}
+    expected = {}
+    for i, owner, token in entity:
+        for o, u in pages:
+            if u and token and o == owner and token in u.lower():
+                expected[i] = min(expected.get(i, rank[u]), rank[u])
+    assert {r["entity_id"]: r["url"] for r in got.collect()} == {i: b[-1] for i, b in expected.items()}
+
+
 def test_attached_over_ranges(spark):
     random.seed(9)
     rows = [(sheet, pos, f"n{sheet}-{pos}" if kind == 0 else None, f"v{sheet}-{pos}" if kind == 1 else None) for sheet in (1, 2, None) for pos in range(400) for kind in [random.randint(0, 3)]]

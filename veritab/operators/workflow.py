@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritab.functions import numbers, states, text, urls
-from veritab.operators.resolve import held_texts
+from veritab.operators.resolve import held_names
 
 # How far discovery methods are trusted, the best first.
 METHOD_ORDER = ("domain_override", "operator_manual", "seed_csv", "region_index", "official_site", "owner_pattern", "web_search")
@@ -112,16 +112,18 @@ def names_another(label: Column, entity: Column, others: Column) -> Column:
 def owner_pages(entity: DataFrame, pages: DataFrame) -> DataFrame:
     """JOIN-28: for each (entity_id, owner, token), the owner's page whose address holds the token: documents first,
     then pages that hint at disclosure, then the shortest; the first hit wins."""
-    tokens = entity.select(F.col("entity_id").alias("inner_id"), "owner", F.col("token").alias("k"))
-    addresses = pages.select(F.col("url").alias("outer_id"), "owner", F.lower("url").alias("rk"))
-    hit = held_texts(tokens.filter(F.length("k") > 1), addresses, "owner")
+    tokens = entity.select("entity_id", "owner", F.col("token").alias("k"))
+    addresses = pages.select("url", "owner", F.lower("url").alias("rk"))
+    held = held_names(tokens.filter(F.length("k") > 1), addresses, "owner")
     # a token of one letter has no pair to be found by
-    letter = tokens.filter(F.length("k") == 1).join(addresses, "owner").filter(F.col("rk").contains(F.col("k")))
-    hit = hit.select("inner_id", "outer_id").unionByName(letter.select("inner_id", "outer_id")).toDF("entity_id", "url")
+    letter = tokens.filter(F.length("k") == 1).select("owner", "k").distinct().join(addresses.select("owner", "rk").distinct(), "owner").filter(F.col("rk").contains(F.col("k")))
     q = urls.quality(F.col("url"))
-    order = [F.when(q == "direct_pdf", 0).when(q == "disclosure", 1).otherwise(2), F.length("url"), "url"]
-    n = F.row_number().over(Window.partitionBy("entity_id").orderBy(*order))
-    return hit.withColumn("_n", n).filter("_n = 1").select("entity_id", "url")
+    rank = F.struct(F.when(q == "direct_pdf", 0).when(q == "disclosure", 1).otherwise(2).alias("turn"), F.length("url").alias("length"), "url")
+    # what an owner's token leads to is the same for all who have it, and addresses that differ by case only are one text
+    listed = addresses.filter("rk IS NOT NULL").groupBy("owner", "rk").agg(F.min(rank).alias("b"))
+    first = held.unionByName(letter.select(*held.columns)).join(listed.hint("merge"), ["owner", "rk"]).groupBy("owner", "k").agg(F.min("b").alias("b"))
+    found = tokens.join(first.hint("merge"), ["owner", "k"]).groupBy("entity_id").agg(F.min("b").alias("b"))
+    return found.select("entity_id", "b.url")
 
 
 # --- counters
