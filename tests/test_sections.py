@@ -62,3 +62,21 @@ def test_very_long_document(spark):
     card = HEAD + "看護学科\n" + SEATS
     got = read(spark, *[card * 50 + "本文 " * 2000] * 40)
     assert len(got) == 2000 and [r["section"] for r in got] != [] and {r["enrollment"] for r in got} == {75}
+
+
+def test_card_of_many_regions(spark):
+    seats = "定員数は別に定める\n" * 300
+    (r,) = read(spark, HEAD + "看護学科\n3年 昼\n" + seats, seats + SEATS, "卒業者数 進学者数 就職者数\n4人 5人 6人\n" + SEATS.replace("80", "99"))
+    assert (r["section"], r["name"], r["capacity"], r["shift"], r["graduates"]) == (1, "看護学科", 80, "昼", 4)
+
+
+def test_white_space_and_markup():
+    text = "# 分野\u2003**学科名**\r\n![a](b)| Ａ |\tＢ | \n|---|:--|\n  c  d \n\nV0\nx V0\n"
+    assert sections.cleaned_lines(text) == ["分野 学科名", "A B", "c d", "0人", "x V0"]
+    assert sections.cleaned_lines("財務 1人") == [] and sections.cleaned_lines("財務 生徒実員") == ["財務 生徒実員"]
+
+
+def test_lines_are_no_rows_and_pages_are_read_once(spark):
+    pages = spark.createDataFrame([("a", 1, HEAD)], "doc_id string, page int, text string")
+    plan = sections.unit_records(pages)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan and "Generate" not in plan and plan.count("Exchange") == 2

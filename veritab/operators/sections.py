@@ -1,19 +1,24 @@
-"""Page texts of a form to unit records: a line automaton over whole documents, as windows.
+"""Page texts of a form to unit records: a line automaton over whole documents.
 
 Every line is looked at once.  Its words may mark the start of a unit's card or of one of the card's regions (names,
 seats, leavers, dropouts, or the end of these); the state of a line is the last mark at or before it, so that headings
 may be split, numbers may follow on the same line, the next one, or each on its own, and a card may go on over pages.
-The running state is a window over the document's lines, which spills; no document is put together in one row.
+Spark brings a document's pages together in their order; the automaton runs over them as they come and holds one page,
+the few lines that it looks ahead and the open region's first lines, so no document is put together in one row.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import re
+import unicodedata
+from collections.abc import Iterator
+from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritab.functions.text import folded
+from veritab.sources.files import few_at_once
 
 # The form's labels, by which cards and regions begin and end.
 FIELD, UNIT, COURSE = "分野", "学科名", "課程名"
@@ -28,57 +33,164 @@ UNIT_SUFFIX = "(学科|学部|学院|専攻|コース|科)$"
 #: Lines of a region that are looked at, and rows in which a split heading's parts stand.
 REACH = 25
 HEADING = 8
+#: Pictures, headings, emphasis and rules between rows; runs of white space and of bars between cells, other than one space;
+#: a zero that a recogniser read as letters, alone on its line.
+_BEGIN, _STOP = r"(?<![^\n\r\x85\u2028\u2029])", r"(?![^\n\r\x85\u2028\u2029])"
+MARKUP = re.compile(rf"!\[[^\]\n]*\]\([^)\n]*\)|{_BEGIN}[ \t]*#{{1,6}}[ \t]+|\*{{1,3}}|{_BEGIN}[ \t]*\|[ \t:|-]+{_STOP}")
+_GAP = r"[ |\t\x0B\f\r\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+GAPS = re.compile(rf"{_GAP}(?:{_GAP}+|(?<! ))")
+ZERO = re.compile(r"^ ?[VYO]0 ?$", re.MULTILINE)
+LINE_END = re.compile(r" ?\n[ \n]*")
+#: Regions of a card that a row holds; a card of more takes several rows.
+CARD_REGIONS = 64
+#: Lines whose words are remembered, if they are short: forms repeat their labels.
+KNOWN, SHORT = 10_000, 40
 
 
 def _field(tail: str) -> str:
     return f"^({'|'.join(FIELDS)})(関係)?{tail}"
 
 
-def cleaned_lines(pages: DataFrame) -> DataFrame:
-    """doc_id, seq and t, the lines that are not empty of (doc_id, page, text): compatibility forms folded, marks of
-    markup that recognisers put in dropped, cells parted by spaces.  Pages of accounts that tell no enrolment are left
-    out.  A null text has no lines.  Pages are shuffled by document before they are cut up, as this is the only shuffle."""
-    together = pages.select("doc_id", F.col("page").cast("long").alias("page"), "text").repartition("doc_id")
-    read = together.select("doc_id", "page", folded(F.col("text")).alias("text"))
-    read = read.filter(F.col("text").contains("生徒実員") | ~F.col("text").rlike("財務|経営情報の公表"))
-    # pictures, headings, emphasis and rules between rows go; cells are parted by one space
-    bare = F.regexp_replace("text", r"(?m)!\[[^\]\n]*\]\([^)\n]*\)|^[ \t]*#{1,6}[ \t]+|\*{1,3}|^[ \t]*\|[ \t:|-]+$", "")
-    plain = F.regexp_replace(bare, r"(?U)[|\s&&[^\n]]+", " ")
-    # a zero that a recogniser read as letters, alone on its line
-    zero = F.regexp_replace(plain, r"(?m)^ ?[VYO]0 ?$", "0人")
-    lines = read.select("doc_id", "page", F.posexplode(F.split(zero, r" ?\n[ \n]*")).alias("at", "t")).filter("t <> ''")
-    return lines.select("doc_id", (F.col("page") * (1 << 32) + F.col("at")).alias("seq"), "t")
+def cleaned_lines(text: str) -> list[str]:
+    """The lines that are not empty of a page's text: compatibility forms folded, marks of markup that recognisers put in
+    dropped, cells parted by spaces.  Pages of accounts that tell no enrolment have none."""
+    text = unicodedata.normalize("NFKC", text)
+    if ("財務" in text or "経営情報の公表" in text) and "生徒実員" not in text:
+        return []
+    if "|" in text or "#" in text or "*" in text or "![" in text:
+        text = MARKUP.sub("", text)
+    text = GAPS.sub(" ", text)
+    if "V0" in text or "Y0" in text or "O0" in text:
+        text = ZERO.sub("0人", text)
+    lines = LINE_END.split(text) if " \n" in text or "\n " in text else text.split("\n")
+    return [t for t in lines if t]
 
 
-def regions(lines: DataFrame) -> DataFrame:
-    """doc_id, section, mark, start, text, duration and shift: the regions of each card, their first REACH lines joined.
+#: A line's words that count, by bits: of marks, and of what is near them.
+WORDS = ((FIELD,), (UNIT,), (COURSE,), SEATS, LEAVERS, DROPOUTS, ENDS, ("進学", "就職"), ("修業",), ("年",), ("昼", "夜"), ("昼夜",))
+IS_FIELD, IS_UNIT, IS_COURSE, IS_SEATS, IS_LEAVERS, IS_DROPOUTS, IS_END, LEAVES, TERM, YEAR, HALF, HALVES = (1 << i for i in range(len(WORDS)))
+ANY_WORD = re.compile("|".join(w for group in WORDS for w in group))
+YEARS, SHIFT = re.compile(r"(\d+)\s*年", re.ASCII), re.compile(r"(?:^|\s)(昼|夜)(?=\s|$)", re.ASCII)
+#: Marks whose regions tell something, in the order of a card's columns.
+TOLD = ("names", "seats", "leavers", "dropouts")
+
+
+def words_of(line: str) -> int:
+    if not ANY_WORD.search(line):
+        return 0
+    return sum(1 << i for i, group in enumerate(WORDS) if any(w in line for w in group))
+
+
+words_of_short = lru_cache(KNOWN)(words_of)
+
+
+class LineAutomaton:
+    """The cards of one document, whose lines are fed in their order.
 
     A card begins where field and unit are named in one line, or where the field stands alone and unit and course are
     named in the next lines.  Leavers are only told where the heading's other words are near.
     """
-    w = Window.partitionBy("doc_id").orderBy("seq")
-    has = lambda *words: reduce(Column.__or__, [F.col("t").contains(x) for x in words])
-    near = lambda c, first, last: F.coalesce(F.max(c).over(w.rowsBetween(first, last)), F.lit(False))
-    split = (F.length("t") <= 5) & near(has(UNIT), 1, HEADING) & near(has(COURSE), 1, HEADING)
-    years = F.regexp_extract("t", r"(\d+)\s*年", 1).try_cast("double")
-    seen = lines.select(
-        "doc_id",
-        "t",
-        F.row_number().over(w).alias("row"),
-        (has(FIELD) & (has(UNIT) | split)).alias("card"),
-        (has(*LEAVERS) & near(has("進学", "就職"), 0, 3)).alias("leavers"),
-        F.when(has("年") & (has("修業", "昼") | near(has("修業"), -2, -1)), years).alias("duration"),
-        F.when(has("昼", "夜") & ~has("昼夜"), F.nullif(F.regexp_extract("t", r"(?:^|\s)(昼|夜)(?=\s|$)", 1), F.lit(""))).alias("shift"),
-    )
-    mark = F.when(has(UNIT), "names").when(F.col("card"), "card").when(has(*SEATS), "seats").when(F.col("leavers"), "leavers").when(has(*DROPOUTS), "dropouts").when(has(*ENDS), "end")
-    marked = seen.select("*", mark.alias("own"))
-    by_row = Window.partitionBy("doc_id").orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
-    last = F.last(F.when(F.col("own").isNotNull(), F.struct("own", "row")), True).over(by_row)
-    state = marked.select("doc_id", "t", "row", "duration", "shift", F.sum(F.col("card").cast("int")).over(by_row).alias("section"), last["own"].alias("mark"), last["row"].alias("start"))
-    first = lambda c: F.min(F.when(F.col(c).isNotNull(), F.struct("row", c)))[c]
-    text = F.array_sort(F.collect_list(F.when(F.col("row") - F.col("start") < REACH, F.struct("row", "t"))))
-    of_region = state.filter("section > 0").groupBy("doc_id", "section", "mark", "start")
-    return of_region.agg(F.transform(text, lambda x: x["t"]).alias("lines"), first("duration").alias("duration"), first("shift").alias("shift"))
+
+    def __init__(self):
+        #: lines with their words that wait for those after them, and the words of the two before
+        self.waiting: list[tuple[str, int]] = []
+        self.before = self.before_last = 0
+        self.row = self.section = self.start = 0
+        #: the first lines of the open region, and the open card's row
+        self.lines: list[str] = []
+        self.card: list | None = None
+
+    def feed(self, lines: list[str], last: bool = False) -> list[tuple]:
+        """Rows (section, row of its begin, regions by TOLD, duration, shift) of the cards that end before the last line
+        that can be told; with last, of all."""
+        waiting, out = self.waiting, []
+        waiting += [(t, words_of_short(t) if len(t) <= SHORT else words_of(t)) for t in lines]
+        ready = len(waiting) if last else max(0, len(waiting) - HEADING)
+        for i in range(ready):
+            t, words = waiting[i]
+            self.row += 1
+            if words:
+                mark = self.mark(i, t, words)
+                if mark:
+                    self.begin(mark, out)
+                if self.card:
+                    if self.card[3] is None and words & YEAR and (words & (TERM | HALF) or (self.before | self.before_last) & TERM) and (found := YEARS.search(t)):
+                        self.card[3] = float(found[1])
+                    if self.card[4] is None and words & HALF and not words & HALVES and (found := SHIFT.search(t)):
+                        self.card[4] = found[1]
+            if self.row - self.start < REACH:
+                self.lines.append(t)
+            self.before_last, self.before = self.before, words
+        del waiting[:ready]
+        if last and self.card:
+            out.append(tuple(self.card))
+        return out
+
+    def mark(self, i: int, t: str, words: int) -> str | None:
+        """What begins at the waiting line i; a card's first line is "card ", or "card names" where it names the unit."""
+        waiting = self.waiting
+        if words & IS_UNIT:
+            return "card names" if words & IS_FIELD else "names"
+        if words & IS_FIELD and len(t) <= 5:
+            next_words = [w for _, w in waiting[i + 1 : i + 1 + HEADING]]
+            if any(w & IS_UNIT for w in next_words) and any(w & IS_COURSE for w in next_words):
+                return "card "
+        if words & IS_SEATS:
+            return "seats"
+        if words & IS_LEAVERS and any(w & LEAVES for _, w in waiting[i : i + 4]):
+            return "leavers"
+        return "dropouts" if words & IS_DROPOUTS else "end" if words & IS_END else None
+
+    def begin(self, mark: str, out: list[tuple]) -> None:
+        """Open a region, in a card of its own if its mark says so."""
+        self.start, self.lines = self.row, []
+        card, _, kind = mark.rpartition(" ")
+        if card:
+            self.section += 1
+        if card or self.card and sum(map(len, self.card[2])) >= CARD_REGIONS:
+            if self.card:
+                out.append(tuple(self.card))
+            self.card = [self.section, self.row, tuple([] for _ in TOLD), None, None]
+        if self.card and kind in TOLD:
+            self.card[2][TOLD.index(kind)].append(self.lines)
+
+
+def cards(pages: DataFrame) -> DataFrame:
+    """doc_id, section, start, the lines of each of the names, seats, leavers and dropouts, duration and shift of the cards
+    of (doc_id, page, text): of each region its first REACH lines.  A null text has no lines; a card of very many regions
+    takes several rows, by start."""
+    kind = pages.schema["doc_id"].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, automaton, ids = None, None, None
+
+        def out(owners: list, found: list[tuple]) -> pa.RecordBatch:
+            section, start, regions, duration, shift = zip(*found, strict=True)
+            texts = pa.list_(pa.list_(pa.string()))
+            told = [pa.array([r[i] for r in regions], texts) for i in range(len(TOLD))]
+            columns = [pa.array(owners, ids), pa.array(section, pa.int64()), pa.array(start, pa.int64()), *told, pa.array(duration, pa.float64()), pa.array(shift, pa.string())]
+            return pa.RecordBatch.from_arrays(columns, ["doc_id", "section", "start", *TOLD, "duration", "shift"])
+
+        for batch in batches:
+            ids = batch.schema.field("doc_id").type
+            owners, found = [], []
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                if automaton is None or doc_id != of:
+                    if automaton:
+                        found += automaton.feed([], last=True)
+                        owners += [of] * (len(found) - len(owners))
+                    of, automaton = doc_id, LineAutomaton()
+                if text:
+                    found += automaton.feed(cleaned_lines(text))
+                    owners += [of] * (len(found) - len(owners))
+            if found:
+                yield out(owners, found)
+        if automaton and (found := automaton.feed([], last=True)):
+            yield out([of] * len(found), found)
+
+    together = pages.select("doc_id", F.col("page").cast("long").alias("page"), "text").repartition("doc_id").sortWithinPartitions("doc_id", "page")
+    told = ", ".join(f"{name} array<array<string>>" for name in TOLD)
+    return few_at_once(together).select("doc_id", "text").mapInArrow(work, f"doc_id {kind}, section long, start long, {told}, duration double, shift string")
 
 
 def numbers_in(text: Column, pattern: str = r"(\d[\d,]*)") -> Column:
@@ -107,36 +219,41 @@ def unit_records(pages: DataFrame) -> DataFrame:
     is_breakdown marks cards that only break a course down: they name a course and their seats are part of others.
     Documents without cards give no row; an empty table gives none.
     """
-    is_ = lambda name: F.col("mark") == name
     # leavers' own notes, and headings of dropouts, tell no numbers; leavers end at the first line of percentages
-    useful = F.when(is_("leavers"), F.filter("lines", lambda x: ~x.rlike(NOTES))).when(is_("dropouts"), F.filter(F.slice("lines", 1, 6), lambda x: ~x.rlike("年度当初|途中") | x.rlike(r"\d\s*人"))).otherwise(F.col("lines"))
-    kept = ["doc_id", "section", "mark", "start", "duration", "shift"]
-    told = regions(cleaned_lines(pages)).filter(is_("names") | is_("card") | is_("seats") | is_("leavers") | is_("dropouts") | F.col("duration").isNotNull() | F.col("shift").isNotNull())
-    told = told.select(*kept, "lines", F.array_join(useful, "\n").alias("text"))
-    told = told.withColumn("text", F.when(is_("leavers"), F.regexp_replace("text", r"(?s)\n\(?\s*\d+(\.\d+)?\s*%.*$", "")).otherwise(F.col("text")))
+    joined = lambda lines: F.array_join(lines, "\n")
+    leavers = F.transform("leavers", lambda r: F.regexp_replace(joined(F.filter(r, lambda x: ~x.rlike(NOTES))), r"(?s)\n\(?\s*\d+(\.\d+)?\s*%.*$", ""))
+    dropouts = F.transform("dropouts", lambda r: joined(F.filter(F.slice(r, 1, 6), lambda x: ~x.rlike("年度当初|途中") | x.rlike(r"\d\s*人"))))
+    texts = {"seats": F.transform("seats", joined), "leavers": leavers, "dropouts": dropouts}
     # numbers in brackets, also in such as end on a later line, are parts of others
-    told = told.withColumn("bare", F.regexp_replace("text", r"\([^)]*\)", " "))
-    told = told.withColumns({"people": numbers_in(F.col("bare"), r"(\d[\d,]*)\s*人"), "plain": numbers_in(F.regexp_replace("bare", r"\d+(\.\d+)?\s*%", " "))})
+    bare = lambda of: F.transform(of, lambda x: F.regexp_replace(x, r"\([^)]*\)", " "))
+    people = lambda x: numbers_in(x, r"(\d[\d,]*)\s*人")
+    plain = lambda x: numbers_in(F.regexp_replace(x, r"\d+(\.\d+)?\s*%", " "))
+    read = {m: F.transform(bare(c), lambda x: F.struct(people(x).alias("people"), plain(x).alias("plain"), F.regexp_count(x, F.lit("人")).alias("places"))) for m, c in texts.items()}
     # numbers of persons if there are three, else all but percentages
-    three = F.when(F.size("people") >= 3, F.col("people")).when(F.size("plain") >= 3, F.col("plain"))
+    three = lambda r: F.when(F.size(r["people"]) >= 3, r["people"]).when(F.size(r["plain"]) >= 3, r["plain"])
     # four places for numbers of which some are blank: the first is of leavers, the next of those employed
-    blanks = is_("leavers") & F.size("people").between(1, 2) & (F.regexp_count("bare", F.lit("人")) >= 4)
-    two = F.array(F.get("people", F.lit(0)), F.lit(None).cast("long"), F.get("people", F.lit(1)))
-    told = told.select(
-        *kept,
-        F.when(is_("names"), name_cells(F.slice("lines", 2, 11))).alias("cells"),
-        F.when(blanks, two).when(is_("seats") | is_("leavers"), three).when(is_("dropouts") & (F.size("plain") >= 2), F.col("plain")).alias("n"),
-        F.when(is_("dropouts"), F.regexp_extract("text", r"(\d+(?:\.\d+)?)\s*%", 1).try_cast("double")).alias("rate"),
-        (is_("seats") & F.exists(F.slice("lines", 1, 4), lambda x: x.contains("内数"))).alias("part_of"),
+    two = lambda r: F.array(F.get(r["people"], F.lit(0)), F.lit(None).cast("long"), F.get(r["people"], F.lit(1)))
+    blanks = lambda r: F.when(F.size(r["people"]).between(1, 2) & (r["places"] >= 4), two(r)).otherwise(three(r))
+    first_of = lambda c, enough: F.get(F.filter(c, enough), F.lit(0))
+    is_told = lambda n: n.isNotNull()
+    rates = F.transform(texts["dropouts"], lambda x: F.regexp_extract(x, r"(\d+(?:\.\d+)?)\s*%", 1).try_cast("double"))
+    told = cards(pages).select(
+        "doc_id",
+        "section",
+        "start",
+        first_of(F.transform("names", lambda r: name_cells(F.slice(r, 2, 11))), lambda c: F.size(c) > 0).alias("cells"),
+        first_of(F.transform(read["seats"], three), is_told).alias("seats"),
+        first_of(F.transform(read["leavers"], blanks), is_told).alias("leavers"),
+        first_of(F.transform(read["dropouts"], lambda r: F.when(F.size(r["plain"]) >= 2, r["plain"])), is_told).alias("dropouts"),
+        first_of(rates, is_told).alias("dropout_rate"),
+        F.col("duration").alias("duration_years"),
+        "shift",
+        F.exists("seats", lambda r: F.exists(F.slice(r, 1, 4), lambda x: x.contains("内数"))).alias("part_of"),
     )
-    first = lambda when, c: F.min(F.when(when, F.struct("start", c)))[c]
-    numbers = lambda name: first(is_(name) & F.col("n").isNotNull(), "n")
-    card = told.groupBy("doc_id", "section").agg(
-        first(is_("names") & (F.size("cells") > 0), "cells").alias("cells"),
-        numbers("seats").alias("seats"), numbers("leavers").alias("leavers"), numbers("dropouts").alias("dropouts"),
-        first(F.col("rate").isNotNull(), "rate").alias("dropout_rate"), first(F.col("duration").isNotNull(), "duration").alias("duration_years"),
-        first(F.col("shift").isNotNull(), "shift").alias("shift"), F.bool_or("part_of").alias("part_of"),
-    )
+    # a document's cards meet once, those of many rows as one
+    first = lambda c: F.min(F.when(F.col(c).isNotNull(), F.struct("start", c)))[c].alias(c)
+    values = ("cells", "seats", "leavers", "dropouts", "dropout_rate", "duration_years", "shift")
+    card = told.repartition("doc_id").groupBy("doc_id", "section").agg(*map(first, values), F.bool_or("part_of").alias("part_of"))
     is_course = lambda c: c.contains("専門課程")
     others = F.filter("cells", lambda c: ~is_course(c))
     named = card.withColumns({"name": F.get(others, F.lit(0)), "course_name": F.coalesce(F.get(F.filter("cells", is_course), F.lit(0)), F.get(others, F.lit(1)))})
