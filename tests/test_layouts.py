@@ -48,3 +48,16 @@ def test_rows_that_are_no_institutions(spark):
     (r,) = listed_institutions(cells(spark, (1, table), (2, [["x", "y"]]))).collect()
     assert (r["name"], r["url"], r["page_id"]) == ("東京専門学校", "https://e.jp/a", 1)
     assert listed_institutions(cells(spark, (1, table)).filter("false")).count() == 0
+
+
+def test_address_in_the_next_row_only(spark):
+    table = [["学校名", "備考"], ["東京専門学校", ""], ["https://a.jp/", None], ["大阪短期大学", None], ["", ""], ["https://b.jp/", None], ["京都大学校", "https://c.jp/"], ["福岡看護学院", ""]]
+    got = {r["name"]: r["url"] for r in listed_institutions(cells(spark, (1, table), (2, table[3:4]), (None, table))).collect()}
+    assert got == {"東京専門学校": "https://a.jp/", "大阪短期大学": None, "京都大学校": "https://c.jp/", "福岡看護学院": None}
+
+
+def test_lists_are_made_once(spark, sf):
+    from veritab.plans.queries import QUERIES
+
+    plan = QUERIES["listed_institutions"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and plan.count("ArrowEvalPython") == 2

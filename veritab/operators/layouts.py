@@ -145,13 +145,16 @@ def listed_institutions(cells: DataFrame) -> DataFrame:
     """
     headed = with_headers(cells)
     roles = column_roles(headed)
-    body = headed.filter(~F.col("in_header")).join(roles, ["page_id", "tab", "col"], "left")
+    # roles grow with the tables, so they are not broadcast
+    body = headed.filter(~F.col("in_header")).join(roles.hint("merge"), ["page_id", "tab", "col"], "left")
     of = lambda role: F.max(F.when((F.col("role") == role) & (F.col("key") != ""), F.col("key")))
     link = lambda role: F.max(F.when(F.col("role") == role, F.coalesce(F.col("href"), first_url(F.col("text")))))
     texts = [of(r).alias(r) for r in ROLES if r not in ("number", "url")]
     any_url = F.max(F.coalesce(F.col("href"), first_url(F.col("text"))))
     rows = body.groupBy("page_id", "tab", "row").agg(*texts, F.coalesce(link("url"), link("remark"), link("name")).alias("url"), any_url.alias("any_url"))
     named = F.coalesce(looks_like_institution(F.col("name")), F.lit(False))
-    below = rows.filter(~named & F.col("any_url").isNotNull()).select("page_id", "tab", (F.col("row") - 1).alias("row"), F.col("any_url").alias("below"))
-    listed = rows.filter(named).join(below, ["page_id", "tab", "row"], "left")
+    # a row of its own below is the next one, which rows look up without meeting their table again
+    following = Window.partitionBy("page_id", "tab").orderBy("row")
+    is_below = (F.lead("row").over(following) == F.col("row") + 1) & ~F.lead(named).over(following)
+    listed = rows.select("*", named.alias("named"), F.when(is_below, F.lead("any_url").over(following)).alias("below")).filter("named")
     return listed.select("page_id", "tab", "row", "name", "address", "owner", "owner_address", "code", "date", F.coalesce("url", "below").alias("url"), "remark")

@@ -171,19 +171,19 @@ def list_cells(customers: DataFrame) -> DataFrame:
         shown = F.regexp_replace("name", "^(第)", "$1 ") if role == "name" else F.col(role) if text is None else text
         return F.lit(col).alias("col"), shown.alias("text"), (F.col("url") if role == "name_link" else none).alias("href")
 
+    # one expression for all layouts, so that the table is read and its texts are made once
     cells = None
     for n, layout in enumerate(LISTS):
-        is_layout = F.col("page_id") % len(LISTS) == n
         body = [F.struct("row", *cell(i, role), F.lit(False).alias("is_header")) for i, (_, role) in enumerate(layout)]
         if any(role == "url_below" for _, role in layout):
             body.append(F.struct((F.col("row") + 1).alias("row"), F.lit(0).alias("col"), F.col("url").alias("text"), none.alias("href"), F.lit(False).alias("is_header")))
-        first = F.when(F.col("k") % LIST_ROWS == 0, F.array(*[F.struct(F.lit(0).alias("row"), F.lit(i).alias("col"), F.lit(h).alias("text"), none.alias("href"), F.lit(n % 2 == 0).alias("is_header")) for i, (h, _) in enumerate(layout)]))
-        some = valued.filter(is_layout).withColumn("cell", F.explode(F.array(*body)))
-        some = some.select("page_id", "cell.*")
+        told = F.array(*body)
         if layout[0][0] is not None:
-            some = some.unionByName(valued.filter(is_layout).select("page_id", F.explode(first).alias("cell")).select("page_id", "cell.*"))
-        cells = some if cells is None else cells.unionByName(some)
-    return cells.withColumn("tab", F.lit(1))
+            first = [F.struct(F.lit(0).alias("row"), F.lit(i).alias("col"), F.lit(h).alias("text"), none.alias("href"), F.lit(n % 2 == 0).alias("is_header")) for i, (h, _) in enumerate(layout)]
+            told = F.when(F.col("k") % LIST_ROWS == 0, F.array(*first, *body)).otherwise(told)
+        is_layout = F.col("page_id") % len(LISTS) == n
+        cells = F.when(is_layout, told) if cells is None else cells.when(is_layout, told)
+    return valued.select("page_id", F.explode(cells).alias("cell")).select("page_id", "cell.*").withColumn("tab", F.lit(1))
 
 
 def _list_sql() -> str:
