@@ -582,3 +582,17 @@ def test_toxicity(spark):
     assert np.mean([r["predicted"] == int(r["doc_id"] % 5 == 0) for r in held]) > 0.95
     assert got[900]["score"] == got[901]["score"]
     assert toxicity.score_toxicity(spark, docs, *toxicity.train(docs, labels.filter("false"))).count() == 402
+
+
+def test_long_document_is_scored_in_few_windows(monkeypatch):
+    words = [b"%d" % i for i in range(300)]
+    v = gated_lm.Vocabulary([gated_lm.END, *words], np.array([3000, *[1000] * 300]), 303_000, 301)
+    net, rng, calls = gated_lm.Network(v), np.random.default_rng(3), []
+    outputs = gated_lm.Network.outputs
+    monkeypatch.setattr(gated_lm.Network, "outputs", lambda self, *a: calls.append(1) or outputs(self, *a))
+    texts = [np.append(rng.integers(1, 301, n), 0) for n in (5000, 3, 700, 0)]
+    got = net.score(texts)
+    assert len(calls) <= 4
+    monkeypatch.setattr(gated_lm, "WIDE", 1)
+    monkeypatch.setattr(gated_lm, "STRETCH", 1)
+    assert np.allclose(got, [net.score([t])[0] for t in texts], rtol=1e-6)

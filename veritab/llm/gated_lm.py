@@ -20,6 +20,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from heapq import heappop, heappush
+from itertools import repeat
 from uuid import uuid4
 
 import numpy as np
@@ -39,6 +40,8 @@ HIDDEN, WINDOW, LANES = 16, 32, 512
 MANY, TOGETHER = 40, 4
 #: Lanes that are scored side by side; no step depends on how many.
 WIDE = 768
+#: How many training windows' steps are scored at once, so that more tokens share a leaf.
+STRETCH = 4
 #: Words of a leaf, the lowest level of the factored output.
 LEAF = 16
 #: Percent of training documents at which rounds end.
@@ -97,8 +100,7 @@ class Vocabulary:
         """Ranks of a text's tokens, -1 beyond the head, and the words beyond it."""
         words = text.lower().split()
         words.append(END)
-        get = self.rank.get
-        ranks = np.array([get(w, -1) for w in words], np.int32)
+        ranks = np.fromiter(map(self.rank.get, words, repeat(-1)), np.int32, len(words))
         return ranks, [words[i] for i in np.flatnonzero(ranks < 0).tolist()]
 
     def symbols(self, ranks: np.ndarray) -> np.ndarray:
@@ -343,18 +345,22 @@ class Network:
         owner = [np.repeat(np.array(lane, np.int32), [len(texts[i]) for i in lane]) for lane in lanes]
         h = np.zeros((HIDDEN, len(lanes)), np.float32)
         last, before = np.full(len(lanes), self.begin), np.full(len(lanes), -1)
-        for start in range(0, int(size.max(initial=0)), WINDOW):
+        start, longest = 0, int(size.max(initial=0))
+        while start < longest:
             live = int((size > start).sum())
             h, last, before = h[:, :live], last[:live], before[:live]
-            targets, owners = np.zeros((WINDOW, live), np.int64), np.full((WINDOW, live), -1)
+            # few lanes, those of the longest documents, go in longer windows, so that one looks at as many tokens
+            length = min(STRETCH * WINDOW * max(1, WIDE // live), longest - start)
+            targets, owners = np.zeros((length, live), np.int64), np.full((length, live), -1)
             for lane in range(live):
-                part = whole[lane][start : start + WINDOW]
+                part = whole[lane][start : start + length]
                 targets[: len(part), lane] = part
-                owners[: len(part), lane] = owner[lane][start : start + WINDOW]
+                owners[: len(part), lane] = owner[lane][start : start + length]
+            start += length
             fresh = owners != np.vstack([before, owners[:-1]])
             gx = self.inputs(np.where(fresh, self.begin, np.vstack([last, targets[:-1]])))
-            states = np.empty((HIDDEN, WINDOW, live), np.float32)
-            for t in range(WINDOW):
+            states = np.empty((HIDDEN, length, live), np.float32)
+            for t in range(length):
                 h = states[:, t] = self.step(gx[t], self.cleared(h, fresh[t]))
             states = states.reshape(HIDDEN, -1)
             last, before = targets[-1], owners[-1]
@@ -598,22 +604,25 @@ def score_texts(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, flat
         waiting: list[tuple] = []
         size = 0
 
-        def out() -> pa.RecordBatch:
+        names = ["place", "word", "times", "doc_id", "held_out", "n_tokens", "known", "base", "model"]
+        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+
+        def out() -> Iterator[pa.RecordBatch]:
+            """The documents' own rows, and those of their words beyond the head."""
             nonlocal place
             natural = network.score([w[2] for w in waiting])
-            columns: list[list] = [[] for _ in range(8)]
+            own, words, times, met = [], [], [], []
             for (doc_id, held, symbols, known, base, beyond), logp in zip(waiting, natural, strict=True):
                 place += 1
                 # a document's own row: its word begins with a space, as no word does
-                for column, value in zip(columns, (place, b" %d" % place, 0, doc_id, held, len(symbols), known, (base, logp / np.log(10))), strict=True):
-                    column.append(value)
-                for word, n in Counter(beyond).items():
-                    for column, value in zip(columns, (place, word, n, None, None, None, None, (None, None)), strict=True):
-                        column.append(value)
-            base_model = columns.pop()
-            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)] + [pa.array([x[i] for x in base_model], pa.float64()) for i in (0, 1)]
-            return pa.RecordBatch.from_arrays(arrays, ["place", "word", "times", "doc_id", "held_out", "n_tokens", "known", "base", "model"])
+                own.append((place, b" %d" % place, 0, doc_id, held, len(symbols), known, base, logp / np.log(10)))
+                counts_of = Counter(beyond)
+                words += counts_of.keys()
+                times += counts_of.values()
+                met.append(len(counts_of))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*own, strict=True), kinds, strict=True)], names)
+            places = np.repeat(np.arange(place - len(met) + 1, place + 1), met)
+            yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(words, kinds[1]), pa.array(times, kinds[2]), *[pa.nulls(len(words), k) for k in kinds[3:]]], names)
 
         for batch in batches:
             rows = zip(batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist(), texts_of(batch.column("text")), strict=True)
@@ -623,10 +632,10 @@ def score_texts(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, flat
                 waiting.append((doc_id, held, v.symbols(ranks), len(inside), float(v.base[inside].sum()), beyond))
                 size += len(ranks)
                 if size >= SCORED:
-                    yield out()
+                    yield from out()
                     waiting, size = [], 0
         if waiting:
-            yield out()
+            yield from out()
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (remainder(F.col("doc_id"), parts) == held_out).alias("held_out"), "text")
     rows = in_batches(source, work, "place long, word binary, times long, doc_id long, held_out boolean, n_tokens long, known long, base double, model double")
