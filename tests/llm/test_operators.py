@@ -596,3 +596,16 @@ def test_long_document_is_scored_in_few_windows(monkeypatch):
     monkeypatch.setattr(gated_lm, "WIDE", 1)
     monkeypatch.setattr(gated_lm, "STRETCH", 1)
     assert np.allclose(got, [net.score([t])[0] for t in texts], rtol=1e-6)
+
+
+def test_tokens_are_those_of_bytes():
+    """Texts are split in bulk, at the same white space and with the same letters as by bytes; each ends with END."""
+    rng = random.Random(5)
+    parts = [b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r", b"\x1c", b"\x1f", b"\x85", b"\xc2\x85", b"\xc2\xa0", b"\x00", b"A", b"z", b"\xc3\x84", b"\xe2\x80\x83"]
+    texts = [None, b"", b" ", b"\n\n", *(b"".join(rng.choices(parts, k=rng.randrange(14))) for _ in range(2000))]
+    words, sizes = gated_lm.tokens_of(pa.chunked_array([pa.array(texts[:7], pa.binary()), pa.array(texts[7:], pa.binary())]))
+    wanted = [[*(t or b"").lower().split(), gated_lm.END] for t in texts]
+    assert words.to_pylist() == [w for ws in wanted for w in ws] and sizes.tolist() == [len(ws) for ws in wanted]
+    v = gated_lm.Vocabulary([gated_lm.END, b"a", b"z"], np.array([9, 5, 3]), 30, 20)
+    ranks, _, beyond = v.read_all(pa.chunked_array([pa.array(texts, pa.binary())]))
+    assert ranks.tolist() == [v.rank.get(w, -1) for ws in wanted for w in ws] and beyond.to_pylist() == [w for ws in wanted for w in ws if w not in v.rank]

@@ -16,20 +16,19 @@ start from a common model; each training document is used in one round, none is
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from heapq import heappop, heappush
-from itertools import repeat
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritab.llm.frames import held, in_batches, remainder, texts_of, written
+from veritab.llm.frames import held, in_batches, remainder, written
 
 #: Stands for the end of a document; no word is empty.
 END = b""
@@ -37,7 +36,7 @@ END = b""
 HEAD = 131072
 HIDDEN, WINDOW, LANES = 16, 32, 512
 #: Tokens of a leaf in a window from which on its words are a matrix product of their own.
-MANY, TOGETHER = 40, 4
+MANY = 48
 #: Lanes that are scored side by side; no step depends on how many.
 WIDE = 768
 #: How many training windows' steps are scored at once, so that more tokens share a leaf.
@@ -55,9 +54,9 @@ REPLICA = 4_000_000
 PIECE = 256
 SMOOTHING = 0.1
 #: Steps that all lanes wait for before they are trained on, and tokens that are scored together.
-AHEAD, SCORED = 8 * WINDOW, 1_500_000
-#: Distinct words that a counting task holds before it passes them on.
-COUNTED = 300_000
+AHEAD, SCORED = 8 * WINDOW, 3_000_000
+#: Bytes of text that are read and that are counted together.
+READ, COUNTED = 1 << 23, 1 << 25
 
 
 @dataclass
@@ -72,6 +71,7 @@ class Vocabulary:
 
     def __post_init__(self):
         self.rank = {w: i for i, w in enumerate(self.words)}
+        self.lookup = pc.SetLookupOptions(value_set=pa.array(self.words, pa.binary()))
         self.own = len(self.words)
         self.rest_count = self.tokens - int(self.counts.sum())
         self.rest_distinct = self.distinct - self.own
@@ -98,10 +98,15 @@ class Vocabulary:
 
     def read(self, text: bytes) -> tuple[np.ndarray, list[bytes]]:
         """Ranks of a text's tokens, -1 beyond the head, and the words beyond it."""
-        words = text.lower().split()
-        words.append(END)
-        ranks = np.fromiter(map(self.rank.get, words, repeat(-1)), np.int32, len(words))
-        return ranks, [words[i] for i in np.flatnonzero(ranks < 0).tolist()]
+        ranks, _, beyond = self.read_all(pa.chunked_array([pa.array([text], pa.binary())]))
+        return ranks, beyond.to_pylist()
+
+    def read_all(self, texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, pa.ChunkedArray]:
+        """Ranks of the tokens of all texts, one text after another, -1 beyond the head; how many each text has; and the
+        words beyond the head."""
+        words, sizes = tokens_of(texts)
+        ranks = pc.index_in(words, options=self.lookup)
+        return ranks.fill_null(-1).to_numpy(), sizes, words.filter(ranks.is_null())
 
     def symbols(self, ranks: np.ndarray) -> np.ndarray:
         return np.where(ranks < 0, np.int32(self.rest), ranks)
@@ -158,7 +163,9 @@ class Network:
 
     def inputs(self, symbols: np.ndarray) -> np.ndarray:
         """What the symbols of (step, lane) add to the gates, as (step, 3 * HIDDEN, lane)."""
-        return self.p["i"] @ self.p["w"].reshape(-1, HIDDEN)[symbols].transpose(0, 2, 1) + self.p["ib"]
+        gx = self.p["i"] @ self.p["w"].reshape(-1, HIDDEN)[symbols].transpose(0, 2, 1)
+        gx += self.p["ib"]
+        return gx
 
     def step(self, gx: np.ndarray, h: np.ndarray, gh: np.ndarray | None = None, gates: np.ndarray | None = None) -> np.ndarray:
         """The next state; with gates of (3 * HIDDEN, lane), they are left there, and what the state adds to them in gh."""
@@ -187,29 +194,39 @@ class Network:
         """Log probability of each target symbol after its state in (HIDDEN, tokens); with grads, also the gradient of
         minus their sum.  Of the words' gradient only leaves of targets are set, to this one."""
         p, v = self.p, self.v
-        # tokens of a leaf, and so of a class and of a group, stand side by side
-        order = np.argsort(target, kind="stable")
-        leaf, place = np.divmod(target[order], LEAF)
+        # tokens of a leaf, and so of a class and of a group, stand side by side; short numbers are sorted by radix
+        leaf = target // LEAF
+        place = target - leaf * LEAF
+        order = np.argsort(leaf.astype(np.uint16) if len(v.leaf_counts) <= 1 << 16 else leaf, kind="stable")
+        leaf, place = leaf[order], place[order]
         kind = v.class_by_leaf[leaf]
-        h = h[:, order]
+        h = np.take(h, order, 1)
         value, back = np.zeros(len(target), h.dtype), None if grads is None else np.zeros_like(h)
+        numbers = np.arange(len(target))
 
         def choose(name: str, which: slice | int, rows: slice, inside: np.ndarray) -> None:
             """A softmax over the rows of weights that which names, of the leaf's words if it is a number."""
-            weights, bias, here = p[name][which], p[name + "b"][which], np.arange(len(inside))
-            logits = weights @ h[:, rows]
-            logits += bias if bias.ndim == 2 else bias[:, None]
+            weights, bias, mine = p[name][which], p[name + "b"][which], h[:, rows]
+            logits = weights @ mine
+            logits += bias.reshape(-1, 1)
             logits -= logits.max(0)
-            own = logits[inside, here]
-            e = np.exp(logits, out=logits)
-            total = e.sum(0)
+            flat, at = logits.reshape(-1), inside * len(inside)
+            at += numbers[: len(inside)]
+            own = flat[at]
+            np.exp(logits, out=logits)
+            total = logits.sum(0)
             value[rows] += own - np.log(total)
             if grads is not None:
-                e /= total
-                e[inside, here] -= 1
-                back[:, rows] += weights.T @ e
-                grads[name][which] += e @ h[:, rows].T
-                grads[name + "b"][which] += e.sum(1, keepdims=bias.ndim == 2)
+                # the gradient times the total; products with it are divided instead, as they have fewer rows
+                flat[at] -= total
+                share = np.reciprocal(total, out=total)
+                by_state = weights.T @ logits
+                by_state *= share
+                back[:, rows] += by_state
+                # both are views; which is a slice or a number
+                of_weights, of_bias = grads[name][which], grads[name + "b"][which]
+                of_weights += logits @ (mine * share).T
+                of_bias += (logits @ share).reshape(bias.shape)
 
         edges = np.searchsorted(kind, np.arange(len(v.class_counts) + 1))
         group_edges = edges[v.group_starts]
@@ -218,7 +235,7 @@ class Network:
             for k in np.flatnonzero((np.diff(at) > 0) & (np.diff(starts) > 1)).tolist():
                 rows = slice(at[k], at[k + 1])
                 choose(name, slice(starts[k], starts[k + 1]), rows, members[rows] - starts[k])
-        # words: leaves of many tokens one by one, those of the others side by side
+        # words: leaves of many tokens one by one, those of as many tokens as each other side by side
         first = np.flatnonzero(np.diff(leaf, prepend=-1))
         size = np.diff(np.append(first, len(leaf)))
         for k in np.flatnonzero(size >= MANY).tolist():
@@ -226,32 +243,40 @@ class Network:
             choose("w", int(leaf[first[k]]), rows, place[rows])
         few = np.flatnonzero(size < MANY)
         if len(few):
-            # places of TOGETHER tokens of one leaf, some of them empty
-            groups = -(-size[few] // TOGETHER)
-            of, turn = np.repeat(few, groups), np.arange(groups.sum()) - np.repeat(np.cumsum(groups) - groups, groups)
-            token = first[of, None] + turn[:, None] * TOGETHER + np.arange(TOGETHER)
-            real = token < (first + size)[of, None]
-            token = np.where(real, token, 0)
-            states, words = h.T[token], p["w"][leaf[first[of]]]
-            logits = states @ words.transpose(0, 2, 1)
-            logits += p["wb"][leaf[first[of]], None]
-            logits -= logits.max(2, keepdims=True)
-            own = np.take_along_axis(logits, place[token][:, :, None], 2)[:, :, 0]
-            e = np.exp(logits, out=logits)
-            total = e.sum(2)
-            value[token[real]] += (own - np.log(total))[real]
+            few = few[np.argsort(size[few], kind="stable")]
+            size, leaves = size[few], leaf[first[few]]
+            starts = np.cumsum(size) - size
+            token = numbers[: size.sum()] + np.repeat(first[few] - starts, size)
+            states, words = np.ascontiguousarray(np.take(h, token, 1).T), p["w"][leaves]
+            # runs of leaves of n tokens each, and their tokens
+            sizes, begins = np.unique(size, return_index=True)
+            runs = [(n, slice(i, j), slice(i_token, j_token)) for n, i, j, i_token, j_token in zip(sizes.tolist(), begins.tolist(), [*begins[1:].tolist(), len(few)], starts[begins].tolist(), [*starts[begins[1:]].tolist(), len(token)], strict=True)]
+            by_token = np.repeat(p["wb"][leaves], size, 0)
+            for n, which, rows in runs:
+                by_token[rows] += (states[rows].reshape(-1, n, HIDDEN) @ words[which].transpose(0, 2, 1)).reshape(-1, LEAF)
+            e = np.ascontiguousarray(by_token.T)
+            e -= e.max(0)
+            flat, at = e.reshape(-1), place[token] * len(token)
+            at += numbers[: len(token)]
+            own = flat[at]
+            np.exp(e, out=e)
+            total = e.sum(0)
+            value[token] += own - np.log(total)
             if grads is not None:
-                e /= total[:, :, None]
-                turns, slots = np.nonzero(real)
-                e[turns, slots, place[token[real]]] -= 1
-                e[~real] = 0
-                back[:, token[real]] += (e @ words)[real].T
-                by_word, by_bias, leaves = e.transpose(0, 2, 1) @ states, e.sum(1), leaf[first[of]]
-                for k in range(int(turn.max()) + 1):
-                    # no leaf stands twice among the groups of one turn
-                    here = turn == k
-                    grads["w"][leaves[here]] += by_word[here]
-                    grads["wb"][leaves[here]] += by_bias[here]
+                flat[at] -= total
+                e /= total
+                by_token = np.ascontiguousarray(e.T)
+                by_state, by_word = np.empty_like(states), np.empty_like(words)
+                for n, which, rows in runs:
+                    here = by_token[rows].reshape(-1, n, LEAF)
+                    np.matmul(here, words[which], out=by_state[rows].reshape(-1, n, HIDDEN))
+                    if n == 1:
+                        np.einsum("tnk,tnh->tkh", here, states[rows].reshape(-1, n, HIDDEN), out=by_word[which])
+                    else:
+                        np.matmul(here.transpose(0, 2, 1), states[rows].reshape(-1, n, HIDDEN), out=by_word[which])
+                back[:, token] += by_state.T
+                grads["w"][leaves] = by_word
+                grads["wb"][leaves] = np.add.reduceat(by_token, starts)
         out = np.empty_like(value)
         out[order] = value
         if grads is None:
@@ -286,7 +311,9 @@ class Network:
             h = states[t] = self.step(gx[t], before[t], gh[t], gates[t])
         states = states.transpose(1, 0, 2).reshape(HIDDEN, -1)
         used = real.ravel()
-        self.touched = np.unique(np.concatenate([targets[real], inputs.ravel()]) // LEAF)
+        met = np.zeros(len(self.v.leaf_counts), bool)
+        met[targets[real] // LEAF] = met[inputs // LEAF] = True
+        self.touched = np.flatnonzero(met)
         g["w"][self.touched], g["wb"][self.touched] = 0, 0
         if used.all():
             _, dh_out = self.outputs(states, targets.ravel(), g)
@@ -296,9 +323,15 @@ class Network:
         # how each gate, before its function, answers to a state's gradient: all but the product with that gradient
         z, r, n = gates[:, :HIDDEN], gates[:, HIDDEN : 2 * HIDDEN], gates[:, 2 * HIDDEN :]
         dh_out = np.ascontiguousarray(dh_out.reshape(HIDDEN, steps, lanes).transpose(1, 0, 2))
-        by_n = (1 - n * n) * (1 - z)
-        by_z = (before - n) * z * (1 - z)
-        by_r = gh[:, 2 * HIDDEN :] * r * (1 - r)
+        by_n, rest = n * n, 1 - z
+        np.subtract(1, by_n, out=by_n)
+        by_n *= rest
+        by_z = before - n
+        by_z *= z
+        by_z *= rest
+        by_r = np.subtract(1, r, out=rest)
+        by_r *= r
+        by_r *= gh[:, 2 * HIDDEN :]
         # from here gx holds the gradient of what it held, and gh that of what the state added
         back = np.zeros((HIDDEN, lanes), gx.dtype)
         u_t = np.ascontiguousarray(self.p["u"].T)
@@ -314,12 +347,16 @@ class Network:
                 back[:, fresh[t]] = 0
         gx[:, : 2 * HIDDEN] = gh[:, : 2 * HIDDEN]
         g["u"] += (gh @ before.transpose(0, 2, 1)).sum(0)
-        gx = gx.transpose(1, 0, 2).reshape(3 * HIDDEN, -1)
+        vectors = self.p["w"].reshape(-1, HIDDEN)[inputs]
+        g["i"] += (gx @ vectors).sum(0)
+        g["ib"] += gx.sum((0, 2))[:, None]
+        by_input = (self.p["i"].T @ gx).transpose(0, 2, 1).reshape(-1, HIDDEN)
+        # a symbol's inputs side by side
         symbols = inputs.ravel()
-        g["i"] += gx @ self.p["w"].reshape(-1, HIDDEN)[symbols]
-        g["ib"] += gx.sum(1, keepdims=True)
-        met, which = np.unique(symbols, return_inverse=True)
-        g["w"].reshape(-1, HIDDEN)[met] += np.stack([np.bincount(which, x, len(met)) for x in self.p["i"].T @ gx], 1)
+        order = np.argsort(symbols)
+        symbols = symbols[order]
+        first = np.flatnonzero(np.diff(symbols, prepend=-1))
+        g["w"].reshape(-1, HIDDEN)[symbols[first]] += np.add.reduceat(by_input[order], first)
         return h
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -450,14 +487,17 @@ class Trainer:
         touched = network.touched
         for names, squares, which in ((("l", "lb"), self.leaves, slice(None)), (("w", "wb"), self.words, touched)):
             g = views[names[0]][which]
-            n = squares[0][which] + np.einsum("...h,...h->...", g, g) / HIDDEN
+            n = np.einsum("...h,...h->...", g, g)
+            n /= HIDDEN
+            n += squares[0][which]
             squares[0][which] = n
             g *= (rate / np.sqrt(n))[..., None]
             network.p[names[0]][which] -= g
-            g = views[names[1]][which].reshape(n.shape)
-            n = squares[1][which] + g * g
+            g = views[names[1]][which]
+            n = squares[1][which] + (g * g).reshape(n.shape)
             squares[1][which] = n
-            network.p[names[1]][which] -= (g * (rate / np.sqrt(n))).reshape(network.p[names[1]][which].shape)
+            g *= (rate / np.sqrt(n)).reshape(g.shape)
+            network.p[names[1]][which] -= g
         g = self.gradient[: network.core]
         g /= tokens
         np.clip(g, -0.5, 0.5, out=g)
@@ -468,24 +508,38 @@ class Trainer:
         network.flat[: network.core] -= np.float32(pace) * self.mean / (np.sqrt(self.square) + np.float32(1e-7))
 
 
+def gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """Batches put together until their texts have size bytes."""
+    waiting, held = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        waiting.append(batch)
+        held += batch.column("text").nbytes
+        if held >= size:
+            yield pa.Table.from_batches(waiting)
+            waiting, held = [], 0
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
+def tokens_of(texts: pa.ChunkedArray) -> tuple[pa.ChunkedArray, np.ndarray]:
+    """Tokens of all texts, one text after another, as binary: words with A-Z in lower case, and END; and how many each text
+    has.  Null is an empty text."""
+    # Arrow's white space is that which separates words; at the end of a text it leaves an empty word, which is END
+    texts = pa.chunked_array([t.view(pa.string()) for t in texts.chunks], pa.string())
+    texts = pc.binary_join_element_wise(pc.ascii_lower(texts.fill_null("")), " ", "")
+    words = pc.ascii_split_whitespace(pc.ascii_ltrim_whitespace(texts))
+    return pc.list_flatten(words).cast(pa.binary()), pc.list_value_length(words).to_numpy().astype(np.int64)
+
+
 def count_words(texts: DataFrame) -> DataFrame:
     """(word, n) over all texts: words with A-Z in lower case, and one END for each text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
-
-        for batch in batches:
-            for text in texts_of(batch.column("text")):
-                counts.update(text.lower().split())
-            counts[END] += batch.num_rows
-            if len(counts) > COUNTED:
-                yield out()
-                counts.clear()
-        if counts:
-            yield out()
+        for part in gathered(batches, COUNTED):
+            counts = tokens_of(part["text"])[0].value_counts()
+            yield pa.RecordBatch.from_arrays([counts.field(0), counts.field(1)], ["word", "n"])
 
     return in_batches(texts.select("text"), work, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -562,9 +616,10 @@ def train(training: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
         def work(batches: Iterator[pa.RecordBatch], start_at=start_at) -> Iterator[pa.RecordBatch]:
             v = worker_vocabulary(shared)
             trainer = Trainer(Network(v, start_at.value.copy()))
-            for batch in batches:
-                for text in texts_of(batch.column("text")):
-                    trainer.add(v.symbols(v.read(text)[0]))
+            for part in gathered(batches, READ):
+                ranks, sizes, _ = v.read_all(part["text"])
+                for symbols in np.split(v.symbols(ranks), np.cumsum(sizes)[:-1]):
+                    trainer.add(symbols)
             trainer.finish()
             if trainer.tokens:
                 yield from parts_of(trainer)
@@ -607,35 +662,35 @@ def score_texts(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, flat
         names = ["place", "word", "times", "doc_id", "held_out", "n_tokens", "known", "base", "model"]
         kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
 
-        def out() -> Iterator[pa.RecordBatch]:
-            """The documents' own rows, and those of their words beyond the head."""
-            nonlocal place
-            natural = network.score([w[2] for w in waiting])
-            own, words, times, met = [], [], [], []
-            for (doc_id, held, symbols, known, base, beyond), logp in zip(waiting, natural, strict=True):
-                place += 1
-                # a document's own row: its word begins with a space, as no word does
-                own.append((place, b" %d" % place, 0, doc_id, held, len(symbols), known, base, logp / np.log(10)))
-                counts_of = Counter(beyond)
-                words += counts_of.keys()
-                times += counts_of.values()
-                met.append(len(counts_of))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*own, strict=True), kinds, strict=True)], names)
-            places = np.repeat(np.arange(place - len(met) + 1, place + 1), met)
-            yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(words, kinds[1]), pa.array(times, kinds[2]), *[pa.nulls(len(words), k) for k in kinds[3:]]], names)
-
-        for batch in batches:
-            rows = zip(batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist(), texts_of(batch.column("text")), strict=True)
-            for doc_id, held, text in rows:
-                ranks, beyond = v.read(text)
-                inside = ranks[ranks >= 0]
-                waiting.append((doc_id, held, v.symbols(ranks), len(inside), float(v.base[inside].sum()), beyond))
-                size += len(ranks)
+        def own() -> pa.RecordBatch:
+            """The documents' own rows: their words begin with a space, as no word does."""
+            natural = network.score([w[-1] for w in waiting])
+            rows = [(at, b" %d" % at, 0, doc_id, held, len(symbols), known, base, logp / np.log(10)) for (at, doc_id, held, known, base, symbols), logp in zip(waiting, natural, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+        for part in gathered(batches, READ):
+            ranks, sizes, beyond = v.read_all(part["text"])
+            ends, inside = np.cumsum(sizes), ranks >= 0
+            starts = ends - sizes
+            known = np.add.reduceat(inside.astype(np.int64), starts)
+            # the last of base stands for no word of the head
+            base = np.add.reduceat(np.append(v.base, 0.0)[ranks], starts)
+            # each document's words beyond the head and how often it has them
+            words = beyond.combine_chunks().dictionary_encode()
+            key = np.repeat(np.arange(len(sizes)), sizes - known) << 32 | words.indices.to_numpy()
+            key, times = np.unique(key, return_counts=True)
+            columns = [pa.array(place + (key >> 32)), words.dictionary.take(pa.array(key & 0xFFFFFFFF)), pa.array(times, kinds[2])]
+            yield pa.RecordBatch.from_arrays([*columns, *[pa.nulls(len(key), k) for k in kinds[3:]]], names)
+            symbols = np.split(v.symbols(ranks), ends[:-1])
+            for row in zip(range(place, place + len(sizes)), part["doc_id"].to_pylist(), part["held_out"].to_pylist(), known.tolist(), base.tolist(), symbols, strict=True):
+                waiting.append(row)
+                size += len(row[-1])
                 if size >= SCORED:
-                    yield from out()
+                    yield own()
                     waiting, size = [], 0
+            place += len(sizes)
         if waiting:
-            yield from out()
+            yield own()
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (remainder(F.col("doc_id"), parts) == held_out).alias("held_out"), "text")
     rows = in_batches(source, work, "place long, word binary, times long, doc_id long, held_out boolean, n_tokens long, known long, base double, model double")
