@@ -54,9 +54,9 @@ REPLICA = 4_000_000
 PIECE = 256
 SMOOTHING = 0.1
 #: Steps that all lanes wait for before they are trained on, and tokens that are scored together.
-AHEAD, SCORED = 8 * WINDOW, 3_000_000
+AHEAD, SCORED = 8 * WINDOW, 1_500_000
 #: Bytes of text that are read and that are counted together.
-READ, COUNTED = 1 << 23, 1 << 25
+READ, COUNTED = 1 << 22, 1 << 23
 
 
 @dataclass
